@@ -26,30 +26,26 @@ HISTORY_COLUMNS: tuple[str, ...] = (
 HISTORY_ORDER = ("INVENTORYID", "TRANSACTION_ID")
 
 
-def trial_vial_ids(t: LimsTables, trial_codes: TrialCodes, collation: str | None = None) -> DataFrame:
+def trial_vial_ids(
+    t: LimsTables, trial_codes: TrialCodes, collation: str | None = None, *, with_trial: bool = False
+) -> DataFrame:
     """``INVENTORY_VLA ⋈ CENTRALRECEIVING`` for the trial(s): one row per match."""
     cr = t["CENTRALRECEIVING_VLA"]
     pred = trial_predicate(F.col("LAST_NAME"), trial_codes, collation)
     if pred is not None:
         cr = cr.where(pred)
-    cr = cr.select(F.col("EXTERNAL_ID").alias("_CR_EXT"))
+    cr = cr.select(F.col("EXTERNAL_ID").alias("_CR_EXT"), *(["LAST_NAME"] if with_trial else []))
     inv = t["INVENTORY_VLA"].select(F.col("INVENTORYID").alias("_VIAL_ID"), F.col("EXTERNAL_ID").alias("_INV_EXT"))
-    return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).select("_VIAL_ID")
+    return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).drop("_INV_EXT", "_CR_EXT")
 
 
-def inventory_history(
-    t: LimsTables,
-    trial_codes: TrialCodes,
-    *,
-    collation: str | None = None,
-    sort: bool = True,
-) -> DataFrame:
+def history_rows(t: LimsTables, vial_ids: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """History columns (unsorted) for the ledger rows of ``vial_ids._VIAL_ID``."""
     ledger = t["INVENTORY_TRANSACTIONS_VLA"].select(
         "INVENTORYID", "TRANSACTION_ID", "AMOUNTLEFT", "AMOUNT_UNIT_CODE", "COMMENTS", "CONTAINER_POS_Y",
         "CONTAINER_POS_X", "FLAG_CURRENT", "CONTAINER_INVENTORYID", "LOCATIONCODE",
     )
-    rows = ledger.join(trial_vial_ids(t, trial_codes, collation), F.col("INVENTORYID") == F.col("_VIAL_ID"))
-    rows = rows.drop("_VIAL_ID")
+    rows = ledger.join(vial_ids, F.col("INVENTORYID") == F.col("_VIAL_ID")).drop("_VIAL_ID")
     salt = ("INVENTORYID", "TRANSACTION_ID", "CONTAINER_POS_X")
     header = t["TRANSACTIONS"].select(
         F.col("TRANSACTION_ID").alias("_T_ID"), "TRANSACTION_DT", "USRNAM", "TRANSACTION_TYPE"
@@ -58,5 +54,15 @@ def inventory_history(
     rows = parent_container_join(rows, dims.boxes(t, with_current_rows=False), self_col="INVENTORYID", salt_cols=salt)
     rows = left_lookup(rows, dims.direct_location(t), "LOCATIONCODE", "_LOC_CODE", salt_cols=salt)
     derived = {"BOX_POS": grid_ordinal("CONTAINER_POS_Y", "CONTAINER_POS_X", "CONTAINER_AXIS_X_SIZE")}
-    out = rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in HISTORY_COLUMNS])
+    return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in HISTORY_COLUMNS + keep])
+
+
+def inventory_history(
+    t: LimsTables,
+    trial_codes: TrialCodes,
+    *,
+    collation: str | None = None,
+    sort: bool = True,
+) -> DataFrame:
+    out = history_rows(t, trial_vial_ids(t, trial_codes, collation))
     return out.orderBy(*HISTORY_ORDER) if sort else out
