@@ -1,4 +1,4 @@
-"""Scalar column expressions of the two extraction queries."""
+"""Scalar column expressions of the two extraction queries (SQL text + Column)."""
 
 from __future__ import annotations
 
@@ -6,24 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def safe_int(col: Column | str, empty_as_zero: bool = False) -> Column:
+def safe_int_sql(col: str, empty_as_zero: bool = False) -> str:
     """String -> INT, NULL when the text is not an integer in range.
 
     Spark's ANSI ``try_cast`` trims blanks and accepts a sign; decimals,
     exponents, overflow and ``''`` give NULL. ``empty_as_zero`` mimics the
     SQL Server rule that turns a blank string into 0.
     """
-    c = _col(col)
-    value = c.try_cast("int")
+    value = f"try_cast({col} AS INT)"
     if empty_as_zero:
-        value = F.when(F.trim(c) == F.lit(""), F.lit(0)).otherwise(value)
+        value = f"CASE WHEN trim({col}) = '' THEN 0 ELSE {value} END"
     return value
 
 
-def grid_ordinal(pos_y: Column | str, pos_x: Column | str, x_size: Column | str) -> Column:
+def grid_ordinal_sql(pos_y: str, pos_x: str, x_size: str) -> str:
     """Row-major 1-based cell number ``(y - 1) * x_size + x``; NULL if any input is."""
-    return (_col(pos_y) - F.lit(1)) * _col(x_size) + _col(pos_x)
+    return f"(({pos_y} - 1) * {x_size} + {pos_x})"
+
+
+def safe_int(col: str, empty_as_zero: bool = False) -> Column:
+    return F.expr(safe_int_sql(col, empty_as_zero))
+
+
+def grid_ordinal(pos_y: str, pos_x: str, x_size: str) -> Column:
+    return F.expr(grid_ordinal_sql(pos_y, pos_x, x_size))

@@ -1,6 +1,9 @@
 """Text column expressions: label extraction, redaction, file-name slugs.
 
-All are JVM-side regex expressions (whole-stage codegen, no Python UDF).
+Each expression is defined once as Spark SQL text (``*_sql``), used by the
+SQL plans directly and by the DataFrame helpers through ``F.expr``. All are
+JVM-side regex expressions: whole-stage codegen, no Python UDF.
+
 Java regex differs from Python's ``re`` in two places that matter here:
 ``.`` also stops at ``\\r``/U+0085/U+2028/U+2029 and ``\\d`` is ASCII-only.
 ``(?d)`` (Unix lines) and ``(?U)`` (Unicode classes) restore Python's meaning.
@@ -13,11 +16,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sqltext import quote
+
 # Fixed values that must equal the original job's patterns: the two labels
-# read from a vial's comment field and the output names they go to.
+# read from a vial's comment field.
 SAMPLEID_PATTERN = r"SAMPLEID:(.*?),"
 LAB_ID_PATTERN = r"LAB_ID:(\d+)"
 PYTHON_RE_FLAGS = "(?dU)"
+# Fixed value: the connection-string label whose value is masked.
+DSN_PASSWORD_LABEL = "PWD="
 
 
 def python_re(pattern: str) -> str:
@@ -25,24 +32,28 @@ def python_re(pattern: str) -> str:
     return PYTHON_RE_FLAGS + pattern
 
 
-def first_match(col: Column | str, pattern: str, group: int = 1) -> Column:
+def first_match_sql(col: str, pattern: str, group: int = 1) -> str:
     """Group ``group`` of the first match; NULL when nothing matches.
 
     ``regexp_extract`` alone returns ``''`` both for "no match" and for an
-    empty capture; the ``rlike`` guard keeps those apart (an empty capture
+    empty capture; the ``RLIKE`` guard keeps those apart (an empty capture
     stays ``''``).
     """
-    c = F.col(col) if isinstance(col, str) else col
-    rx = python_re(pattern)
-    return F.when(c.rlike(rx), F.regexp_extract(c, rx, group))
+    rx = quote(python_re(pattern))
+    return f"CASE WHEN {col} RLIKE {rx} THEN regexp_extract({col}, {rx}, {group}) END"
+
+
+def first_match(col: str, pattern: str, group: int = 1) -> Column:
+    return F.expr(first_match_sql(col, pattern, group))
+
+
+def sampleid_sqls(col: str = "COMMENTS") -> dict[str, str]:
+    return {"SAMPLEID": first_match_sql(col, SAMPLEID_PATTERN), "SAMPLEID2": first_match_sql(col, LAB_ID_PATTERN)}
 
 
 def extract_sampleid(df: DataFrame, source: str = "COMMENTS") -> DataFrame:
     """Add ``SAMPLEID`` and ``SAMPLEID2`` parsed from the comment text."""
-    return df.withColumns({
-        "SAMPLEID": first_match(source, SAMPLEID_PATTERN),
-        "SAMPLEID2": first_match(source, LAB_ID_PATTERN),
-    })
+    return df.withColumns({name: F.expr(sql) for name, sql in sampleid_sqls(source).items()})
 
 
 def extract_labels(df: DataFrame, source: str, labels: Mapping[str, str]) -> DataFrame:
@@ -50,36 +61,36 @@ def extract_labels(df: DataFrame, source: str, labels: Mapping[str, str]) -> Dat
     return df.withColumns({name: first_match(source, rx) for name, rx in labels.items()})
 
 
-def redact_labelled(col: Column | str, label: str, stop_chars: str = ";", mask: str = "****") -> Column:
+def redact_labelled_sql(col: str, label: str, stop_chars: str = ";", mask: str = "****") -> str:
     """Mask every value that follows ``label`` up to a stop character.
 
-    ``label`` is a regex (matched case-insensitively); all occurrences are
-    replaced, the label itself is kept: ``PWD=secret;`` -> ``PWD=****;``.
+    ``label`` is a regex matched case-insensitively; all occurrences are
+    replaced and the label itself is kept: ``PWD=secret;`` -> ``PWD=****;``.
     """
-    c = F.col(col) if isinstance(col, str) else col
     stop = "".join("\\" + ch if ch in "]\\^-" else ch for ch in stop_chars)
-    return F.regexp_replace(c, f"(?i)({label})[^{stop}]*", F.lit("$1" + mask.replace("$", "\\$")))
+    pattern = quote(f"(?i)({label})[^{stop}]*")
+    replacement = quote("$1" + mask.replace("\\", "\\\\").replace("$", "\\$"))
+    return f"regexp_replace({col}, {pattern}, {replacement})"
 
 
-# Fixed value: the connection-string label whose value is masked.
-DSN_PASSWORD_LABEL = "PWD="
+def redact_labelled(col: str, label: str, stop_chars: str = ";", mask: str = "****") -> Column:
+    return F.expr(redact_labelled_sql(col, label, stop_chars, mask))
 
 
-def redact_dsn_password(col: Column | str) -> Column:
+def redact_dsn_password(col: str) -> Column:
     return redact_labelled(col, DSN_PASSWORD_LABEL, ";")
 
 
-def slug(col: Column | str, separator: str = "_") -> Column:
+def slug_sql(col: str, separator: str = "_") -> str:
     """File-name slug: each run of characters other than ASCII letters and
     digits becomes one ``separator``; separators at either end are dropped;
     case is kept. ``TRIAL-001`` -> ``TRIAL_001``; ``***`` -> ``''``.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    sep = separator.replace("\\", "\\\\").replace("$", "\\$")
-    runs = F.regexp_replace(c, "[^A-Za-z0-9]+", F.lit(sep))
-    edge = "^(?:" + _quote(separator) + ")+|(?:" + _quote(separator) + ")+$"
-    return F.regexp_replace(runs, edge, F.lit(""))
+    sep_re = "".join(ch if ch.isalnum() else "\\" + ch for ch in separator)
+    sep_out = separator.replace("\\", "\\\\").replace("$", "\\$")
+    runs = f"regexp_replace({col}, {quote('[^A-Za-z0-9]+')}, {quote(sep_out)})"
+    return f"regexp_replace({runs}, {quote(f'^(?:{sep_re})+|(?:{sep_re})+$')}, '')"
 
 
-def _quote(text: str) -> str:
-    return "".join("\\" + ch if not ch.isalnum() else ch for ch in text)
+def slug(col: str, separator: str = "_") -> Column:
+    return F.expr(slug_sql(col, separator))

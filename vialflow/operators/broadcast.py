@@ -27,16 +27,43 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def leaf_bytes(df: DataFrame) -> int:
+    """Sum of the size estimates of the plan's leaf scans.
+
+    For a dimension built as a chain of key lookups (each row finds at most
+    one partner per level), the output is no larger than its inputs; without
+    CBO Catalyst would instead estimate a join as the product of its sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def broadcast_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get(CONF_LIMIT, None)
     return int(raw) if raw else DEFAULT_LIMIT
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: bool = False) -> bool:
     limit = broadcast_limit(df) if limit is None else limit
-    return estimated_bytes(df) * INFLATION <= limit
+    size = leaf_bytes(df) if lookup_chain else estimated_bytes(df)
+    return size * INFLATION <= limit
+
+
+def tables_fit(t, names, limit: int | None = None) -> bool:
+    """Whether a dimension built from the base tables ``names`` may be broadcast.
+
+    A chain of key lookups over these tables has at most as many rows as
+    its inputs, so the sum of their (inflated) estimates bounds its size.
+    """
+    frames = [t[n] for n in names]
+    limit = broadcast_limit(frames[0]) if limit is None else limit
+    return sum(t.table_bytes(n) for n in names) * INFLATION <= limit
+
 
+def sized_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: bool = False) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is within ``limit``, else ``df``.
 
-def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if its estimated size is within ``limit``, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    ``lookup_chain`` sizes a pre-joined dimension by its inputs (see
+    :func:`leaf_bytes`).
+    """
+    return F.broadcast(df) if fits_broadcast(df, limit, lookup_chain=lookup_chain) else df

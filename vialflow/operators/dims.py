@@ -3,10 +3,17 @@
 Left joins that hang off a dimension (shelf off rack, room off freezer,
 material off box, time point off schedule) only reference that dimension,
 so ``fact LEFT JOIN a LEFT JOIN b ON a.x = b.y`` equals ``fact LEFT JOIN
-(a LEFT JOIN b ON a.x = b.y)``. Building each chain over the (small)
-dimension first means the large vial/ledger side meets it in a single join
-instead of three to five, and the per-location CASE columns are computed
-once per location instead of once per vial.
+(a LEFT JOIN b ON a.x = b.y)``. Building each chain over the dimension
+first means the large vial/ledger side meets it in a single join instead of
+three to five, and the per-location CASE columns are computed once per
+location instead of once per vial.
+
+Each chain is a Spark SQL fragment (used as a CTE by the plans) and, via
+the functions at the bottom, a DataFrame. Broadcast hints are placed only
+where the inputs' size check passes (:mod:`.broadcast`); elsewhere the
+planner shuffles and AQE may still broadcast from measured sizes. Foreign
+keys that can be NULL are spread (``sqltext.spread``) so NULL-key rows do
+not pile into one shuffle partition.
 """
 
 from __future__ import annotations
@@ -15,16 +22,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import LimsTables
-from .broadcast import sized_broadcast
-from .joins import current_row_counts, left_lookup
+from ..sqltext import hint, run, spread
+from .broadcast import tables_fit
 
+# Output columns of the location path, in the order the snapshot uses them.
 LOCATION_PATH_COLUMNS = (
     "RACK_CODE", "FREEZER", "SHELF", "RACK", "SHELF_SORT", "RACK_SORT", "LONGNAME", "LONGCODE",
     "ROOM_NAME", "ROOM_CODE", "BUILDING_NAME", "BUILDING_CODE",
 )
-
-
-def location_path(t: LimsTables) -> DataFrame:
+SCHEDULE_TABLES = ("TRIAL_MASTER_SCHEDULE", "TRIAL", "TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT")
+LOCATION_TABLES = ("LOCATIONS", "LOCATIONS", "LOCATIONS", "ROOMS", "BUILDINGS")
+BOX_TABLES = ("INVENTORY", "MATERIALS")
+
+
+def schedule_sql(t: LimsTables) -> str:
+    """Visit schedule with its trial (inner) and optional time point/element."""
+    bc = hint(a for a, n in (("TR", "TRIAL"), ("TP", "TRIAL_ELEMENT_TIMEPOINT"), ("EL", "TRIAL_ELEMENT"))
+              if tables_fit(t, [n]))
+    salt = ["SCH.TRIAL_MASTER_SCHEDULE_ID"]
+    tp_key = spread("SCH.TRIAL_ELEMENT_TP_ID", salt, t.col_type("TRIAL_MASTER_SCHEDULE", "TRIAL_ELEMENT_TP_ID"))
+    el_key = spread("TP.TRIAL_ELEMENT_ID", salt, t.col_type("TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT_ID"))
+    return f"""
+        SELECT {bc} SCH.TRIAL_MASTER_SCHEDULE_ID AS TMS_ID, SCH.MSDESCRIPTION AS MS_VISIT, TR.TRIAL_CODE,
+               TP.CODE AS TP_CODE, TP.VISIT AS TP_VISIT, TP.DESCRIPTION AS TP_DESC, EL.ELEMENT_NAME AS TE_NAME
+        FROM {{TRIAL_MASTER_SCHEDULE}} SCH
+        JOIN {{TRIAL}} TR ON TR.TRIAL_ID = SCH.TRIAL_ID
+        LEFT JOIN {{TRIAL_ELEMENT_TIMEPOINT}} TP
+               ON TP.TRIAL_ELEMENT_TP_ID = {tp_key} AND SCH.TRIAL_ELEMENT_TP_ID IS NOT NULL
+        LEFT JOIN {{TRIAL_ELEMENT}} EL
+               ON EL.TRIAL_ELEMENT_ID = {el_key} AND TP.TRIAL_ELEMENT_ID IS NOT NULL"""
+
+
+def location_path_sql(t: LimsTables) -> str:
     """Rack -> shelf -> freezer -> room -> building, one row per rack code.
 
     Level shift: with a full three-level chain the names read
@@ -33,105 +62,73 @@ def location_path(t: LimsTables) -> DataFrame:
     long names are never shifted; room and building hang off the third level
     only.
     """
-    loc = t["LOCATIONS"]
-    rack = loc.select(
-        F.col("LOCATIONCODE").alias("RACK_CODE"),
-        F.col("LOCATION_NAME").alias("_RACK_NAME"),
-        F.col("PARENT_LOCATION_CODE").alias("_RACK_PARENT"),
-        F.col("SORTER").alias("RACK_SORT"),
-        "LONGNAME",
-        "LONGCODE",
-    )
-    shelf = loc.select(
-        F.col("LOCATIONCODE").alias("_SHELF_CODE"),
-        F.col("LOCATION_NAME").alias("_SHELF_NAME"),
-        F.col("PARENT_LOCATION_CODE").alias("_SHELF_PARENT"),
-        F.col("SORTER").alias("SHELF_SORT"),
+    names = (["L2", "L3"] if tables_fit(t, ["LOCATIONS"]) else []) + (
+        ["RM", "BL"] if tables_fit(t, ["ROOMS", "BUILDINGS"]) else []
     )
-    freezer = loc.select(
-        F.col("LOCATIONCODE").alias("_FREEZER_CODE"),
-        F.col("LOCATION_NAME").alias("_FREEZER_NAME"),
-        F.col("ROOM_ID").alias("_ROOM_ID"),
-    )
-    rooms = t["ROOMS"].select(
-        F.col("ROOM_ID").alias("_ROOM_KEY"), "ROOM_NAME", "ROOM_CODE", F.col("BUILDING_ID").alias("_BUILDING_ID")
-    )
-    buildings = t["BUILDINGS"].select(
-        F.col("BUILDING_ID").alias("_BUILDING_KEY"), "BUILDING_NAME", "BUILDING_CODE"
-    )
-    path = left_lookup(rack, shelf, "_RACK_PARENT", "_SHELF_CODE", salt_cols=("RACK_CODE",), keep_key=True)
-    path = left_lookup(path, freezer, "_SHELF_PARENT", "_FREEZER_CODE", salt_cols=("RACK_CODE",), keep_key=True)
-    path = left_lookup(path, rooms, "_ROOM_ID", "_ROOM_KEY", salt_cols=("RACK_CODE",))
-    path = left_lookup(path, buildings, "_BUILDING_ID", "_BUILDING_KEY", salt_cols=("RACK_CODE",))
-    has_freezer = F.col("_FREEZER_CODE").isNotNull()
-    return path.select(
-        "RACK_CODE",
-        F.when(has_freezer, F.col("_FREEZER_NAME")).otherwise(F.col("_SHELF_NAME")).alias("FREEZER"),
-        F.when(has_freezer, F.col("_SHELF_NAME")).otherwise(F.col("_RACK_NAME")).alias("SHELF"),
-        F.when(has_freezer, F.col("_RACK_NAME")).alias("RACK"),
-        "SHELF_SORT",
-        "RACK_SORT",
-        "LONGNAME",
-        "LONGCODE",
-        "ROOM_NAME",
-        "ROOM_CODE",
-        "BUILDING_NAME",
-        "BUILDING_CODE",
+    salt = ["L1.LOCATIONCODE"]
+    code = t.col_type("LOCATIONS", "LOCATIONCODE")
+    shelf_key = spread("L1.PARENT_LOCATION_CODE", salt, code)
+    freezer_key = spread("L2.PARENT_LOCATION_CODE", salt, code)
+    room_key = spread("L3.ROOM_ID", salt, t.col_type("LOCATIONS", "ROOM_ID"))
+    bldg_key = spread("RM.BUILDING_ID", salt, t.col_type("ROOMS", "BUILDING_ID"))
+    three = "L3.LOCATIONCODE IS NOT NULL"
+    return f"""
+        SELECT {hint(names)} L1.LOCATIONCODE AS RACK_CODE,
+               IF({three}, L3.LOCATION_NAME, L2.LOCATION_NAME) AS FREEZER,
+               IF({three}, L2.LOCATION_NAME, L1.LOCATION_NAME) AS SHELF,
+               IF({three}, L1.LOCATION_NAME, NULL) AS RACK,
+               L2.SORTER AS SHELF_SORT, L1.SORTER AS RACK_SORT, L1.LONGNAME, L1.LONGCODE,
+               RM.ROOM_NAME, RM.ROOM_CODE, BL.BUILDING_NAME, BL.BUILDING_CODE
+        FROM {{LOCATIONS}} L1
+        LEFT JOIN {{LOCATIONS}} L2 ON L2.LOCATIONCODE = {shelf_key} AND L1.PARENT_LOCATION_CODE IS NOT NULL
+        LEFT JOIN {{LOCATIONS}} L3 ON L3.LOCATIONCODE = {freezer_key} AND L2.PARENT_LOCATION_CODE IS NOT NULL
+        LEFT JOIN {{ROOMS}} RM ON RM.ROOM_ID = {room_key} AND L3.ROOM_ID IS NOT NULL
+        LEFT JOIN {{BUILDINGS}} BL ON BL.BUILDING_ID = {bldg_key} AND RM.BUILDING_ID IS NOT NULL"""
+
+
+def boxes_sql(t: LimsTables, with_current_rows: bool) -> str:
+    """Inventory items as parent boxes, with their material geometry.
+
+    ``with_current_rows`` adds ``_CURRENT_ROWS``, the number of the box's
+    current ledger rows: the snapshot repeats each vial row that many times
+    (see :func:`~vialflow.operators.joins.expand_fanout`). It is a grouped
+    count (map-side partial aggregation), so the ledger shrinks to one row
+    per item before it is shuffled; AQE broadcasts it when the measured
+    result is small.
+    """
+    bc = hint(["MT"] if tables_fit(t, ["MATERIALS"]) else [])
+    mat_key = spread("INV.MATCODE", ["INV.INVENTORYID"], t.col_type("INVENTORY", "MATCODE"))
+    counts_col = ", CUR.N AS _CURRENT_ROWS" if with_current_rows else ""
+    counts_join = (
+        """
+        LEFT JOIN (SELECT INVENTORYID AS CUR_ID, count(1) AS N FROM {INVENTORY_TRANSACTIONS}
+                   WHERE FLAG_CURRENT = 1 GROUP BY INVENTORYID) CUR ON CUR.CUR_ID = INV.INVENTORYID"""
+        if with_current_rows else ""
     )
+    return f"""
+        SELECT {bc} INV.INVENTORYID AS PARENT_CONTAINER_INV_ID, INV.INVENTORY_CODE AS BOX_CODE,
+               INV.EXTERNAL_CODE AS BOX_NAME, INV.MATCODE,
+               MT.CONTAINER_AXIS_Y_SIZE, MT.CONTAINER_AXIS_X_SIZE{counts_col}
+        FROM {{INVENTORY}} INV
+        LEFT JOIN {{MATERIALS}} MT ON MT.MATCODE = {mat_key} AND INV.MATCODE IS NOT NULL{counts_join}"""
 
 
-def direct_location(t: LimsTables) -> DataFrame:
-    """One level only (the history's location): code, name, long name."""
-    return t["LOCATIONS"].select(
-        F.col("LOCATIONCODE").alias("_LOC_CODE"), "LOCATION_NAME", "LONGNAME"
-    )
+def boxes_fit(t: LimsTables, with_current_rows: bool) -> bool:
+    return tables_fit(t, BOX_TABLES + (("INVENTORY_TRANSACTIONS",) if with_current_rows else ()))
 
 
-def schedule(t: LimsTables) -> DataFrame:
-    """Visit schedule with its trial (inner) and optional time point/element.
+def location_path(t: LimsTables) -> DataFrame:
+    return run(t.spark, location_path_sql(t), t)
 
-    One row per schedule entry; the trial join is inner, as in the query.
-    """
-    tms = t["TRIAL_MASTER_SCHEDULE"].select(
-        F.col("TRIAL_MASTER_SCHEDULE_ID").alias("TMS_ID"),
-        F.col("MSDESCRIPTION").alias("MS_VISIT"),
-        F.col("TRIAL_ID").alias("_TRIAL_ID"),
-        F.col("TRIAL_ELEMENT_TP_ID").alias("_TETP_ID"),
-    )
-    trial = t["TRIAL"].select(F.col("TRIAL_ID").alias("_TRIAL_KEY"), "TRIAL_CODE")
-    tetp = t["TRIAL_ELEMENT_TIMEPOINT"].select(
-        F.col("TRIAL_ELEMENT_TP_ID").alias("_TETP_KEY"),
-        F.col("CODE").alias("TP_CODE"),
-        F.col("VISIT").alias("TP_VISIT"),
-        F.col("DESCRIPTION").alias("TP_DESC"),
-        F.col("TRIAL_ELEMENT_ID").alias("_TE_ID"),
-    )
-    te = t["TRIAL_ELEMENT"].select(F.col("TRIAL_ELEMENT_ID").alias("_TE_KEY"), F.col("ELEMENT_NAME").alias("TE_NAME"))
-    out = tms.join(sized_broadcast(trial), F.col("_TRIAL_ID") == F.col("_TRIAL_KEY"), "inner")
-    out = left_lookup(out, tetp, "_TETP_ID", "_TETP_KEY", salt_cols=("TMS_ID",))
-    out = left_lookup(out, te, "_TE_ID", "_TE_KEY", salt_cols=("TMS_ID",))
-    return out.select("TMS_ID", "MS_VISIT", "TRIAL_CODE", "TP_CODE", "TP_VISIT", "TP_DESC", "TE_NAME")
+
+def schedule(t: LimsTables) -> DataFrame:
+    return run(t.spark, schedule_sql(t), t)
 
 
 def boxes(t: LimsTables, with_current_rows: bool) -> DataFrame:
-    """Inventory items as parent boxes, with their material geometry.
+    return run(t.spark, boxes_sql(t, with_current_rows), t)
 
-    ``with_current_rows`` adds ``_CURRENT_ROWS``, the number of the box's
-    current ledger rows: the snapshot query multiplies each vial row by it
-    (see :func:`~vialflow.operators.joins.expand_fanout`). The count is a
-    map-side partial aggregate, so the ledger is reduced before it shuffles.
-    """
-    box = t["INVENTORY"].select(
-        F.col("INVENTORYID").alias("PARENT_CONTAINER_INV_ID"),
-        F.col("INVENTORY_CODE").alias("BOX_CODE"),
-        F.col("EXTERNAL_CODE").alias("BOX_NAME"),
-        "MATCODE",
-    )
-    materials = t["MATERIALS"].select(
-        F.col("MATCODE").alias("_M_MATCODE"), "CONTAINER_AXIS_Y_SIZE", "CONTAINER_AXIS_X_SIZE"
-    )
-    box = left_lookup(box, materials, "MATCODE", "_M_MATCODE", salt_cols=("PARENT_CONTAINER_INV_ID",))
-    if with_current_rows:
-        counts = current_row_counts(t["INVENTORY_TRANSACTIONS"]).withColumnRenamed("INVENTORYID", "_PCIT_ID")
-        box = left_lookup(box, counts, "PARENT_CONTAINER_INV_ID", "_PCIT_ID", broadcast=False)
-    return box
+
+def direct_location(t: LimsTables) -> DataFrame:
+    """One level only (the history's location): code, name, long name."""
+    return t["LOCATIONS"].select(F.col("LOCATIONCODE").alias("_LOC_CODE"), "LOCATION_NAME", "LONGNAME")

@@ -49,15 +49,17 @@ def left_lookup(
     salt_cols: Sequence[str] = (),
     extra: Column | None = None,
     broadcast: bool = True,
-    keep_key: bool = False,
+    keep_key: bool = True,
+    lookup_chain: bool = False,
 ) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key [AND extra]``.
 
     ``dim`` is broadcast when its size is checked small; otherwise a shuffle
     join runs with NULL fact keys spread by ``salt_cols`` (if given). The
-    dimension's key column is dropped unless ``keep_key``.
+    dimension's key column stays unless ``keep_key=False`` (callers project
+    their output columns at the end anyway).
     """
-    side = sized_broadcast(dim) if broadcast else dim
+    side = sized_broadcast(dim, lookup_chain=lookup_chain) if broadcast else dim
     key_type = fact.schema[fact_key].dataType
     if salt_cols:
         probe = spread_key(F.col(fact_key), salt_cols, key_type)
@@ -78,6 +80,7 @@ def parent_container_join(
     container_col: str = "CONTAINER_INVENTORYID",
     box_id: str = "PARENT_CONTAINER_INV_ID",
     salt_cols: Sequence[str] = (),
+    lookup_chain: bool = True,
 ) -> DataFrame:
     """Attach the containing box, never the row's own inventory item.
 
@@ -92,7 +95,7 @@ def parent_container_join(
     else:
         cond = boxes[box_id] == rows[container_col]
     cond = cond & (boxes[box_id] != rows[self_col])
-    return rows.join(sized_broadcast(boxes), cond, "left")
+    return rows.join(sized_broadcast(boxes, lookup_chain=lookup_chain), cond, "left")
 
 
 def current_row_counts(ledger: DataFrame, key: str = "INVENTORYID", flag: str = "FLAG_CURRENT") -> DataFrame:
@@ -100,6 +103,12 @@ def current_row_counts(ledger: DataFrame, key: str = "INVENTORYID", flag: str =
     return ledger.where(F.col(flag) == F.lit(1)).groupBy(key).agg(F.count(F.lit(1)).alias("_CURRENT_ROWS"))
 
 
+def fanout_sql(count_col: str) -> str:
+    """Array with ``max(count, 1)`` elements, for ``LATERAL VIEW explode``."""
+    n = f"coalesce({count_col}, 0)"
+    return f"CASE WHEN {n} > 1 THEN array_repeat(true, CAST({n} AS INT)) ELSE array(true) END"
+
+
 def expand_fanout(df: DataFrame, count_col: str) -> DataFrame:
     """Repeat each row ``max(count, 1)`` times, then drop ``count_col``.
 
@@ -108,6 +117,4 @@ def expand_fanout(df: DataFrame, count_col: str) -> DataFrame:
     replaying the copies at the end keeps every upstream join one row per
     key and moves no duplicate through a shuffle.
     """
-    n = F.greatest(F.coalesce(F.col(count_col), F.lit(0)), F.lit(1)).cast("int")
-    copies = F.when(n > 1, F.array_repeat(F.lit(True), n)).otherwise(F.array(F.lit(True)))
-    return df.withColumn("_COPY", F.explode(copies)).drop("_COPY", count_col)
+    return df.withColumn("_COPY", F.explode(F.expr(fanout_sql(count_col)))).drop("_COPY", count_col)

@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import grid_ordinal
+from ..functions.scalar import grid_ordinal_sql
 from ..operators import dims
-from ..operators.joins import left_lookup, parent_container_join
+from ..operators.broadcast import tables_fit
 from ..sources.tables import LimsTables
-from .inventory import TrialCodes, trial_predicate
+from ..sqltext import hint, run, spread
+from .inventory import TrialCodes, trial_filter_sql, trial_predicate
 
 HISTORY_COLUMNS: tuple[str, ...] = (
     "INVENTORYID", "TRANSACTION_ID", "TRANSACTION_DT", "USRNAM", "AMOUNTLEFT", "AMOUNT_UNIT_CODE",
@@ -36,25 +37,40 @@ def trial_vial_ids(
         cr = cr.where(pred)
     cr = cr.select(F.col("EXTERNAL_ID").alias("_CR_EXT"), *(["LAST_NAME"] if with_trial else []))
     inv = t["INVENTORY_VLA"].select(F.col("INVENTORYID").alias("_VIAL_ID"), F.col("EXTERNAL_ID").alias("_INV_EXT"))
-    return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).drop("_INV_EXT", "_CR_EXT")
+    return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).select("_VIAL_ID", *(["LAST_NAME"] if with_trial else []))
 
 
-def history_rows(t: LimsTables, vial_ids: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """History columns (unsorted) for the ledger rows of ``vial_ids._VIAL_ID``."""
-    ledger = t["INVENTORY_TRANSACTIONS_VLA"].select(
-        "INVENTORYID", "TRANSACTION_ID", "AMOUNTLEFT", "AMOUNT_UNIT_CODE", "COMMENTS", "CONTAINER_POS_Y",
-        "CONTAINER_POS_X", "FLAG_CURRENT", "CONTAINER_INVENTORYID", "LOCATIONCODE",
+def history_sql(t: LimsTables, trial_pred: str, *, with_trial: bool = False, sort: bool = True) -> str:
+    """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output)."""
+    salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
+    names = (
+        (["T"] if tables_fit(t, ["TRANSACTIONS"]) else [])
+        + (["PC"] if dims.boxes_fit(t, False) else [])
+        + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
     )
-    rows = ledger.join(vial_ids, F.col("INVENTORYID") == F.col("_VIAL_ID")).drop("_VIAL_ID")
-    salt = ("INVENTORYID", "TRANSACTION_ID", "CONTAINER_POS_X")
-    header = t["TRANSACTIONS"].select(
-        F.col("TRANSACTION_ID").alias("_T_ID"), "TRANSACTION_DT", "USRNAM", "TRANSACTION_TYPE"
-    )
-    rows = left_lookup(rows, header, "TRANSACTION_ID", "_T_ID", salt_cols=salt)
-    rows = parent_container_join(rows, dims.boxes(t, with_current_rows=False), self_col="INVENTORYID", salt_cols=salt)
-    rows = left_lookup(rows, dims.direct_location(t), "LOCATIONCODE", "_LOC_CODE", salt_cols=salt)
-    derived = {"BOX_POS": grid_ordinal("CONTAINER_POS_Y", "CONTAINER_POS_X", "CONTAINER_AXIS_X_SIZE")}
-    return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in HISTORY_COLUMNS + keep])
+    tx_key = spread("IT.TRANSACTION_ID", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "TRANSACTION_ID"))
+    box_key = spread("IT.CONTAINER_INVENTORYID", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID"))
+    loc_key = spread("IT.LOCATIONCODE", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "LOCATIONCODE"))
+    box_pos = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
+    trial_col = ", CR.LAST_NAME" if with_trial else ""
+    trial_out = ", V.LAST_NAME" if with_trial else ""
+    order = f"\nORDER BY {', '.join('IT.' + c for c in HISTORY_ORDER)}" if sort else ""
+    return f"""
+WITH vials AS (
+        SELECT INV.INVENTORYID AS VIAL_ID{trial_col}
+        FROM {{INVENTORY_VLA}} INV
+        JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
+        WHERE {trial_pred}),
+boxes AS ({dims.boxes_sql(t, False)})
+SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
+       IT.AMOUNT_UNIT_CODE, T.TRANSACTION_TYPE, IT.COMMENTS, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X,
+       IT.FLAG_CURRENT, PC.BOX_NAME, PC.BOX_CODE, {box_pos} AS BOX_POS, LOC.LOCATION_NAME, LOC.LONGNAME{trial_out}
+FROM {{INVENTORY_TRANSACTIONS_VLA}} IT
+JOIN vials V ON V.VIAL_ID = IT.INVENTORYID
+LEFT JOIN {{TRANSACTIONS}} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
+LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
+       AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> IT.INVENTORYID
+LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL{order}"""
 
 
 def inventory_history(
@@ -63,6 +79,9 @@ def inventory_history(
     *,
     collation: str | None = None,
     sort: bool = True,
+    with_trial: bool = False,
 ) -> DataFrame:
-    out = history_rows(t, trial_vial_ids(t, trial_codes, collation))
-    return out.orderBy(*HISTORY_ORDER) if sort else out
+    """The 16-column movement history of the trial(s)' vials, sorted by
+    (INVENTORYID, TRANSACTION_ID) unless ``sort=False``."""
+    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort), t, args)

@@ -21,13 +21,14 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES, flag_viable
-from ..functions.scalar import grid_ordinal, safe_int
-from ..functions.text import extract_sampleid
+from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES, viable_sql
+from ..functions.scalar import grid_ordinal_sql, safe_int_sql
+from ..functions.text import sampleid_sqls
 from ..operators import dims
-from ..operators.broadcast import sized_broadcast
-from ..operators.joins import expand_fanout, left_lookup, parent_container_join
+from ..operators.broadcast import sized_broadcast, tables_fit
+from ..operators.joins import fanout_sql
 from ..sources.tables import LimsTables
+from ..sqltext import hint, quote, run, spread
 
 SNAPSHOT_COLUMNS: tuple[str, ...] = (
     "TRIAL_CODE", "SUBJECTID", "LABID", "CID", "SAMPLETYPE", "PRESERVATIVE", "AMOUNTLEFT",
@@ -116,8 +117,8 @@ def metadata_role(t: LimsTables, key_alias: str, roles: dict[str, str]) -> DataF
 def receipts_with_schedule(t: LimsTables, trial_codes: TrialCodes, collation: str | None = None) -> DataFrame:
     cr = trial_receipts(t, trial_codes, collation)
     cr = cr.join(metadata_role(t, "_CR_META_ID", RECEIPT_METADATA_ROLES), F.col("_CR_GUID") == F.col("_CR_META_ID"))
-    sched = sized_broadcast(dims.schedule(t))
-    return cr.join(sched, F.col("_CR_TMS") == sched["TMS_ID"]).drop("_CR_GUID", "_CR_META_ID", "_CR_TMS")
+    sched = sized_broadcast(dims.schedule(t), lookup_chain=True)
+    return cr.join(sched, F.col("_CR_TMS") == sched["TMS_ID"])
 
 
 def current_ledger(t: LimsTables) -> DataFrame:
@@ -157,7 +158,103 @@ def trial_vials(t: LimsTables, receipts: DataFrame) -> DataFrame:
         F.col("EXTERNAL_CODE").alias("SEQ"),
         F.col("METADATA_GUID").alias("_INV_GUID"),
     )
-    return inv.join(receipts, F.col("_INV_EXT") == F.col("_CR_EXT")).drop("_INV_EXT", "_CR_EXT")
+    return inv.join(receipts, F.col("_INV_EXT") == F.col("_CR_EXT"))
+
+
+def trial_filter_sql(column: str, trial_codes: TrialCodes, collation: str | None = None) -> tuple[str, dict]:
+    """SQL predicate + bound parameters for the trial filter (``TRUE`` for all)."""
+    if trial_codes is None:
+        return "TRUE", {}
+    codes = [trial_codes] if isinstance(trial_codes, str) else list(trial_codes)
+    if not codes or any(c is None or not str(c).strip() for c in codes):
+        raise ValueError("trial code must be a non-blank string")
+    args = {f"trial_code_{i}": c for i, c in enumerate(codes)}
+    if collation:
+        col = f"collate({column}, {quote(collation)})"
+        refs = [f"collate(:{k}, {quote(collation)})" for k in args]
+    else:
+        col, refs = column, [f":{k}" for k in args]
+    pred = f"{col} = {refs[0]}" if len(refs) == 1 else f"{col} IN ({', '.join(refs)})"
+    return pred, args
+
+
+# Snapshot output columns as SQL over the aliases of ``snapshot_sql``.
+_SNAPSHOT_EXPR = {
+    "TRIAL_CODE": "R.TRIAL_CODE", "SUBJECTID": "R.SUBJECTID", "LABID": "R.LABID", "CID": "SC.CONTAINERID",
+    "SAMPLETYPE": "SC.SAMPLETYPE", "PRESERVATIVE": "CC.PRESERVATIVE", "AMOUNTLEFT": "IT.AMOUNTLEFT",
+    "AMOUNT_UNIT_CODE": "IT.AMOUNT_UNIT_CODE", "THAWCOUNT": "IT.THAWCOUNT", "SEQ": "INV.EXTERNAL_CODE",
+    "SEQ_NUM": None, "FREEZER": "LP.FREEZER", "SHELF": "LP.SHELF", "RACK": "LP.RACK", "BOX_CODE": "PC.BOX_CODE",
+    "BOX_NAME": "PC.BOX_NAME", "BOX_POS": None, "ACCESSION": "R.ACCESSION", "DATE_COLLECTED": "R.DATE_COLLECTED",
+    "DATE_RECEIVED": "R.DATE_RECEIVED", "RECEIVED_CONDITION": "SC.RECEIVEDCONDITION",
+    "SAMPLE_CONDITION": "IVM.SAMPLE_CONDITION", "COMMENTS": "IVM.COMMENTS", "MS_VISIT": "R.MS_VISIT",
+    "TMS_ID": "R.TMS_ID", "TP_CODE": "R.TP_CODE", "TP_VISIT": "R.TP_VISIT", "TP_DESC": "R.TP_DESC",
+    "TE_NAME": "R.TE_NAME", **{role: f"R.{role}" for role in RECEIPT_METADATA_ROLES.values()},
+    "BARCODE": "IVM.BARCODE", "CONSENT_TYPE": "IT.CONSENT_TYPE", "RACK_CODE": "LP.RACK_CODE",
+    "SHELF_SORT": "LP.SHELF_SORT", "RACK_SORT": "LP.RACK_SORT", "CONTAINERMATCODE": "SC.CONTAINERMATCODE",
+    "MATCODE": "PC.MATCODE", "CONTAINER_POS_Y": "IT.CONTAINER_POS_Y",
+    "CONTAINER_AXIS_Y_SIZE": "PC.CONTAINER_AXIS_Y_SIZE", "CONTAINER_POS_X": "IT.CONTAINER_POS_X",
+    "CONTAINER_AXIS_X_SIZE": "PC.CONTAINER_AXIS_X_SIZE", "LAST_NAME": "R.LAST_NAME", "STUDY_SITE": "R.STUDY_SITE",
+    "LONGNAME": "LP.LONGNAME", "LONGCODE": "LP.LONGCODE", "ROOM_NAME": "LP.ROOM_NAME", "ROOM_CODE": "LP.ROOM_CODE",
+    "BUILDING_NAME": "LP.BUILDING_NAME", "BUILDING_CODE": "LP.BUILDING_CODE", "ARCHIVE_STATUS": "R.ARCHIVE_STATUS",
+    "VIAL_CONTAINER_INV_ID": "INV.INVENTORYID", "PARENT_CONTAINER_INV_ID": "PC.PARENT_CONTAINER_INV_ID",
+    "CR_ORIGREC": "R.CR_ORIGREC",
+}
+
+
+def snapshot_sql(t: LimsTables, trial_pred: str, *, seq_empty_as_zero: bool = False, extra: dict | None = None) -> str:
+    """The snapshot as one statement (see module doc for the join order).
+
+    ``extra`` adds computed output columns ({name: SQL over snapshot names}).
+    """
+    vial_salt = ["INV.INVENTORYID"]
+    receipts_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
+    main_hint = hint(
+        (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
+        + (["PC"] if dims.boxes_fit(t, True) else [])
+        + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
+    )
+    cr_roles = ", ".join(f"CRM.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
+    iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
+    exprs = dict(_SNAPSHOT_EXPR)
+    exprs["SEQ_NUM"] = safe_int_sql("INV.EXTERNAL_CODE", seq_empty_as_zero)
+    exprs["BOX_POS"] = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
+    select = ",\n               ".join(f"{exprs[c]} AS {c}" for c in SNAPSHOT_COLUMNS)
+    cc_key = spread("SC.CONTCODE", vial_salt, t.col_type("SAMPLECONTAINERS_VLA", "CONTCODE"))
+    box_key = spread("IT.CONTAINER_INVENTORYID", vial_salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID"))
+    loc_key = spread("IT.LOCATIONCODE", vial_salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "LOCATIONCODE"))
+    outer = ", ".join(SNAPSHOT_COLUMNS)
+    if extra:
+        outer += ", " + ", ".join(f"{sql} AS {name}" for name, sql in extra.items())
+    return f"""
+WITH sched AS ({dims.schedule_sql(t)}),
+receipts AS (
+        SELECT {receipts_hint} CR.EXTERNAL_ID AS CR_EXT, CR.SUBJECTID, CR.FIRST_NAME AS LABID,
+               CR.FOLDERNO AS ACCESSION, CR.DATE_COLLECTED, CR.DATE_RECEIVED, CR.LAST_NAME,
+               CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
+               {cr_roles}, S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
+        FROM {{CENTRALRECEIVING_VLA}} CR
+        JOIN {{METADATA}} CRM ON CRM.ID = CR.METADATA_GUID
+        JOIN sched S ON S.TMS_ID = CR.TRIAL_MASTER_SCHEDULE_ID
+        WHERE {trial_pred}),
+vial_meta AS (SELECT ID, {iv_roles} FROM {{METADATA}}),
+boxes AS ({dims.boxes_sql(t, True)}),
+locs AS ({dims.location_path_sql(t)}),
+snap AS (
+        SELECT {main_hint}
+               {select},
+               PC._CURRENT_ROWS
+        FROM {{INVENTORY_VLA}} INV
+        JOIN receipts R ON R.CR_EXT = INV.EXTERNAL_ID
+        JOIN {{SAMPLECONTAINERS_VLA}} SC ON SC.INVENTORYID = INV.INVENTORYID
+        JOIN {{INVENTORY_TRANSACTIONS_VLA}} IT ON IT.INVENTORYID = INV.INVENTORYID AND IT.FLAG_CURRENT = 1
+        JOIN vial_meta IVM ON IVM.ID = INV.METADATA_GUID
+        LEFT JOIN {{CONTAINERS_CONDITION}} CC ON CC.CONTCODE = {cc_key} AND SC.CONTCODE IS NOT NULL
+        LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
+               AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> INV.INVENTORYID
+        LEFT JOIN locs LP ON LP.RACK_CODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL)
+SELECT {outer}
+FROM snap
+LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
 
 
 def trial_inventory(
@@ -168,23 +265,8 @@ def trial_inventory(
     seq_empty_as_zero: bool = False,
 ) -> DataFrame:
     """The 63-column current-inventory snapshot (see module doc for the plan)."""
-    vial = "VIAL_CONTAINER_INV_ID"
-    rows = trial_vials(t, receipts_with_schedule(t, trial_codes, collation))
-    rows = rows.join(sample_containers(t), F.col(vial) == F.col("_SC_ID")).drop("_SC_ID")
-    rows = rows.join(current_ledger(t), F.col(vial) == F.col("_IT_ID")).drop("_IT_ID")
-    rows = rows.join(
-        metadata_role(t, "_INV_META_ID", VIAL_METADATA_ROLES), F.col("_INV_GUID") == F.col("_INV_META_ID")
-    ).drop("_INV_GUID", "_INV_META_ID")
-    cc = t["CONTAINERS_CONDITION"].select(F.col("CONTCODE").alias("_CC_CODE"), "PRESERVATIVE")
-    rows = left_lookup(rows, cc, "_SC_CONTCODE", "_CC_CODE", salt_cols=(vial,))
-    rows = parent_container_join(rows, dims.boxes(t, with_current_rows=True), self_col=vial, salt_cols=(vial,))
-    rows = left_lookup(rows, dims.location_path(t), "_IT_LOC", "RACK_CODE", salt_cols=(vial,), keep_key=True)
-    derived = {
-        "SEQ_NUM": safe_int("SEQ", empty_as_zero=seq_empty_as_zero),
-        "BOX_POS": grid_ordinal("CONTAINER_POS_Y", "CONTAINER_POS_X", "CONTAINER_AXIS_X_SIZE"),
-    }
-    out = rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in SNAPSHOT_COLUMNS], "_CURRENT_ROWS")
-    return expand_fanout(out, "_CURRENT_ROWS")
+    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    return run(t.spark, snapshot_sql(t, pred, seq_empty_as_zero=seq_empty_as_zero), t, args)
 
 
 def trial_extract(
@@ -196,8 +278,14 @@ def trial_extract(
     exclude_matcodes: Iterable = DEFAULT_EXCLUDE_MATCODES,
     collation: str | None = None,
 ) -> DataFrame:
-    """Snapshot + ``SAMPLEID``/``SAMPLEID2`` from comments + ``VIABLE`` flag."""
-    df = extract_sampleid(trial_inventory(t, trial_codes, collation=collation))
+    """Snapshot + ``SAMPLEID``/``SAMPLEID2`` from comments + ``VIABLE`` flag.
+
+    Same columns and values as ``flag_viable(extract_sampleid(trial_inventory(..)))``,
+    stated in the same statement so it is analysed once.
+    """
+    extra = sampleid_sqls("COMMENTS")
     if not no_viable:
-        df = flag_viable(df, exclude_conditions, exclude_matcodes)
-    return df
+        floating = t.col_type("INVENTORY_TRANSACTIONS_VLA", "AMOUNTLEFT") in ("double", "float")
+        extra["VIABLE"] = viable_sql(floating, exclude_conditions, exclude_matcodes)
+    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    return run(t.spark, snapshot_sql(t, pred, extra=extra), t, args)

@@ -27,7 +27,8 @@ from .plans.inventory import (
 from .plans.sql_text import HISTORY_SQL, run_sql
 from .session import scratch_path
 from .sinks.parquet import PARQUET_EXT, PROD_SUFFIX, HISTORY_SUFFIX, slug_report, write_parquet
-from .functions.text import slug
+from .functions.text import slug_sql
+from .sqltext import quote
 from .sources.fixtures import derive_lims_tables
 from .sources.tables import TABLE_NAMES, LimsTables
 
@@ -64,13 +65,14 @@ def q_sink_roundtrip(spark, sf_dir):
 def q_trial_slug(spark, sf_dir):
     t = _tables(spark, sf_dir)
     codes = t["CENTRALRECEIVING_VLA"].select(F.col("LAST_NAME").alias("TRIAL_CODE")).distinct()
-    s = slug("TRIAL_CODE")
-    return codes.select(
+    s = slug_sql("TRIAL_CODE")
+    prod = slug_sql(f"concat(TRIAL_CODE, {quote(PROD_SUFFIX)})")
+    return codes.selectExpr(
         "TRIAL_CODE",
-        s.alias("TRIAL_SLUG"),
-        F.concat(s, F.lit(PARQUET_EXT)).alias("FILE_NAME"),
-        F.concat(slug(F.concat(F.col("TRIAL_CODE"), F.lit(PROD_SUFFIX))), F.lit(PARQUET_EXT)).alias("PROD_FILE_NAME"),
-        F.concat(s, F.lit(HISTORY_SUFFIX + PARQUET_EXT)).alias("HISTORY_FILE_NAME"),
+        f"{s} AS TRIAL_SLUG",
+        f"concat({s}, {quote(PARQUET_EXT)}) AS FILE_NAME",
+        f"concat({prod}, {quote(PARQUET_EXT)}) AS PROD_FILE_NAME",
+        f"concat({s}, {quote(HISTORY_SUFFIX + PARQUET_EXT)}) AS HISTORY_FILE_NAME",
     )
 
 
@@ -103,7 +105,10 @@ def q_storage_path(spark, sf_dir):
     it = t["INVENTORY_TRANSACTIONS_VLA"].select("INVENTORYID", "TRANSACTION_ID", "LOCATIONCODE")
     from .operators.joins import left_lookup
 
-    out = left_lookup(it, dims.location_path(t), "LOCATIONCODE", "RACK_CODE", salt_cols=("INVENTORYID", "TRANSACTION_ID"), keep_key=True)
+    out = left_lookup(
+        it, dims.location_path(t), "LOCATIONCODE", "RACK_CODE", salt_cols=("INVENTORYID", "TRANSACTION_ID"),
+        lookup_chain=True,
+    )
     return out.select(
         "INVENTORYID", "TRANSACTION_ID", "LOCATIONCODE", "RACK_CODE", "FREEZER", "SHELF", "RACK",
         "SHELF_SORT", "RACK_SORT", "LONGNAME", "ROOM_NAME", "BUILDING_NAME",
@@ -137,7 +142,7 @@ def q_metadata_roles(spark, sf_dir):
     t = _tables(spark, sf_dir)
     cr = trial_receipts(t, None).select("_CR_EXT", "LAST_NAME", "_CR_GUID")
     cr = cr.join(metadata_role(t, "_CR_META_ID", RECEIPT_METADATA_ROLES), F.col("_CR_GUID") == F.col("_CR_META_ID"))
-    rows = trial_vials(t, cr.drop("_CR_GUID", "_CR_META_ID"))
+    rows = trial_vials(t, cr)
     rows = rows.join(metadata_role(t, "_INV_META_ID", VIAL_METADATA_ROLES), F.col("_INV_GUID") == F.col("_INV_META_ID"))
     return rows.select(
         "VIAL_CONTAINER_INV_ID", "LAST_NAME", *RECEIPT_METADATA_ROLES.values(), *VIAL_METADATA_ROLES.values()

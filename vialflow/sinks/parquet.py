@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
 from ..functions.text import slug
 from ..operators.summary import observe_rows, observe_viability
-from ..plans.history import HISTORY_ORDER, history_rows, inventory_history, trial_vial_ids
+from ..plans.history import HISTORY_ORDER, inventory_history
 from ..plans.inventory import trial_extract
 from ..sources.tables import LimsTables
 
@@ -161,7 +161,7 @@ def extract_trials(
 
 def inventory_with_trial(t: LimsTables, trial_codes: Sequence[str] | None) -> DataFrame:
     """History rows tagged with their trial code (for partitioned output)."""
-    return history_rows(t, trial_vial_ids(t, trial_codes, with_trial=True), keep=("LAST_NAME",))
+    return inventory_history(t, trial_codes, sort=False, with_trial=True)
 
 
 def slug_report(codes: DataFrame, code_col: str = "TRIAL_CODE") -> DataFrame:

@@ -49,18 +49,19 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 
 TABLE_NAMES: tuple[str, ...] = tuple(COLUMNS)
 
-# Large, vial- or ledger-grained tables: never broadcast, read in parallel.
-FACT_TABLES = frozenset({
-    "CENTRALRECEIVING_VLA", "INVENTORY_VLA", "INVENTORY", "INVENTORY_TRANSACTIONS_VLA",
-    "INVENTORY_TRANSACTIONS", "SAMPLECONTAINERS_VLA", "METADATA", "TRANSACTIONS",
-})
-
 
 @dataclass
 class LimsTables(Mapping[str, DataFrame]):
-    """Name -> DataFrame for the 17 LIMS tables."""
+    """Name -> DataFrame for the 17 LIMS tables.
+
+    Also remembers each table's size estimate and column types, which the
+    plans consult (broadcast decisions, NULL-key spreading) without asking
+    the JVM again for every query.
+    """
 
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    _bytes: dict[str, int] = field(default_factory=dict, repr=False)
+    _types: dict[str, dict[str, str]] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -78,6 +79,19 @@ class LimsTables(Mapping[str, DataFrame]):
     def spark(self) -> SparkSession:
         return next(iter(self.frames.values())).sparkSession
 
+    def table_bytes(self, name: str) -> int:
+        """Catalyst's size estimate of the (column-pruned) table; no job runs."""
+        if name not in self._bytes:
+            stats = self[name]._jdf.queryExecution().optimizedPlan().stats()
+            self._bytes[name] = int(str(stats.sizeInBytes()))
+        return self._bytes[name]
+
+    def col_type(self, table: str, col: str) -> str:
+        """Simple SQL type name of ``table.col`` (``bigint``, ``int``, ``string``...)."""
+        if table not in self._types:
+            self._types[table] = {f.name: f.dataType.simpleString() for f in self[table].schema.fields}
+        return self._types[table][col]
+
 
 def read_parquet_tables(spark: SparkSession, base: str, names=TABLE_NAMES) -> LimsTables:
     """One Parquet dataset per table at ``<base>/<NAME>``; column-pruned."""
