@@ -73,7 +73,7 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if sql is None:
         result["match"] = None
         return result
-    d_table = con.execute(sql).to_arrow_table()
+    d_table = con.sql(sql).to_arrow_table()
     s_names, s_rows = rows_of(s_table)
     d_names, d_rows = rows_of(d_table)
     result.update(
