@@ -139,3 +139,30 @@ def test_fixture_plants_missing_boxes(tables):
     ledger = tables["INVENTORY_TRANSACTIONS_VLA"]
     assert ledger.where("CONTAINER_INVENTORYID IS NULL").count() > 0
     assert trial_inventory(tables, None).where("PARENT_CONTAINER_INV_ID IS NULL").count() > 0
+
+
+def test_materialized_vials_same_results(tables):
+    from vialflow.plans.inventory import materialize_trial_vials
+
+    v = materialize_trial_vials(tables, "BUILDING")
+    assert v.rows > 0
+    assert v.broadcastable
+    for inline, reduced in (
+        (trial_extract(tables, "BUILDING"), trial_extract(tables, "BUILDING", vials=v)),
+        (inventory_history(tables, "BUILDING"), inventory_history(tables, "BUILDING", vials=v)),
+    ):
+        assert inline.exceptAll(reduced).count() == 0 and reduced.exceptAll(inline).count() == 0
+    plan = trial_extract(tables, "BUILDING", vials=v)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan  # the large vial-keyed tables are cut by the broadcast vial set
+
+
+def test_materialized_vials_not_broadcast_beyond_bound(spark, tables):
+    from vialflow.plans.inventory import CONF_MAX_REDUCER_ROWS, materialize_trial_vials
+
+    spark.conf.set(CONF_MAX_REDUCER_ROWS, "10")
+    try:
+        v = materialize_trial_vials(tables, "BUILDING")
+    finally:
+        spark.conf.unset(CONF_MAX_REDUCER_ROWS)
+    assert not v.broadcastable
+    assert trial_extract(tables, "BUILDING", vials=v).count() == 216

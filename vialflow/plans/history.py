@@ -17,7 +17,7 @@ from ..operators import dims
 from ..operators.broadcast import tables_fit
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
-from .inventory import TrialCodes, trial_filter_sql, trial_predicate
+from .inventory import TrialCodes, TrialVials, trial_filter_sql, trial_predicate
 
 HISTORY_COLUMNS: tuple[str, ...] = (
     "INVENTORYID", "TRANSACTION_ID", "TRANSACTION_DT", "USRNAM", "AMOUNTLEFT", "AMOUNT_UNIT_CODE",
@@ -40,11 +40,25 @@ def trial_vial_ids(
     return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).select("_VIAL_ID", *(["LAST_NAME"] if with_trial else []))
 
 
-def history_sql(t: LimsTables, trial_pred: str, *, with_trial: bool = False, sort: bool = True) -> str:
-    """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output)."""
+def history_sql(
+    t: LimsTables,
+    trial_pred: str,
+    *,
+    with_trial: bool = False,
+    sort: bool = True,
+    vials_table: bool = False,
+    broadcast_vials: bool = False,
+) -> str:
+    """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output).
+
+    ``vials_table`` takes the trial's vials from the bound ``{TRIAL_VIALS}``
+    table; ``broadcast_vials`` (size checked by the caller) turns the ledger
+    join into a map-side filter, so the full ledger is never shuffled.
+    """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
     names = (
-        (["T"] if tables_fit(t, ["TRANSACTIONS"]) else [])
+        (["V"] if broadcast_vials else [])
+        + (["T"] if tables_fit(t, ["TRANSACTIONS"]) else [])
         + (["PC"] if dims.boxes_fit(t, False) else [])
         + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
     )
@@ -55,12 +69,16 @@ def history_sql(t: LimsTables, trial_pred: str, *, with_trial: bool = False, sor
     trial_col = ", CR.LAST_NAME" if with_trial else ""
     trial_out = ", V.LAST_NAME" if with_trial else ""
     order = f"\nORDER BY {', '.join('IT.' + c for c in HISTORY_ORDER)}" if sort else ""
-    return f"""
-WITH vials AS (
-        SELECT INV.INVENTORYID AS VIAL_ID{trial_col}
+    vials = (
+        f"SELECT VIAL_ID{', LAST_NAME' if with_trial else ''} FROM {{TRIAL_VIALS}}"
+        if vials_table else
+        f"""SELECT INV.INVENTORYID AS VIAL_ID{trial_col}
         FROM {{INVENTORY_VLA}} INV
         JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
-        WHERE {trial_pred}),
+        WHERE {trial_pred}"""
+    )
+    return f"""
+WITH vials AS ({vials}),
 boxes AS ({dims.boxes_sql(t, False)})
 SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
        IT.AMOUNT_UNIT_CODE, T.TRANSACTION_TYPE, IT.COMMENTS, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X,
@@ -80,8 +98,15 @@ def inventory_history(
     collation: str | None = None,
     sort: bool = True,
     with_trial: bool = False,
+    vials: TrialVials | None = None,
 ) -> DataFrame:
     """The 16-column movement history of the trial(s)' vials, sorted by
-    (INVENTORYID, TRANSACTION_ID) unless ``sort=False``."""
+    (INVENTORYID, TRANSACTION_ID) unless ``sort=False``. ``vials`` (from
+    :func:`~vialflow.plans.inventory.materialize_trial_vials`) replaces the
+    receipt join by the already written vial table."""
+    if vials is not None:
+        text = history_sql(t, "TRUE", with_trial=with_trial, sort=sort, vials_table=True,
+                           broadcast_vials=vials.broadcastable)
+        return run(t.spark, text, {**t.frames, "TRIAL_VIALS": vials.frame})
     pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
     return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort), t, args)

@@ -17,6 +17,7 @@ Plan shape (all joins declared; Catalyst/AQE choose the physical form):
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_M
 from ..functions.scalar import grid_ordinal_sql, safe_int_sql
 from ..functions.text import sampleid_sqls
 from ..operators import dims
-from ..operators.broadcast import sized_broadcast, tables_fit
+from ..operators.broadcast import fits_broadcast, sized_broadcast, tables_fit
 from ..operators.joins import fanout_sql
+from ..operators.summary import observe_rows
+from ..session import scratch_path
 from ..sources.tables import LimsTables
 from ..sqltext import hint, quote, run, spread
 
@@ -178,45 +181,118 @@ def trial_filter_sql(column: str, trial_codes: TrialCodes, collation: str | None
     return pred, args
 
 
+# Columns of the trial-vial relation (vial + its receipt + schedule), the
+# reduced input every vial-keyed join starts from.
+VIAL_COLUMNS = (
+    "VIAL_ID", "SEQ", "INV_GUID", "SUBJECTID", "LABID", "ACCESSION", "DATE_COLLECTED", "DATE_RECEIVED",
+    "LAST_NAME", "STUDY_SITE", "ARCHIVE_STATUS", "CR_ORIGREC", *RECEIPT_METADATA_ROLES.values(),
+    "TMS_ID", "MS_VISIT", "TRIAL_CODE", "TP_CODE", "TP_VISIT", "TP_DESC", "TE_NAME",
+)
+
 # Snapshot output columns as SQL over the aliases of ``snapshot_sql``.
 _SNAPSHOT_EXPR = {
-    "TRIAL_CODE": "R.TRIAL_CODE", "SUBJECTID": "R.SUBJECTID", "LABID": "R.LABID", "CID": "SC.CONTAINERID",
-    "SAMPLETYPE": "SC.SAMPLETYPE", "PRESERVATIVE": "CC.PRESERVATIVE", "AMOUNTLEFT": "IT.AMOUNTLEFT",
-    "AMOUNT_UNIT_CODE": "IT.AMOUNT_UNIT_CODE", "THAWCOUNT": "IT.THAWCOUNT", "SEQ": "INV.EXTERNAL_CODE",
-    "SEQ_NUM": None, "FREEZER": "LP.FREEZER", "SHELF": "LP.SHELF", "RACK": "LP.RACK", "BOX_CODE": "PC.BOX_CODE",
-    "BOX_NAME": "PC.BOX_NAME", "BOX_POS": None, "ACCESSION": "R.ACCESSION", "DATE_COLLECTED": "R.DATE_COLLECTED",
-    "DATE_RECEIVED": "R.DATE_RECEIVED", "RECEIVED_CONDITION": "SC.RECEIVEDCONDITION",
-    "SAMPLE_CONDITION": "IVM.SAMPLE_CONDITION", "COMMENTS": "IVM.COMMENTS", "MS_VISIT": "R.MS_VISIT",
-    "TMS_ID": "R.TMS_ID", "TP_CODE": "R.TP_CODE", "TP_VISIT": "R.TP_VISIT", "TP_DESC": "R.TP_DESC",
-    "TE_NAME": "R.TE_NAME", **{role: f"R.{role}" for role in RECEIPT_METADATA_ROLES.values()},
-    "BARCODE": "IVM.BARCODE", "CONSENT_TYPE": "IT.CONSENT_TYPE", "RACK_CODE": "LP.RACK_CODE",
-    "SHELF_SORT": "LP.SHELF_SORT", "RACK_SORT": "LP.RACK_SORT", "CONTAINERMATCODE": "SC.CONTAINERMATCODE",
-    "MATCODE": "PC.MATCODE", "CONTAINER_POS_Y": "IT.CONTAINER_POS_Y",
-    "CONTAINER_AXIS_Y_SIZE": "PC.CONTAINER_AXIS_Y_SIZE", "CONTAINER_POS_X": "IT.CONTAINER_POS_X",
-    "CONTAINER_AXIS_X_SIZE": "PC.CONTAINER_AXIS_X_SIZE", "LAST_NAME": "R.LAST_NAME", "STUDY_SITE": "R.STUDY_SITE",
+    **{c: f"V.{c}" for c in VIAL_COLUMNS},
+    "CID": "SC.CONTAINERID", "SAMPLETYPE": "SC.SAMPLETYPE", "PRESERVATIVE": "CC.PRESERVATIVE",
+    "AMOUNTLEFT": "IT.AMOUNTLEFT", "AMOUNT_UNIT_CODE": "IT.AMOUNT_UNIT_CODE", "THAWCOUNT": "IT.THAWCOUNT",
+    "FREEZER": "LP.FREEZER", "SHELF": "LP.SHELF", "RACK": "LP.RACK", "BOX_CODE": "PC.BOX_CODE",
+    "BOX_NAME": "PC.BOX_NAME", "RECEIVED_CONDITION": "SC.RECEIVEDCONDITION",
+    "SAMPLE_CONDITION": "IVM.SAMPLE_CONDITION", "COMMENTS": "IVM.COMMENTS", "BARCODE": "IVM.BARCODE",
+    "CONSENT_TYPE": "IT.CONSENT_TYPE", "RACK_CODE": "LP.RACK_CODE", "SHELF_SORT": "LP.SHELF_SORT",
+    "RACK_SORT": "LP.RACK_SORT", "CONTAINERMATCODE": "SC.CONTAINERMATCODE", "MATCODE": "PC.MATCODE",
+    "CONTAINER_POS_Y": "IT.CONTAINER_POS_Y", "CONTAINER_AXIS_Y_SIZE": "PC.CONTAINER_AXIS_Y_SIZE",
+    "CONTAINER_POS_X": "IT.CONTAINER_POS_X", "CONTAINER_AXIS_X_SIZE": "PC.CONTAINER_AXIS_X_SIZE",
     "LONGNAME": "LP.LONGNAME", "LONGCODE": "LP.LONGCODE", "ROOM_NAME": "LP.ROOM_NAME", "ROOM_CODE": "LP.ROOM_CODE",
-    "BUILDING_NAME": "LP.BUILDING_NAME", "BUILDING_CODE": "LP.BUILDING_CODE", "ARCHIVE_STATUS": "R.ARCHIVE_STATUS",
-    "VIAL_CONTAINER_INV_ID": "INV.INVENTORYID", "PARENT_CONTAINER_INV_ID": "PC.PARENT_CONTAINER_INV_ID",
-    "CR_ORIGREC": "R.CR_ORIGREC",
+    "BUILDING_NAME": "LP.BUILDING_NAME", "BUILDING_CODE": "LP.BUILDING_CODE",
+    "VIAL_CONTAINER_INV_ID": "V.VIAL_ID", "PARENT_CONTAINER_INV_ID": "PC.PARENT_CONTAINER_INV_ID",
 }
 
 
-def snapshot_sql(t: LimsTables, trial_pred: str, *, seq_empty_as_zero: bool = False, extra: dict | None = None) -> str:
+def vials_ctes(t: LimsTables, trial_pred: str) -> str:
+    """CTEs ``sched``, ``receipts`` and ``vials`` (INVENTORY_VLA ⋈ trial receipts)."""
+    receipts_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
+    cr_roles = ", ".join(f"CRM.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
+    receipt_cols = ", ".join(f"R.{c}" for c in VIAL_COLUMNS[3:])
+    return f"""sched AS ({dims.schedule_sql(t)}),
+receipts AS (
+        SELECT {receipts_hint} CR.EXTERNAL_ID AS CR_EXT, CR.SUBJECTID, CR.FIRST_NAME AS LABID,
+               CR.FOLDERNO AS ACCESSION, CR.DATE_COLLECTED, CR.DATE_RECEIVED, CR.LAST_NAME,
+               CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
+               {cr_roles}, S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
+        FROM {{CENTRALRECEIVING_VLA}} CR
+        JOIN {{METADATA}} CRM ON CRM.ID = CR.METADATA_GUID
+        JOIN sched S ON S.TMS_ID = CR.TRIAL_MASTER_SCHEDULE_ID
+        WHERE {trial_pred}),
+vials AS (
+        SELECT INV.INVENTORYID AS VIAL_ID, INV.EXTERNAL_CODE AS SEQ, INV.METADATA_GUID AS INV_GUID, {receipt_cols}
+        FROM {{INVENTORY_VLA}} INV
+        JOIN receipts R ON R.CR_EXT = INV.EXTERNAL_ID)"""
+
+
+# Columns of the materialised trial-vial table: the vial, its receipt, and
+# the receipt's metadata / schedule keys (joined later, inner, as in the query).
+BASE_VIAL_COLUMNS = VIAL_COLUMNS[:12] + ("CR_GUID", "CR_TMS")
+
+
+def trial_vials_sql(t: LimsTables, trial_pred: str) -> str:
+    """``INVENTORY_VLA ⋈ CENTRALRECEIVING`` for the trial: the vial set both
+    the snapshot and the history start from (one row per match)."""
+    return f"""
+SELECT INV.INVENTORYID AS VIAL_ID, INV.EXTERNAL_CODE AS SEQ, INV.METADATA_GUID AS INV_GUID,
+       CR.SUBJECTID, CR.FIRST_NAME AS LABID, CR.FOLDERNO AS ACCESSION, CR.DATE_COLLECTED, CR.DATE_RECEIVED,
+       CR.LAST_NAME, CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
+       CR.METADATA_GUID AS CR_GUID, CR.TRIAL_MASTER_SCHEDULE_ID AS CR_TMS
+FROM {{INVENTORY_VLA}} INV
+JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
+WHERE {trial_pred}"""
+
+
+def vials_from_table_ctes(t: LimsTables, reduce: bool) -> str:
+    """CTEs ``base`` (the bound ``{TRIAL_VIALS}``) and ``vials`` (+ receipt
+    metadata and schedule, inner). With ``reduce`` the receipt-role METADATA
+    is first cut to the trial's receipts by a broadcast semi join."""
+    sched_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
+    cr_roles = ", ".join(f"M.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
+    semi = "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID" if reduce else ""
+    base_cols = ", ".join(f"B.{c}" for c in VIAL_COLUMNS[:12])
+    roles = ", ".join(f"CRM.{n}" for n in RECEIPT_METADATA_ROLES.values())
+    return f"""sched AS ({dims.schedule_sql(t)}),
+base AS (SELECT * FROM {{TRIAL_VIALS}}),
+crm AS (SELECT {hint(["RB"]) if reduce else ""} M.ID, {cr_roles} FROM {{METADATA}} M {semi}),
+vials AS (
+        SELECT {sched_hint} {base_cols}, {roles},
+               S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
+        FROM base B
+        JOIN crm CRM ON CRM.ID = B.CR_GUID
+        JOIN sched S ON S.TMS_ID = B.CR_TMS)"""
+
+
+def snapshot_sql(
+    t: LimsTables,
+    trial_pred: str,
+    *,
+    seq_empty_as_zero: bool = False,
+    extra: dict | None = None,
+    vials_table: bool = False,
+    reduce_by_vials: bool = False,
+) -> str:
     """The snapshot as one statement (see module doc for the join order).
 
     ``extra`` adds computed output columns ({name: SQL over snapshot names}).
+    ``vials_table`` reads the trial's vials from the bound table
+    ``{TRIAL_VIALS}`` instead of joining them inline; ``reduce_by_vials``
+    (only with a table whose size was checked) broadcasts it into semi joins
+    that cut SAMPLECONTAINERS, the ledger and METADATA down to the trial's
+    vials inside each scan task, before anything is shuffled.
     """
-    vial_salt = ["INV.INVENTORYID"]
-    receipts_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
+    vial_salt = ["V.VIAL_ID"]
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
         + (["PC"] if dims.boxes_fit(t, True) else [])
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
     )
-    cr_roles = ", ".join(f"CRM.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
     exprs = dict(_SNAPSHOT_EXPR)
-    exprs["SEQ_NUM"] = safe_int_sql("INV.EXTERNAL_CODE", seq_empty_as_zero)
+    exprs["SEQ_NUM"] = safe_int_sql("V.SEQ", seq_empty_as_zero)
     exprs["BOX_POS"] = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
     select = ",\n               ".join(f"{exprs[c]} AS {c}" for c in SNAPSHOT_COLUMNS)
     cc_key = spread("SC.CONTCODE", vial_salt, t.col_type("SAMPLECONTAINERS_VLA", "CONTCODE"))
@@ -225,48 +301,89 @@ def snapshot_sql(t: LimsTables, trial_pred: str, *, seq_empty_as_zero: bool = Fa
     outer = ", ".join(SNAPSHOT_COLUMNS)
     if extra:
         outer += ", " + ", ".join(f"{sql} AS {name}" for name, sql in extra.items())
+    vials = vials_from_table_ctes(t, reduce_by_vials) if vials_table else vials_ctes(t, trial_pred)
+    reduce = hint(["RV"]) if reduce_by_vials else ""
+    semi = (lambda key: f"LEFT SEMI JOIN base RV ON {key} = RV.VIAL_ID") if reduce_by_vials else (lambda key: "")
+    semi_meta = "LEFT SEMI JOIN base RV ON M.ID = RV.INV_GUID" if reduce_by_vials else ""
     return f"""
-WITH sched AS ({dims.schedule_sql(t)}),
-receipts AS (
-        SELECT {receipts_hint} CR.EXTERNAL_ID AS CR_EXT, CR.SUBJECTID, CR.FIRST_NAME AS LABID,
-               CR.FOLDERNO AS ACCESSION, CR.DATE_COLLECTED, CR.DATE_RECEIVED, CR.LAST_NAME,
-               CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
-               {cr_roles}, S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
-        FROM {{CENTRALRECEIVING_VLA}} CR
-        JOIN {{METADATA}} CRM ON CRM.ID = CR.METADATA_GUID
-        JOIN sched S ON S.TMS_ID = CR.TRIAL_MASTER_SCHEDULE_ID
-        WHERE {trial_pred}),
-vial_meta AS (SELECT ID, {iv_roles} FROM {{METADATA}}),
+WITH {vials},
+sc AS (SELECT {reduce} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
+               SC.CONTAINERMATCODE
+        FROM {{SAMPLECONTAINERS_VLA}} SC {semi("SC.INVENTORYID")}),
+it AS (SELECT {reduce} IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT, IT.CONSENT_TYPE,
+               IT.LOCATIONCODE, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X, IT.CONTAINER_INVENTORYID
+        FROM {{INVENTORY_TRANSACTIONS_VLA}} IT {semi("IT.INVENTORYID")}
+        WHERE IT.FLAG_CURRENT = 1),
+vial_meta AS (SELECT {reduce} M.ID, {iv_roles} FROM {{METADATA}} M {semi_meta}),
 boxes AS ({dims.boxes_sql(t, True)}),
 locs AS ({dims.location_path_sql(t)}),
 snap AS (
         SELECT {main_hint}
                {select},
                PC._CURRENT_ROWS
-        FROM {{INVENTORY_VLA}} INV
-        JOIN receipts R ON R.CR_EXT = INV.EXTERNAL_ID
-        JOIN {{SAMPLECONTAINERS_VLA}} SC ON SC.INVENTORYID = INV.INVENTORYID
-        JOIN {{INVENTORY_TRANSACTIONS_VLA}} IT ON IT.INVENTORYID = INV.INVENTORYID AND IT.FLAG_CURRENT = 1
-        JOIN vial_meta IVM ON IVM.ID = INV.METADATA_GUID
+        FROM vials V
+        JOIN sc SC ON SC.INVENTORYID = V.VIAL_ID
+        JOIN it IT ON IT.INVENTORYID = V.VIAL_ID
+        JOIN vial_meta IVM ON IVM.ID = V.INV_GUID
         LEFT JOIN {{CONTAINERS_CONDITION}} CC ON CC.CONTCODE = {cc_key} AND SC.CONTCODE IS NOT NULL
         LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
-               AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> INV.INVENTORYID
+               AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> V.VIAL_ID
         LEFT JOIN locs LP ON LP.RACK_CODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL)
 SELECT {outer}
 FROM snap
 LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
 
 
+@dataclass
+class TrialVials:
+    """A trial's vials written to the shared scratch folder, with exact size."""
+
+    frame: DataFrame
+    rows: int
+    path: str
+    broadcastable: bool
+
+
+MAX_REDUCER_ROWS = 2_000_000
+CONF_MAX_REDUCER_ROWS = "vialflow.semijoin.maxRows"
+
+
+def materialize_trial_vials(t: LimsTables, trial_codes: TrialCodes, collation: str | None = None) -> TrialVials:
+    """Write the trial's vials (vial + receipt + schedule columns) once.
+
+    The write cuts the lineage (a lost executor later recomputes from this
+    table, not from the receipt joins), gives an exact row count and a true
+    file size, and lets snapshot and history share one scan of the vial and
+    receipt tables. It is broadcast into semi joins only if both the row
+    count and the file-size estimate are within bounds.
+    """
+    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    observed, obs = observe_rows(run(t.spark, trial_vials_sql(t, pred), t, args), "trial_vials")
+    observed = observed.select(*BASE_VIAL_COLUMNS)
+    path = scratch_path(t.spark, "trial_vials")
+    observed.write.mode("overwrite").parquet(path)
+    rows = int(obs.get.get("rows", 0))
+    frame = t.spark.read.parquet(path)
+    raw = t.spark.conf.get(CONF_MAX_REDUCER_ROWS, None)
+    max_rows = int(raw) if raw else MAX_REDUCER_ROWS
+    return TrialVials(frame, rows, path, rows <= max_rows and fits_broadcast(frame))
+
+
 def trial_inventory(
     t: LimsTables,
     trial_codes: TrialCodes,
     *,
     collation: str | None = None,
     seq_empty_as_zero: bool = False,
+    vials: TrialVials | None = None,
 ) -> DataFrame:
-    """The 63-column current-inventory snapshot (see module doc for the plan)."""
-    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
-    return run(t.spark, snapshot_sql(t, pred, seq_empty_as_zero=seq_empty_as_zero), t, args)
+    """The 63-column current-inventory snapshot (see module doc for the plan).
+
+    With ``vials`` (from :func:`materialize_trial_vials`) the plan starts from
+    that table and, when it is small enough, reduces the large vial-keyed
+    tables by it before they shuffle.
+    """
+    return _snapshot(t, trial_codes, collation, vials, seq_empty_as_zero=seq_empty_as_zero)
 
 
 def trial_extract(
@@ -277,6 +394,7 @@ def trial_extract(
     exclude_conditions: Iterable = DEFAULT_EXCLUDE_CONDITIONS,
     exclude_matcodes: Iterable = DEFAULT_EXCLUDE_MATCODES,
     collation: str | None = None,
+    vials: TrialVials | None = None,
 ) -> DataFrame:
     """Snapshot + ``SAMPLEID``/``SAMPLEID2`` from comments + ``VIABLE`` flag.
 
@@ -287,5 +405,13 @@ def trial_extract(
     if not no_viable:
         floating = t.col_type("INVENTORY_TRANSACTIONS_VLA", "AMOUNTLEFT") in ("double", "float")
         extra["VIABLE"] = viable_sql(floating, exclude_conditions, exclude_matcodes)
-    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
-    return run(t.spark, snapshot_sql(t, pred, extra=extra), t, args)
+    return _snapshot(t, trial_codes, collation, vials, extra=extra)
+
+
+def _snapshot(t, trial_codes, collation, vials, **kw) -> DataFrame:
+    if vials is None:
+        pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+        return run(t.spark, snapshot_sql(t, pred, **kw), t, args)
+    tables = {**t.frames, "TRIAL_VIALS": vials.frame}
+    text = snapshot_sql(t, "TRUE", vials_table=True, reduce_by_vials=vials.broadcastable, **kw)
+    return run(t.spark, text, tables)

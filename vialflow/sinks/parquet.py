@@ -20,7 +20,7 @@ from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_M
 from ..functions.text import slug
 from ..operators.summary import observe_rows, observe_viability
 from ..plans.history import HISTORY_ORDER, inventory_history
-from ..plans.inventory import trial_extract
+from ..plans.inventory import materialize_trial_vials, trial_extract
 from ..sources.tables import LimsTables
 
 DEFAULT_COMPRESSION = "zstd"
@@ -49,6 +49,12 @@ def history_path(snapshot_path: str) -> str:
     return f"{head}/{stem}{HISTORY_SUFFIX}{PARQUET_EXT}"
 
 
+def delete_path(spark, path: str) -> None:
+    """Remove a scratch table this job wrote (any Hadoop-compatible store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -93,18 +99,40 @@ def extract_trial(
     parquet_compression: str = DEFAULT_COMPRESSION,
     download_history: bool = False,
     collation: str | None = None,
+    semi_join_reduction: bool = True,
 ) -> ExtractResult:
     """The whole job for one trial: snapshot (+ optional history) to Parquet.
 
-    Counts are gathered by observation during each write, so no dataset is
-    computed twice. Errors propagate; the snapshot is written before the
-    history is started, so a history failure leaves the snapshot in place.
+    With ``semi_join_reduction`` the trial's vials are first written to the
+    shared scratch folder (``spark.checkpoint.dir``) with an exact count; a
+    small enough set is broadcast into the large vial-keyed joins, and both
+    datasets start from it instead of re-joining receipts. Counts are
+    gathered by observation during each write, so no dataset is computed
+    twice. Errors propagate; the snapshot is written before the history is
+    started, so a history failure leaves the snapshot in place.
     """
     if not trial_code or not trial_code.strip():
         raise ValueError("trial code must be a non-blank string")
+    vials = materialize_trial_vials(t, trial_code, collation) if semi_join_reduction else None
+    try:
+        return _extract_trial(
+            t, trial_code, output_dir, vials, add_trial_to_path=add_trial_to_path,
+            include_dsn_in_filename=include_dsn_in_filename, no_viable=no_viable,
+            exclude_conditions=exclude_conditions, exclude_matcodes=exclude_matcodes,
+            parquet_compression=parquet_compression, download_history=download_history, collation=collation,
+        )
+    finally:
+        if vials is not None:
+            delete_path(t.spark, vials.path)
+
+
+def _extract_trial(
+    t, trial_code, output_dir, vials, *, add_trial_to_path, include_dsn_in_filename, no_viable,
+    exclude_conditions, exclude_matcodes, parquet_compression, download_history, collation,
+) -> ExtractResult:
     snapshot = trial_extract(
         t, trial_code, no_viable=no_viable, exclude_conditions=exclude_conditions,
-        exclude_matcodes=exclude_matcodes, collation=collation,
+        exclude_matcodes=exclude_matcodes, collation=collation, vials=vials,
     )
     path = parquet_path(trial_code, output_dir, include_dsn_in_filename, add_trial_to_path)
     if no_viable:
@@ -120,7 +148,7 @@ def extract_trial(
         rows = result.snapshot_rows
         result.percent_not_viable = round(bad / rows * 100, 2) if rows > 0 else 0.0
     if download_history:
-        hist, hobs = observe_rows(inventory_history(t, trial_code, collation=collation), "history")
+        hist, hobs = observe_rows(inventory_history(t, trial_code, collation=collation, vials=vials), "history")
         hpath = history_path(path)
         write_parquet(hist, hpath, parquet_compression)
         result.history_path = hpath
