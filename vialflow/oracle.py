@@ -1,18 +1,21 @@
 """DuckDB oracle SQL, one statement per registered query.
 
-Written independently of the Spark plans: the correlated applies stay
-``LEFT JOIN LATERAL`` here (DuckDB decorrelates them itself), the level
-shift is three literal CASE columns, and every derived LIMS table comes from
-the same fixture SQL as a CTE. Only the 14 driver tables are assumed to be
-registered as views.
+Stated independently of the Spark plans: the correlated parent-box lookups
+stay ``LEFT JOIN LATERAL`` (DuckDB decorrelates them itself), the storage
+levels are three plain left joins with the level shift as CASE columns, and
+every dimension is joined where it is used, not pre-joined. The derived LIMS
+tables come from the shared fixture SQL as CTEs; only the 14 driver tables
+are assumed to be registered as views.
 
 Dialect guards: DuckDB's ``TRY_CAST('1.5' AS INTEGER)`` rounds where Spark's
-returns NULL, so the integer cast is guarded by a full-match on an integer
+returns NULL, so the integer cast is guarded by a full match on an integer
 literal; sums are cast to BIGINT (DuckDB widens them to HUGEINT).
 """
 
 from __future__ import annotations
 
+from .plans.history import HISTORY_COLUMNS
+from .plans.inventory import SNAPSHOT_COLUMNS
 from .sources.fixtures import oracle_ctes
 from .sources.tables import TABLE_NAMES
 
@@ -36,68 +39,94 @@ def safe_int_sql(x: str) -> str:
     )
 
 
-BOX_POS = "CAST((IT.CONTAINER_POS_Y - 1) * M.CONTAINER_AXIS_X_SIZE + IT.CONTAINER_POS_X AS INTEGER)"
+def ordinal_sql(ledger: str, material: str) -> str:
+    return f"CAST(({ledger}.CONTAINER_POS_Y - 1) * {material}.CONTAINER_AXIS_X_SIZE + {ledger}.CONTAINER_POS_X AS INTEGER)"
 
-PARENT_APPLY = """LEFT JOIN LATERAL (
-        SELECT PI.MATCODE, PI.EXTERNAL_CODE, PI.INVENTORYID, PI.INVENTORY_CODE FROM INVENTORY PI
-        WHERE PI.INVENTORYID = IT.CONTAINER_INVENTORYID AND PI.INVENTORYID <> {self}) PC ON TRUE"""
 
-PARENT_LEDGER_APPLY = """LEFT JOIN LATERAL (
-        SELECT PIT.LOCATIONCODE, PIT.COMMENTS FROM INVENTORY_TRANSACTIONS PIT
-        WHERE PIT.INVENTORYID = PC.INVENTORYID AND PIT.FLAG_CURRENT = 1) PCIT ON TRUE"""
+def box_lateral(ledger: str, self_id: str) -> str:
+    """The ledger row's containing box, never the item itself (correlated)."""
+    return f"""LEFT JOIN LATERAL (
+        SELECT b.INVENTORYID, b.MATCODE, b.EXTERNAL_CODE, b.INVENTORY_CODE FROM INVENTORY b
+        WHERE b.INVENTORYID = {ledger}.CONTAINER_INVENTORYID AND b.INVENTORYID <> {self_id}) box ON TRUE"""
 
-LEVEL_SHIFT = """
-    CASE WHEN FREEZER.LOCATIONCODE IS NOT NULL THEN FREEZER.LOCATION_NAME ELSE SHELF.LOCATION_NAME END AS FREEZER,
-    CASE WHEN FREEZER.LOCATIONCODE IS NOT NULL THEN SHELF.LOCATION_NAME ELSE RACK.LOCATION_NAME END AS SHELF,
-    CASE WHEN FREEZER.LOCATIONCODE IS NOT NULL THEN RACK.LOCATION_NAME ELSE NULL END AS RACK"""
 
-LOCATION_JOINS = """
-    LEFT JOIN LOCATIONS RACK ON IT.LOCATIONCODE = RACK.LOCATIONCODE
-    LEFT JOIN LOCATIONS SHELF ON RACK.PARENT_LOCATION_CODE = SHELF.LOCATIONCODE
-    LEFT JOIN LOCATIONS FREEZER ON SHELF.PARENT_LOCATION_CODE = FREEZER.LOCATIONCODE
-    LEFT JOIN ROOMS ON FREEZER.ROOM_ID = ROOMS.ROOM_ID
-    LEFT JOIN BUILDINGS ON ROOMS.BUILDING_ID = BUILDINGS.BUILDING_ID"""
+# Each current ledger row of the box joins (columns unused): one copy per row.
+BOX_LEDGER_LATERAL = """LEFT JOIN LATERAL (
+        SELECT bl.INVENTORYID FROM INVENTORY_TRANSACTIONS bl
+        WHERE bl.INVENTORYID = box.INVENTORYID AND bl.FLAG_CURRENT = 1) box_led ON TRUE"""
+
+STORAGE_JOINS = """
+    LEFT JOIN LOCATIONS lv1 ON lv1.LOCATIONCODE = led.LOCATIONCODE
+    LEFT JOIN LOCATIONS lv2 ON lv2.LOCATIONCODE = lv1.PARENT_LOCATION_CODE
+    LEFT JOIN LOCATIONS lv3 ON lv3.LOCATIONCODE = lv2.PARENT_LOCATION_CODE
+    LEFT JOIN ROOMS room ON room.ROOM_ID = lv3.ROOM_ID
+    LEFT JOIN BUILDINGS bldg ON bldg.BUILDING_ID = room.BUILDING_ID"""
+
+# Level shift: a missing third level moves the names up one place.
+STORAGE_COLUMNS = {
+    "FREEZER": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN lv2.LOCATION_NAME ELSE lv3.LOCATION_NAME END",
+    "SHELF": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN lv1.LOCATION_NAME ELSE lv2.LOCATION_NAME END",
+    "RACK": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN NULL ELSE lv1.LOCATION_NAME END",
+}
+
+# Output column -> source, over the aliases of ``snapshot_sql``.
+SNAPSHOT_SOURCES = {
+    "TRIAL_CODE": "study.TRIAL_CODE", "SUBJECTID": "rcpt.SUBJECTID", "LABID": "rcpt.FIRST_NAME",
+    "CID": "tube.CONTAINERID", "SAMPLETYPE": "tube.SAMPLETYPE", "PRESERVATIVE": "cond.PRESERVATIVE",
+    "AMOUNTLEFT": "led.AMOUNTLEFT", "AMOUNT_UNIT_CODE": "led.AMOUNT_UNIT_CODE", "THAWCOUNT": "led.THAWCOUNT",
+    "SEQ": "vial.EXTERNAL_CODE", "SEQ_NUM": safe_int_sql("vial.EXTERNAL_CODE"), **STORAGE_COLUMNS,
+    "BOX_CODE": "box.INVENTORY_CODE", "BOX_NAME": "box.EXTERNAL_CODE", "BOX_POS": ordinal_sql("led", "mat"),
+    "ACCESSION": "rcpt.FOLDERNO", "DATE_COLLECTED": "rcpt.DATE_COLLECTED", "DATE_RECEIVED": "rcpt.DATE_RECEIVED",
+    "RECEIVED_CONDITION": "tube.RECEIVEDCONDITION", "SAMPLE_CONDITION": "vmeta.FIELD16",
+    "COMMENTS": "vmeta.FIELD01", "MS_VISIT": "visit.MSDESCRIPTION", "TMS_ID": "visit.TRIAL_MASTER_SCHEDULE_ID",
+    "TP_CODE": "tp.CODE", "TP_VISIT": "tp.VISIT", "TP_DESC": "tp.DESCRIPTION", "TE_NAME": "elem.ELEMENT_NAME",
+    "CR_VISIT": "rmeta.FIELD02", "NICKNAME": "rmeta.FIELD03", "CPT": "rmeta.FIELD12", "EDTA1": "rmeta.FIELD14",
+    "EDTA2": "rmeta.FIELD15", "PAXGENE": "rmeta.FIELD16", "SST1": "rmeta.FIELD13", "SST2": "rmeta.FIELD17",
+    "SST3": "rmeta.FIELD18", "EDTA1_VOLUME": "rmeta.FIELD20", "ORASURE": "rmeta.FIELD22",
+    "BARCODE": "vmeta.FIELD28", "CONSENT_TYPE": "led.CONSENT_TYPE", "RACK_CODE": "lv1.LOCATIONCODE",
+    "SHELF_SORT": "lv2.SORTER", "RACK_SORT": "lv1.SORTER", "CONTAINERMATCODE": "tube.CONTAINERMATCODE",
+    "MATCODE": "box.MATCODE", "CONTAINER_POS_Y": "led.CONTAINER_POS_Y",
+    "CONTAINER_AXIS_Y_SIZE": "mat.CONTAINER_AXIS_Y_SIZE", "CONTAINER_POS_X": "led.CONTAINER_POS_X",
+    "CONTAINER_AXIS_X_SIZE": "mat.CONTAINER_AXIS_X_SIZE", "LAST_NAME": "rcpt.LAST_NAME",
+    "STUDY_SITE": "rcpt.RASCLIENTID", "LONGNAME": "lv1.LONGNAME", "LONGCODE": "lv1.LONGCODE",
+    "ROOM_NAME": "room.ROOM_NAME", "ROOM_CODE": "room.ROOM_CODE", "BUILDING_NAME": "bldg.BUILDING_NAME",
+    "BUILDING_CODE": "bldg.BUILDING_CODE", "ARCHIVE_STATUS": "rcpt.ARCSTATUS",
+    "VIAL_CONTAINER_INV_ID": "vial.INVENTORYID", "PARENT_CONTAINER_INV_ID": "box.INVENTORYID",
+    "CR_ORIGREC": "rcpt.ORIGREC",
+}
+
+HISTORY_SOURCES = {
+    "INVENTORYID": "led.INVENTORYID", "TRANSACTION_ID": "led.TRANSACTION_ID", "TRANSACTION_DT": "hdr.TRANSACTION_DT",
+    "USRNAM": "hdr.USRNAM", "AMOUNTLEFT": "led.AMOUNTLEFT", "AMOUNT_UNIT_CODE": "led.AMOUNT_UNIT_CODE",
+    "TRANSACTION_TYPE": "hdr.TRANSACTION_TYPE", "COMMENTS": "led.COMMENTS", "CONTAINER_POS_Y": "led.CONTAINER_POS_Y",
+    "CONTAINER_POS_X": "led.CONTAINER_POS_X", "FLAG_CURRENT": "led.FLAG_CURRENT", "BOX_NAME": "box.EXTERNAL_CODE",
+    "BOX_CODE": "box.INVENTORY_CODE", "BOX_POS": ordinal_sql("led", "mat"), "LOCATION_NAME": "loc.LOCATION_NAME",
+    "LONGNAME": "loc.LONGNAME",
+}
+
+
+def _select(sources: dict[str, str], columns) -> str:
+    return ",\n    ".join(f"{sources[c]} AS {c}" for c in columns)
 
 
 def snapshot_sql(where: str) -> str:
     return f"""
-SELECT
-    TR.TRIAL_CODE AS TRIAL_CODE, CR.SUBJECTID AS SUBJECTID, CR.FIRST_NAME AS LABID, SC.CONTAINERID AS CID,
-    SC.SAMPLETYPE AS SAMPLETYPE, CC.PRESERVATIVE AS PRESERVATIVE, IT.AMOUNTLEFT AS AMOUNTLEFT,
-    IT.AMOUNT_UNIT_CODE AS AMOUNT_UNIT_CODE, IT.THAWCOUNT AS THAWCOUNT, INV.EXTERNAL_CODE AS SEQ,
-    {safe_int_sql("INV.EXTERNAL_CODE")} AS SEQ_NUM, {LEVEL_SHIFT},
-    PC.INVENTORY_CODE AS BOX_CODE, PC.EXTERNAL_CODE AS BOX_NAME, {BOX_POS} AS BOX_POS,
-    CR.FOLDERNO AS ACCESSION, CR.DATE_COLLECTED AS DATE_COLLECTED, CR.DATE_RECEIVED AS DATE_RECEIVED,
-    SC.RECEIVEDCONDITION AS RECEIVED_CONDITION, INV_META.FIELD16 AS SAMPLE_CONDITION,
-    INV_META.FIELD01 AS COMMENTS, TMS.MSDESCRIPTION AS MS_VISIT, TMS.TRIAL_MASTER_SCHEDULE_ID AS TMS_ID,
-    TETP.CODE AS TP_CODE, TETP.VISIT AS TP_VISIT, TETP.DESCRIPTION AS TP_DESC, TE.ELEMENT_NAME AS TE_NAME,
-    CR_META.FIELD02 AS CR_VISIT, CR_META.FIELD03 AS NICKNAME, CR_META.FIELD12 AS CPT,
-    CR_META.FIELD14 AS EDTA1, CR_META.FIELD15 AS EDTA2, CR_META.FIELD16 AS PAXGENE, CR_META.FIELD13 AS SST1,
-    CR_META.FIELD17 AS SST2, CR_META.FIELD18 AS SST3, CR_META.FIELD20 AS EDTA1_VOLUME,
-    CR_META.FIELD22 AS ORASURE, INV_META.FIELD28 AS BARCODE, IT.CONSENT_TYPE AS CONSENT_TYPE,
-    RACK.LOCATIONCODE AS RACK_CODE, SHELF.SORTER AS SHELF_SORT, RACK.SORTER AS RACK_SORT,
-    SC.CONTAINERMATCODE AS CONTAINERMATCODE, PC.MATCODE AS MATCODE, IT.CONTAINER_POS_Y AS CONTAINER_POS_Y,
-    M.CONTAINER_AXIS_Y_SIZE AS CONTAINER_AXIS_Y_SIZE, IT.CONTAINER_POS_X AS CONTAINER_POS_X,
-    M.CONTAINER_AXIS_X_SIZE AS CONTAINER_AXIS_X_SIZE, CR.LAST_NAME AS LAST_NAME, CR.RASCLIENTID AS STUDY_SITE,
-    RACK.LONGNAME AS LONGNAME, RACK.LONGCODE AS LONGCODE, ROOMS.ROOM_NAME AS ROOM_NAME,
-    ROOMS.ROOM_CODE AS ROOM_CODE, BUILDINGS.BUILDING_NAME AS BUILDING_NAME,
-    BUILDINGS.BUILDING_CODE AS BUILDING_CODE, CR.ARCSTATUS AS ARCHIVE_STATUS,
-    INV.INVENTORYID AS VIAL_CONTAINER_INV_ID, PC.INVENTORYID AS PARENT_CONTAINER_INV_ID, CR.ORIGREC AS CR_ORIGREC
-FROM INVENTORY_VLA INV
-    JOIN CENTRALRECEIVING_VLA CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
-    JOIN SAMPLECONTAINERS_VLA SC ON SC.INVENTORYID = INV.INVENTORYID
-    JOIN INVENTORY_TRANSACTIONS_VLA IT ON IT.INVENTORYID = INV.INVENTORYID AND IT.FLAG_CURRENT = 1
-    {PARENT_APPLY.format(self="INV.INVENTORYID")}
-    {PARENT_LEDGER_APPLY}
-    JOIN METADATA CR_META ON CR_META.ID = CR.METADATA_GUID
-    JOIN METADATA INV_META ON INV_META.ID = INV.METADATA_GUID
-    JOIN TRIAL_MASTER_SCHEDULE TMS ON TMS.TRIAL_MASTER_SCHEDULE_ID = CR.TRIAL_MASTER_SCHEDULE_ID
-    LEFT JOIN TRIAL_ELEMENT_TIMEPOINT TETP ON TETP.TRIAL_ELEMENT_TP_ID = TMS.TRIAL_ELEMENT_TP_ID
-    LEFT JOIN TRIAL_ELEMENT TE ON TE.TRIAL_ELEMENT_ID = TETP.TRIAL_ELEMENT_ID
-    JOIN TRIAL TR ON TMS.TRIAL_ID = TR.TRIAL_ID
-    LEFT JOIN MATERIALS M ON PC.MATCODE = M.MATCODE
-    LEFT JOIN CONTAINERS_CONDITION CC ON CC.CONTCODE = SC.CONTCODE
-    {LOCATION_JOINS}
+SELECT {_select(SNAPSHOT_SOURCES, SNAPSHOT_COLUMNS)}
+FROM INVENTORY_VLA vial
+    JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID
+    JOIN SAMPLECONTAINERS_VLA tube ON tube.INVENTORYID = vial.INVENTORYID
+    JOIN INVENTORY_TRANSACTIONS_VLA led ON led.INVENTORYID = vial.INVENTORYID AND led.FLAG_CURRENT = 1
+    JOIN METADATA rmeta ON rmeta.ID = rcpt.METADATA_GUID
+    JOIN METADATA vmeta ON vmeta.ID = vial.METADATA_GUID
+    JOIN TRIAL_MASTER_SCHEDULE visit ON visit.TRIAL_MASTER_SCHEDULE_ID = rcpt.TRIAL_MASTER_SCHEDULE_ID
+    JOIN TRIAL study ON study.TRIAL_ID = visit.TRIAL_ID
+    LEFT JOIN TRIAL_ELEMENT_TIMEPOINT tp ON tp.TRIAL_ELEMENT_TP_ID = visit.TRIAL_ELEMENT_TP_ID
+    LEFT JOIN TRIAL_ELEMENT elem ON elem.TRIAL_ELEMENT_ID = tp.TRIAL_ELEMENT_ID
+    LEFT JOIN CONTAINERS_CONDITION cond ON cond.CONTCODE = tube.CONTCODE
+    {box_lateral("led", "vial.INVENTORYID")}
+    {BOX_LEDGER_LATERAL}
+    LEFT JOIN MATERIALS mat ON mat.MATCODE = box.MATCODE
+    {STORAGE_JOINS}
 {where}"""
 
 
@@ -110,33 +139,27 @@ VIABLE_SQL = f"""COALESCE(
 
 def extract_sql(where: str) -> str:
     return f"""
-SELECT S.*,
+SELECT s.*,
     {first_match_sql("COMMENTS", "SAMPLEID:(.*?),")} AS SAMPLEID,
     {first_match_sql("COMMENTS", r"LAB_ID:(\d+)")} AS SAMPLEID2,
     {VIABLE_SQL} AS VIABLE
-FROM ({snapshot_sql(where)}) S"""
+FROM ({snapshot_sql(where)}) s"""
 
 
 def history_sql(where: str) -> str:
     return f"""
-SELECT IT.INVENTORYID AS INVENTORYID, IT.TRANSACTION_ID AS TRANSACTION_ID, T.TRANSACTION_DT AS TRANSACTION_DT,
-    T.USRNAM AS USRNAM, IT.AMOUNTLEFT AS AMOUNTLEFT, IT.AMOUNT_UNIT_CODE AS AMOUNT_UNIT_CODE,
-    T.TRANSACTION_TYPE AS TRANSACTION_TYPE, IT.COMMENTS AS COMMENTS, IT.CONTAINER_POS_Y AS CONTAINER_POS_Y,
-    IT.CONTAINER_POS_X AS CONTAINER_POS_X, IT.FLAG_CURRENT AS FLAG_CURRENT, PC.EXTERNAL_CODE AS BOX_NAME,
-    PC.INVENTORY_CODE AS BOX_CODE, {BOX_POS} AS BOX_POS, RACK.LOCATION_NAME AS LOCATION_NAME,
-    RACK.LONGNAME AS LONGNAME
-FROM INVENTORY_TRANSACTIONS_VLA IT
-    LEFT JOIN TRANSACTIONS T ON IT.TRANSACTION_ID = T.TRANSACTION_ID
-    JOIN INVENTORY_VLA INV ON INV.INVENTORYID = IT.INVENTORYID
-    JOIN CENTRALRECEIVING_VLA CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
-    {PARENT_APPLY.format(self="IT.INVENTORYID")}
-    LEFT JOIN MATERIALS M ON PC.MATCODE = M.MATCODE
-    LEFT JOIN LOCATIONS RACK ON IT.LOCATIONCODE = RACK.LOCATIONCODE
-{where}
-ORDER BY IT.INVENTORYID, IT.TRANSACTION_ID"""
-
-
-TRIAL_WHERE = f"WHERE CR.LAST_NAME = '{TRIAL}'"
+SELECT {_select(HISTORY_SOURCES, HISTORY_COLUMNS)}
+FROM INVENTORY_TRANSACTIONS_VLA led
+    JOIN INVENTORY_VLA vial ON vial.INVENTORYID = led.INVENTORYID
+    JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID
+    LEFT JOIN TRANSACTIONS hdr ON hdr.TRANSACTION_ID = led.TRANSACTION_ID
+    {box_lateral("led", "led.INVENTORYID")}
+    LEFT JOIN MATERIALS mat ON mat.MATCODE = box.MATCODE
+    LEFT JOIN LOCATIONS loc ON loc.LOCATIONCODE = led.LOCATIONCODE
+{where}"""
+
+
+TRIAL_WHERE = f"WHERE rcpt.LAST_NAME = '{TRIAL}'"
 
 
 def _pct(bad: str, total: str) -> str:
@@ -151,6 +174,7 @@ BODIES: dict[str, str] = {
         f"SELECT '{n}' AS TABLE_NAME, count(*) AS N_ROWS FROM {n}" for n in TABLE_NAMES
     ),
     "param_query": history_sql(TRIAL_WHERE),
+    "history_stream": history_sql(TRIAL_WHERE),
     "sink_roundtrip": extract_sql(TRIAL_WHERE),
     "trial_slug": f"""
 SELECT TRIAL_CODE, {slug_sql("TRIAL_CODE")} AS TRIAL_SLUG,
@@ -160,34 +184,33 @@ SELECT TRIAL_CODE, {slug_sql("TRIAL_CODE")} AS TRIAL_SLUG,
 FROM (SELECT DISTINCT LAST_NAME AS TRIAL_CODE FROM CENTRALRECEIVING_VLA) q""",
     "history_row_counts": f"""
 SELECT INVENTORYID, count(*) AS N_ROWS, CAST(sum(FLAG_CURRENT) AS BIGINT) AS N_CURRENT
-FROM ({history_sql(TRIAL_WHERE)}) H GROUP BY INVENTORYID""",
+FROM ({history_sql(TRIAL_WHERE)}) h GROUP BY INVENTORYID""",
     "trial_inventory": snapshot_sql(TRIAL_WHERE),
     "trial_extract": extract_sql(TRIAL_WHERE),
-    "inventory_history": history_sql(TRIAL_WHERE),
+    "inventory_history": history_sql(TRIAL_WHERE) + "\nORDER BY 1, 2",
     "trial_filter": f"SELECT * FROM CENTRALRECEIVING_VLA WHERE LAST_NAME = '{TRIAL}'",
     "storage_path": f"""
-SELECT IT.INVENTORYID, IT.TRANSACTION_ID, IT.LOCATIONCODE, RACK.LOCATIONCODE AS RACK_CODE, {LEVEL_SHIFT},
-    SHELF.SORTER AS SHELF_SORT, RACK.SORTER AS RACK_SORT, RACK.LONGNAME AS LONGNAME,
-    ROOMS.ROOM_NAME AS ROOM_NAME, BUILDINGS.BUILDING_NAME AS BUILDING_NAME
-FROM INVENTORY_TRANSACTIONS_VLA IT {LOCATION_JOINS}""",
+SELECT led.INVENTORYID, led.TRANSACTION_ID, led.LOCATIONCODE, lv1.LOCATIONCODE AS RACK_CODE,
+    {", ".join(f"{sql} AS {name}" for name, sql in STORAGE_COLUMNS.items())},
+    lv2.SORTER AS SHELF_SORT, lv1.SORTER AS RACK_SORT, lv1.LONGNAME AS LONGNAME,
+    room.ROOM_NAME AS ROOM_NAME, bldg.BUILDING_NAME AS BUILDING_NAME
+FROM INVENTORY_TRANSACTIONS_VLA led {STORAGE_JOINS}""",
     "seq_num": f"""
 SELECT INVENTORYID, EXTERNAL_CODE AS SEQ, {safe_int_sql("EXTERNAL_CODE")} AS SEQ_NUM FROM INVENTORY_VLA""",
     "box_position": f"""
-SELECT IT.INVENTORYID, IT.TRANSACTION_ID, IT.CONTAINER_INVENTORYID, PC.INVENTORYID AS PARENT_CONTAINER_INV_ID,
-    PC.MATCODE AS MATCODE, {BOX_POS} AS BOX_POS
-FROM INVENTORY_TRANSACTIONS_VLA IT
-    {PARENT_APPLY.format(self="IT.INVENTORYID")}
-    LEFT JOIN MATERIALS M ON PC.MATCODE = M.MATCODE""",
-    "metadata_roles": """
-SELECT INV.INVENTORYID AS VIAL_CONTAINER_INV_ID, CR.LAST_NAME AS LAST_NAME,
-    CR_META.FIELD02 AS CR_VISIT, CR_META.FIELD03 AS NICKNAME, CR_META.FIELD12 AS CPT, CR_META.FIELD14 AS EDTA1,
-    CR_META.FIELD15 AS EDTA2, CR_META.FIELD16 AS PAXGENE, CR_META.FIELD13 AS SST1, CR_META.FIELD17 AS SST2,
-    CR_META.FIELD18 AS SST3, CR_META.FIELD20 AS EDTA1_VOLUME, CR_META.FIELD22 AS ORASURE,
-    INV_META.FIELD16 AS SAMPLE_CONDITION, INV_META.FIELD01 AS COMMENTS, INV_META.FIELD28 AS BARCODE
-FROM INVENTORY_VLA INV
-    JOIN CENTRALRECEIVING_VLA CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
-    JOIN METADATA CR_META ON CR_META.ID = CR.METADATA_GUID
-    JOIN METADATA INV_META ON INV_META.ID = INV.METADATA_GUID""",
+SELECT led.INVENTORYID, led.TRANSACTION_ID, led.CONTAINER_INVENTORYID, box.INVENTORYID AS PARENT_CONTAINER_INV_ID,
+    box.MATCODE AS MATCODE, {ordinal_sql("led", "mat")} AS BOX_POS
+FROM INVENTORY_TRANSACTIONS_VLA led
+    {box_lateral("led", "led.INVENTORYID")}
+    LEFT JOIN MATERIALS mat ON mat.MATCODE = box.MATCODE""",
+    "metadata_roles": f"""
+SELECT vial.INVENTORYID AS VIAL_CONTAINER_INV_ID, rcpt.LAST_NAME AS LAST_NAME,
+    {_select(SNAPSHOT_SOURCES, ("CR_VISIT", "NICKNAME", "CPT", "EDTA1", "EDTA2", "PAXGENE", "SST1", "SST2", "SST3",
+                                "EDTA1_VOLUME", "ORASURE", "SAMPLE_CONDITION", "COMMENTS", "BARCODE"))}
+FROM INVENTORY_VLA vial
+    JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID
+    JOIN METADATA rmeta ON rmeta.ID = rcpt.METADATA_GUID
+    JOIN METADATA vmeta ON vmeta.ID = vial.METADATA_GUID""",
     "not_in_nullsafe": f"""
 SELECT INVENTORYID, RECEIVEDCONDITION AS RECEIVED_CONDITION,
     COALESCE(RECEIVEDCONDITION NOT IN {CONDS}, TRUE) AS NOT_EXCLUDED,
@@ -201,49 +224,49 @@ FROM INVENTORY_TRANSACTIONS_VLA""",
     "flag_viable": f"""
 SELECT VIAL_CONTAINER_INV_ID, PARENT_CONTAINER_INV_ID, LAST_NAME, MATCODE, RECEIVED_CONDITION,
     SAMPLE_CONDITION, AMOUNTLEFT, VIABLE
-FROM ({extract_sql("")}) E""",
+FROM ({extract_sql("")}) e""",
     "inner_receipt": """
-SELECT INV.INVENTORYID AS VIAL_CONTAINER_INV_ID, CR.EXTERNAL_ID AS EXTERNAL_ID, CR.LAST_NAME AS LAST_NAME,
-    CR.SUBJECTID AS SUBJECTID
-FROM INVENTORY_VLA INV JOIN CENTRALRECEIVING_VLA CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID""",
+SELECT vial.INVENTORYID AS VIAL_CONTAINER_INV_ID, rcpt.EXTERNAL_ID AS EXTERNAL_ID, rcpt.LAST_NAME AS LAST_NAME,
+    rcpt.SUBJECTID AS SUBJECTID
+FROM INVENTORY_VLA vial JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID""",
     "current_transaction": """
-SELECT INV.INVENTORYID AS VIAL_CONTAINER_INV_ID, IT.LOCATIONCODE AS LOCATIONCODE,
-    IT.CONTAINER_INVENTORYID AS CONTAINER_INVENTORYID, IT.AMOUNTLEFT AS AMOUNTLEFT, IT.THAWCOUNT AS THAWCOUNT
-FROM INVENTORY_VLA INV
-    JOIN INVENTORY_TRANSACTIONS_VLA IT ON IT.INVENTORYID = INV.INVENTORYID AND IT.FLAG_CURRENT = 1""",
-    "left_lookups": """
-SELECT INV.INVENTORYID AS VIAL_CONTAINER_INV_ID, TMS.TRIAL_MASTER_SCHEDULE_ID AS TMS_ID,
-    TMS.MSDESCRIPTION AS MS_VISIT, TR.TRIAL_CODE AS TRIAL_CODE, TETP.CODE AS TP_CODE, TETP.VISIT AS TP_VISIT,
-    TETP.DESCRIPTION AS TP_DESC, TE.ELEMENT_NAME AS TE_NAME, CC.PRESERVATIVE AS PRESERVATIVE
-FROM INVENTORY_VLA INV
-    JOIN CENTRALRECEIVING_VLA CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
-    JOIN METADATA CR_META ON CR_META.ID = CR.METADATA_GUID
-    JOIN SAMPLECONTAINERS_VLA SC ON SC.INVENTORYID = INV.INVENTORYID
-    JOIN TRIAL_MASTER_SCHEDULE TMS ON TMS.TRIAL_MASTER_SCHEDULE_ID = CR.TRIAL_MASTER_SCHEDULE_ID
-    LEFT JOIN TRIAL_ELEMENT_TIMEPOINT TETP ON TETP.TRIAL_ELEMENT_TP_ID = TMS.TRIAL_ELEMENT_TP_ID
-    LEFT JOIN TRIAL_ELEMENT TE ON TE.TRIAL_ELEMENT_ID = TETP.TRIAL_ELEMENT_ID
-    JOIN TRIAL TR ON TMS.TRIAL_ID = TR.TRIAL_ID
-    LEFT JOIN CONTAINERS_CONDITION CC ON CC.CONTCODE = SC.CONTCODE""",
+SELECT vial.INVENTORYID AS VIAL_CONTAINER_INV_ID, led.LOCATIONCODE AS LOCATIONCODE,
+    led.CONTAINER_INVENTORYID AS CONTAINER_INVENTORYID, led.AMOUNTLEFT AS AMOUNTLEFT, led.THAWCOUNT AS THAWCOUNT
+FROM INVENTORY_VLA vial
+    JOIN INVENTORY_TRANSACTIONS_VLA led ON led.INVENTORYID = vial.INVENTORYID AND led.FLAG_CURRENT = 1""",
+    "left_lookups": f"""
+SELECT vial.INVENTORYID AS VIAL_CONTAINER_INV_ID,
+    {_select(SNAPSHOT_SOURCES, ("TMS_ID", "MS_VISIT", "TRIAL_CODE", "TP_CODE", "TP_VISIT", "TP_DESC", "TE_NAME",
+                                "PRESERVATIVE"))}
+FROM INVENTORY_VLA vial
+    JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID
+    JOIN METADATA rmeta ON rmeta.ID = rcpt.METADATA_GUID
+    JOIN SAMPLECONTAINERS_VLA tube ON tube.INVENTORYID = vial.INVENTORYID
+    JOIN TRIAL_MASTER_SCHEDULE visit ON visit.TRIAL_MASTER_SCHEDULE_ID = rcpt.TRIAL_MASTER_SCHEDULE_ID
+    JOIN TRIAL study ON study.TRIAL_ID = visit.TRIAL_ID
+    LEFT JOIN TRIAL_ELEMENT_TIMEPOINT tp ON tp.TRIAL_ELEMENT_TP_ID = visit.TRIAL_ELEMENT_TP_ID
+    LEFT JOIN TRIAL_ELEMENT elem ON elem.TRIAL_ELEMENT_ID = tp.TRIAL_ELEMENT_ID
+    LEFT JOIN CONTAINERS_CONDITION cond ON cond.CONTCODE = tube.CONTCODE""",
     "parent_container": f"""
-SELECT IT.INVENTORYID, IT.CONTAINER_INVENTORYID, PC.INVENTORYID AS PARENT_CONTAINER_INV_ID,
-    PC.INVENTORY_CODE AS BOX_CODE, PC.EXTERNAL_CODE AS BOX_NAME, PC.MATCODE AS MATCODE
-FROM INVENTORY_TRANSACTIONS_VLA IT
-    {PARENT_APPLY.format(self="IT.INVENTORYID")}
-WHERE IT.FLAG_CURRENT = 1""",
+SELECT led.INVENTORYID, led.CONTAINER_INVENTORYID, box.INVENTORYID AS PARENT_CONTAINER_INV_ID,
+    box.INVENTORY_CODE AS BOX_CODE, box.EXTERNAL_CODE AS BOX_NAME, box.MATCODE AS MATCODE
+FROM INVENTORY_TRANSACTIONS_VLA led
+    {box_lateral("led", "led.INVENTORYID")}
+WHERE led.FLAG_CURRENT = 1""",
     "parent_fanout": f"""
-SELECT IT.INVENTORYID, PC.INVENTORYID AS PARENT_CONTAINER_INV_ID
-FROM INVENTORY_TRANSACTIONS_VLA IT
-    {PARENT_APPLY.format(self="IT.INVENTORYID")}
-    {PARENT_LEDGER_APPLY}
-WHERE IT.FLAG_CURRENT = 1""",
+SELECT led.INVENTORYID, box.INVENTORYID AS PARENT_CONTAINER_INV_ID
+FROM INVENTORY_TRANSACTIONS_VLA led
+    {box_lateral("led", "led.INVENTORYID")}
+    {BOX_LEDGER_LATERAL}
+WHERE led.FLAG_CURRENT = 1""",
     "viability_summary": f"""
 SELECT count(*) FILTER (WHERE NOT VIABLE) AS NOT_VIABLE, count(*) AS TOTAL,
     {_pct("count(*) FILTER (WHERE NOT VIABLE)", "count(*)")} AS PCT_NOT_VIABLE
-FROM ({extract_sql(TRIAL_WHERE)}) E""",
+FROM ({extract_sql(TRIAL_WHERE)}) e""",
     "extract_metrics": f"""
-SELECT 'snapshot' AS DATASET, count(*) AS N_ROWS FROM ({extract_sql(TRIAL_WHERE)}) E
+SELECT 'snapshot' AS DATASET, count(*) AS N_ROWS FROM ({extract_sql(TRIAL_WHERE)}) e
 UNION ALL
-SELECT 'history' AS DATASET, count(*) AS N_ROWS FROM ({history_sql(TRIAL_WHERE)}) H""",
+SELECT 'history' AS DATASET, count(*) AS N_ROWS FROM ({history_sql(TRIAL_WHERE)}) h""",
     "extract_sampleid": f"""
 SELECT ID, FIELD01 AS COMMENTS,
     {first_match_sql("FIELD01", "SAMPLEID:(.*?),")} AS SAMPLEID,
@@ -256,7 +279,7 @@ FROM documents""",
     "multi_trial_counts": f"""
 SELECT LAST_NAME, count(*) AS N_ROWS, count(DISTINCT VIAL_CONTAINER_INV_ID) AS N_VIALS,
     count(*) FILTER (WHERE VIABLE) AS N_VIABLE, count(SAMPLEID) AS N_SAMPLEID
-FROM ({extract_sql("")}) E GROUP BY LAST_NAME""",
+FROM ({extract_sql("")}) e GROUP BY LAST_NAME""",
     "slug_collisions": f"""
 SELECT TRIAL_CODE, TRIAL_SLUG, count(*) OVER (PARTITION BY TRIAL_SLUG) AS N_SHARING
 FROM (SELECT TRIAL_CODE, {slug_sql("TRIAL_CODE")} AS TRIAL_SLUG
@@ -277,7 +300,7 @@ SELECT LAST_NAME, STUDY_SITE, count(*) FILTER (WHERE NOT VIABLE) AS NOT_VIABLE,
     count(*) FILTER (WHERE AMOUNTLEFT IS NULL OR isnan(AMOUNTLEFT)) AS N_AMOUNT_MISSING,
     count(*) FILTER (WHERE AMOUNTLEFT IS NOT NULL AND NOT isnan(AMOUNTLEFT) AND AMOUNTLEFT <= 0)
         AS N_AMOUNT_NOT_POSITIVE
-FROM ({extract_sql("")}) E GROUP BY LAST_NAME, STUDY_SITE""",
+FROM ({extract_sql("")}) e GROUP BY LAST_NAME, STUDY_SITE""",
 }
 
 

@@ -275,6 +275,13 @@ def q_viability_by_site(spark, sf_dir):
     return viability_by(snap, ["LAST_NAME", "STUDY_SITE"])
 
 
+def q_history_stream(spark, sf_dir):
+    """History maintained by a stream over the ledger files (stream-static joins)."""
+    from .streaming.history import run_history_stream
+
+    return run_history_stream(_tables(spark, sf_dir), f"{sf_dir.rstrip('/')}/lineitem*.parquet", TRIAL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
