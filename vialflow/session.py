@@ -23,6 +23,34 @@ REQUIRED_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, tens of TB per
+# job). Shuffle partitions start high and AQE coalesces them to ~256 MB each;
+# skewed partitions over 1 GB (and 5x the median) are split; dimension
+# broadcasts stay well under executor memory.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "vialflow.broadcast.maxBytes": str(256 * 1024 * 1024),
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set :data:`CLUSTER_CONF` keys that the session has not set explicitly."""
+    explicit = spark.conf.getAll
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if key not in explicit:
+            spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vialflow") -> SparkSession:
     """A local session for tests and benchmarks (never used on a cluster)."""
     builder = (

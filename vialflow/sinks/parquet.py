@@ -178,7 +178,7 @@ def extract_trials(
         exclude_matcodes=exclude_matcodes,
     )
     paths = {"snapshot": f"{out}/inventory"}
-    write_parquet(snapshot, paths["snapshot"], parquet_compression, partition_by=("LAST_NAME",))
+    write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression, partition_by=("LAST_NAME",))
     if download_history:
         hist = inventory_with_trial(t, trial_codes)
         hist = hist.repartitionByRange("LAST_NAME", *HISTORY_ORDER).sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
@@ -187,6 +187,17 @@ def extract_trials(
     return paths
 
 
+def rebalance(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition by ``cols`` for a partitioned write, letting AQE split a
+    hot value over several tasks and merge small ones (``REBALANCE`` hint).
+
+    Without it every task writes a file into every trial folder it touches;
+    a plain hash repartition would put a trial with a third of all rows into
+    one task.
+    """
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(cols)}) */ * FROM {{df}}", df=df)
+
+
 def inventory_with_trial(t: LimsTables, trial_codes: Sequence[str] | None) -> DataFrame:
     """History rows tagged with their trial code (for partitioned output)."""
     return inventory_history(t, trial_codes, sort=False, with_trial=True)
