@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import UNKNOWN_SIZE, plan_bytes
+
 # Default limit for an explicit broadcast of a dimension (bytes, in memory).
 DEFAULT_LIMIT = 64 * 1024 * 1024
 # In-memory rows are several times larger than the compressed file bytes the
@@ -23,8 +25,7 @@ CONF_LIMIT = "vialflow.broadcast.maxBytes"
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    return plan_bytes(df)
 
 
 def leaf_bytes(df: DataFrame) -> int:
@@ -34,8 +35,11 @@ def leaf_bytes(df: DataFrame) -> int:
     one partner per level), the output is no larger than its inputs; without
     CBO Catalyst would instead estimate a join as the product of its sides.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:  # noqa: BLE001 - no plan access: treat as large
+        return UNKNOWN_SIZE
 
 
 def broadcast_limit(df: DataFrame) -> int:

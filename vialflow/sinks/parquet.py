@@ -51,8 +51,11 @@ def history_path(snapshot_path: str) -> str:
 
 def delete_path(spark, path: str) -> None:
     """Remove a scratch table this job wrote (any Hadoop-compatible store)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    except Exception:  # noqa: BLE001 - no JVM access (remote client): leave it to the folder's lifecycle rules
+        pass
 
 
 def write_parquet(

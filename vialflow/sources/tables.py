@@ -82,8 +82,7 @@ class LimsTables(Mapping[str, DataFrame]):
     def table_bytes(self, name: str) -> int:
         """Catalyst's size estimate of the (column-pruned) table; no job runs."""
         if name not in self._bytes:
-            stats = self[name]._jdf.queryExecution().optimizedPlan().stats()
-            self._bytes[name] = int(str(stats.sizeInBytes()))
+            self._bytes[name] = plan_bytes(self[name])
         return self._bytes[name]
 
     def col_type(self, table: str, col: str) -> str:
@@ -93,6 +92,18 @@ class LimsTables(Mapping[str, DataFrame]):
         return self._types[table][col]
 
 
+UNKNOWN_SIZE = 1 << 62
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of ``df``; "unknown" (never broadcast) when the
+    session does not expose the plan (e.g. a Spark Connect client)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no plan access: treat as large
+        return UNKNOWN_SIZE
+
+
 def read_parquet_tables(spark: SparkSession, base: str, names=TABLE_NAMES) -> LimsTables:
     """One Parquet dataset per table at ``<base>/<NAME>``; column-pruned."""
     frames = {}
