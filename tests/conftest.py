@@ -26,10 +26,3 @@ def tables(spark):
     from vialflow.sources.fixtures import derive_lims_tables
 
     return derive_lims_tables(spark, SF0001)
-
-
-@pytest.fixture(scope="session")
-def tables_001(spark):
-    from vialflow.sources.fixtures import derive_lims_tables
-
-    return derive_lims_tables(spark, SF001)

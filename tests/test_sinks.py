@@ -69,3 +69,17 @@ def test_slug_collision_report(spark):
     codes = spark.createDataFrame([("A-B",), ("A_B",), ("C",), ("C",), (None,)], "TRIAL_CODE string")
     got = {(r.TRIAL_CODE, r.TRIAL_SLUG, r.N_SHARING) for r in slug_report(codes).collect()}
     assert got == {("A-B", "A_B", 2), ("A_B", "A_B", 2), ("C", "C", 1)}
+
+
+def test_parquet_table_source(spark, tables):
+    """Production input path: one Parquet dataset per LIMS table, column-pruned reads."""
+    from vialflow.plans.inventory import trial_extract as extract
+    from vialflow.sources.tables import TABLE_NAMES, read_parquet_tables
+
+    base = _fresh_dir()
+    for name in TABLE_NAMES:
+        tables[name].write.mode("overwrite").parquet(f"{base}/{name}")
+    t = read_parquet_tables(spark, base)
+    assert extract(t, "BUILDING").count() == 216
+    plan = extract(t, "BUILDING")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(LAST_NAME,BUILDING)" in plan

@@ -19,17 +19,11 @@ not pile into one shuffle partition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
 from .broadcast import tables_fit
 
-# Output columns of the location path, in the order the snapshot uses them.
-LOCATION_PATH_COLUMNS = (
-    "RACK_CODE", "FREEZER", "SHELF", "RACK", "SHELF_SORT", "RACK_SORT", "LONGNAME", "LONGCODE",
-    "ROOM_NAME", "ROOM_CODE", "BUILDING_NAME", "BUILDING_CODE",
-)
 SCHEDULE_TABLES = ("TRIAL_MASTER_SCHEDULE", "TRIAL", "TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT")
 LOCATION_TABLES = ("LOCATIONS", "LOCATIONS", "LOCATIONS", "ROOMS", "BUILDINGS")
 BOX_TABLES = ("INVENTORY", "MATERIALS")
@@ -127,8 +121,3 @@ def schedule(t: LimsTables) -> DataFrame:
 
 def boxes(t: LimsTables, with_current_rows: bool) -> DataFrame:
     return run(t.spark, boxes_sql(t, with_current_rows), t)
-
-
-def direct_location(t: LimsTables) -> DataFrame:
-    """One level only (the history's location): code, name, long name."""
-    return t["LOCATIONS"].select(F.col("LOCATIONCODE").alias("_LOC_CODE"), "LOCATION_NAME", "LONGNAME")

@@ -98,11 +98,6 @@ def parent_container_join(
     return rows.join(sized_broadcast(boxes, lookup_chain=lookup_chain), cond, "left")
 
 
-def current_row_counts(ledger: DataFrame, key: str = "INVENTORYID", flag: str = "FLAG_CURRENT") -> DataFrame:
-    """Number of current ledger rows per item (map-side partial count)."""
-    return ledger.where(F.col(flag) == F.lit(1)).groupBy(key).agg(F.count(F.lit(1)).alias("_CURRENT_ROWS"))
-
-
 def fanout_sql(count_col: str) -> str:
     """Array with ``max(count, 1)`` elements, for ``LATERAL VIEW explode``."""
     n = f"coalesce({count_col}, 0)"

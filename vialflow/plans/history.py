@@ -10,14 +10,13 @@ in-partition sort, so the written files are globally ordered.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.scalar import grid_ordinal_sql
 from ..operators import dims
 from ..operators.broadcast import tables_fit
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
-from .inventory import TrialCodes, TrialVials, trial_filter_sql, trial_predicate
+from .inventory import TrialCodes, TrialVials, trial_filter_sql
 
 HISTORY_COLUMNS: tuple[str, ...] = (
     "INVENTORYID", "TRANSACTION_ID", "TRANSACTION_DT", "USRNAM", "AMOUNTLEFT", "AMOUNT_UNIT_CODE",
@@ -27,19 +26,6 @@ HISTORY_COLUMNS: tuple[str, ...] = (
 HISTORY_ORDER = ("INVENTORYID", "TRANSACTION_ID")
 
 
-def trial_vial_ids(
-    t: LimsTables, trial_codes: TrialCodes, collation: str | None = None, *, with_trial: bool = False
-) -> DataFrame:
-    """``INVENTORY_VLA ⋈ CENTRALRECEIVING`` for the trial(s): one row per match."""
-    cr = t["CENTRALRECEIVING_VLA"]
-    pred = trial_predicate(F.col("LAST_NAME"), trial_codes, collation)
-    if pred is not None:
-        cr = cr.where(pred)
-    cr = cr.select(F.col("EXTERNAL_ID").alias("_CR_EXT"), *(["LAST_NAME"] if with_trial else []))
-    inv = t["INVENTORY_VLA"].select(F.col("INVENTORYID").alias("_VIAL_ID"), F.col("EXTERNAL_ID").alias("_INV_EXT"))
-    return inv.join(cr, F.col("_INV_EXT") == F.col("_CR_EXT")).select("_VIAL_ID", *(["LAST_NAME"] if with_trial else []))
-
-
 def history_sql(
     t: LimsTables,
     trial_pred: str,

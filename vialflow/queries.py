@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES, flag_viable, is_missing, is_positive, not_in
+from .functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, flag_viable, is_missing, is_positive, not_in
 from .functions.scalar import grid_ordinal, safe_int
 from .functions.text import extract_labels, extract_sampleid, redact_labelled
 from .operators import dims

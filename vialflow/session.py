@@ -6,7 +6,6 @@ in settings that are unset, so a cluster's own values always win.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,7 +96,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def env_cores(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
