@@ -9,6 +9,7 @@ per dataset at that path.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -23,6 +24,8 @@ from ..plans.history import HISTORY_ORDER, inventory_history
 from ..plans.inventory import materialize_trial_vials, trial_extract
 from ..sources.tables import LimsTables
 
+log = logging.getLogger(__name__)
+
 DEFAULT_COMPRESSION = "zstd"
 # The suffixes of the original job's file names.
 PROD_SUFFIX = "_PROD"
@@ -150,12 +153,16 @@ def _extract_trial(
         result.not_viable = bad
         rows = result.snapshot_rows
         result.percent_not_viable = round(bad / rows * 100, 2) if rows > 0 else 0.0
+        log.info("Flagged %d non-viable specimens (%s%%).", bad, result.percent_not_viable)
+    log.info("%d %s records saved to %s with %s compression.", result.snapshot_rows, trial_code, path,
+             parquet_compression)
     if download_history:
         hist, hobs = observe_rows(inventory_history(t, trial_code, collation=collation, vials=vials), "history")
         hpath = history_path(path)
         write_parquet(hist, hpath, parquet_compression)
         result.history_path = hpath
         result.history_rows = int(hobs.get.get("rows", 0))
+        log.info("%d history records for %s saved to %s.", result.history_rows, trial_code, hpath)
     return result
 
 
