@@ -160,3 +160,17 @@ def test_no_python_udf_in_transforms(spark, value):
                                "SAMPLE_CONDITION string, AMOUNTLEFT double")
     plan = flag_viable(extract_sampleid(df))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_cluster_conf_keeps_explicit_settings(spark):
+    from vialflow.session import CLUSTER_CONF, apply_cluster_conf
+
+    before = set(spark.conf.getAll)
+    try:
+        apply_cluster_conf(spark)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # the session's explicit value is kept
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        assert spark.conf.get(key) == CLUSTER_CONF[key]
+    finally:
+        for key in set(CLUSTER_CONF) - before:
+            spark.conf.unset(key)

@@ -26,7 +26,7 @@ from .plans.inventory import (
 )
 from .plans.sql_text import HISTORY_SQL, run_sql
 from .session import scratch_path
-from .sinks.parquet import PARQUET_EXT, PROD_SUFFIX, HISTORY_SUFFIX, slug_report, write_parquet
+from .sinks.parquet import HISTORY_SUFFIX, PARQUET_EXT, PROD_SUFFIX, extract_trial, slug_report
 from .functions.text import slug_sql
 from .sqltext import quote
 from .sources.fixtures import derive_lims_tables
@@ -57,9 +57,10 @@ def q_param_query(spark, sf_dir):
 
 
 def q_sink_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "sink_roundtrip") + PARQUET_EXT
-    write_parquet(trial_extract(_tables(spark, sf_dir), TRIAL), path, "zstd")
-    return spark.read.parquet(path)
+    """The whole single-trial job (materialised vial set, semi-join reduction,
+    observed metrics, zstd Parquet), read back from what it wrote."""
+    result = extract_trial(_tables(spark, sf_dir), TRIAL, scratch_path(spark, "extract"), parquet_compression="zstd")
+    return spark.read.parquet(result.snapshot_path)
 
 
 def q_trial_slug(spark, sf_dir):
