@@ -54,7 +54,6 @@ def history_sql(
     box_pos = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
     trial_col = ", CR.LAST_NAME" if with_trial else ""
     trial_out = ", V.LAST_NAME" if with_trial else ""
-    order = f"\nORDER BY {', '.join('IT.' + c for c in HISTORY_ORDER)}" if sort else ""
     vials = (
         f"SELECT VIAL_ID{', LAST_NAME' if with_trial else ''} FROM {{TRIAL_VIALS}}"
         if vials_table else
@@ -63,7 +62,7 @@ def history_sql(
         JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
         WHERE {trial_pred}"""
     )
-    return f"""
+    body = f"""
 WITH vials AS ({vials}),
 boxes AS ({dims.boxes_sql(t, False)})
 SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
@@ -74,7 +73,13 @@ JOIN vials V ON V.VIAL_ID = IT.INVENTORYID
 LEFT JOIN {{TRANSACTIONS}} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
 LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
        AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> IT.INVENTORYID
-LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL{order}"""
+LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL"""
+    if not sort:
+        return body
+    # Hash-distribute first so the range partitioner samples the shuffled
+    # rows instead of re-running the ledger scan and joins to find bounds.
+    return (f"SELECT * FROM (SELECT * FROM ({body}) h DISTRIBUTE BY INVENTORYID) s "
+            f"ORDER BY {', '.join(HISTORY_ORDER)}")
 
 
 def inventory_history(

@@ -191,7 +191,9 @@ def extract_trials(
     write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression, partition_by=("LAST_NAME",))
     if download_history:
         hist = inventory_with_trial(t, trial_codes)
-        hist = hist.repartitionByRange("LAST_NAME", *HISTORY_ORDER).sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
+        # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
+        hist = hist.repartition("INVENTORYID").repartitionByRange("LAST_NAME", *HISTORY_ORDER)
+        hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
         paths["history"] = f"{out}/history"
         write_parquet(hist, paths["history"], parquet_compression, partition_by=("LAST_NAME",))
     return paths
