@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import UNKNOWN_SIZE, plan_bytes
+from ..sources.tables import DIMENSION_TABLES, UNKNOWN_SIZE, plan_bytes
 
 # Default limit for an explicit broadcast of a dimension (bytes, in memory).
 DEFAULT_LIMIT = 64 * 1024 * 1024
@@ -53,15 +53,33 @@ def fits_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: boo
     return size * INFLATION <= limit
 
 
+# Row bound for a dimension proven small by counting, and the largest byte
+# estimate for which such a count is attempted at all.
+DEFAULT_MAX_ROWS = 1_000_000
+CONF_MAX_ROWS = "vialflow.broadcast.maxRows"
+COUNT_PROBE_MAX_BYTES = 1 << 30
+
+
 def tables_fit(t, names, limit: int | None = None) -> bool:
     """Whether a dimension built from the base tables ``names`` may be broadcast.
 
     A chain of key lookups over these tables has at most as many rows as
     its inputs, so the sum of their (inflated) estimates bounds its size.
+    When that estimate is inconclusive and every input is a declared
+    dimension table of moderate estimated size, an exact bounded row count
+    decides instead (estimates of derived or heavily compressed tables can
+    be far above their real size).
     """
     frames = [t[n] for n in names]
     limit = broadcast_limit(frames[0]) if limit is None else limit
-    return sum(t.table_bytes(n) for n in names) * INFLATION <= limit
+    if sum(t.table_bytes(n) for n in names) * INFLATION <= limit:
+        return True
+    if not all(n in DIMENSION_TABLES and t.table_bytes(n) <= COUNT_PROBE_MAX_BYTES for n in names):
+        return False
+    raw = frames[0].sparkSession.conf.get(CONF_MAX_ROWS, None)
+    cap = int(raw) if raw else DEFAULT_MAX_ROWS
+    counts = [t.bounded_rows(n, cap) for n in names]
+    return all(c is not None for c in counts) and sum(counts) <= cap
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: bool = False) -> DataFrame:

@@ -49,6 +49,14 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 
 TABLE_NAMES: tuple[str, ...] = tuple(COLUMNS)
 
+# Lookup tables that are small by nature (schedules, materials, storage
+# locations). Only these may have their size proven by a bounded row count
+# when the optimizer's byte estimate is inconclusive.
+DIMENSION_TABLES = frozenset({
+    "TRIAL_MASTER_SCHEDULE", "TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT", "TRIAL", "MATERIALS",
+    "CONTAINERS_CONDITION", "LOCATIONS", "ROOMS", "BUILDINGS",
+})
+
 
 @dataclass
 class LimsTables(Mapping[str, DataFrame]):
@@ -62,6 +70,7 @@ class LimsTables(Mapping[str, DataFrame]):
     frames: dict[str, DataFrame] = field(default_factory=dict)
     _bytes: dict[str, int] = field(default_factory=dict, repr=False)
     _types: dict[str, dict[str, str]] = field(default_factory=dict, repr=False)
+    _rows: dict[tuple[str, int], int | None] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -85,6 +94,19 @@ class LimsTables(Mapping[str, DataFrame]):
             self._bytes[name] = plan_bytes(self[name])
         return self._bytes[name]
 
+    def bounded_rows(self, name: str, cap: int) -> int | None:
+        """Exact row count if it is at most ``cap``, else ``None``.
+
+        ``limit(cap + 1).count()`` stops every scan task after ``cap + 1``
+        rows, so the probe costs little even when the table is larger.
+        Remembered per table and cap (one small job per session).
+        """
+        key = (name, cap)
+        if key not in self._rows:
+            n = self[name].limit(cap + 1).count()
+            self._rows[key] = n if n <= cap else None
+        return self._rows[key]
+
     def col_type(self, table: str, col: str) -> str:
         """Simple SQL type name of ``table.col`` (``bigint``, ``int``, ``string``...)."""
         if table not in self._types:
