@@ -77,8 +77,9 @@ LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE
     if not sort:
         return body
     # Hash-distribute first so the range partitioner samples the shuffled
-    # rows instead of re-running the ledger scan and joins to find bounds.
-    return (f"SELECT * FROM (SELECT * FROM ({body}) h DISTRIBUTE BY INVENTORYID) s "
+    # rows instead of re-running the ledger scan and joins to find bounds;
+    # both order keys go into the hash, so one busy vial spreads too.
+    return (f"SELECT * FROM (SELECT * FROM ({body}) h DISTRIBUTE BY {', '.join(HISTORY_ORDER)}) s "
             f"ORDER BY {', '.join(HISTORY_ORDER)}")
 
 

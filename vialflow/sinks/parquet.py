@@ -192,7 +192,7 @@ def extract_trials(
     if download_history:
         hist = inventory_with_trial(t, trial_codes)
         # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
-        hist = hist.repartition("INVENTORYID").repartitionByRange("LAST_NAME", *HISTORY_ORDER)
+        hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
         hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
         paths["history"] = f"{out}/history"
         write_parquet(hist, paths["history"], parquet_compression, partition_by=("LAST_NAME",))
