@@ -18,6 +18,7 @@ from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
 from .inventory import TrialCodes, TrialVials, trial_filter_sql
 
+# The history's output contract (column names, order, sort keys).
 HISTORY_COLUMNS: tuple[str, ...] = (
     "INVENTORYID", "TRANSACTION_ID", "TRANSACTION_DT", "USRNAM", "AMOUNTLEFT", "AMOUNT_UNIT_CODE",
     "TRANSACTION_TYPE", "COMMENTS", "CONTAINER_POS_Y", "CONTAINER_POS_X", "FLAG_CURRENT", "BOX_NAME",

@@ -33,6 +33,7 @@ from ..session import scratch_path
 from ..sources.tables import LimsTables
 from ..sqltext import hint, quote, run, spread
 
+# The snapshot's output contract (column names and order).
 SNAPSHOT_COLUMNS: tuple[str, ...] = (
     "TRIAL_CODE", "SUBJECTID", "LABID", "CID", "SAMPLETYPE", "PRESERVATIVE", "AMOUNTLEFT",
     "AMOUNT_UNIT_CODE", "THAWCOUNT", "SEQ", "SEQ_NUM", "FREEZER", "SHELF", "RACK", "BOX_CODE",
