@@ -83,3 +83,18 @@ def test_parquet_table_source(spark, tables):
     assert extract(t, "BUILDING").count() == 216
     plan = extract(t, "BUILDING")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(LAST_NAME,BUILDING)" in plan
+
+
+def test_command_line_job(spark):
+    from vialflow.job import main
+
+    before = set(spark.conf.getAll)
+    out = _fresh_dir()
+    summary = main(["--fixture-dir", "/root/testdata/sf0.001", "--trial-code", "BUILDING", "--output-dir", out,
+                    "--download-history", "--exclude-matcodes", "100x100Box", "None"], spark=spark)
+    assert summary["snapshot_rows"] == 216 and summary["history_rows"] == 1336 and summary["not_viable"] == 130
+    assert spark.read.parquet(summary["snapshot_path"]).count() == 216
+    multi = main(["--fixture-dir", "/root/testdata/sf0.001", "--trial-code", "BUILDING", "--trial-code", "MACHINERY",
+                  "--output-dir", out + "/multi"], spark=spark)
+    assert spark.read.parquet(multi["snapshot"]).select("LAST_NAME").distinct().count() == 2
+    assert set(spark.conf.getAll) == before  # a local run leaves the session's settings alone
