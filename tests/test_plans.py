@@ -166,3 +166,10 @@ def test_materialized_vials_not_broadcast_beyond_bound(spark, tables):
         spark.conf.unset(CONF_MAX_REDUCER_ROWS)
     assert not v.broadcastable
     assert trial_extract(tables, "BUILDING", vials=v).count() == 216
+
+
+def test_snapshot_join_count(tables):
+    """Decorrelated plan: 18 plain joins (lookup chains included), no correlated subquery left."""
+    plan = trial_inventory(tables, "BUILDING")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 18
+    assert "LateralJoin" not in plan and "ScalarSubquery" not in plan and "Exists" not in plan

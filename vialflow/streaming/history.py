@@ -56,10 +56,21 @@ def write_available_now(df: DataFrame, sink_path: str, checkpoint_path: str) ->
     return query
 
 
-def run_history_stream(t: LimsTables, lineitem_path: str, trial_codes: TrialCodes) -> DataFrame:
-    """Run the stream over the files present now; return the written rows."""
+def run_history_stream(
+    t: LimsTables,
+    lineitem_path: str,
+    trial_codes: TrialCodes,
+    *,
+    sink: str | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Run the stream over the files present now; return all rows written so far.
+
+    Pass the same ``sink`` and ``checkpoint`` again to resume: only files
+    that arrived since the last run are processed.
+    """
     spark = t.spark
-    sink = scratch_path(spark, "history_stream")
-    ckpt = scratch_path(spark, "history_stream_ckpt")
-    write_available_now(history_stream(t, fixture_ledger_stream(spark, lineitem_path), trial_codes), sink, ckpt)
+    sink = sink or scratch_path(spark, "history_stream")
+    checkpoint = checkpoint or scratch_path(spark, "history_stream_ckpt")
+    write_available_now(history_stream(t, fixture_ledger_stream(spark, lineitem_path), trial_codes), sink, checkpoint)
     return spark.read.parquet(sink)
