@@ -152,8 +152,14 @@ def test_materialized_vials_same_results(tables):
         (inventory_history(tables, "BUILDING"), inventory_history(tables, "BUILDING", vials=v)),
     ):
         assert inline.exceptAll(reduced).count() == 0 and reduced.exceptAll(inline).count() == 0
+    assert v.ledger_rows == 1336 and v.ledger_broadcastable
     plan = trial_extract(tables, "BUILDING", vials=v)._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan  # the large vial-keyed tables are cut by the broadcast vial set
+    # the large vial-keyed tables, the box inventory and its ledger counts are cut by broadcast semi joins
+    semis = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    assert any("VIAL_ID" in x for x in semis) and any("INV_GUID" in x for x in semis)
+    assert any("BOX_ID" in x for x in semis)
+    hplan = inventory_history(tables, "BUILDING", vials=v)._jdf.queryExecution().executedPlan().toString()
+    assert "TX_ID" in hplan and "BOX_ID" in hplan
 
 
 def test_materialized_vials_not_broadcast_beyond_bound(spark, tables):

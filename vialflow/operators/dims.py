@@ -80,7 +80,7 @@ def location_path_sql(t: LimsTables) -> str:
         LEFT JOIN {{BUILDINGS}} BL ON BL.BUILDING_ID = {bldg_key} AND RM.BUILDING_ID IS NOT NULL"""
 
 
-def boxes_sql(t: LimsTables, with_current_rows: bool) -> str:
+def boxes_sql(t: LimsTables, with_current_rows: bool, box_ids: str | None = None, broadcast_ids: bool = False) -> str:
     """Inventory items as parent boxes, with their material geometry.
 
     ``with_current_rows`` adds ``_CURRENT_ROWS``, the number of the box's
@@ -89,21 +89,29 @@ def boxes_sql(t: LimsTables, with_current_rows: bool) -> str:
     count (map-side partial aggregation), so the ledger shrinks to one row
     per item before it is shuffled; AQE broadcasts it when the measured
     result is small.
+
+    ``box_ids`` names a relation (CTE) with column ``BOX_ID``: INVENTORY and
+    the ledger count are then cut to those boxes by semi joins, broadcast
+    when ``broadcast_ids`` (the caller has proven the set small).
     """
     bc = hint(["MT"] if tables_fit(t, ["MATERIALS"]) else [])
+    inv_hint = hint(["BI"]) if box_ids and broadcast_ids else ""
+    inv_semi = f" LEFT SEMI JOIN {box_ids} BI ON INV.INVENTORYID = BI.BOX_ID" if box_ids else ""
+    cur_hint = hint(["BC"]) if box_ids and broadcast_ids else ""
+    cur_semi = f" LEFT SEMI JOIN {box_ids} BC ON L.INVENTORYID = BC.BOX_ID" if box_ids else ""
     mat_key = spread("INV.MATCODE", ["INV.INVENTORYID"], t.col_type("INVENTORY", "MATCODE"))
     counts_col = ", CUR.N AS _CURRENT_ROWS" if with_current_rows else ""
     counts_join = (
-        """
-        LEFT JOIN (SELECT INVENTORYID AS CUR_ID, count(1) AS N FROM {INVENTORY_TRANSACTIONS}
-                   WHERE FLAG_CURRENT = 1 GROUP BY INVENTORYID) CUR ON CUR.CUR_ID = INV.INVENTORYID"""
+        f"""
+        LEFT JOIN (SELECT {cur_hint} L.INVENTORYID AS CUR_ID, count(1) AS N FROM {{INVENTORY_TRANSACTIONS}} L{cur_semi}
+                   WHERE L.FLAG_CURRENT = 1 GROUP BY L.INVENTORYID) CUR ON CUR.CUR_ID = INV.INVENTORYID"""
         if with_current_rows else ""
     )
     return f"""
         SELECT {bc} INV.INVENTORYID AS PARENT_CONTAINER_INV_ID, INV.INVENTORY_CODE AS BOX_CODE,
                INV.EXTERNAL_CODE AS BOX_NAME, INV.MATCODE,
                MT.CONTAINER_AXIS_Y_SIZE, MT.CONTAINER_AXIS_X_SIZE{counts_col}
-        FROM {{INVENTORY}} INV
+        FROM (SELECT {inv_hint} INV.* FROM {{INVENTORY}} INV{inv_semi}) INV
         LEFT JOIN {{MATERIALS}} MT ON MT.MATCODE = {mat_key} AND INV.MATCODE IS NOT NULL{counts_join}"""
 
 

@@ -35,18 +35,22 @@ def history_sql(
     sort: bool = True,
     vials_table: bool = False,
     broadcast_vials: bool = False,
+    reduce_ledger: bool = False,
 ) -> str:
     """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output).
 
-    ``vials_table`` takes the trial's vials from the bound ``{TRIAL_VIALS}``
-    table; ``broadcast_vials`` (size checked by the caller) turns the ledger
-    join into a map-side filter, so the full ledger is never shuffled.
+    ``vials_table`` takes the trial's vials and ledger rows from the bound
+    ``{TRIAL_VIALS}`` / ``{TRIAL_LEDGER}`` tables (written once, see
+    :func:`~vialflow.plans.inventory.materialize_trial_vials`);
+    ``broadcast_vials`` (size checked by the caller) broadcasts the vials;
+    ``reduce_ledger`` cuts the box inventory and the transaction headers to
+    the ids the trial's ledger rows reference, by broadcast semi joins.
     """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
     names = (
         (["V"] if broadcast_vials else [])
         + (["T"] if tables_fit(t, ["TRANSACTIONS"]) else [])
-        + (["PC"] if dims.boxes_fit(t, False) else [])
+        + (["PC"] if reduce_ledger or dims.boxes_fit(t, False) else [])
         + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
     )
     tx_key = spread("IT.TRANSACTION_ID", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "TRANSACTION_ID"))
@@ -63,15 +67,28 @@ def history_sql(
         JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
         WHERE {trial_pred}"""
     )
+    ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
+    ids_ctes = (
+        """,
+box_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM {TRIAL_LEDGER} WHERE CONTAINER_INVENTORYID IS NOT NULL),
+tx_ids AS (SELECT DISTINCT TRANSACTION_ID AS TX_ID FROM {TRIAL_LEDGER} WHERE TRANSACTION_ID IS NOT NULL)"""
+        if reduce_ledger else ""
+    )
+    headers = (
+        f"(SELECT {hint(['TI']) if reduce_ledger else ''} H.* FROM {{TRANSACTIONS}} H "
+        "LEFT SEMI JOIN tx_ids TI ON H.TRANSACTION_ID = TI.TX_ID)"
+        if reduce_ledger else "{TRANSACTIONS}"
+    )
+    boxes = dims.boxes_sql(t, False, "box_ids" if reduce_ledger else None, reduce_ledger)
     body = f"""
-WITH vials AS ({vials}),
-boxes AS ({dims.boxes_sql(t, False)})
+WITH vials AS ({vials}){ids_ctes},
+boxes AS ({boxes})
 SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
        IT.AMOUNT_UNIT_CODE, T.TRANSACTION_TYPE, IT.COMMENTS, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X,
        IT.FLAG_CURRENT, PC.BOX_NAME, PC.BOX_CODE, {box_pos} AS BOX_POS, LOC.LOCATION_NAME, LOC.LONGNAME{trial_out}
-FROM {{INVENTORY_TRANSACTIONS_VLA}} IT
+FROM {ledger} IT
 JOIN vials V ON V.VIAL_ID = IT.INVENTORYID
-LEFT JOIN {{TRANSACTIONS}} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
+LEFT JOIN {headers} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
 LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
        AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> IT.INVENTORYID
 LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL"""
@@ -99,7 +116,7 @@ def inventory_history(
     receipt join by the already written vial table."""
     if vials is not None:
         text = history_sql(t, "TRUE", with_trial=with_trial, sort=sort, vials_table=True,
-                           broadcast_vials=vials.broadcastable)
-        return run(t.spark, text, {**t.frames, "TRIAL_VIALS": vials.frame})
+                           broadcast_vials=vials.broadcastable, reduce_ledger=vials.ledger_broadcastable)
+        return run(t.spark, text, vials.tables(t))
     pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
     return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort), t, args)

@@ -275,20 +275,24 @@ def snapshot_sql(
     extra: dict | None = None,
     vials_table: bool = False,
     reduce_by_vials: bool = False,
+    reduce_ledger: bool = False,
 ) -> str:
     """The snapshot as one statement (see module doc for the join order).
 
     ``extra`` adds computed output columns ({name: SQL over snapshot names}).
     ``vials_table`` reads the trial's vials from the bound table
-    ``{TRIAL_VIALS}`` instead of joining them inline; ``reduce_by_vials``
-    (only with a table whose size was checked) broadcasts it into semi joins
-    that cut SAMPLECONTAINERS, the ledger and METADATA down to the trial's
-    vials inside each scan task, before anything is shuffled.
+    ``{TRIAL_VIALS}`` and their ledger rows from ``{TRIAL_LEDGER}`` instead of
+    joining them inline. ``reduce_by_vials`` (only with a table whose size was
+    checked) broadcasts the vials into semi joins that cut SAMPLECONTAINERS
+    and METADATA down to the trial inside each scan task; ``reduce_ledger``
+    does the same for INVENTORY and the box ledger counts, keyed by the boxes
+    the trial's ledger rows point at. Nothing large is shuffled then.
     """
     vial_salt = ["V.VIAL_ID"]
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
-        + (["PC"] if dims.boxes_fit(t, True) else [])
+        # boxes cut to those the trial's (proven small) ledger references are small too
+        + (["PC"] if reduce_ledger or dims.boxes_fit(t, True) else [])
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
@@ -306,17 +310,23 @@ def snapshot_sql(
     reduce = hint(["RV"]) if reduce_by_vials else ""
     semi = (lambda key: f"LEFT SEMI JOIN base RV ON {key} = RV.VIAL_ID") if reduce_by_vials else (lambda key: "")
     semi_meta = "LEFT SEMI JOIN base RV ON M.ID = RV.INV_GUID" if reduce_by_vials else ""
+    ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
+    box_ids_cte = (
+        "\nbox_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM {TRIAL_LEDGER}"
+        " WHERE CONTAINER_INVENTORYID IS NOT NULL),"
+        if reduce_ledger else ""
+    )
     return f"""
 WITH {vials},
 sc AS (SELECT {reduce} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
                SC.CONTAINERMATCODE
         FROM {{SAMPLECONTAINERS_VLA}} SC {semi("SC.INVENTORYID")}),
-it AS (SELECT {reduce} IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT, IT.CONSENT_TYPE,
+it AS (SELECT IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT, IT.CONSENT_TYPE,
                IT.LOCATIONCODE, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X, IT.CONTAINER_INVENTORYID
-        FROM {{INVENTORY_TRANSACTIONS_VLA}} IT {semi("IT.INVENTORYID")}
-        WHERE IT.FLAG_CURRENT = 1),
+        FROM {ledger} IT
+        WHERE IT.FLAG_CURRENT = 1),{box_ids_cte}
 vial_meta AS (SELECT {reduce} M.ID, {iv_roles} FROM {{METADATA}} M {semi_meta}),
-boxes AS ({dims.boxes_sql(t, True)}),
+boxes AS ({dims.boxes_sql(t, True, "box_ids" if reduce_ledger else None, reduce_ledger)}),
 locs AS ({dims.location_path_sql(t)}),
 snap AS (
         SELECT {main_hint}
@@ -337,12 +347,30 @@ LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
 
 @dataclass
 class TrialVials:
-    """A trial's vials written to the shared scratch folder, with exact size."""
+    """A trial's vials and their ledger rows, written to the shared scratch
+    folder, each with an exact row count and a broadcast verdict."""
 
     frame: DataFrame
     rows: int
     path: str
     broadcastable: bool
+    ledger: DataFrame
+    ledger_rows: int
+    ledger_path: str
+    ledger_broadcastable: bool
+
+    @property
+    def paths(self) -> tuple[str, str]:
+        return self.path, self.ledger_path
+
+    def tables(self, t: LimsTables) -> dict[str, DataFrame]:
+        return {**t.frames, "TRIAL_VIALS": self.frame, "TRIAL_LEDGER": self.ledger}
+
+
+LEDGER_COLUMNS = (
+    "INVENTORYID", "TRANSACTION_ID", "FLAG_CURRENT", "CONTAINER_INVENTORYID", "AMOUNTLEFT", "AMOUNT_UNIT_CODE",
+    "THAWCOUNT", "CONSENT_TYPE", "LOCATIONCODE", "CONTAINER_POS_Y", "CONTAINER_POS_X", "COMMENTS",
+)
 
 
 MAX_REDUCER_ROWS = 2_000_000
@@ -358,16 +386,27 @@ def materialize_trial_vials(t: LimsTables, trial_codes: TrialCodes, collation: s
     receipt tables. It is broadcast into semi joins only if both the row
     count and the file-size estimate are within bounds.
     """
-    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
-    observed, obs = observe_rows(run(t.spark, trial_vials_sql(t, pred), t, args), "trial_vials")
-    observed = observed.select(*BASE_VIAL_COLUMNS)
-    path = scratch_path(t.spark, "trial_vials")
-    observed.write.mode("overwrite").parquet(path)
-    rows = int(obs.get.get("rows", 0))
-    frame = t.spark.read.parquet(path)
-    raw = t.spark.conf.get(CONF_MAX_REDUCER_ROWS, None)
+    spark = t.spark
+    raw = spark.conf.get(CONF_MAX_REDUCER_ROWS, None)
     max_rows = int(raw) if raw else MAX_REDUCER_ROWS
-    return TrialVials(frame, rows, path, rows <= max_rows and fits_broadcast(frame))
+
+    def write(df: DataFrame, name: str) -> tuple[DataFrame, int, str, bool]:
+        observed, obs = observe_rows(df, name)
+        path = scratch_path(spark, name)
+        observed.write.mode("overwrite").parquet(path)
+        rows = int(obs.get.get("rows", 0))
+        frame = spark.read.parquet(path)
+        return frame, rows, path, rows <= max_rows and fits_broadcast(frame)
+
+    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    vials = write(run(spark, trial_vials_sql(t, pred), t, args).select(*BASE_VIAL_COLUMNS), "trial_vials")
+    # The trial's ledger rows: the ledger is scanned once here, cut map-side
+    # by the broadcast vial set when that set is small.
+    ledger_sql = f"""
+SELECT {hint(["V"]) if vials[3] else ""} {", ".join("IT." + c for c in LEDGER_COLUMNS)}
+FROM {{INVENTORY_TRANSACTIONS_VLA}} IT LEFT SEMI JOIN {{TRIAL_VIALS}} V ON IT.INVENTORYID = V.VIAL_ID"""
+    ledger = write(run(spark, ledger_sql, {**t.frames, "TRIAL_VIALS": vials[0]}), "trial_ledger")
+    return TrialVials(*vials, *ledger)
 
 
 def trial_inventory(
@@ -413,6 +452,6 @@ def _snapshot(t, trial_codes, collation, vials, **kw) -> DataFrame:
     if vials is None:
         pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
         return run(t.spark, snapshot_sql(t, pred, **kw), t, args)
-    tables = {**t.frames, "TRIAL_VIALS": vials.frame}
-    text = snapshot_sql(t, "TRUE", vials_table=True, reduce_by_vials=vials.broadcastable, **kw)
-    return run(t.spark, text, tables)
+    text = snapshot_sql(t, "TRUE", vials_table=True, reduce_by_vials=vials.broadcastable,
+                        reduce_ledger=vials.ledger_broadcastable, **kw)
+    return run(t.spark, text, vials.tables(t))

@@ -129,7 +129,8 @@ def extract_trial(
         )
     finally:
         if vials is not None:
-            delete_path(t.spark, vials.path)
+            for path in vials.paths:
+                delete_path(t.spark, path)
 
 
 def _extract_trial(
