@@ -177,27 +177,38 @@ def extract_trials(
     exclude_matcodes: Iterable = DEFAULT_EXCLUDE_MATCODES,
     parquet_compression: str = DEFAULT_COMPRESSION,
     download_history: bool = False,
+    semi_join_reduction: bool = True,
 ) -> dict[str, str]:
     """Many trials in one job per dataset, partitioned by ``LAST_NAME``.
 
     A re-run replaces only the partitions of the trials it wrote. History is
-    range-sorted on its order keys within each trial's files.
+    range-sorted on its order keys within each trial's files. With explicit
+    ``trial_codes`` the same semi-join reduction as :func:`extract_trial` is
+    used (it switches itself off when the trials' vials are too many to
+    broadcast); ``None`` (all trials) is not selective and skips it.
     """
-    out = output_dir.rstrip("/")
-    snapshot = trial_extract(
-        t, trial_codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
-        exclude_matcodes=exclude_matcodes,
-    )
-    paths = {"snapshot": f"{out}/inventory"}
-    write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression, partition_by=("LAST_NAME",))
-    if download_history:
-        hist = inventory_with_trial(t, trial_codes)
-        # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
-        hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
-        hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
-        paths["history"] = f"{out}/history"
-        write_parquet(hist, paths["history"], parquet_compression, partition_by=("LAST_NAME",))
-    return paths
+    vials = materialize_trial_vials(t, trial_codes) if semi_join_reduction and trial_codes is not None else None
+    try:
+        out = output_dir.rstrip("/")
+        snapshot = trial_extract(
+            t, trial_codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
+            exclude_matcodes=exclude_matcodes, vials=vials,
+        )
+        paths = {"snapshot": f"{out}/inventory"}
+        write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression,
+                      partition_by=("LAST_NAME",))
+        if download_history:
+            hist = inventory_history(t, trial_codes, sort=False, with_trial=True, vials=vials)
+            # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
+            hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
+            hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
+            paths["history"] = f"{out}/history"
+            write_parquet(hist, paths["history"], parquet_compression, partition_by=("LAST_NAME",))
+        return paths
+    finally:
+        if vials is not None:
+            for path in vials.paths:
+                delete_path(t.spark, path)
 
 
 def rebalance(df: DataFrame, *cols: str) -> DataFrame:
@@ -211,11 +222,6 @@ def rebalance(df: DataFrame, *cols: str) -> DataFrame:
     return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(cols)}) */ * FROM {{df}}", df=df)
 
 
-def inventory_with_trial(t: LimsTables, trial_codes: Sequence[str] | None) -> DataFrame:
-    """History rows tagged with their trial code (for partitioned output)."""
-    return inventory_history(t, trial_codes, sort=False, with_trial=True)
-
-
 def slug_report(codes: DataFrame, code_col: str = "TRIAL_CODE") -> DataFrame:
     """Each distinct code with its slug and how many distinct codes share it.
 
