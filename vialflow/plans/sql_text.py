@@ -9,11 +9,10 @@ the original job. Correlated ``OUTER APPLY`` is restated as plain left joins
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import LimsTables
+from ..sqltext import run
 
 HISTORY_SQL = """
 SELECT led.INVENTORYID, led.TRANSACTION_ID, hdr.TRANSACTION_DT, hdr.USRNAM, led.AMOUNTLEFT,
@@ -32,11 +31,7 @@ WHERE rcpt.LAST_NAME = :trial_code
 ORDER BY led.INVENTORYID, led.TRANSACTION_ID
 """
 
-_TABLE_REF = re.compile(r"\{(\w+)\}")
-
 
 def run_sql(spark: SparkSession, text: str, tables: LimsTables, trial_code: str | None = None) -> DataFrame:
     """Run ``text`` with ``{TABLE}`` bound to ``tables`` and ``:trial_code`` bound if given."""
-    used = {name: tables[name] for name in set(_TABLE_REF.findall(text))}
-    args = {"trial_code": trial_code} if trial_code else None
-    return spark.sql(text, args=args, **used)
+    return run(spark, text, tables, {"trial_code": trial_code} if trial_code else None)

@@ -10,11 +10,15 @@ come from users (trial codes) are bound as named parameters; fixed values
 from __future__ import annotations
 
 import re
+import uuid
+import weakref
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 _TABLE_REF = re.compile(r"\{(\w+)\}")
+# DataFrame (by identity, weakly held) -> the temp view it was registered as.
+_VIEWS: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def quote(text: str) -> str:
@@ -47,7 +51,24 @@ def hint(names: Iterable[str]) -> str:
     return f"/*+ BROADCAST({', '.join(names)}) */" if names else ""
 
 
+def view_name(df: DataFrame) -> str:
+    """A session temp view for ``df``, registered the first time it is seen.
+
+    Binding DataFrames through ``spark.sql(text, name=df)`` registers and
+    drops a view per DataFrame on every call; the LIMS tables are reused by
+    every query, so registering each once saves that work per plan.
+    """
+    entry = _VIEWS.get(id(df))
+    if entry is not None and entry[0]() is df:
+        return entry[1]
+    name = f"vialflow_{uuid.uuid4().hex[:16]}"
+    df.createOrReplaceTempView(name)
+    _VIEWS[id(df)] = (weakref.ref(df), name)
+    return name
+
+
 def run(spark: SparkSession, text: str, tables: Mapping[str, DataFrame], args: Mapping | None = None) -> DataFrame:
     """``spark.sql`` with ``{NAME}`` placeholders bound to ``tables``."""
-    used = {name: tables[name] for name in set(_TABLE_REF.findall(text))}
-    return spark.sql(text, args=dict(args) if args else None, **used)
+    names = {name: view_name(tables[name]) for name in set(_TABLE_REF.findall(text))}
+    bound = _TABLE_REF.sub(lambda m: names[m.group(1)], text)
+    return spark.sql(bound, args=dict(args) if args else None)
