@@ -98,3 +98,10 @@ def test_command_line_job(spark):
                   "--output-dir", out + "/multi"], spark=spark)
     assert spark.read.parquet(multi["snapshot"]).select("LAST_NAME").distinct().count() == 2
     assert set(spark.conf.getAll) == before  # a local run leaves the session's settings alone
+
+
+def test_unsupported_codec_fails_early(tables):
+    import pytest
+
+    with pytest.raises(ValueError, match="brotli"):
+        extract_trial(tables, "BUILDING", _fresh_dir(), parquet_compression="brotli")

@@ -27,6 +27,15 @@ from ..sources.tables import LimsTables
 log = logging.getLogger(__name__)
 
 DEFAULT_COMPRESSION = "zstd"
+# Parquet codecs Spark writes without extra libraries (brotli needs a codec jar that is not bundled).
+SUPPORTED_CODECS = frozenset({"zstd", "snappy", "gzip", "lz4", "lz4_raw", "none", "uncompressed"})
+
+
+def check_codec(codec: str) -> str:
+    c = (codec or "none").lower()
+    if c not in SUPPORTED_CODECS:
+        raise ValueError(f"parquet compression {codec!r} is not available; use one of {sorted(SUPPORTED_CODECS)}")
+    return c
 # The suffixes of the original job's file names.
 PROD_SUFFIX = "_PROD"
 HISTORY_SUFFIX = "_history"
@@ -73,7 +82,7 @@ def write_parquet(
     partitions are replaced (dynamic partition overwrite)."""
     writer = (
         df.write.mode("overwrite")
-        .option("compression", compression)
+        .option("compression", check_codec(compression))
         .option("maxRecordsPerFile", max_records_per_file)
     )
     if partition_by:
@@ -119,6 +128,7 @@ def extract_trial(
     """
     if not trial_code or not trial_code.strip():
         raise ValueError("trial code must be a non-blank string")
+    check_codec(parquet_compression)  # fail before any work is done
     vials = materialize_trial_vials(t, trial_code, collation) if semi_join_reduction else None
     try:
         return _extract_trial(
