@@ -12,6 +12,11 @@ Plan shape (all joins declared; Catalyst/AQE choose the physical form):
 3. ⋈ METADATA (vial role) ⟕ container condition ⟕ parent box (with its
    material and its current-row count) ⟕ location path.
 4. Row multiplication by the box's current ledger rows is replayed last.
+
+For a single selective trial the job instead materialises the trial's vials
+and ledger rows first (:func:`materialize_trial_vials`) and, when they are
+proven small, cuts every large input by broadcast semi joins (see
+:func:`snapshot_sql`).
 """
 
 from __future__ import annotations
