@@ -104,3 +104,35 @@ def test_viable_matches_pandas_rules(spark, rows, conds, mats):
     )
     got = {r.i: r.VIABLE for r in flag_viable(df, conds, mats).collect()}
     assert got == {i: _expected(r, conds, mats) for i, r in enumerate(rows)}
+
+
+def test_nullable_foreign_keys_shuffle_spread(spark, tables):
+    """At scale, shuffles on nullable foreign keys use the spread key.
+
+    (Names such as LOCATIONCODE also occur as a dimension's own key on the
+    build side, which is rightly shuffled as is; CONTAINER_INVENTORYID and
+    PARENT_LOCATION_CODE occur only on the probe side.)
+    """
+    import re
+
+    from vialflow.plans.history import inventory_history
+    from vialflow.plans.inventory import trial_extract
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("vialflow.broadcast.maxBytes", "1")
+    spark.conf.set("vialflow.broadcast.maxRows", "0")
+    try:
+        expected = {
+            "snapshot": ("CONTAINER_INVENTORYID", "LOCATIONCODE", "CONTCODE", "PARENT_LOCATION_CODE", "MATCODE"),
+            "history": ("CONTAINER_INVENTORYID", "LOCATIONCODE", "TRANSACTION_ID", "MATCODE"),
+        }
+        for name, df in (("snapshot", trial_extract(tables, None)), ("history", inventory_history(tables, "BUILDING"))):
+            plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+            keys = re.findall(r"Exchange hashpartitioning\(([^\n]*?), \d+\)", plan)
+            for fk in expected[name]:
+                assert any(k.startswith(f"coalesce({fk},") for k in keys), (name, fk, keys)
+            for probe_only in ("CONTAINER_INVENTORYID", "PARENT_LOCATION_CODE"):
+                assert probe_only not in keys, (name, probe_only)
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "vialflow.broadcast.maxBytes", "vialflow.broadcast.maxRows"):
+            spark.conf.unset(k)
