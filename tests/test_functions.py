@@ -174,3 +174,11 @@ def test_cluster_conf_keeps_explicit_settings(spark):
     finally:
         for key in set(CLUSTER_CONF) - before:
             spark.conf.unset(key)
+
+
+def test_slug_transliterates_like_driver_side(spark):
+    cases = ["TRIAL-001", "Ünïcödé-001", "Straße 1,000", "A,B", "***", "Łódź", "Œuvre", "  x__y  "]
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = [r.s for r in df.select(slug("c").alias("s")).collect()]
+    assert got == [slug_text(c) for c in cases]
+    assert got[:4] == ["TRIAL_001", "Unicode_001", "Strasse_1000", "A_B"]

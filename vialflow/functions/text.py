@@ -26,6 +26,22 @@ PYTHON_RE_FLAGS = "(?dU)"
 # Fixed value: the connection-string label whose value is masked.
 DSN_PASSWORD_LABEL = "PWD="
 
+# Fixed values for file-name slugs: Latin letters with diacritics and the
+# ASCII letter each becomes (position by position), then letters that become
+# two ASCII letters. A comma between two digits is dropped ("1,000" -> "1000").
+LATIN_FROM = (
+    "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
+    "ĀāĂăĄąĆćČčĎďĒēĘęĚěĞğĪīİıĽľŁłŃńŇňŌōŐőŘřŚśŠšŞşŤťŪūŮůŰűŹźŻżŽž"
+)
+LATIN_TO = (
+    "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
+    "AaAaAaCcCcDdEeEeEeGgIiIiLlLlNnNnOoOoRrSsSsSsTtUuUuUuZzZzZz"
+)
+LATIN_PAIRS = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Đ": "D", "đ": "d",
+               "Þ": "TH", "þ": "th"}
+assert len(LATIN_FROM) == len(LATIN_TO)
+DIGIT_COMMA = r"(?<=[0-9]),(?=[0-9])"
+
 
 def python_re(pattern: str) -> str:
     """Java pattern that matches like Python's ``re`` on the same text."""
@@ -82,13 +98,18 @@ def redact_dsn_password(col: str) -> Column:
 
 
 def slug_sql(col: str, separator: str = "_") -> str:
-    """File-name slug: each run of characters other than ASCII letters and
-    digits becomes one ``separator``; separators at either end are dropped;
+    """File-name slug: accented Latin letters become ASCII, a comma between
+    digits is dropped, each run of other characters than ASCII letters and
+    digits becomes one ``separator``, separators at either end are dropped,
     case is kept. ``TRIAL-001`` -> ``TRIAL_001``; ``***`` -> ``''``.
     """
     sep_re = "".join(ch if ch.isalnum() else "\\" + ch for ch in separator)
     sep_out = separator.replace("\\", "\\\\").replace("$", "\\$")
-    runs = f"regexp_replace({col}, {quote('[^A-Za-z0-9]+')}, {quote(sep_out)})"
+    text = f"translate({col}, {quote(LATIN_FROM)}, {quote(LATIN_TO)})"
+    for src, dst in LATIN_PAIRS.items():
+        text = f"replace({text}, {quote(src)}, {quote(dst)})"
+    text = f"regexp_replace({text}, {quote(DIGIT_COMMA)}, '')"
+    runs = f"regexp_replace({text}, {quote('[^A-Za-z0-9]+')}, {quote(sep_out)})"
     return f"regexp_replace({runs}, {quote(f'^(?:{sep_re})+|(?:{sep_re})+$')}, '')"
 
 

@@ -25,7 +25,12 @@ MATS = "('100x100Box')"
 
 
 def slug_sql(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+    ascii_ = f"strip_accents({x})"
+    for src, dst in (("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"), ("Ø", "O"), ("ø", "o"),
+                     ("Đ", "D"), ("đ", "d"), ("Þ", "TH"), ("þ", "th"), ("Ł", "L"), ("ł", "l")):
+        ascii_ = f"replace({ascii_}, '{src}', '{dst}')"
+    no_comma = f"regexp_replace({ascii_}, '([0-9]),([0-9])', '\\1\\2', 'g')"
+    return f"regexp_replace(regexp_replace({no_comma}, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
 
 
 def first_match_sql(x: str, rx: str) -> str:

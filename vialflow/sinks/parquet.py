@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
-from ..functions.text import slug
+from ..functions.text import DIGIT_COMMA, LATIN_FROM, LATIN_PAIRS, LATIN_TO, slug
 from ..operators.summary import observe_rows, observe_viability
 from ..plans.history import HISTORY_ORDER, inventory_history
 from ..plans.inventory import materialize_trial_vials, trial_extract
@@ -42,8 +42,15 @@ HISTORY_SUFFIX = "_history"
 PARQUET_EXT = ".parquet"
 
 
+_LATIN = str.maketrans(LATIN_FROM, LATIN_TO)
+
+
 def slug_text(text: str, separator: str = "_") -> str:
     """Driver-side twin of :func:`vialflow.functions.text.slug` for one path."""
+    text = text.translate(_LATIN)
+    for src, dst in LATIN_PAIRS.items():
+        text = text.replace(src, dst)
+    text = re.sub(DIGIT_COMMA, "", text)
     return re.sub(r"[^A-Za-z0-9]+", separator, text).strip(separator)
 
 
