@@ -1,4 +1,5 @@
-"""Command-line entry for the extraction job (``spark-submit -m`` or ``python -m vialflow.job``).
+"""Command-line entry for the extraction job (``python -m vialflow.job``, or
+``spark-submit --py-files vialflow.zip extract_job.py``).
 
 The user-level options of the original command-line tool map one to one;
 database connection options are replaced by a table source: a folder with
