@@ -55,6 +55,7 @@ def test_unknown_trial_writes_empty_full_schema(spark, tables):
 def test_multi_trial_dynamic_overwrite(spark, tables):
     out = _fresh_dir()
     paths = extract_trials(tables, ["BUILDING", "MACHINERY"], out, download_history=True)
+    assert paths["trials"]["BUILDING"]["rows"] == 216 and paths["trials"]["BUILDING"]["not_viable"] == 130
     first = spark.read.parquet(paths["snapshot"]).groupBy("LAST_NAME").count().collect()
     assert {r.LAST_NAME: r["count"] for r in first}["BUILDING"] == 216
     # re-running one trial replaces only that trial's partition

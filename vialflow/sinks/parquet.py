@@ -211,9 +211,19 @@ def extract_trials(
             t, trial_codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
             exclude_matcodes=exclude_matcodes, vials=vials,
         )
-        paths = {"snapshot": f"{out}/inventory"}
+        paths: dict = {"snapshot": f"{out}/inventory"}
         write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression,
                       partition_by=("LAST_NAME",))
+        written = t.spark.read.parquet(paths["snapshot"])
+        if codes := (list(trial_codes) if trial_codes is not None else None):
+            written = written.where(F.col("LAST_NAME").isin(codes))
+        # one row per trial (bounded by the number of trials), like the original per-run log line
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        if not no_viable:
+            aggs += [F.count_if(~F.col("VIABLE")).alias("not_viable")]
+        paths["trials"] = {r["LAST_NAME"]: r.asDict() for r in written.groupBy("LAST_NAME").agg(*aggs).collect()}
+        for code, row in sorted(paths["trials"].items()):
+            log.info("%d %s records saved to %s.", row["rows"], code, paths["snapshot"])
         if download_history:
             hist = inventory_history(t, trial_codes, sort=False, with_trial=True, vials=vials)
             # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
