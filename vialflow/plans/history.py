@@ -49,7 +49,8 @@ def history_sql(
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
     names = (
         (["V"] if broadcast_vials else [])
-        + (["T"] if tables_fit(t, ["TRANSACTIONS"]) else [])
+        # headers and boxes cut to the ids of the (proven small) trial ledger are small too
+        + (["T"] if reduce_ledger or tables_fit(t, ["TRANSACTIONS"]) else [])
         + (["PC"] if reduce_ledger or dims.boxes_fit(t, False) else [])
         + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
     )
