@@ -296,8 +296,8 @@ def snapshot_sql(
     vial_salt = ["V.VIAL_ID"]
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
-        # boxes cut to those the trial's (proven small) ledger references are small too
-        + (["PC"] if reduce_ledger or dims.boxes_fit(t, True) else [])
+        # the counted trial ledger, and boxes cut to those it references, are small too
+        + (["IT", "PC"] if reduce_ledger else (["PC"] if dims.boxes_fit(t, True) else []))
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
