@@ -179,3 +179,9 @@ def test_snapshot_join_count(tables):
     plan = trial_inventory(tables, "BUILDING")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") <= 18
     assert "LateralJoin" not in plan and "ScalarSubquery" not in plan and "Exists" not in plan
+
+
+def test_trial_code_is_bound_not_spliced(tables):
+    """A trial code is a bound parameter: quotes in it are data, not SQL."""
+    assert trial_extract(tables, "X' OR '1'='1").count() == 0
+    assert inventory_history(tables, ["BUILDING' --", "Y"]).count() == 0
