@@ -182,3 +182,14 @@ def test_slug_transliterates_like_driver_side(spark):
     got = [r.s for r in df.select(slug("c").alias("s")).collect()]
     assert got == [slug_text(c) for c in cases]
     assert got[:4] == ["TRIAL_001", "Unicode_001", "Strasse_1000", "A_B"]
+
+
+def test_percent_rounds_like_python_on_false_ties(spark):
+    from vialflow.operators.summary import percent
+
+    # 107/4000*100 prints as 2.675 but is slightly less: Python gives 2.67 (bround would give 2.68)
+    pairs = [(107, 4000), (1, 4000), (3, 4000), (13, 4000), (19, 4000), (21, 4000), (1, 8), (1, 800), (2, 3), (0, 7)]
+    df = spark.createDataFrame(pairs, "bad long, total long")
+    got = {(r.bad, r.total): r.p for r in df.select("bad", "total", percent(F.col("bad"), F.col("total")).alias("p")).collect()}
+    assert got == {(b, t): round(b / t * 100, 2) for b, t in pairs}
+    assert got[(107, 4000)] == 2.67

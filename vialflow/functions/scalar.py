@@ -30,3 +30,27 @@ def safe_int(col: str, empty_as_zero: bool = False) -> Column:
 
 def grid_ordinal(pos_y: str, pos_x: str, x_size: str) -> Column:
     return F.expr(grid_ordinal_sql(pos_y, pos_x, x_size))
+
+
+def round_half_even(x: Column | str, digits: int = 2) -> Column:
+    """Round a double to ``digits`` decimals exactly as Python's ``round`` does.
+
+    Python rounds the exact binary value of ``x``; Spark's ``bround`` rounds
+    its shortest decimal text, so the two differ on "false ties" such as
+    ``107 / 4000 * 100`` (prints as 2.675, is slightly less: Python 2.67).
+    Here ``x * 10**digits`` is formed without error as ``p + e`` (Dekker's
+    split of ``x``; plain IEEE double operations, no UDF). Only when ``p``
+    lands exactly on a half does ``e`` decide the direction; otherwise
+    ``rint(p)`` is already the correctly rounded result.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    scale = 10.0 ** digits
+    c = x * F.lit(134217729.0)  # 2**27 + 1
+    hi = c - (c - x)
+    lo = x - hi
+    p = x * F.lit(scale)
+    e = (hi * F.lit(scale) - p) + lo * F.lit(scale)
+    f = F.floor(p).cast("double")
+    tie = (p - f) == F.lit(0.5)
+    n = F.when(tie & (e > 0), f + F.lit(1.0)).when(tie & (e < 0), f).otherwise(F.rint(p))
+    return n / F.lit(scale)

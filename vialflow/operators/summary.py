@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES, viability_reasons
+from ..functions.scalar import round_half_even
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part / whole * 100`` rounded half-even, and 0.0 when ``whole`` is 0."""
+    """``part / whole * 100`` rounded like Python's ``round`` (half-even on the
+    exact double), and 0.0 when ``whole`` is 0."""
     ratio = part.cast("double") / whole.cast("double") * F.lit(100.0)
-    return F.when(whole > 0, F.bround(ratio, digits)).otherwise(F.lit(0.0))
+    return F.when(whole > 0, round_half_even(ratio, digits)).otherwise(F.lit(0.0))
 
 
 def viability_aggs() -> list[Column]:
