@@ -6,6 +6,8 @@ in settings that are unset, so a cluster's own values always win.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -96,3 +98,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once.
+
+    Workers import it by name; a driver that put the repository on its own
+    ``sys.path`` has not told them where it is.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="vialflow-"), "vialflow")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(sc.applicationId)
