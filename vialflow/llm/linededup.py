@@ -9,15 +9,15 @@ that may reach t are verified with their words. A line with a match that is
 earlier in (document, line) order is removed.
 
 Only the first line of each set takes part; its copies are removed with it at
-hand. A line asks for its earliest possible match first, and only lines that it
-did not settle ask again for the next ones, so a group of alike lines makes about
-as many pairs as it has lines.
+hand. A posting asks for the ``NEAREST`` earlier lines that may match; if none
+of them verifies and there are more, it asks for all of the rest in a second
+round. So a group of alike lines makes about as many pairs as it has lines, and
+no match is lost.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +27,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import store
+from vialflow.llm.common import shuffle_partitions, store
+from vialflow.session import scratch_path
 
 #: Buckets of the word counts, a power of two. Words share buckets; that changes the order of words, not the result.
 BUCKETS = 1 << 22
 _SEGMENTS = 64
-#: Postings of a word that meet in one task at once; more are split by a salt on one side.
-POSTINGS = 4096
+#: Possible matches that a posting asks for in the first round.
+NEAREST = 2
+#: A word that occurs more often is dealt to a group for each so many occurrences, 64 at most; each group gets all who ask.
+SPLIT = 1 << 16
 #: Words whose hashes a worker keeps.
 _CACHE = 400_000
 
@@ -60,30 +63,363 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def word_counts(texts: DataFrame) -> np.ndarray:
     """How often the words of each bucket occur in all texts, on a scale that is exact up to 3 and logarithmic past it.
 
-    Each task sends its counts as ``_SEGMENTS`` compressed pieces; a piece's sum
-    is made in one task, and ``BUCKETS`` bytes come to the driver.
+    Each task sends its counts as ``_SEGMENTS`` compressed pieces, which are
+    summed piece by piece; ``BUCKETS`` bytes come to the driver.
     """
+    width = BUCKETS // _SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                h = _hashes([w for t in batch.column(0).slice(i, 256).to_pylist() if t for w in t.split()])
-                np.add.at(held, h & (BUCKETS - 1), 1) if len(h) < 1000 else held.__iadd__(np.bincount(h & (BUCKETS - 1), minlength=BUCKETS))
+            for i in range(0, batch.num_rows, 2048):
+                h = _hashes([w for t in batch.column(0).slice(i, 2048).to_pylist() if t for w in t.split()])
+                held += np.bincount(h & (BUCKETS - 1), minlength=BUCKETS)
         packer = zstandard.ZstdCompressor(level=1)
-        parts = [packer.compress(np.minimum(p, 2**32 - 1).astype("<u4").tobytes()) for p in held.reshape(_SEGMENTS, -1)]
+        parts = [packer.compress(p.astype("<i8").tobytes()) for p in held.reshape(_SEGMENTS, -1)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], names=["seg", "part"])
 
-    def add(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, unpacker = np.zeros(BUCKETS // _SEGMENTS, np.int64), zstandard.ZstdDecompressor()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in batch.column(1):
-                total += np.frombuffer(unpacker.decompress(part.as_py()), "<u4")
-        scale = np.where(total <= 3, total, 3 + 4 * np.log2(np.maximum(total, 3) / 3)).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([scale.tobytes()], pa.binary())], names=["seg", "part"])
-
-    made = texts.select("text").mapInArrow(count, "seg int, part binary").groupBy("seg").applyInArrow(add, "seg int, part binary")
-    whole = np.zeros((_SEGMENTS, BUCKETS // _SEGMENTS), np.uint8)
-    for r in made.collect():
+            for seg, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                total[seg] = total.get(seg, 0) + np.frombuffer(unpacker.decompress(part.as_py()), "<i8")
+        scale = [np.where(t <= 3, t, 3 + 4 * np.log2(np.maximum(t, 3) / 3)).astype(np.uint8).tobytes() for t in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(scale, pa.binary())], names=["seg", "part"])
+
+    sent = texts.select("text").mapInArrow(count, "seg int, part binary")
+    whole = np.zeros((_SEGMENTS, width), np.uint8)
+    for r in sent.repartition(min(_SEGMENTS, shuffle_partitions(texts.sparkSession)), "seg").mapInArrow(add, "seg int, part binary").collect():
         whole[r["seg"]] = np.frombuffer(r["part"], np.uint8)
     return whole.reshape(-1)
+
+
+#: A posting: word, set (two hashes), first place known, words in the set, place of the word in the order by rarity.
+_POSTING = np.dtype([("h", "<i8"), ("k", "<i8"), ("bm", "<i8"), ("doc", "<i8"), ("no", "<i8"), ("size", "<i4"), ("pos", "<i4")])
+
+
+def _pack(rows: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in _POSTING.names))
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    out, at = np.empty(len(raw) // _POSTING.itemsize, _POSTING), 0
+    for f in _POSTING.names:
+        width = _POSTING[f].itemsize * len(out)
+        out[f] = np.frombuffer(raw[at : at + width], _POSTING[f])
+        at += width
+    return out
+
+
+def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+    """A scrambled copy of 64-bit values."""
+    x = (x.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _sets(docs: list[int], texts: list[bytes | None], scale: np.ndarray, only: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lines that have words: a posting for every word (h, pos and the line's fields), and where each line starts.
+
+    ``only`` names the lines to read for each document.
+    """
+    flat: list[bytes] = []
+    counts, where, nos = [], [], []
+    for d, t in zip(docs, texts):
+        if not t:
+            continue
+        for no, line in enumerate(t.split(b"\n")):
+            if only is not None and no not in only[d]:
+                continue
+            if words := line.split():
+                flat += words
+                counts.append(len(words))
+                where.append(d)
+                nos.append(no)
+    h, line = _hashes(flat), np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((h, scale[h & (BUCKETS - 1)], line))
+    h, line = h[order], line[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    h, line = h[new], line[new]
+    starts = np.flatnonzero(np.diff(line, prepend=-1))
+    sizes = np.diff(starts, append=len(h))
+    rows = np.empty(len(h), _POSTING)
+    rows["h"], rows["size"], rows["pos"] = h, sizes[line], np.arange(len(h)) - starts[line]
+    if len(h):
+        rows["k"] = np.add.reduceat(_mix(h, 1), starts).view(np.int64)[line]
+        bits = np.uint64(1) << (_mix(h, 2) & np.uint64(63))
+        rows["bm"] = np.bitwise_or.reduceat(bits, starts).view(np.int64)[line]
+        rows["doc"], rows["no"] = np.array(where, np.int64)[line], np.array(nos, np.int64)[line]
+    return rows, starts, sizes, line
+
+
+def _prefix(size: np.ndarray, t: float) -> np.ndarray:
+    return size - np.ceil(size * t - 1e-9).astype(np.int64) + 1
+
+
+def _group(h: np.ndarray, salt: np.ndarray, n: int) -> np.ndarray:
+    return (_mix(h, 0) + salt.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)) % np.uint64(n)
+
+
+def _groups_of(scale: np.ndarray, h: np.ndarray, split: int) -> np.ndarray:
+    """Into how many groups the postings of each word are dealt."""
+    s = scale[h & (BUCKETS - 1)].astype(np.float64)
+    occurs = np.where(s <= 3, s, 3 * 2 ** ((s - 3) / 4))
+    return np.clip(np.ceil(occurs / split), 1, 64).astype(np.int64)
+
+
+def _dealt(rows: np.ndarray, scale: np.ndarray, n: int, split: int, asks: bool, both: bool) -> Iterator[tuple[int, bytes, bool]]:
+    """The postings as rows (group, blob, asks): each to the group of its word and set, and as one that asks to the word's other groups."""
+    groups = _groups_of(scale, rows["h"], split)
+    own = (rows["k"].astype(np.uint64) % groups.astype(np.uint64)).astype(np.int64)
+    parts = []
+    if both or not asks:
+        parts.append((rows, _group(rows["h"], own, n), False))
+    many = np.arange(len(rows)) if asks and not both else np.flatnonzero(groups > 1)
+    if len(many):
+        copies = np.repeat(many, groups[many])
+        salt = np.arange(len(copies)) - np.repeat(np.cumsum(groups[many]) - groups[many], groups[many])
+        if both:
+            away = salt != own[copies]
+            copies, salt = copies[away], salt[away]
+        parts.append((rows[copies], _group(rows["h"][copies], salt, n), True))
+    for sub, group, flag in parts:
+        order = np.argsort(group, kind="stable")
+        sub, group = sub[order], group[order]
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        for piece, g in zip(np.split(sub, cuts), group[np.concatenate([[0], cuts])] if len(sub) else []):
+            yield int(g), _pack(piece), flag
+
+
+def _as_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    while part := list(itertools.islice(rows, 64)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (pa.int64(), pa.binary(), pa.bool_()))], names=["p", "blob", "asks"])
+
+
+def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, nearest: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (asking row, earlier row) that may reach t, and the rows that could ask for more.
+
+    ``rows`` are sorted by word, then place. Rows are compared with the one
+    before, the one two before, and so on, all words at once.
+    """
+    found_a, found_b, more = [], [], []
+    given = np.zeros(len(rows), np.int64)
+    at = np.flatnonzero(asks)
+    for back in itertools.count(1):
+        at = at[at >= back]
+        at = at[rows["h"][at] == rows["h"][at - back]]
+        if not len(at):
+            break
+        x, y = rows[at], rows[at - back]
+        sx, sy = x["size"].astype(np.int64), y["size"].astype(np.int64)
+        need = np.ceil((sx + sy) * (t / (1 + t)) - 1e-9)
+        ok = index[at - back] & (np.minimum(sx, sy) >= need) & (1 + np.minimum(sx - x["pos"], sy - y["pos"]) - 1 >= need)
+        ok &= ~((x["k"] == y["k"]) & (x["bm"] == y["bm"]))
+        ok &= sx - np.bitwise_count(x["bm"] & ~y["bm"]) >= need
+        ok &= sy - np.bitwise_count(y["bm"] & ~x["bm"]) >= need
+        hit = at[ok]
+        if nearest is not None:
+            full = given[hit] >= nearest
+            more.append(hit[full])
+            at = np.setdiff1d(at, hit[full], assume_unique=True)
+            hit = hit[~full]
+            given[hit] += 1
+        found_a.append(hit)
+        found_b.append(hit - back)
+    cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return cat(found_a), cat(found_b), cat(more)
+
+
+_FIELDS = ("k", "bm", "doc", "no")
+_PAIRS = ", ".join(f"{f}{s} long" for s in "xy" for f in _FIELDS) + ", h long, size int, pos int"
+
+
+def _ask(dealt: DataFrame, n: int, t: float, nearest: int | None) -> DataFrame:
+    """Pairs of postings that may match (x asks, y is earlier); y is null in a row that says that x could ask for more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for p, blob, asks in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(p, []).append((_unpack(blob), asks))
+        for p in sorted(held):
+            parts = held.pop(p)
+            rows, only = np.concatenate([r for r, _ in parts]), np.concatenate([np.full(len(r), a) for r, a in parts])
+            order = np.lexsort((only, rows["no"], rows["doc"], rows["bm"], rows["k"], rows["h"]))
+            rows, only = rows[order], only[order]
+            new = np.ones(len(rows), bool)  # of a set's postings, the first place
+            for f in ("h", "k", "bm"):
+                new[1:] &= rows[f][1:] == rows[f][:-1]
+            new[1:] = ~new[1:]
+            start = np.flatnonzero(new)
+            asks, index = np.logical_or.reduceat(only, start) if nearest is None else np.ones(len(start), bool), np.logical_or.reduceat(~only, start)
+            rows = rows[start]
+            order = np.lexsort((rows["no"], rows["doc"], rows["h"]))
+            a, b, more = _matches(rows[order], asks[order], index[order], t, nearest)
+            rows = rows[order]
+            for i in range(0, len(a), 20_000):
+                x, y = rows[a[i : i + 20_000]], rows[b[i : i + 20_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[f])) for r in (x, y) for f in _FIELDS] + [pa.array(np.ascontiguousarray(x[f])) for f in ("h", "size", "pos")], names=[f"{f}{s}" for s in "xy" for f in _FIELDS] + ["h", "size", "pos"])
+            if len(more):
+                x = rows[np.unique(more)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[f])) for f in _FIELDS] + [pa.nulls(len(x), pa.int64())] * 4 + [pa.array(np.ascontiguousarray(x[f])) for f in ("h", "size", "pos")], names=[f"{f}{s}" for s in "xy" for f in _FIELDS] + ["h", "size", "pos"])
+
+    return dealt.repartition(n, "p").mapInArrow(run, _PAIRS)
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -> DataFrame:
+    """The asking sets (k, bm) of ``pairs`` that reach t, from the words of both lines."""
+    lines = pairs.select(F.col("docx").alias("d"), F.col("nox").alias("n")).union(pairs.select("docy", "noy"))
+    wanted = lines.groupBy("d").agg(F.collect_set("n").alias("nos"))  # lines of one document
+    joined = texts.join(wanted, texts["doc"] == wanted["d"]).select("doc", "text", "nos")
+    shared = texts.sparkSession.sparkContext.broadcast(scale)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                d, text, nos = (batch.column(c)[i].as_py() for c in range(3))
+                rows, starts, _, _ = _sets([d], [text], shared.value, {d: set(nos)})
+                if len(rows):
+                    sets = np.split(np.ascontiguousarray(rows["h"]), starts[1:])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm")] + [pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "words"])
+
+    words = store(joined.mapInArrow(read, "k long, bm long, words binary").groupBy("k", "bm").agg(F.any_value("words").alias("words")), "lines-words")
+    both = pairs.select("kx", "bmx", "ky", "bmy").distinct()
+    for s in "xy":
+        side = words.select(F.col("k").alias(f"k{s}"), F.col("bm").alias(f"bm{s}"), F.col("words").alias(f"words{s}"))
+        both = both.join(side, [f"k{s}", f"bm{s}"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                a, b = (np.frombuffer(v.as_buffer(), "<i8") for v in (x, y))
+                shared_words = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(shared_words >= t * (len(a) + len(b) - shared_words) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["k", "bm"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("kx", "bmx", "wordsx", "wordsy").mapInArrow(verify, "k long, bm long").distinct()
+
+
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """(doc, removed: sorted array of line numbers from 0) for the documents that lose lines.
+
+    Lines are parted by a line feed; a line's set is its distinct words, parted
+    by ASCII white space, as written. A line goes if an earlier line, in (id,
+    line) order, has a Jaccard similarity of ``threshold`` or more, whether or
+    not that one goes too. Lines without words stay. Null and empty texts have
+    no lines to lose. Rows that share an id count as one document: neither is
+    earlier, and a line number that goes, goes in all of them. Null ids come
+    last.
+    """
+    t = threshold
+    spark = docs.sparkSession
+    n, split = shuffle_partitions(spark), SPLIT
+    texts = _texts(docs, id_col, text_col)
+    scale = word_counts(texts)
+    shared = spark.sparkContext.broadcast(scale)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, tuple] = {}
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                for b in _as_batches(_dealt(np.concatenate(held), shared.value, n, split, True, True)):
+                    yield pa.RecordBatch.from_arrays([pa.array(["post"] * b.num_rows), *b.columns, *[pa.nulls(b.num_rows, pa.int64())] * 4], names=["kind", "p", "blob", "asks", "k", "bm", "doc", "no"])
+            held.clear()
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                ids, text = (batch.column(c).slice(i, 1024).to_pylist() for c in range(2))
+                rows, starts, sizes, line = _sets(ids, text, shared.value)
+                if not len(rows):
+                    continue
+                heads = rows[starts]
+                yield pa.RecordBatch.from_arrays([pa.array(["line"] * len(heads)), pa.nulls(len(heads), pa.int64()), pa.nulls(len(heads), pa.binary()), pa.nulls(len(heads), pa.bool_()), *[pa.array(np.ascontiguousarray(heads[f])) for f in ("k", "bm", "doc", "no")]], names=["kind", "p", "blob", "asks", "k", "bm", "doc", "no"])
+                # a set that this task has seen at an earlier place has its postings already
+                if len(seen) > 500_000:
+                    seen.clear()
+                fresh = np.zeros(len(heads), bool)
+                for j, (k, bm, d, no) in enumerate(zip(*(heads[f].tolist() for f in ("k", "bm", "doc", "no")))):
+                    if (k, bm) not in seen or (d, no) < seen[k, bm]:
+                        seen[k, bm] = (d, no)
+                        fresh[j] = True
+                single = shared.value[rows["h"] & (BUCKETS - 1)] == 1  # the only such word there is
+                held.append(rows[fresh[line] & (rows["pos"] < _prefix(rows["size"].astype(np.int64), t)) & ~single])
+                if sum(map(len, held)) > 400_000:
+                    yield from flush()
+        yield from flush()
+
+    keyed = texts.select(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "text")
+    path = scratch_path(spark, "lines")
+    keyed.mapInArrow(write, "kind string, p long, blob binary, asks boolean, k long, bm long, doc long, no long").write.partitionBy("kind").parquet(path)
+    schema = "p long, blob binary, asks boolean, k long, bm long, doc long, no long, kind string"
+    made = spark.read.schema(schema).parquet(path)
+    lines = made.where("kind = 'line'").select("k", "bm", "doc", "no")
+
+    first = store(_ask(made.where("kind = 'post'").select("p", "blob", "asks"), n, t, NEAREST), "lines-asked")
+    alike = store(_verified(keyed, first.where("ky is not null"), scale, t), "lines-alike")
+    more = first.where("ky is null").select(F.col("kx").alias("k"), F.col("bmx").alias("bm"), F.col("docx").alias("doc"), F.col("nox").alias("no"), "h", "size", "pos").distinct()
+    more = store(more.join(alike, ["k", "bm"], "left_anti"), "lines-more")
+    if not more.isEmpty():
+        alike = store(alike.union(_second(keyed, more, scale, n, split, t)).distinct(), "lines-alike")
+
+    place = F.struct("doc", "no")
+    firsts = lines.groupBy("k", "bm").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    marked = firsts.join(alike.withColumn("gone", F.lit(True)), ["k", "bm"], "left").where("n > 1 or gone")
+    marked = store(marked.select(F.col("k").alias("mk"), F.col("bm").alias("mb"), "first", F.coalesce("gone", F.lit(False)).alias("gone")), "lines-marked")
+    out = lines.join(marked, (lines["k"] == marked["mk"]) & (lines["bm"] == marked["mb"]))
+    out = out.where(F.col("gone") | (place > F.col("first")))
+    back = F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).alias("doc")
+    return out.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("no").cast("int"))).alias("removed")).select(back, "removed")
+
+
+def _second(keyed: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split: int, t: float) -> DataFrame:
+    """The sets of ``more`` (postings that no near line settled) that match any of all earlier postings of their words."""
+    spark = keyed.sparkSession
+    # which buckets of words are asked for: one bit for each
+    asked = np.zeros(BUCKETS, bool)
+    asked[[r[0] for r in more.select(F.col("h").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).distinct().collect()]] = True
+    shared, wanted = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(asked)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                rows, _, _, _ = _sets(*(batch.column(c).slice(i, 1024).to_pylist() for c in range(2)), shared.value)
+                rows = rows[wanted.value[rows["h"] & (BUCKETS - 1)]]
+                rows = rows[rows["pos"] < _prefix(rows["size"].astype(np.int64), t)]
+                yield from _as_batches(_dealt(rows, shared.value, n, split, False, False))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.empty(batch.num_rows, _POSTING)
+            for c, f in enumerate(_POSTING.names):
+                rows[f] = batch.column(c).to_numpy()
+            yield from _as_batches(_dealt(rows, shared.value, n, split, True, False))
+
+    kind = "p long, blob binary, asks boolean"
+    dealt = keyed.mapInArrow(write, kind).union(more.select(*_POSTING.names).mapInArrow(ask, kind))
+    pairs = store(_ask(dealt, n, t, None), "lines-asked")
+    return _verified(keyed, pairs, scale, t)
+
+
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """(doc_id, n_lines, n_removed, removed) for every row of ``docs``; see :func:`removed_lines`."""
+    gone = store(removed_lines(docs, id_col, text_col, threshold), "lines-removed")
+    n = F.regexp_count(F.col(text_col), F.lit("\n")) + 1
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.when(F.length(text_col) > 0, n), F.lit(0)).alias("n_lines"))
+    out = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc"]), "left")
+    some = F.coalesce("removed", F.array().cast("array<int>"))
+    return out.select("doc_id", "n_lines", F.size(some).alias("n_removed"), some.alias("removed"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """``docs`` with the lines of :func:`removed_lines` cut out of the texts; columns as they came."""
+    gone = store(removed_lines(docs, id_col, text_col, threshold), "lines-removed").select(F.col("doc").alias("__doc"), F.col("removed").alias("__removed"))
+    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__doc"]), "left")
+    left = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda _, i: ~F.array_contains("__removed", i)), "\n")
+    cut = F.when(F.col("__removed").isNull(), docs[text_col]).otherwise(left)
+    return out.select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])

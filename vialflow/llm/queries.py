@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialflow.llm import chat, decontam, imatch, mixing, planes, quality, sepscan, simhash, warc
+from vialflow.llm import chat, decontam, imatch, linededup, mixing, planes, quality, sepscan, simhash, warc
 from vialflow.llm.common import table
 from vialflow.session import scratch_path
 
@@ -27,6 +27,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, radius=RADIUS)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that repeat an earlier line, nearly or wholly."""
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through a content-addressed archive and back."""
     path = scratch_path(spark, "warc")
@@ -77,7 +82,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality)
+    f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality)
 }
 
 _BASE32 = "||".join(
