@@ -126,10 +126,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that score below ``threshold``; columns as they came."""
-    names = docs.columns
-    row = F.struct(*[docs[c] for c in names]).alias("row")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     rows = docs.select(row, *[c.cast("double").alias(n) for c, n in zip(statistics(docs[text_col]).values(), NAMES)])
-    return rows.where(model.score() >= threshold).select("row.*")
+    # a filter would be pushed below the statistics and make them anew for each rule; a generator stays above
+    kept = F.when(model.score() >= threshold, F.array("row"))
+    return rows.select(F.explode(kept).alias("row")).select("row.*")
 
 
 def held_out(doc_id: Column) -> Column:
