@@ -31,6 +31,13 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold few rows: whole texts are long, and a worker holds a batch more than once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:  # the default, not a choice of the session's owner
+        spark.conf.set(key, "1000")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

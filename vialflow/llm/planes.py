@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import shuffle_partitions
+from vialflow.llm.common import shuffle_partitions, small_batches
 from vialflow.llm.tokens import encoder
 
 #: Ids in a block.
@@ -55,6 +55,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, kind:
     and empty texts have the end id only. Other columns are not read. An empty
     table makes an archive of no blocks.
     """
+    small_batches(docs.sparkSession)
     n = shards or shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     dealt = rows.repartitionByRange(n, F.col("id"), F.xxhash64("text")).sortWithinPartitions(F.col("id"), F.xxhash64("text"))

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vialflow.llm.common import small_batches
 from vialflow.llm.tokens import encoder
 
 #: Ids in a block.
@@ -31,6 +32,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int, id_co
     counts. ``separator`` must be an id that no text is encoded to. Null and
     empty texts are a separator alone; a null id stays null.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     end = np.array([separator], dtype="<u2").tobytes()
     schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("ids", pa.binary()), ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])

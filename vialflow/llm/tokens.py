@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterable
 
 #: Encodings kept by a worker; past that they are dropped and made anew.
-CACHE = 200_000
+CACHE = 60_000
 _LOADED: dict[tuple[str, bool], "Encoder"] = {}
 
 
