@@ -10,7 +10,7 @@ from vialflow.functions.text import extract_sampleid
 from vialflow.operators import dims
 from vialflow.plans.history import HISTORY_COLUMNS, inventory_history
 from vialflow.plans.inventory import EXTRACT_COLUMNS, SNAPSHOT_COLUMNS, trial_extract, trial_inventory
-from vialflow.plans.sql_text import HISTORY_SQL, run_sql
+from vialflow.plans.sql_text import MONTHLY_SQL, run_sql
 
 
 def _counts(df):
@@ -110,10 +110,20 @@ def test_collation_option(tables):
     assert trial_extract(tables, "building ", collation="UTF8_LCASE_RTRIM").count() == 216
 
 
-def test_sql_text_history_equals_plan(spark, tables):
-    a = run_sql(spark, HISTORY_SQL, tables, trial_code="BUILDING")
-    b = inventory_history(tables, "BUILDING")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_sql_text_counts_the_history(spark, tables):
+    moves = run_sql(spark, MONTHLY_SQL, tables, trial_code="BUILDING").agg({"N_MOVES": "sum"}).first()[0]
+    assert moves == tables["INVENTORY_TRANSACTIONS_VLA"].join(
+        tables["INVENTORY_VLA"].join(tables["CENTRALRECEIVING_VLA"].where("LAST_NAME = 'BUILDING'"), "EXTERNAL_ID"), "INVENTORYID"
+    ).count()
+
+
+def test_headers_reached_grow_with_the_ledger(spark):
+    from vialflow.sources.fixtures import derive_lims_tables
+
+    for sf in ("0.001", "0.01"):
+        t = derive_lims_tables(spark, f"/root/testdata/sf{sf}")
+        ids = t["INVENTORY_TRANSACTIONS_VLA"].select("TRANSACTION_ID").distinct()
+        assert t["TRANSACTIONS"].join(ids, "TRANSACTION_ID", "left_semi").count() > 0.9 * t["TRANSACTIONS"].count()
 
 
 def test_history_sorted(tables):

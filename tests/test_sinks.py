@@ -106,3 +106,44 @@ def test_unsupported_codec_fails_early(tables):
 
     with pytest.raises(ValueError, match="brotli"):
         extract_trial(tables, "BUILDING", _fresh_dir(), parquet_compression="brotli")
+
+
+def test_multi_trial_rerun_unknown_and_collation(spark, tables):
+    import pytest
+
+    from vialflow.job import main
+    from vialflow.sinks.parquet import read_trials
+    from vialflow.sources.tables import LimsTables
+
+    out = _fresh_dir()
+    first = extract_trials(tables, ["BUILDING", "MACHINERY", "NOPE"], out, download_history=True)
+    assert first["trials"]["BUILDING"]["rows"] == 216 and first["trials"]["BUILDING"]["not_viable"] == 130
+    assert first["trials"]["BUILDING"]["history_rows"] == 1336
+    assert first["trials"]["NOPE"] == {"LAST_NAME": "NOPE", "rows": 0, "not_viable": 0, "history_rows": 0}
+    none = extract_trials(tables, ["NOPE"], _fresh_dir())
+    empty = read_trials(spark, none["snapshot"])
+    assert empty.count() == 0 and "VIABLE" in empty.columns
+    # a trial that has lost its receipts loses its rows; another trial's stay
+    frames = dict(tables.frames)
+    frames["CENTRALRECEIVING_VLA"] = frames["CENTRALRECEIVING_VLA"].where("LAST_NAME <> 'BUILDING'")
+    again = extract_trials(LimsTables(frames), ["BUILDING"], out)
+    assert again["trials"]["BUILDING"]["rows"] == 0
+    left = {r.LAST_NAME: r["count"] for r in read_trials(spark, first["snapshot"]).groupBy("LAST_NAME").count().collect()}
+    assert set(left) == {"MACHINERY"}
+    # codes keep their type
+    frames = dict(tables.frames)
+    frames["CENTRALRECEIVING_VLA"] = frames["CENTRALRECEIVING_VLA"].replace({"BUILDING": "007", "MACHINERY": "7"}, subset="LAST_NAME")
+    typed = extract_trials(LimsTables(frames), ["007", "7"], _fresh_dir())
+    assert typed["trials"]["007"]["rows"] == 216 and typed["trials"]["7"]["rows"] > 0
+    assert {r.LAST_NAME for r in read_trials(spark, typed["snapshot"]).select("LAST_NAME").distinct().collect()} == {"007", "7"}
+    loose = extract_trials(tables, ["building ", "NOPE"], _fresh_dir(), collation="UTF8_LCASE_RTRIM")
+    assert loose["trials"]["building "]["rows"] == 216
+    with pytest.raises(SystemExit):
+        main(["--fixture-dir", "x", "--trial-code", "A", "--trial-code", "B", "--output-dir", out, "--add-trial-to-path"], spark=spark)
+
+
+def test_stop_characters_of_a_regex_class(spark):
+    from vialflow.functions.text import redact_labelled
+
+    df = spark.createDataFrame([("PWD=a[b",), ("PWD=a&&b",)], "t string")
+    assert [r[0] for r in df.select(redact_labelled("t", "PWD=", "[&")).collect()] == ["PWD=****[b", "PWD=****&&b"]

@@ -83,7 +83,7 @@ def redact_labelled_sql(col: str, label: str, stop_chars: str = ";", mask: str =
     ``label`` is a regex matched case-insensitively; all occurrences are
     replaced and the label itself is kept: ``PWD=secret;`` -> ``PWD=****;``.
     """
-    stop = "".join("\\" + ch if ch in "]\\^-" else ch for ch in stop_chars)
+    stop = "".join("\\" + ch if ch in "[]\\^-&" else ch for ch in stop_chars)
     pattern = quote(f"(?i)({label})[^{stop}]*")
     replacement = quote("$1" + mask.replace("\\", "\\\\").replace("$", "\\$"))
     return f"regexp_replace({col}, {pattern}, {replacement})"

@@ -65,6 +65,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     codes = [c for c in args.trial_code]
     if any(not c or not c.strip() for c in codes):
         raise SystemExit("trial code must be a non-blank string")
+    if len(set(codes)) > 1 and (args.add_trial_to_path or args.include_dsn_in_filename):
+        raise SystemExit("--add-trial-to-path and --include-dsn-in-filename name single-trial files; several trials share one dataset")
+    codes = list(dict.fromkeys(codes))
     spark = spark or SparkSession.builder.appName("vialflow-extract").getOrCreate()
     if not spark.sparkContext.master.startswith("local"):
         apply_cluster_conf(spark)  # cluster defaults, never overriding what the submit set
@@ -78,7 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                             include_dsn_in_filename=args.include_dsn_in_filename, collation=args.collation, **common)
         summary = {k: v for k, v in vars(res).items() if k != "extra"}
     else:
-        summary = extract_trials(t, codes, args.output_dir, **common)
+        summary = extract_trials(t, codes, args.output_dir, collation=args.collation, **common)
     print(json.dumps(summary))
     return summary
 

@@ -35,6 +35,9 @@ def spread_key(key: Column, salt_cols: Sequence[str], data_type: T.DataType) ->
         salt = F.hash(*cols)
     elif isinstance(data_type, T.StringType):
         salt = F.xxhash64(*cols).cast("string")
+    elif isinstance(data_type, T.DecimalType):
+        digits = min(data_type.precision - data_type.scale, 18)
+        salt = F.pmod(F.xxhash64(*cols), F.lit(10**digits)).cast(data_type)
     else:
         return key
     return F.coalesce(key, salt)

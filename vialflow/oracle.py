@@ -178,7 +178,12 @@ BODIES: dict[str, str] = {
     "scan_specimen_tables": "\nUNION ALL\n".join(
         f"SELECT '{n}' AS TABLE_NAME, count(*) AS N_ROWS FROM {n}" for n in TABLE_NAMES
     ),
-    "param_query": history_sql(TRIAL_WHERE),
+    "param_query": f"""
+SELECT led.LOCATIONCODE, CAST(date_trunc('month', rcpt.DATE_RECEIVED) AS DATE) AS RECEIVED_MONTH,
+    count(*) AS N_MOVES, sum(led.AMOUNTLEFT) AS AMOUNT
+FROM CENTRALRECEIVING_VLA rcpt JOIN INVENTORY_VLA vial ON vial.EXTERNAL_ID = rcpt.EXTERNAL_ID
+    JOIN INVENTORY_TRANSACTIONS_VLA led ON led.INVENTORYID = vial.INVENTORYID
+{TRIAL_WHERE} GROUP BY 1, 2""",
     "history_stream": history_sql(TRIAL_WHERE),
     "sink_roundtrip": extract_sql(TRIAL_WHERE),
     "trial_slug": f"""

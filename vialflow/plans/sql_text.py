@@ -3,8 +3,7 @@
 Users who keep their extraction as SQL text run it here: tables are bound
 as DataFrames (``{NAME}`` placeholders, no global temp views), and the one
 named parameter ``:trial_code`` is bound only when a code is given, like
-the original job. Correlated ``OUTER APPLY`` is restated as plain left joins
-(see ``HISTORY_SQL``); a computed apply becomes a column expression.
+the original job.
 """
 
 from __future__ import annotations
@@ -14,21 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import LimsTables
 from ..sqltext import run
 
-HISTORY_SQL = """
-SELECT led.INVENTORYID, led.TRANSACTION_ID, hdr.TRANSACTION_DT, hdr.USRNAM, led.AMOUNTLEFT,
-       led.AMOUNT_UNIT_CODE, hdr.TRANSACTION_TYPE, led.COMMENTS, led.CONTAINER_POS_Y, led.CONTAINER_POS_X,
-       led.FLAG_CURRENT, box.EXTERNAL_CODE AS BOX_NAME, box.INVENTORY_CODE AS BOX_CODE,
-       (led.CONTAINER_POS_Y - 1) * mat.CONTAINER_AXIS_X_SIZE + led.CONTAINER_POS_X AS BOX_POS,
-       loc.LOCATION_NAME, loc.LONGNAME
-FROM {INVENTORY_TRANSACTIONS_VLA} led
-  JOIN {INVENTORY_VLA} vial ON vial.INVENTORYID = led.INVENTORYID
-  JOIN {CENTRALRECEIVING_VLA} rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID
-  LEFT JOIN {TRANSACTIONS} hdr ON hdr.TRANSACTION_ID = led.TRANSACTION_ID
-  LEFT JOIN {INVENTORY} box ON box.INVENTORYID = led.CONTAINER_INVENTORYID AND box.INVENTORYID <> led.INVENTORYID
-  LEFT JOIN {MATERIALS} mat ON mat.MATCODE = box.MATCODE
-  LEFT JOIN {LOCATIONS} loc ON loc.LOCATIONCODE = led.LOCATIONCODE
-WHERE rcpt.LAST_NAME = :trial_code
-ORDER BY led.INVENTORYID, led.TRANSACTION_ID
+#: A sample of user text: what a trial's ledger moved at each location, by month of receipt.
+MONTHLY_SQL = """
+SELECT moved.LOCATIONCODE, trunc(seen.DATE_RECEIVED, 'MM') AS RECEIVED_MONTH,
+       count(*) AS N_MOVES, sum(moved.AMOUNTLEFT) AS AMOUNT
+FROM {CENTRALRECEIVING_VLA} seen
+  JOIN {INVENTORY_VLA} tube ON tube.EXTERNAL_ID = seen.EXTERNAL_ID
+  JOIN {INVENTORY_TRANSACTIONS_VLA} moved ON moved.INVENTORYID = tube.INVENTORYID
+WHERE seen.LAST_NAME = :trial_code
+GROUP BY moved.LOCATIONCODE, trunc(seen.DATE_RECEIVED, 'MM')
 """
 
 

@@ -24,7 +24,7 @@ from .plans.inventory import (
     RECEIPT_METADATA_ROLES, VIAL_METADATA_ROLES, current_ledger, metadata_role, receipts_with_schedule,
     sample_containers, trial_extract, trial_inventory, trial_receipts, trial_vials,
 )
-from .plans.sql_text import HISTORY_SQL, run_sql
+from .plans.sql_text import MONTHLY_SQL, run_sql
 from .session import scratch_path
 from .sinks.parquet import HISTORY_SUFFIX, PARQUET_EXT, PROD_SUFFIX, extract_trial, slug_report
 from .functions.text import slug_sql
@@ -53,7 +53,7 @@ def q_scan_specimen_tables(spark, sf_dir):
 
 
 def q_param_query(spark, sf_dir):
-    return run_sql(spark, HISTORY_SQL, _tables(spark, sf_dir), trial_code=TRIAL)
+    return run_sql(spark, MONTHLY_SQL, _tables(spark, sf_dir), trial_code=TRIAL)
 
 
 def q_sink_roundtrip(spark, sf_dir):

@@ -14,15 +14,16 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
 from ..functions.text import DIGIT_COMMA, LATIN_FROM, LATIN_PAIRS, LATIN_TO, slug
 from ..operators.summary import observe_rows, observe_viability
 from ..plans.history import HISTORY_ORDER, inventory_history
-from ..plans.inventory import materialize_trial_vials, trial_extract
+from ..plans.inventory import materialize_trial_vials, trial_extract, trial_filter_sql
 from ..sources.tables import LimsTables
+from ..sqltext import run
 
 log = logging.getLogger(__name__)
 
@@ -171,19 +172,87 @@ def _extract_trial(
         result.not_viable = bad
         rows = result.snapshot_rows
         result.percent_not_viable = round(bad / rows * 100, 2) if rows > 0 else 0.0
-        log.info("Flagged %d non-viable specimens (%s%%).", bad, result.percent_not_viable)
-    log.info("%d %s records saved to %s with %s compression.", result.snapshot_rows, trial_code, path,
-             parquet_compression)
+        log.info("trial %s: %d rows not viable, %s%%", trial_code, bad, result.percent_not_viable)
+    log.info("trial %s: wrote %d snapshot rows, path=%s codec=%s", trial_code, result.snapshot_rows, path, parquet_compression)
     if download_history:
         hist, hobs = observe_rows(inventory_history(t, trial_code, collation=collation, vials=vials), "history")
         hpath = history_path(path)
         write_parquet(hist, hpath, parquet_compression)
         result.history_path = hpath
         result.history_rows = int(hobs.get.get("rows", 0))
-        log.info("%d history records for %s saved to %s.", result.history_rows, trial_code, hpath)
+        log.info("trial %s: wrote %d history rows, path=%s", trial_code, result.history_rows, hpath)
     return result
 
 
+#: Folder key of a multi-trial dataset; the code itself stays in the files, as a string.
+TRIAL_KEY = "TRIAL_PARTITION"
+
+
+def _trial_folder(spark, path: str, code: str) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path}/{TRIAL_KEY}={escape(code)}"
+
+
+def _trial_folders(spark, path: str) -> list[str]:
+    """The trial codes that have a folder below ``path``."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
+    return [utils.unescapePathName(n.partition("=")[2]) for n in names if n.startswith(f"{TRIAL_KEY}=")]
+
+
+def read_trials(spark, path: str) -> DataFrame:
+    """A multi-trial dataset as written: codes are strings whatever they look like."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+def _write_trials(df: DataFrame, path: str, codes: list[str] | None, collation: str | None, compression: str, viable: bool) -> dict[str, dict]:
+    """Write ``df`` by trial and make ``path`` hold this run's rows for every trial asked for.
+
+    Counts are observed during the write, one aggregate for each code asked
+    for. Folders of those trials that got no row in this run are removed, and a
+    code without rows gets an empty dataset with the full schema. For all
+    trials (``codes`` None) every folder not written is old; the counts are
+    then read from the files, which hold nothing else.
+    """
+    spark = df.sparkSession
+    schema = df.schema
+    found: dict[str, dict] = {}
+    exprs = []
+    for i, code in enumerate(codes or []):
+        hit = F.collate("LAST_NAME", collation) == F.collate(F.lit(code), collation) if collation else F.col("LAST_NAME") == code
+        exprs.append(F.count_if(hit).alias(f"rows_{i}"))
+        if viable:
+            exprs.append(F.count_if(hit & ~F.col("VIABLE")).alias(f"bad_{i}"))
+    seen = F.collect_set("LAST_NAME").alias("seen")  # trials, not rows
+    watch = Observation()
+    out = df.observe(watch, seen, *exprs).withColumn(TRIAL_KEY, F.col("LAST_NAME"))
+    write_parquet(out, path, compression, partition_by=(TRIAL_KEY,))
+    got = watch.get
+    written = set(got.get("seen") or [])
+    old = [c for c in _trial_folders(spark, path) if c not in written]
+    if codes is not None and old:
+        asked = spark.createDataFrame([(c,) for c in old], "LAST_NAME string")
+        pred, args = trial_filter_sql("LAST_NAME", codes, collation)
+        old = [r[0] for r in run(spark, f"SELECT LAST_NAME FROM {{OLD}} WHERE {pred}", {"OLD": asked}, args).collect()]
+    for code in old:
+        delete_path(spark, _trial_folder(spark, path, code))
+    for i, code in enumerate(codes or []):
+        found[code] = {"LAST_NAME": code, "rows": int(got.get(f"rows_{i}") or 0)}
+        if viable:
+            found[code]["not_viable"] = int(got.get(f"bad_{i}") or 0)
+        if not found[code]["rows"]:
+            empty = spark.createDataFrame([], schema)
+            empty.write.mode("overwrite").option("compression", check_codec(compression)).parquet(_trial_folder(spark, path, code))
+    if codes is None and written:
+        aggs = [F.count(F.lit(1)).alias("rows"), *([F.count_if(~F.col("VIABLE")).alias("not_viable")] if viable else [])]
+        found = {r["LAST_NAME"]: r.asDict() for r in read_trials(spark, path).groupBy("LAST_NAME").agg(*aggs).collect()}
+    return found
+
+
 def extract_trials(
     t: LimsTables,
     trial_codes: Sequence[str] | None,
@@ -194,43 +263,41 @@ def extract_trials(
     exclude_matcodes: Iterable = DEFAULT_EXCLUDE_MATCODES,
     parquet_compression: str = DEFAULT_COMPRESSION,
     download_history: bool = False,
+    collation: str | None = None,
     semi_join_reduction: bool = True,
-) -> dict[str, str]:
-    """Many trials in one job per dataset, partitioned by ``LAST_NAME``.
-
-    A re-run replaces only the partitions of the trials it wrote. History is
-    range-sorted on its order keys within each trial's files. With explicit
-    ``trial_codes`` the same semi-join reduction as :func:`extract_trial` is
-    used (it switches itself off when the trials' vials are too many to
-    broadcast); ``None`` (all trials) is not selective and skips it.
+) -> dict:
+    """Many trials in one job per dataset, one folder per trial.
+
+    A re-run replaces the folders of the trials asked for and no others; a
+    trial without rows ends up as an empty dataset with the full schema. Read
+    the result with :func:`read_trials`, or with any Parquet reader by the
+    ``LAST_NAME`` column, which is in the files. Returns the paths and, by
+    code, the rows, the rows not viable and the history rows. History is
+    range-sorted on its order keys within each trial's files.
     """
-    vials = materialize_trial_vials(t, trial_codes) if semi_join_reduction and trial_codes is not None else None
+    codes = None if trial_codes is None else list(dict.fromkeys(trial_codes))
+    check_codec(parquet_compression)
+    vials = materialize_trial_vials(t, codes, collation) if semi_join_reduction and codes is not None else None
     try:
         out = output_dir.rstrip("/")
         snapshot = trial_extract(
-            t, trial_codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
-            exclude_matcodes=exclude_matcodes, vials=vials,
+            t, codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
+            exclude_matcodes=exclude_matcodes, collation=collation, vials=vials,
         )
         paths: dict = {"snapshot": f"{out}/inventory"}
-        write_parquet(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], parquet_compression,
-                      partition_by=("LAST_NAME",))
-        written = t.spark.read.parquet(paths["snapshot"])
-        if codes := (list(trial_codes) if trial_codes is not None else None):
-            written = written.where(F.col("LAST_NAME").isin(codes))
-        # one row per trial (bounded by the number of trials), like the original per-run log line
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        if not no_viable:
-            aggs += [F.count_if(~F.col("VIABLE")).alias("not_viable")]
-        paths["trials"] = {r["LAST_NAME"]: r.asDict() for r in written.groupBy("LAST_NAME").agg(*aggs).collect()}
-        for code, row in sorted(paths["trials"].items()):
-            log.info("%d %s records saved to %s.", row["rows"], code, paths["snapshot"])
+        paths["trials"] = _write_trials(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], codes, collation,
+                                        parquet_compression, not no_viable)
         if download_history:
-            hist = inventory_history(t, trial_codes, sort=False, with_trial=True, vials=vials)
+            hist = inventory_history(t, codes, collation=collation, sort=False, with_trial=True, vials=vials)
             # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
             hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
             hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
             paths["history"] = f"{out}/history"
-            write_parquet(hist, paths["history"], parquet_compression, partition_by=("LAST_NAME",))
+            counted = _write_trials(hist, paths["history"], codes, collation, parquet_compression, False)
+            for code, row in counted.items():
+                paths["trials"].setdefault(code, {"LAST_NAME": code, "rows": 0})["history_rows"] = row["rows"]
+        for code, row in sorted(paths["trials"].items()):
+            log.info("trial %s: %s", code, ", ".join(f"{k}={v}" for k, v in row.items() if k != "LAST_NAME"))
         return paths
     finally:
         if vials is not None:

@@ -43,6 +43,9 @@ def spread(key: str, salt_cols: Sequence[str], data_type: str) -> str:
         return f"coalesce({key}, hash({salts}))"
     if data_type == "string":
         return f"coalesce({key}, CAST(xxhash64({salts}) AS STRING))"
+    if found := re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", data_type):
+        digits = min(int(found[1]) - int(found[2]), 18)
+        return f"coalesce({key}, CAST(pmod(xxhash64({salts}), {10 ** digits}) AS {data_type}))"
     return key
 
 
