@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable
 
-#: Encodings kept by a worker; past that they are dropped and made anew.
-CACHE = 60_000
+#: Words in each of the two generations of encodings that a worker keeps. When the young one is full, the old one is
+#: dropped and the young one becomes the old; words that are met again move to the young one, so common words stay.
+CACHE = 250_000
 _LOADED: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -24,21 +26,23 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
-        self.known: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: Iterable[bytes | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        import numpy as np
-
         split = [t.split() if t else [] for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = {w for words in split for w in words if w not in young}
+        young.update((w, old[w]) for w in missing if w in old)
+        new = [w for w in missing if w not in old]
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            young.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded))
+        return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
 def encoder(path: str, plain_specials: bool = False) -> Encoder:
