@@ -372,3 +372,15 @@ def test_quality_odd_rows(spark):
     ones = quality.fit(d, labels.where("quality = 1"))
     assert all(r.score > 0.9 for r in quality.scored(odd(spark), ones).collect())
     assert quality.scored(odd(spark).limit(0), model).count() == 0
+
+
+def test_plain_words_encode_as_the_library_does():
+    from vialflow.llm.tokens import Encoder
+
+    encoder = Encoder(queries.vocabulary(), False)
+    assert encoder.words.plain
+    words = ["Ä", "ÀÖØöøÿßÞ!", "é...", "İx", "J̌", "áb", "x's", "'tis", "<|endoftext|>", "ab<|endoftext|>", "ABC_`^~", "ſ", "Åb{}", "ª", "×", "÷a", "日本。", "3a", "A1!", "--", "a­b", "ßẞ", "Ελλάς"]
+    words += [chr(c) + tail for c in range(0x21, 0x250) if not chr(c).isspace() for tail in ("", "x", "!?")]
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert encoder.encode([w.encode() for w in words]) == want
+    assert encoder.encode([w.encode() for w in words]) == want  # from the cache
