@@ -195,3 +195,34 @@ def test_trial_code_is_bound_not_spliced(tables):
     """A trial code is a bound parameter: quotes in it are data, not SQL."""
     assert trial_extract(tables, "X' OR '1'='1").count() == 0
     assert inventory_history(tables, ["BUILDING' --", "Y"]).count() == 0
+
+
+def test_snapshot_with_salted_boxes_equals_broadcast_boxes(spark, tables):
+    """Boxes too big to broadcast are joined on (box, salt): the same rows, and the ledger count is cut to boxes in use."""
+    from vialflow.plans.inventory import trial_inventory
+
+    small = trial_inventory(tables, None).collect()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "vialflow.broadcast.maxBytes": "1", "vialflow.broadcast.maxRows": "0"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = trial_inventory(tables, None)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        salted = df.collect()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "pmod(hash(" in plan and "LeftSemi" in plan
+    assert sorted(map(str, salted)) == sorted(map(str, small)) and small
+
+
+def test_jdbc_options():
+    from vialflow.sources import tables as src
+
+    assert src.jdbc_range_options("TRANSACTIONS", 5, 900, 8) == {
+        "partitionColumn": "TRANSACTION_ID", "lowerBound": "5", "upperBound": "901", "numPartitions": "8"}
+    assert src.jdbc_bounds_query("INVENTORY") == "(SELECT MIN(INVENTORYID) AS LO, MAX(INVENTORYID) AS HI FROM INVENTORY) q"
+    predicates = src.jdbc_hash_predicates("METADATA", 4)
+    assert len(set(predicates)) == 4 and predicates[3] == "(CHECKSUM(ID) & 2147483647) % 4 = 3"
+    assert all(column in src.COLUMNS[name] for name, column in {**src.RANGE_COLUMNS, **src.HASH_COLUMNS}.items())
+    assert set(src.RANGE_COLUMNS) | set(src.HASH_COLUMNS) | src.DIMENSION_TABLES == set(src.TABLE_NAMES)

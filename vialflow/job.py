@@ -45,6 +45,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--parquet-compression", default=DEFAULT_COMPRESSION)
     p.add_argument("--download-history", action="store_true")
     p.add_argument("--collation", default=None, help='e.g. "UTF8_LCASE_RTRIM"')
+    p.add_argument("--seq-empty-as-zero", action="store_true", help="an empty sequence is number 0, not missing")
+    p.add_argument("--jdbc-partitions", type=int, default=64, help="parallel reads of each large table")
     return p.parse_args(argv)
 
 
@@ -53,7 +55,7 @@ def load_tables(spark: SparkSession, args: argparse.Namespace) -> LimsTables:
         return read_parquet_tables(spark, args.tables)
     if args.jdbc_url:
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
-        return read_jdbc_tables(spark, args.jdbc_url, props)
+        return read_jdbc_tables(spark, args.jdbc_url, props, num_partitions=args.jdbc_partitions)
     from .sources.fixtures import derive_lims_tables
 
     return derive_lims_tables(spark, args.fixture_dir)
@@ -75,7 +77,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     t = load_tables(spark, args)
     mats = [None if m == NONE_TOKEN else m for m in args.exclude_matcodes]
     common = dict(no_viable=args.no_viable, exclude_conditions=args.exclude_conditions, exclude_matcodes=mats,
-                  parquet_compression=args.parquet_compression, download_history=args.download_history)
+                  parquet_compression=args.parquet_compression, download_history=args.download_history,
+                  seq_empty_as_zero=args.seq_empty_as_zero)
     if len(codes) == 1:
         res = extract_trial(t, codes[0], args.output_dir, add_trial_to_path=args.add_trial_to_path,
                             include_dsn_in_filename=args.include_dsn_in_filename, collation=args.collation, **common)

@@ -252,18 +252,18 @@ JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
 WHERE {trial_pred}"""
 
 
-def vials_from_table_ctes(t: LimsTables, reduce: bool) -> str:
+def vials_from_table_ctes(t: LimsTables, broadcast_vials: bool) -> str:
     """CTEs ``base`` (the bound ``{TRIAL_VIALS}``) and ``vials`` (+ receipt
-    metadata and schedule, inner). With ``reduce`` the receipt-role METADATA
-    is first cut to the trial's receipts by a broadcast semi join."""
+    metadata and schedule, inner). The receipt-role METADATA is first cut to
+    the trial's receipts by a semi join, broadcast if ``broadcast_vials``."""
     sched_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
     cr_roles = ", ".join(f"M.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
-    semi = "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID" if reduce else ""
+    semi = "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID"
     base_cols = ", ".join(f"B.{c}" for c in VIAL_COLUMNS[:12])
     roles = ", ".join(f"CRM.{n}" for n in RECEIPT_METADATA_ROLES.values())
     return f"""sched AS ({dims.schedule_sql(t)}),
 base AS (SELECT * FROM {{TRIAL_VIALS}}),
-crm AS (SELECT {hint(["RB"]) if reduce else ""} M.ID, {cr_roles} FROM {{METADATA}} M {semi}),
+crm AS (SELECT {hint(["RB"]) if broadcast_vials else ""} M.ID, {cr_roles} FROM {{METADATA}} M {semi}),
 vials AS (
         SELECT {sched_hint} {base_cols}, {roles},
                S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
@@ -272,6 +272,10 @@ vials AS (
         JOIN sched S ON S.TMS_ID = B.CR_TMS)"""
 
 
+#: Copies of a box row in the snapshot's box join, and so the tasks that a hot box spreads over at least.
+BOX_SALTS = 16
+
+
 def snapshot_sql(
     t: LimsTables,
     trial_pred: str,
@@ -279,25 +283,30 @@ def snapshot_sql(
     seq_empty_as_zero: bool = False,
     extra: dict | None = None,
     vials_table: bool = False,
-    reduce_by_vials: bool = False,
-    reduce_ledger: bool = False,
+    broadcast_vials: bool = False,
+    broadcast_ledger: bool = False,
 ) -> str:
     """The snapshot as one statement (see module doc for the join order).
 
     ``extra`` adds computed output columns ({name: SQL over snapshot names}).
     ``vials_table`` reads the trial's vials from the bound table
     ``{TRIAL_VIALS}`` and their ledger rows from ``{TRIAL_LEDGER}`` instead of
-    joining them inline. ``reduce_by_vials`` (only with a table whose size was
-    checked) broadcasts the vials into semi joins that cut SAMPLECONTAINERS
-    and METADATA down to the trial inside each scan task; ``reduce_ledger``
-    does the same for INVENTORY and the box ledger counts, keyed by the boxes
-    the trial's ledger rows point at. Nothing large is shuffled then.
+    joining them inline; semi joins then cut SAMPLECONTAINERS and METADATA to
+    the trial. There and for all trials, boxes and their ledger counts are cut
+    to the boxes that the current ledger rows at hand point at. The flags only
+    say that these sets are proven small, so that the same semi joins run as
+    broadcasts inside the scan tasks.
+
+    A box so cut that is not broadcast meets its vials on (box, salt), with the box
+    row once for each of ``BOX_SALTS``: both sides are then shuffled for this
+    join, a hot box spreads over as many tasks, and AQE may split it further.
     """
     vial_salt = ["V.VIAL_ID"]
+    boxes_small = broadcast_ledger or dims.boxes_fit(t, True)
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
         # the counted trial ledger, and boxes cut to those it references, are small too
-        + (["IT", "PC"] if reduce_ledger else (["PC"] if dims.boxes_fit(t, True) else []))
+        + (["IT", "PC"] if broadcast_ledger else (["PC"] if boxes_small else []))
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
@@ -311,16 +320,20 @@ def snapshot_sql(
     outer = ", ".join(SNAPSHOT_COLUMNS)
     if extra:
         outer += ", " + ", ".join(f"{sql} AS {name}" for name, sql in extra.items())
-    vials = vials_from_table_ctes(t, reduce_by_vials) if vials_table else vials_ctes(t, trial_pred)
-    reduce = hint(["RV"]) if reduce_by_vials else ""
-    semi = (lambda key: f"LEFT SEMI JOIN base RV ON {key} = RV.VIAL_ID") if reduce_by_vials else (lambda key: "")
-    semi_meta = "LEFT SEMI JOIN base RV ON M.ID = RV.INV_GUID" if reduce_by_vials else ""
+    vials = vials_from_table_ctes(t, broadcast_vials) if vials_table else vials_ctes(t, trial_pred)
+    reduce = hint(["RV"]) if broadcast_vials else ""
+    semi = (lambda key: f"LEFT SEMI JOIN base RV ON {key} = RV.VIAL_ID") if vials_table else (lambda key: "")
+    semi_meta = "LEFT SEMI JOIN base RV ON M.ID = RV.INV_GUID" if vials_table else ""
     ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
-    box_ids_cte = (
-        "\nbox_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM {TRIAL_LEDGER}"
-        " WHERE CONTAINER_INVENTORYID IS NOT NULL),"
-        if reduce_ledger else ""
-    )
+    # one trial stated inline has no set of box ids at hand short of stating its vials again
+    cut_boxes = vials_table or trial_pred == "TRUE"
+    box_ids_cte = ""
+    if cut_boxes:
+        box_ids_cte = "\nbox_ids AS (SELECT DISTINCT B.CONTAINER_INVENTORYID AS BOX_ID FROM it B WHERE B.CONTAINER_INVENTORYID IS NOT NULL),"
+    box_source, box_salt = "boxes", ""
+    if cut_boxes and not boxes_small:
+        box_source = f"(SELECT B.*, SALT FROM boxes B LATERAL VIEW explode(sequence(0, {BOX_SALTS - 1})) salts AS SALT)"
+        box_salt = f" AND PC.SALT = pmod(hash(V.VIAL_ID), {BOX_SALTS})"
     return f"""
 WITH {vials},
 sc AS (SELECT {reduce} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
@@ -331,7 +344,7 @@ it AS (SELECT IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT,
         FROM {ledger} IT
         WHERE IT.FLAG_CURRENT = 1),{box_ids_cte}
 vial_meta AS (SELECT {reduce} M.ID, {iv_roles} FROM {{METADATA}} M {semi_meta}),
-boxes AS ({dims.boxes_sql(t, True, "box_ids" if reduce_ledger else None, reduce_ledger)}),
+boxes AS ({dims.boxes_sql(t, True, "box_ids" if cut_boxes else None, broadcast_ledger)}),
 locs AS ({dims.location_path_sql(t)}),
 snap AS (
         SELECT {main_hint}
@@ -342,7 +355,7 @@ snap AS (
         JOIN it IT ON IT.INVENTORYID = V.VIAL_ID
         JOIN vial_meta IVM ON IVM.ID = V.INV_GUID
         LEFT JOIN {{CONTAINERS_CONDITION}} CC ON CC.CONTCODE = {cc_key} AND SC.CONTCODE IS NOT NULL
-        LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
+        LEFT JOIN {box_source} PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}{box_salt}
                AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> V.VIAL_ID
         LEFT JOIN locs LP ON LP.RACK_CODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL)
 SELECT {outer}
@@ -439,6 +452,7 @@ def trial_extract(
     exclude_conditions: Iterable = DEFAULT_EXCLUDE_CONDITIONS,
     exclude_matcodes: Iterable = DEFAULT_EXCLUDE_MATCODES,
     collation: str | None = None,
+    seq_empty_as_zero: bool = False,
     vials: TrialVials | None = None,
 ) -> DataFrame:
     """Snapshot + ``SAMPLEID``/``SAMPLEID2`` from comments + ``VIABLE`` flag.
@@ -450,13 +464,13 @@ def trial_extract(
     if not no_viable:
         floating = t.col_type("INVENTORY_TRANSACTIONS_VLA", "AMOUNTLEFT") in ("double", "float")
         extra["VIABLE"] = viable_sql(floating, exclude_conditions, exclude_matcodes)
-    return _snapshot(t, trial_codes, collation, vials, extra=extra)
+    return _snapshot(t, trial_codes, collation, vials, seq_empty_as_zero=seq_empty_as_zero, extra=extra)
 
 
 def _snapshot(t, trial_codes, collation, vials, **kw) -> DataFrame:
     if vials is None:
         pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
         return run(t.spark, snapshot_sql(t, pred, **kw), t, args)
-    text = snapshot_sql(t, "TRUE", vials_table=True, reduce_by_vials=vials.broadcastable,
-                        reduce_ledger=vials.ledger_broadcastable, **kw)
+    text = snapshot_sql(t, "TRUE", vials_table=True, broadcast_vials=vials.broadcastable,
+                        broadcast_ledger=vials.ledger_broadcastable, **kw)
     return run(t.spark, text, vials.tables(t))

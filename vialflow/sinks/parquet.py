@@ -122,6 +122,7 @@ def extract_trial(
     parquet_compression: str = DEFAULT_COMPRESSION,
     download_history: bool = False,
     collation: str | None = None,
+    seq_empty_as_zero: bool = False,
     semi_join_reduction: bool = True,
 ) -> ExtractResult:
     """The whole job for one trial: snapshot (+ optional history) to Parquet.
@@ -144,6 +145,7 @@ def extract_trial(
             include_dsn_in_filename=include_dsn_in_filename, no_viable=no_viable,
             exclude_conditions=exclude_conditions, exclude_matcodes=exclude_matcodes,
             parquet_compression=parquet_compression, download_history=download_history, collation=collation,
+            seq_empty_as_zero=seq_empty_as_zero,
         )
     finally:
         if vials is not None:
@@ -153,11 +155,11 @@ def extract_trial(
 
 def _extract_trial(
     t, trial_code, output_dir, vials, *, add_trial_to_path, include_dsn_in_filename, no_viable,
-    exclude_conditions, exclude_matcodes, parquet_compression, download_history, collation,
+    exclude_conditions, exclude_matcodes, parquet_compression, download_history, collation, seq_empty_as_zero,
 ) -> ExtractResult:
     snapshot = trial_extract(
         t, trial_code, no_viable=no_viable, exclude_conditions=exclude_conditions,
-        exclude_matcodes=exclude_matcodes, collation=collation, vials=vials,
+        exclude_matcodes=exclude_matcodes, collation=collation, seq_empty_as_zero=seq_empty_as_zero, vials=vials,
     )
     path = parquet_path(trial_code, output_dir, include_dsn_in_filename, add_trial_to_path)
     if no_viable:
@@ -264,6 +266,7 @@ def extract_trials(
     parquet_compression: str = DEFAULT_COMPRESSION,
     download_history: bool = False,
     collation: str | None = None,
+    seq_empty_as_zero: bool = False,
     semi_join_reduction: bool = True,
 ) -> dict:
     """Many trials in one job per dataset, one folder per trial.
@@ -282,7 +285,7 @@ def extract_trials(
         out = output_dir.rstrip("/")
         snapshot = trial_extract(
             t, codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
-            exclude_matcodes=exclude_matcodes, collation=collation, vials=vials,
+            exclude_matcodes=exclude_matcodes, collation=collation, seq_empty_as_zero=seq_empty_as_zero, vials=vials,
         )
         paths: dict = {"snapshot": f"{out}/inventory"}
         paths["trials"] = _write_trials(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], codes, collation,

@@ -97,13 +97,13 @@ class LimsTables(Mapping[str, DataFrame]):
     def bounded_rows(self, name: str, cap: int) -> int | None:
         """Exact row count if it is at most ``cap``, else ``None``.
 
-        ``limit(cap + 1).count()`` stops every scan task after ``cap + 1``
-        rows, so the probe costs little even when the table is larger.
-        Remembered per table and cap (one small job per session).
+        A plain count, one number from each scan task: only dimension tables
+        under a byte bound are counted. Remembered per table and cap (one
+        small job per session).
         """
         key = (name, cap)
         if key not in self._rows:
-            n = self[name].limit(cap + 1).count()
+            n = self[name].count()
             self._rows[key] = n if n <= cap else None
         return self._rows[key]
 
@@ -134,39 +134,75 @@ def read_parquet_tables(spark: SparkSession, base: str, names=TABLE_NAMES) -> Li
     return LimsTables(frames)
 
 
+# Numeric column by whose ranges a large table is read in parallel over JDBC.
+RANGE_COLUMNS = {
+    "CENTRALRECEIVING_VLA": "ORIGREC", "INVENTORY_VLA": "INVENTORYID", "INVENTORY": "INVENTORYID",
+    "INVENTORY_TRANSACTIONS_VLA": "INVENTORYID", "INVENTORY_TRANSACTIONS": "INVENTORYID",
+    "SAMPLECONTAINERS_VLA": "INVENTORYID", "TRANSACTIONS": "TRANSACTION_ID",
+}
+# Large tables with a string key only: read in parallel by a hash of it.
+HASH_COLUMNS = {"METADATA": "ID"}
+# SQL Server's hash of a column as a number from 0; a null has one too.
+HASH_EXPRESSION = "(CHECKSUM({column}) & 2147483647) % {n} = {i}"
+
+
+def jdbc_query(name: str) -> str:
+    return f"(SELECT {', '.join(COLUMNS[name])} FROM {name}) q"
+
+
+def jdbc_bounds_query(name: str) -> str:
+    """One row: the least and greatest value of the table's range column."""
+    column = RANGE_COLUMNS[name]
+    return f"(SELECT MIN({column}) AS LO, MAX({column}) AS HI FROM {name}) q"
+
+
+def jdbc_range_options(name: str, low: int, high: int, num_partitions: int) -> dict[str, str]:
+    """Reader options for ``num_partitions`` range reads; rows without the key come with the first."""
+    return {"partitionColumn": RANGE_COLUMNS[name], "lowerBound": str(int(low)), "upperBound": str(int(high) + 1),
+            "numPartitions": str(num_partitions)}
+
+
+def jdbc_hash_predicates(name: str, num_partitions: int, expression: str = HASH_EXPRESSION) -> list[str]:
+    """One predicate for each parallel read; each row meets exactly one of them."""
+    return [expression.format(column=HASH_COLUMNS[name], n=num_partitions, i=i) for i in range(num_partitions)]
+
+
 def read_jdbc_tables(
     spark: SparkSession,
     url: str,
     properties: Mapping[str, str],
     *,
-    partition_column: str = "INVENTORYID",
     bounds: Mapping[str, tuple[int, int]] | None = None,
     num_partitions: int = 64,
     fetch_size: int = 10_000,
+    hash_expression: str = HASH_EXPRESSION,
     names=TABLE_NAMES,
 ) -> LimsTables:
     """Read the tables over JDBC (SQL Server in the original deployment).
 
-    Fact tables with a numeric id and known ``bounds`` are split into
-    ``num_partitions`` range reads so many executors pull in parallel; the
-    small dimensions are single reads. Only the needed columns are requested.
-    Not exercised by the test suite (no database or driver in the container).
+    Large tables are split into ``num_partitions`` reads, so that many
+    executors pull in parallel: by ranges of a numeric id, whose bounds are
+    ``bounds`` or else found by one min/max query a table, or by a hash of the
+    key where it is a string. Bounds only shape the ranges; rows outside them
+    are read too. The small dimensions are single reads. Only the needed
+    columns are requested. The test suite checks the options and predicates
+    built; reading a database is untested (the container has none).
     """
     bounds = bounds or {}
+    props = {**{k: str(v) for k, v in properties.items()}, "fetchsize": str(fetch_size)}
+
+    def load(query: str, **options: str) -> DataFrame:
+        return spark.read.format("jdbc").options(url=url, dbtable=query, **props, **options).load()
+
     frames = {}
     for name in names:
-        query = f"(SELECT {', '.join(COLUMNS[name])} FROM {name}) q"
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
-        reader = reader.option("fetchsize", fetch_size)
-        for key, value in properties.items():
-            reader = reader.option(key, value)
-        if name in bounds and partition_column in COLUMNS[name]:
-            low, high = bounds[name]
-            reader = (
-                reader.option("partitionColumn", partition_column)
-                .option("lowerBound", low)
-                .option("upperBound", high)
-                .option("numPartitions", num_partitions)
-            )
-        frames[name] = reader.load()
+        if name in HASH_COLUMNS:
+            predicates = jdbc_hash_predicates(name, num_partitions, hash_expression)
+            frames[name] = spark.read.jdbc(url, jdbc_query(name), predicates=predicates, properties=props)
+            continue
+        found = None
+        if name in RANGE_COLUMNS:
+            found = bounds.get(name) or tuple(load(jdbc_bounds_query(name)).first())
+        ranged = found is not None and found[0] is not None  # an empty table has no bounds
+        frames[name] = load(jdbc_query(name), **(jdbc_range_options(name, *found, num_partitions) if ranged else {}))
     return LimsTables(frames)
