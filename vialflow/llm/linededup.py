@@ -198,6 +198,11 @@ def _as_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (pa.int64(), pa.binary(), pa.bool_()))], names=["p", "blob", "asks"])
 
 
+def _bits(x: np.ndarray) -> np.ndarray:
+    """How many bits are set; of a signed number, numpy counts those of its absolute value."""
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
+
+
 def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, nearest: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (asking row, earlier row) that may reach t, and the rows that could ask for more.
 
@@ -217,8 +222,8 @@ def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, ne
         need = np.ceil((sx + sy) * (t / (1 + t)) - 1e-9)
         ok = index[at - back] & (np.minimum(sx, sy) >= need) & (1 + np.minimum(sx - x["pos"], sy - y["pos"]) - 1 >= need)
         ok &= ~((x["k"] == y["k"]) & (x["bm"] == y["bm"]))
-        ok &= sx - np.bitwise_count(x["bm"] & ~y["bm"]) >= need
-        ok &= sy - np.bitwise_count(y["bm"] & ~x["bm"]) >= need
+        ok &= sx - _bits(x["bm"] & ~y["bm"]) >= need
+        ok &= sy - _bits(y["bm"] & ~x["bm"]) >= need
         hit = at[ok]
         if nearest is not None:
             full = given[hit] >= nearest
