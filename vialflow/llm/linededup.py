@@ -22,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import shuffle_partitions, store
+from vialflow.llm.common import shuffle_partitions, small_batches, store
 from vialflow.session import scratch_path
 
 #: Buckets of the word counts, a power of two. Words share buckets; that changes the order of words, not the result.
@@ -37,23 +37,137 @@ _SEGMENTS = 64
 NEAREST = 2
 #: A word that occurs more often is dealt to a group for each so many occurrences, 64 at most; each group gets all who ask.
 SPLIT = 1 << 16
-#: Words whose hashes a worker keeps.
-_CACHE = 400_000
+#: Bytes of text that are taken apart at once, and bytes whose words are hashed at once.
+_SLICE, _PIECE = 1 << 22, 1 << 19
+#: Bits, a power of two, of the filter of lines to read again. A full filter lets more lines through; that changes the cost, not the result.
+_FILTER = 1 << 27
+#: Fixed value: ASCII white space.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A random number for each byte at each place in a word, the places taken modulo ``_PLACES``.
+_PLACES = 64
+_CODES = np.random.PCG64(42).random_raw(_PLACES * 256)
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Ids and texts of a batch, about ``_SLICE`` bytes of text at a time."""
+    ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).cast(pa.large_binary()).fill_null(b"")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ids):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _SLICE, "right")))
+        yield ids[at:stop], texts.slice(at, stop - at)
+        at = stop
+
+
+def _next_break(data: np.ndarray, at: int, end: int) -> int:
+    """The first white space from ``at`` on, or ``end``."""
+    while at < end:
+        found = np.flatnonzero(_SPACE[data[at : min(at + 4096, end)]])
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return end
+
+
+def _hashes(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``part`` start, and their hashes: the sum of a random number for each byte at its place.
+
+    A word ends at white space and at ``bounds``, where texts meet.
+    """
+    space, apart = _SPACE[part], np.zeros(len(part), bool)
+    apart[bounds] = True
+    new = ~space
+    new[1:] &= space[:-1] | apart[1:]
+    starts = np.flatnonzero(new)
+    if not len(starts):
+        return starts, np.zeros(0, np.int64)
+    body, space = part[starts[0] :], space[starts[0] :]
+    place = np.arange(starts[0], len(part)) - np.repeat(starts, np.diff(starts, append=len(part)))
+    codes = _CODES[(place % _PLACES) * 256 + body]
+    far = np.flatnonzero(place >= _PLACES)
+    codes[far] *= (2 * (place[far] // _PLACES) + 1).astype(np.uint64)
+    codes[space] = 0
+    return starts, (np.add.reduceat(codes, starts - starts[0]) >> np.uint64(1)).astype(np.int64)
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hash and the line of every word, and for every line with words its text and its number there."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    at, end = int(offsets[0]), int(offsets[-1])
+    starts, hashes, feeds = [], [], []
+    while at < end:
+        stop = min(at + _PIECE, end)
+        stop = _next_break(data, stop, int(offsets[np.searchsorted(offsets, stop)]))
+        part = data[at:stop]
+        inside = offsets[np.searchsorted(offsets, at, "right") : np.searchsorted(offsets, stop)] - at
+        where, h = _hashes(part, inside)
+        starts.append(where + at)
+        hashes.append(h)
+        feeds.append(np.flatnonzero(part == 10) + at)
+        at = stop
+    start, h, feed = (np.concatenate(parts or [np.zeros(0, np.int64)]) for parts in (starts, hashes, feeds))
+    text = np.searchsorted(offsets, start, "right") - 1
+    before = np.searchsorted(feed, start)
+    first = np.ones(len(start), bool)
+    first[1:] = (text[1:] != text[:-1]) | (before[1:] != before[:-1])
+    heads = np.flatnonzero(first)
+    no = before[heads] - np.searchsorted(feed, offsets[:-1])[text[heads]]
+    return h, np.cumsum(first) - 1, text[heads], no
+
+
+def _gathered(spark: SparkSession, sent: DataFrame, dtype: str, add, finish, width: int) -> np.ndarray:
+    """Pieces (seg, part) of arrays, packed, put together with ``add`` in tasks; ``_SEGMENTS`` x ``width`` bytes come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for seg, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                piece = np.frombuffer(unpacker.decompress(part.as_py()), dtype)
+                total[seg] = add(total[seg], piece) if seg in total else piece
+        packer = zstandard.ZstdCompressor(level=1)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([packer.compress(finish(v).tobytes()) for v in total.values()], pa.binary())], names=["seg", "part"])
 
+    whole = sent.repartition(min(_SEGMENTS, shuffle_partitions(spark)), "seg").mapInArrow(run, "seg int, part binary")
+    out = np.zeros((_SEGMENTS, width), np.uint8)
+    for r in whole.collect():
+        out[r["seg"]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["part"])), np.uint8)
+    return out.reshape(-1)
+
+
+def _sent(held: np.ndarray) -> pa.RecordBatch:
+    packer = zstandard.ZstdCompressor(level=1)
+    parts = [packer.compress(p.tobytes()) for p in held.reshape(_SEGMENTS, -1)]
+    return pa.RecordBatch.from_arrays([pa.array(range(_SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], names=["seg", "part"])
+
+
+def _marks(frame: DataFrame, bits: int, probes) -> np.ndarray:
+    """A bit set, as bytes, of the numbers that ``probes`` makes of the columns of ``frame``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for at in probes(*(c.to_numpy() for c in batch.columns)):
+                np.bitwise_or.at(held, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        yield _sent(held)
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHE:
-            self.clear()
-        made = self[word] = xxhash.xxh64_intdigest(word, 42) >> 1
-        return made
+    return _gathered(frame.sparkSession, frame.mapInArrow(run, "seg int, part binary"), "u1", np.bitwise_or, lambda v: v, bits // 8 // _SEGMENTS)
 
 
-_HASHES = _Hashes()
+def _marked(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words))
+def _place_bits(doc: np.ndarray, no: np.ndarray) -> list[np.ndarray]:
+    """Two bits of the filter for each line."""
+    key = _mix(_mix(doc, 4) + no.astype(np.uint64), 5)
+    return [((key >> np.uint64(s)) & np.uint64(_FILTER - 1)).astype(np.int64) for s in (0, 32)]
+
+
+def _word_bit(h: np.ndarray) -> list[np.ndarray]:
+    return [h & (BUCKETS - 1)]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -66,32 +180,22 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     Each task sends its counts as ``_SEGMENTS`` compressed pieces, which are
     summed piece by piece; ``BUCKETS`` bytes come to the driver.
     """
-    width = BUCKETS // _SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(BUCKETS, np.int64)
+        held, some, n = np.zeros(BUCKETS, np.int64), [], 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                h = _hashes([w for t in batch.column(0).slice(i, 2048).to_pylist() if t for w in t.split()])
-                held += np.bincount(h & (BUCKETS - 1), minlength=BUCKETS)
-        packer = zstandard.ZstdCompressor(level=1)
-        parts = [packer.compress(p.astype("<i8").tobytes()) for p in held.reshape(_SEGMENTS, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(_SEGMENTS), pa.int32()), pa.array(parts, pa.binary())], names=["seg", "part"])
+            for _, part in _slices(batch):
+                some.append((_words(part)[0] & (BUCKETS - 1)).astype(np.int32))
+                n += len(some[-1])
+                if n > BUCKETS:
+                    held += np.bincount(np.concatenate(some), minlength=BUCKETS)
+                    some, n = [], 0
+        yield _sent(held + np.bincount(np.concatenate([*some, np.zeros(0, np.int32)]), minlength=BUCKETS))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        unpacker = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for seg, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[seg] = total.get(seg, 0) + np.frombuffer(unpacker.decompress(part.as_py()), "<i8")
-        scale = [np.where(t <= 3, t, 3 + 4 * np.log2(np.maximum(t, 3) / 3)).astype(np.uint8).tobytes() for t in total.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(scale, pa.binary())], names=["seg", "part"])
+    def on_scale(n: np.ndarray) -> np.ndarray:
+        return np.where(n <= 3, n, 3 + 4 * np.log2(np.maximum(n, 3) / 3)).astype(np.uint8)
 
-    sent = texts.select("text").mapInArrow(count, "seg int, part binary")
-    whole = np.zeros((_SEGMENTS, width), np.uint8)
-    for r in sent.repartition(min(_SEGMENTS, shuffle_partitions(texts.sparkSession)), "seg").mapInArrow(add, "seg int, part binary").collect():
-        whole[r["seg"]] = np.frombuffer(r["part"], np.uint8)
-    return whole.reshape(-1)
+    return _gathered(texts.sparkSession, texts.mapInArrow(count, "seg int, part binary"), "<i8", np.add, on_scale, BUCKETS // _SEGMENTS)
 
 
 #: A posting: word, set (two hashes), first place known, words in the set, place of the word in the order by rarity.
@@ -119,26 +223,29 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _sets(docs: list[int], texts: list[bytes | None], scale: np.ndarray, only: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _order(h: np.ndarray, scale: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Sorts words by line, then rarity, then hash."""
+    rare = scale[h & (BUCKETS - 1)]
+    if len(h) and line[-1] < 1 << 19:
+        key = (line << 44) | (rare.astype(np.int64) << 36) | (h >> 27)
+        order = np.argsort(key)
+        sure = np.diff(key[order]) != 0
+        if np.all(sure | (np.diff(h[order]) == 0)):  # the key holds but the upper bits of a hash
+            return order
+    return np.lexsort((h, rare, line))
+
+
+def _sets(ids: np.ndarray, texts: pa.Array, scale: np.ndarray, wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The lines that have words: a posting for every word (h, pos and the line's fields), and where each line starts.
 
-    ``only`` names the lines to read for each document.
+    ``wanted`` tells from the ids and numbers of lines which ones to take.
     """
-    flat: list[bytes] = []
-    counts, where, nos = [], [], []
-    for d, t in zip(docs, texts):
-        if not t:
-            continue
-        for no, line in enumerate(t.split(b"\n")):
-            if only is not None and no not in only[d]:
-                continue
-            if words := line.split():
-                flat += words
-                counts.append(len(words))
-                where.append(d)
-                nos.append(no)
-    h, line = _hashes(flat), np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((h, scale[h & (BUCKETS - 1)], line))
+    h, line, text, nos = _words(texts)
+    where = ids[text]
+    if wanted is not None:
+        take = wanted(where, nos)
+        h, line, where, nos = h[take[line]], (np.cumsum(take) - 1)[line[take[line]]], where[take], nos[take]
+    order = _order(h, scale, line)
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -151,7 +258,7 @@ def _sets(docs: list[int], texts: list[bytes | None], scale: np.ndarray, only: d
         rows["k"] = np.add.reduceat(_mix(h, 1), starts).view(np.int64)[line]
         bits = np.uint64(1) << (_mix(h, 2) & np.uint64(63))
         rows["bm"] = np.bitwise_or.reduceat(bits, starts).view(np.int64)[line]
-        rows["doc"], rows["no"] = np.array(where, np.int64)[line], np.array(nos, np.int64)[line]
+        rows["doc"], rows["no"] = where[line], nos[line]
     return rows, starts, sizes, line
 
 
@@ -210,25 +317,31 @@ def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, ne
     before, the one two before, and so on, all words at once.
     """
     found_a, found_b, more = [], [], []
-    given = np.zeros(len(rows), np.int64)
+    given, open_ = np.zeros(len(rows), np.int64), np.ones(len(rows), bool)
+    size, after, bm, k = (np.ascontiguousarray(rows[f]) for f in ("size", "pos", "bm", "k"))
+    after = size - after  # words from the shared one on
+    share, least = t / (1 + t), size * t - 1e-9
+    heads = np.flatnonzero(np.diff(rows["h"], prepend=~rows["h"][:1]))
+    rank = np.arange(len(rows)) - np.repeat(heads, np.diff(heads, append=len(rows)))  # earlier rows of the word
     at = np.flatnonzero(asks)
     for back in itertools.count(1):
-        at = at[at >= back]
-        at = at[rows["h"][at] == rows["h"][at - back]]
+        at = at[rank[at] >= back]
         if not len(at):
             break
-        x, y = rows[at], rows[at - back]
-        sx, sy = x["size"].astype(np.int64), y["size"].astype(np.int64)
-        need = np.ceil((sx + sy) * (t / (1 + t)) - 1e-9)
-        ok = index[at - back] & (np.minimum(sx, sy) >= need) & (1 + np.minimum(sx - x["pos"], sy - y["pos"]) - 1 >= need)
-        ok &= ~((x["k"] == y["k"]) & (x["bm"] == y["bm"]))
-        ok &= sx - _bits(x["bm"] & ~y["bm"]) >= need
-        ok &= sy - _bits(y["bm"] & ~x["bm"]) >= need
-        hit = at[ok]
+        x, y = at, at - back
+        ok = index[y] & (np.minimum(after[x], after[y]) >= np.maximum(least[x], least[y]))
+        x, y = x[ok], y[ok]
+        sx, sy = size[x], size[y]
+        need = np.ceil((sx + sy) * share - 1e-9)
+        bx, by = bm[x], bm[y]
+        ok = (np.minimum(after[x], after[y]) >= need) & ~((k[x] == k[y]) & (bx == by))
+        ok &= (sx - _bits(bx & ~by) >= need) & (sy - _bits(by & ~bx) >= need)
+        hit = x[ok]
         if nearest is not None:
             full = given[hit] >= nearest
             more.append(hit[full])
-            at = np.setdiff1d(at, hit[full], assume_unique=True)
+            open_[hit[full]] = False
+            at = at[open_[at]]
             hit = hit[~full]
             given[hit] += 1
         found_a.append(hit)
@@ -237,6 +350,26 @@ def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, ne
     return cat(found_a), cat(found_b), cat(more)
 
 
+def _firsts(rows: np.ndarray, only: np.ndarray, keep_all: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word's postings of one set the first place, by word and place; whether it asks, and whether it may be found."""
+    order = np.lexsort((rows["no"], rows["doc"], rows["h"]))
+    rows, only = rows[order], only[order]
+    key = _mix(_mix(_mix(rows["h"], 6) + rows["k"].view(np.uint64), 7) + rows["bm"].view(np.uint64), 8)
+    by = np.argsort(key, kind="stable")
+    same = key[by][1:] == key[by][:-1]
+    met = np.ones(len(same), bool)
+    for f in ("h", "k", "bm"):
+        met &= rows[f][by][1:] == rows[f][by][:-1]
+    if np.any(same & ~met):  # two sets with one key
+        by = np.lexsort((rows["bm"], rows["k"], rows["h"]))
+        met = np.logical_and.reduce([rows[f][by][1:] == rows[f][by][:-1] for f in ("h", "k", "bm")])
+    start = np.flatnonzero(np.concatenate([[True], ~met]))
+    asks = np.ones(len(start), bool) if keep_all else np.logical_or.reduceat(only[by], start)
+    index = np.logical_or.reduceat(~only[by], start)
+    back = np.argsort(by[start])
+    return rows[by[start][back]], asks[back], index[back]
+
+
 _FIELDS = ("k", "bm", "doc", "no")
 _PAIRS = ", ".join(f"{f}{s} long" for s in "xy" for f in _FIELDS) + ", h long, size int, pos int"
 
@@ -252,18 +385,8 @@ def _ask(dealt: DataFrame, n: int, t: float, nearest: int | None) -> DataFrame:
         for p in sorted(held):
             parts = held.pop(p)
             rows, only = np.concatenate([r for r, _ in parts]), np.concatenate([np.full(len(r), a) for r, a in parts])
-            order = np.lexsort((only, rows["no"], rows["doc"], rows["bm"], rows["k"], rows["h"]))
-            rows, only = rows[order], only[order]
-            new = np.ones(len(rows), bool)  # of a set's postings, the first place
-            for f in ("h", "k", "bm"):
-                new[1:] &= rows[f][1:] == rows[f][:-1]
-            new[1:] = ~new[1:]
-            start = np.flatnonzero(new)
-            asks, index = np.logical_or.reduceat(only, start) if nearest is None else np.ones(len(start), bool), np.logical_or.reduceat(~only, start)
-            rows = rows[start]
-            order = np.lexsort((rows["no"], rows["doc"], rows["h"]))
-            a, b, more = _matches(rows[order], asks[order], index[order], t, nearest)
-            rows = rows[order]
+            rows, asks, index = _firsts(rows, only, nearest is not None)
+            a, b, more = _matches(rows, asks, index, t, nearest)
             for i in range(0, len(a), 20_000):
                 x, y = rows[a[i : i + 20_000]], rows[b[i : i + 20_000]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[f])) for r in (x, y) for f in _FIELDS] + [pa.array(np.ascontiguousarray(x[f])) for f in ("h", "size", "pos")], names=[f"{f}{s}" for s in "xy" for f in _FIELDS] + ["h", "size", "pos"])
@@ -276,21 +399,23 @@ def _ask(dealt: DataFrame, n: int, t: float, nearest: int | None) -> DataFrame:
 
 def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -> DataFrame:
     """The asking sets (k, bm) of ``pairs`` that reach t, from the words of both lines."""
-    lines = pairs.select(F.col("docx").alias("d"), F.col("nox").alias("n")).union(pairs.select("docy", "noy"))
-    wanted = lines.groupBy("d").agg(F.collect_set("n").alias("nos"))  # lines of one document
-    joined = texts.join(wanted, texts["doc"] == wanted["d"]).select("doc", "text", "nos")
-    shared = texts.sparkSession.sparkContext.broadcast(scale)
+    lines = pairs.select("docx", "nox").union(pairs.select("docy", "noy"))
+    spark = texts.sparkSession
+    shared, again = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(_marks(lines, _FILTER, _place_bits))
+
+    def wanted(doc: np.ndarray, no: np.ndarray) -> np.ndarray:
+        return np.logical_and(*[_marked(again.value, at) for at in _place_bits(doc, no)])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                d, text, nos = (batch.column(c)[i].as_py() for c in range(3))
-                rows, starts, _, _ = _sets([d], [text], shared.value, {d: set(nos)})
+            for ids, part in _slices(batch):
+                rows, starts, _, _ = _sets(ids, part, shared.value, wanted)
                 if len(rows):
                     sets = np.split(np.ascontiguousarray(rows["h"]), starts[1:])
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm")] + [pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "words"])
 
-    words = store(joined.mapInArrow(read, "k long, bm long, words binary").groupBy("k", "bm").agg(F.any_value("words").alias("words")), "lines-words")
+    # rows that share an id bring a line more than once; both joins below then use the partitions of this grouping
+    words = store(texts.mapInArrow(read, "k long, bm long, words binary"), "lines-words").groupBy("k", "bm").agg(F.any_value("words").alias("words"))
     both = pairs.select("kx", "bmx", "ky", "bmy").distinct()
     for s in "xy":
         side = words.select(F.col("k").alias(f"k{s}"), F.col("bm").alias(f"bm{s}"), F.col("words").alias(f"words{s}"))
@@ -323,6 +448,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     n, split = shuffle_partitions(spark), SPLIT
     texts = _texts(docs, id_col, text_col)
+    small_batches(spark)
     scale = word_counts(texts)
     shared = spark.sparkContext.broadcast(scale)
 
@@ -337,8 +463,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             held.clear()
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                ids, text = (batch.column(c).slice(i, 1024).to_pylist() for c in range(2))
+            for ids, text in _slices(batch):
                 rows, starts, sizes, line = _sets(ids, text, shared.value)
                 if not len(rows):
                     continue
@@ -370,7 +495,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     more = first.where("ky is null").select(F.col("kx").alias("k"), F.col("bmx").alias("bm"), F.col("docx").alias("doc"), F.col("nox").alias("no"), "h", "size", "pos").distinct()
     more = store(more.join(alike, ["k", "bm"], "left_anti"), "lines-more")
     if not more.isEmpty():
-        alike = store(alike.union(_second(keyed, more, scale, n, split, t)).distinct(), "lines-alike")
+        posts = made.where("kind = 'post' and not asks").select("p", "blob")
+        alike = store(alike.union(_second(keyed, posts, more, scale, n, split, t)).distinct(), "lines-alike")
 
     place = F.struct("doc", "no")
     firsts = lines.groupBy("k", "bm").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -382,21 +508,21 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("no").cast("int"))).alias("removed")).select(back, "removed")
 
 
-def _second(keyed: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split: int, t: float) -> DataFrame:
+def _second(keyed: DataFrame, posts: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split: int, t: float) -> DataFrame:
     """The sets of ``more`` (postings that no near line settled) that match any of all earlier postings of their words."""
     spark = keyed.sparkSession
     # which buckets of words are asked for: one bit for each
-    asked = np.zeros(BUCKETS, bool)
-    asked[[r[0] for r in more.select(F.col("h").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).distinct().collect()]] = True
-    shared, wanted = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(asked)
+    shared, wanted = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(_marks(more.select("h"), BUCKETS, _word_bit))
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                rows, _, _, _ = _sets(*(batch.column(c).slice(i, 1024).to_pylist() for c in range(2)), shared.value)
-                rows = rows[wanted.value[rows["h"] & (BUCKETS - 1)]]
-                rows = rows[rows["pos"] < _prefix(rows["size"].astype(np.int64), t)]
-                yield from _as_batches(_dealt(rows, shared.value, n, split, False, False))
+            out = []
+            for p, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = _unpack(blob)
+                rows = rows[_marked(wanted.value, *_word_bit(rows["h"]))]
+                if len(rows):
+                    out.append((p, _pack(rows), False))
+            yield from _as_batches(iter(out))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,7 +532,7 @@ def _second(keyed: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split:
             yield from _as_batches(_dealt(rows, shared.value, n, split, True, False))
 
     kind = "p long, blob binary, asks boolean"
-    dealt = keyed.mapInArrow(write, kind).union(more.select(*_POSTING.names).mapInArrow(ask, kind))
+    dealt = posts.mapInArrow(pick, kind).union(more.select(*_POSTING.names).mapInArrow(ask, kind))
     pairs = store(_ask(dealt, n, t, None), "lines-asked")
     return _verified(keyed, pairs, scale, t)
 
