@@ -203,16 +203,19 @@ _POSTING = np.dtype([("h", "<i8"), ("k", "<i8"), ("bm", "<i8"), ("doc", "<i8"),
 
 
 def _pack(rows: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in _POSTING.names))
+    """The fields one after the other, each by byte planes, compressed."""
+    planes = [np.ascontiguousarray(rows[f]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for f in _POSTING.names]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     out, at = np.empty(len(raw) // _POSTING.itemsize, _POSTING), 0
     for f in _POSTING.names:
-        width = _POSTING[f].itemsize * len(out)
-        out[f] = np.frombuffer(raw[at : at + width], _POSTING[f])
-        at += width
+        width = _POSTING[f].itemsize
+        planes = raw[at : at + width * len(out)].reshape(width, len(out))
+        out[f] = np.ascontiguousarray(planes.T).view(_POSTING[f]).reshape(-1)
+        at += planes.size
     return out
 
 
@@ -293,7 +296,7 @@ def _dealt(rows: np.ndarray, scale: np.ndarray, n: int, split: int, asks: bool,
             copies, salt = copies[away], salt[away]
         parts.append((rows[copies], _group(rows["h"][copies], salt, n), True))
     for sub, group, flag in parts:
-        order = np.argsort(group, kind="stable")
+        order = np.lexsort((sub["h"], group))  # postings of a word side by side pack better
         sub, group = sub[order], group[order]
         cuts = np.flatnonzero(np.diff(group)) + 1
         for piece, g in zip(np.split(sub, cuts), group[np.concatenate([[0], cuts])] if len(sub) else []):
@@ -397,6 +400,16 @@ def _ask(dealt: DataFrame, n: int, t: float, nearest: int | None) -> DataFrame:
     return dealt.repartition(n, "p").mapInArrow(run, _PAIRS)
 
 
+#: Bitmap of a line's words, in longs; wide enough for lines whose words fill the 64 bits of a posting.
+_SKETCH = tuple(f"s{i}" for i in range(16))
+
+
+def _sketches(h: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    bit = _mix(h, 9) & np.uint64(64 * len(_SKETCH) - 1)
+    mark, which = np.uint64(1) << (bit & np.uint64(63)), bit >> np.uint64(6)
+    return [np.bitwise_or.reduceat(np.where(which == i, mark, np.uint64(0)), starts).view(np.int64) for i in range(len(_SKETCH))]
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -> DataFrame:
     """The asking sets (k, bm) of ``pairs`` that reach t, from the words of both lines."""
     lines = pairs.select("docx", "nox").union(pairs.select("docy", "noy"))
@@ -412,11 +425,21 @@ def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -
                 rows, starts, _, _ = _sets(ids, part, shared.value, wanted)
                 if len(rows):
                     sets = np.split(np.ascontiguousarray(rows["h"]), starts[1:])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm")] + [pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "words"])
+                    heads = [pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm", "size")]
+                    yield pa.RecordBatch.from_arrays([*heads, *map(pa.array, _sketches(rows["h"], starts)), pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "n", *_SKETCH, "words"])
 
-    # rows that share an id bring a line more than once; both joins below then use the partitions of this grouping
-    words = store(texts.mapInArrow(read, "k long, bm long, words binary"), "lines-words").groupBy("k", "bm").agg(F.any_value("words").alias("words"))
+    # rows that share an id bring a line more than once
+    made = store(texts.mapInArrow(read, f"k long, bm long, n int, {', '.join(f'{c} long' for c in _SKETCH)}, words binary"), "lines-words")
     both = pairs.select("kx", "bmx", "ky", "bmy").distinct()
+    sketches = made.select("k", "bm", "n", *_SKETCH).distinct()
+    for s in "xy":
+        both = both.join(sketches.select(*[F.col(c).alias(f"{c}{s}") for c in sketches.columns]), [f"k{s}", f"bm{s}"])
+    lost = lambda x, y: sum((F.bit_count(F.col(c + x).bitwiseAND(F.bitwise_not(F.col(c + y)))) for c in _SKETCH), F.lit(0))
+    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(t / (1 + t)) - 1e-9)
+    near = (F.col("nx") - lost("x", "y") >= need) & (F.col("ny") - lost("y", "x") >= need)
+    both = store(both.where(near).select("kx", "bmx", "ky", "bmy"), "lines-near")
+    sides = both.select(F.col("kx").alias("k"), F.col("bmx").alias("bm")).union(both.select("ky", "bmy")).distinct()
+    words = made.select("k", "bm", "words").join(sides, ["k", "bm"], "left_semi").groupBy("k", "bm").agg(F.any_value("words").alias("words"))
     for s in "xy":
         side = words.select(F.col("k").alias(f"k{s}"), F.col("bm").alias(f"bm{s}"), F.col("words").alias(f"words{s}"))
         both = both.join(side, [f"k{s}", f"bm{s}"])
@@ -479,7 +502,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         fresh[j] = True
                 single = shared.value[rows["h"] & (BUCKETS - 1)] == 1  # the only such word there is
                 held.append(rows[fresh[line] & (rows["pos"] < _prefix(rows["size"].astype(np.int64), t)) & ~single])
-                if sum(map(len, held)) > 400_000:
+                if sum(map(len, held)) > 800_000:
                     yield from flush()
         yield from flush()
 
