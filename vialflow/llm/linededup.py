@@ -38,7 +38,7 @@ NEAREST = 2
 #: A word that occurs more often is dealt to a group for each so many occurrences, 64 at most; each group gets all who ask.
 SPLIT = 1 << 16
 #: Bytes of text that are taken apart at once, and bytes whose words are hashed at once.
-_SLICE, _PIECE = 1 << 22, 1 << 19
+_SLICE, _PIECE = 1 << 20, 1 << 18
 #: Bits, a power of two, of the filter of lines to read again. A full filter lets more lines through; that changes the cost, not the result.
 _FILTER = 1 << 27
 #: Fixed value: ASCII white space.
@@ -182,15 +182,11 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, some, n = np.zeros(BUCKETS, np.int64), [], 0
+        held = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for _, part in _slices(batch):
-                some.append((_words(part)[0] & (BUCKETS - 1)).astype(np.int32))
-                n += len(some[-1])
-                if n > BUCKETS:
-                    held += np.bincount(np.concatenate(some), minlength=BUCKETS)
-                    some, n = [], 0
-        yield _sent(held + np.bincount(np.concatenate([*some, np.zeros(0, np.int32)]), minlength=BUCKETS))
+                np.add.at(held, _words(part)[0] & (BUCKETS - 1), 1)
+        yield _sent(held)
 
     def on_scale(n: np.ndarray) -> np.ndarray:
         return np.where(n <= 3, n, 3 + 4 * np.log2(np.maximum(n, 3) / 3)).astype(np.uint8)
@@ -502,7 +498,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         fresh[j] = True
                 single = shared.value[rows["h"] & (BUCKETS - 1)] == 1  # the only such word there is
                 held.append(rows[fresh[line] & (rows["pos"] < _prefix(rows["size"].astype(np.int64), t)) & ~single])
-                if sum(map(len, held)) > 800_000:
+                if sum(map(len, held)) > 400_000:
                     yield from flush()
         yield from flush()
 
