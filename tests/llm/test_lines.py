@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
 from vialflow.llm import linededup, queries
@@ -58,3 +59,19 @@ def test_cut_texts_and_odd_tables(spark):
 def test_line_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert {r.doc_id: list(r.removed) for r in queries.op2_line_dedup(spark, SF).collect() if r.removed} == brute(rows)
+
+
+def test_bitmap_bound_with_the_top_bit_set():
+    """Two sets of 30 words that differ in one: the bound must let them through, whatever bits are set."""
+    rows = np.zeros(2, linededup._POSTING)
+    rows["h"], rows["size"], rows["k"], rows["doc"] = 5, 30, [1, 2], [1, 2]
+    for bits in ([0, -(1 << 63)], [1, -(1 << 63)], [-(1 << 63), 3]):
+        rows["bm"] = bits
+        a, b, more = linededup._matches(rows, np.ones(2, bool), np.ones(2, bool), 0.8, 2)
+        assert (a.tolist(), b.tolist(), more.tolist()) == ([1], [0], [])
+    assert linededup._bits(np.array([-1, -(1 << 63), -2, 3])).tolist() == [64, 1, 63, 2]
+
+
+def test_packed_postings_come_back():
+    rows = np.frombuffer(np.random.default_rng(3).bytes(100 * linededup._POSTING.itemsize), linededup._POSTING)
+    assert (linededup._unpack(linededup._pack(rows)) == rows).all()
