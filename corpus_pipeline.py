@@ -24,8 +24,8 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of SimHash near-duplicates."""
-    return simhash.keep_one(docs, shingle=SHINGLE, radius=RADIUS)
+    """Keep one row, that of the smallest id, of each group of SimHash near-duplicates."""
+    return simhash.keep_one(docs, shingle=SHINGLE, radius=RADIUS, repeats=False)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

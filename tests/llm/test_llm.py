@@ -88,6 +88,22 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(odd(spark).limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Ids that occur with several texts, exact copies, null ids: no unique text is lost and no copy stays."""
+    import corpus_pipeline
+
+    near, alone, other = "one two three four", "quite another text that nobody else has", "and a third one, only under a null id"
+    rows = [(3, near, "s"), (3, near, "s"), (5, alone, "s"), (5, near.upper(), "s"), (None, near, "t"), (None, other, "t"), (None, other, "t"), (7, "five", None), (7, "FIVE", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, ka string")
+    kept = corpus_pipeline.keep_one(spark, frame, "")
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == frame.columns and set(got) <= set(rows)
+    assert sorted((str(i), t.lower()) for i, t, _ in got) == sorted([("3", near), ("5", alone), ("None", other), ("7", "five")])
+    wide = simhash.keep_one(frame)
+    assert (5, alone) in {(r.doc_id, r.text) for r in wide.collect()} and (5, near.upper()) not in {(r.doc_id, r.text) for r in wide.collect()}
+    assert corpus_pipeline.keep_one(spark, frame.limit(0), "").count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(500).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.root for r in connected_components(chain).collect()} == {0}

@@ -11,7 +11,7 @@ estimated and no cap is set, so no link is lost.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,16 +46,17 @@ def simhash64(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp) for every row; fp is the 64-bit fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, keys: Sequence[Column] = ()) -> DataFrame:
+    """(id, fp) for every row; fp is the 64-bit fingerprint as a signed long. ``keys``: named columns of longs to carry along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.fromiter((simhash64(t.as_py(), shingle, seed) for t in batch.column(1)), "<u8", batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view("<i8"))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view("<i8")), *batch.columns[2:]], names=["id", "fp", *names])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
-    return narrow.mapInArrow(run, "id long, fp long")
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"), *keys)
+    names = narrow.columns[2:]
+    return narrow.mapInArrow(run, ", ".join(f"{c} long" for c in ["id", "fp", *names]))
 
 
 def _tile(fp: Column, blocks: int) -> Column:
@@ -149,22 +150,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of null ids only has a null id. Other columns of ``docs`` are not read.
     """
     rows = store(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-rows")
-    distinct = store(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    label = _least(rows, F.col("id"), radius)
+    out = rows.join(label, rows["fp"] == label["f"])
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("c").alias("component_id"))
+
+
+def _least(rows: DataFrame, by: Column, radius: int) -> DataFrame:
+    """(f, c) for every fingerprint of ``rows``: the least ``by`` of the rows in its component."""
+    distinct = store(rows.groupBy("fp").agg(F.min(by).alias("first")), "simhash-distinct")
     roots = connected_components(links(distinct, radius))
     member = store(distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "root", "first"), "simhash-members")
     least = member.groupBy("root").agg(F.min("first").alias("least"))
     linked = store(member.join(least, "root").select("fp", "least"), "simhash-linked")
-    label = store(distinct.join(linked, "fp", "left").select(F.col("fp").alias("f"), F.coalesce("least", "first").alias("c")), "simhash-labels")
-    out = rows.join(label, rows["fp"] == label["f"])
-    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("c").alias("component_id"))
+    return store(distinct.join(linked, "fp", "left").select(F.col("fp").alias("f"), F.coalesce("least", "first").alias("c")), "simhash-labels")
+
+
+def _content(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of a row's id and text."""
+    return [F.xxhash64(F.lit(s), F.col(id_col).cast("long"), F.col(text_col)).alias(n) for s, n in ((1, "ka"), (2, "kb"))]
+
+
+def _without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, how: str = "left_anti") -> DataFrame:
+    """``docs`` without (or with ``how`` left_semi: only) the rows whose id and text hash to (ka, kb) of ``gone``."""
+    a, b = _content(id_col, text_col)
+    return docs.join(gone, (a == gone["ka"]) & (b == gone["kb"]), how)
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` without all but the smallest id of each component; columns as they came.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, repeats: bool = True) -> DataFrame:
+    """``docs`` with what stays of each component; columns as they came.
 
-    Rows with a null id are judged by nothing and stay; rows that repeat a
-    kept id stay with it.
+    With ``repeats`` all rows with the smallest id of their own component stay,
+    and all rows with a null id. Without, exactly one row of each component
+    stays: the smallest id (null last), of these the least hash of id and text,
+    and one of the rows equal in both. Rows are judged by their own text: an id
+    that occurs with several texts may stay with some of them.
     """
-    judged = near_duplicates(docs, id_col, text_col, shingle, radius)
-    gone = store(judged.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "simhash-gone")
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    rows = store(fingerprints(docs, id_col, text_col, shingle, keys=_content(id_col, text_col)), "simhash-rows")
+    if repeats:
+        label = _least(rows, F.col("id"), radius)
+        gone = rows.join(label, rows["fp"] == label["f"]).where("id <> c").select("ka", "kb").distinct()
+        return _without(docs, store(gone, "simhash-gone"), id_col, text_col)
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "ka", "kb")
+    label = _least(rows, row, radius)
+    judged = rows.join(label, rows["fp"] == label["f"])
+    lost = (F.col("ka") != F.col("c.ka")) | (F.col("kb") != F.col("c.kb"))
+    # what loses, and what stays but has copies
+    met = judged.groupBy("ka", "kb").agg(F.bool_or(lost).alias("lost"), F.count(F.lit(1)).alias("n")).where("lost or n > 1")
+    met = store(met, "simhash-gone")
+    out = _without(docs, met, id_col, text_col)
+    copied = met.where("not lost").select("ka", "kb")
+    if copied.isEmpty():
+        return out
+    a, b = _content(id_col, text_col)
+    named = docs.select(a, b, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    once = named.join(copied, ["ka", "kb"], "left_semi").groupBy("ka", "kb").agg(F.any_value("row").alias("row"))
+    return out.union(once.select("row.*"))
