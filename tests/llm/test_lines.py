@@ -56,6 +56,19 @@ def test_cut_texts_and_odd_tables(spark):
     assert linededup.line_report(frame.limit(0)).count() == 0 and linededup.dedup_lines(frame.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    """No unique line is lost, and of equal lines one stays, whatever the ids."""
+    rows = [(1, "old line of words"), (None, "old line of words\nonly in x"), (None, "only in y\ntail of y"), (None, "same a b\n\nsame c d"), (None, "same a b\n\nsame c d"), (5, "five is here"), (5, "another text"), (5, "five is here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "1 as removed", "2 as rank")
+    want = sorted(["old line of words", "only in x", "only in y", "tail of y", "same a b", "same c d", "five is here", "another text"])
+    cut = linededup.dedup_lines(frame)
+    assert cut.columns == frame.columns and cut.count() == len(rows)
+    assert sorted(s for r in cut.collect() for s in r.text.split("\n") if s) == want
+    got = linededup.line_report(frame, by_row=True).collect()
+    assert len(got) == len(rows) and sum(r.n_removed for r in got) == 4
+    assert all(r.n_removed == len(r.removed) for r in got)
+
+
 def test_line_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert {r.doc_id: list(r.removed) for r in queries.op2_line_dedup(spark, SF).collect() if r.removed} == brute(rows)

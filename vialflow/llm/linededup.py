@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import shuffle_partitions, small_batches, store
+from vialflow.llm.common import WORD, shuffle_partitions, small_batches, store
 from vialflow.session import scratch_path
 
 #: Buckets of the word counts, a power of two. Words share buckets; that changes the order of words, not the result.
@@ -41,6 +41,10 @@ SPLIT = 1 << 16
 _SLICE, _PIECE = 1 << 20, 1 << 18
 #: Bits, a power of two, of the filter of lines to read again. A full filter lets more lines through; that changes the cost, not the result.
 _FILTER = 1 << 27
+#: A place is (id, rank of the text among those of its id, line): rank and line share a long. The id of rows that have none.
+_NO_BITS, _NO_ID = 31, (1 << 63) - 1
+#: A rank is a number within a range of hashes; so many ranges, so that a hot id is numbered in many tasks.
+_RANGE_BITS = 12
 #: Fixed value: ASCII white space.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -50,8 +54,10 @@ _CODES = np.random.PCG64(42).random_raw(_PLACES * 256)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """Ids and texts of a batch, about ``_SLICE`` bytes of text at a time."""
+    """Ids (with a third column, ranks beside them) and texts of a batch, about ``_SLICE`` bytes of text at a time."""
     ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).cast(pa.large_binary()).fill_null(b"")
+    if batch.num_columns > 2:
+        ids = np.column_stack([ids, batch.column(2).to_numpy(zero_copy_only=False)])
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(ids):
@@ -170,10 +176,6 @@ def _word_bit(h: np.ndarray) -> list[np.ndarray]:
     return [h & (BUCKETS - 1)]
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
-
-
 def word_counts(texts: DataFrame) -> np.ndarray:
     """How often the words of each bucket occur in all texts, on a scale that is exact up to 3 and logarithmic past it.
 
@@ -240,7 +242,7 @@ def _sets(ids: np.ndarray, texts: pa.Array, scale: np.ndarray, wanted=None) -> t
     ``wanted`` tells from the ids and numbers of lines which ones to take.
     """
     h, line, text, nos = _words(texts)
-    where = ids[text]
+    where, nos = ids[text, 0], nos + (ids[text, 1] << _NO_BITS)
     if wanted is not None:
         take = wanted(where, nos)
         h, line, where, nos = h[take[line]], (np.cumsum(take) - 1)[line[take[line]]], where[take], nos[take]
@@ -452,6 +454,60 @@ def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -
     return both.select("kx", "bmx", "wordsx", "wordsy").mapInArrow(verify, "k long, bm long").distinct()
 
 
+def _content(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of a row's id and text."""
+    return [F.xxhash64(F.lit(s), F.col(id_col).cast("long"), F.col(text_col)).alias(n) for s, n in ((1, "ka"), (2, "kb"))]
+
+
+def _doc(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc")
+
+
+def _ranks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """(ka, kb, rank) for the texts of all ids that have several rows, written; None if there is no such id.
+
+    Ranks are by content alone: null ids after a real id of the same number,
+    then by hash. The hashes of an id are numbered range by range.
+    """
+    keyed = docs.select(_doc(id_col), F.col(id_col).isNull().alias("none"), *_content(id_col, text_col))
+    rows = store(keyed.groupBy("doc", "none", "ka", "kb").agg(F.count(F.lit(1)).alias("n")), "lines-content")
+    many = store(rows.groupBy("doc").agg(F.sum("n").alias("n")).where("n > 1").select("doc"), "lines-ids")
+    if many.isEmpty():
+        return None
+    rows = rows.drop("n").join(many, "doc", "left_semi").withColumn("range", F.shiftright("ka", 64 - _RANGE_BITS))
+    sizes = rows.groupBy("doc", "none", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("doc").orderBy("none", "range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = store(sizes.select("doc", "none", "range", F.coalesce(before, F.lit(0)).alias("start")), "lines-ranges")
+    within = F.row_number().over(Window.partitionBy("doc", "none", "range").orderBy("ka", "kb")) - 1
+    ranked = rows.withColumn("within", within).join(starts, ["doc", "none", "range"]).withColumn("rank", F.col("start") + F.col("within"))
+    fits = F.when(F.col("rank") < 1 << 32, F.col("rank")).otherwise(F.raise_error(F.lit("an id, or null, has more than 2**32 texts")).cast("long"))
+    return store(ranked.select("ka", "kb", fits.alias("rank")), "lines-ranks")
+
+
+def _by_row(docs: DataFrame, id_col: str, text_col: str, threshold: float, shown: list[Column]) -> DataFrame:
+    """(row: struct of ``shown``, removed, or null) for every row of ``docs``, each a document of its own.
+
+    Order and removal are as in :func:`removed_lines`, with rows of one id (or
+    of none) in the order of their hash. Of rows equal in id and text one comes
+    first; the others lose all lines that have words.
+    """
+    own, zero = F.struct(*shown).alias("row"), F.lit(0).cast("long")
+    texts = docs.select(_doc(id_col), F.col(text_col).cast("binary").alias("text"), *_content(id_col, text_col))
+    ranks = _ranks(docs, id_col, text_col)
+    if ranks is None:
+        gone = store(_removed(texts.select("doc", "text", zero.alias("rank")), threshold), "lines-removed")
+        return docs.select(own, _doc(id_col)).join(gone, "doc", "left").select("row", "removed")
+    placed = store(texts.join(ranks, ["ka", "kb"], "left").select("doc", "text", F.coalesce("rank", zero).alias("rank")), "lines-placed")
+    gone = store(_removed(placed, threshold), "lines-removed")
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    worded = F.filter(F.transform(lines, lambda s, i: F.when(s.rlike(WORD), i)), lambda i: i.isNotNull())
+    rows = store(docs.select(own, _doc(id_col), *_content(id_col, text_col), worded.alias("worded"), F.monotonically_increasing_id().alias("copy")), "lines-rows")
+    firsts = rows.groupBy("ka", "kb").agg(F.min("copy").alias("least"))
+    known = rows.join(firsts, ["ka", "kb"]).join(ranks, ["ka", "kb"], "left").withColumn("rank", F.coalesce("rank", zero))
+    found = known.join(gone, ["doc", "rank"], "left")
+    return found.select("row", F.when((F.col("copy") > F.col("least")) & (F.size("worded") > 0), F.col("worded")).when(F.col("copy") == F.col("least"), F.col("removed")).alias("removed"))
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc, removed: sorted array of line numbers from 0) for the documents that lose lines.
 
@@ -463,12 +519,19 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     earlier, and a line number that goes, goes in all of them. Null ids come
     last.
     """
+    zero = F.lit(0).cast("long").alias("rank")
+    keyed = docs.select(_doc(id_col), F.col(text_col).cast("binary").alias("text"), zero)
+    back = F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc")
+    return _removed(keyed, threshold).select(back, "removed")
+
+
+def _removed(keyed: DataFrame, threshold: float) -> DataFrame:
+    """(doc, rank, removed) for the documents (doc, text, rank) that lose lines."""
     t = threshold
-    spark = docs.sparkSession
+    spark = keyed.sparkSession
     n, split = shuffle_partitions(spark), SPLIT
-    texts = _texts(docs, id_col, text_col)
     small_batches(spark)
-    scale = word_counts(texts)
+    scale = word_counts(keyed.select("doc", "text"))
     shared = spark.sparkContext.broadcast(scale)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -502,7 +565,6 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     yield from flush()
         yield from flush()
 
-    keyed = texts.select(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "text")
     path = scratch_path(spark, "lines")
     keyed.mapInArrow(write, "kind string, p long, blob binary, asks boolean, k long, bm long, doc long, no long").write.partitionBy("kind").parquet(path)
     schema = "p long, blob binary, asks boolean, k long, bm long, doc long, no long, kind string"
@@ -523,8 +585,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = store(marked.select(F.col("k").alias("mk"), F.col("bm").alias("mb"), "first", F.coalesce("gone", F.lit(False)).alias("gone")), "lines-marked")
     out = lines.join(marked, (lines["k"] == marked["mk"]) & (lines["bm"] == marked["mb"]))
     out = out.where(F.col("gone") | (place > F.col("first")))
-    back = F.when(F.col("doc") != (1 << 63) - 1, F.col("doc")).alias("doc")
-    return out.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("no").cast("int"))).alias("removed")).select(back, "removed")
+    no = F.col("no").bitwiseAND(F.lit((1 << _NO_BITS) - 1)).cast("int")
+    return out.groupBy("doc", F.shiftright("no", _NO_BITS).alias("rank")).agg(F.array_sort(F.collect_set(no)).alias("removed"))
 
 
 def _second(keyed: DataFrame, posts: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split: int, t: float) -> DataFrame:
@@ -556,20 +618,27 @@ def _second(keyed: DataFrame, posts: DataFrame, more: DataFrame, scale: np.ndarr
     return _verified(keyed, pairs, scale, t)
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """(doc_id, n_lines, n_removed, removed) for every row of ``docs``; see :func:`removed_lines`."""
-    gone = store(removed_lines(docs, id_col, text_col, threshold), "lines-removed")
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, by_row: bool = False) -> DataFrame:
+    """(doc_id, n_lines, n_removed, removed) for every row of ``docs``.
+
+    By id, as :func:`removed_lines` says, or ``by_row``, as :func:`_by_row` says.
+    """
     n = F.regexp_count(F.col(text_col), F.lit("\n")) + 1
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.when(F.length(text_col) > 0, n), F.lit(0)).alias("n_lines"))
-    out = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc"]), "left")
+    shown = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.when(F.length(text_col) > 0, n), F.lit(0)).alias("n_lines")]
+    if by_row:
+        out = _by_row(docs, id_col, text_col, threshold, shown).select("row.*", "removed")
+    else:
+        gone = store(removed_lines(docs, id_col, text_col, threshold), "lines-removed")
+        rows = docs.select(*shown)
+        out = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc"]), "left")
     some = F.coalesce("removed", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(some).alias("n_removed"), some.alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """``docs`` with the lines of :func:`removed_lines` cut out of the texts; columns as they came."""
-    gone = store(removed_lines(docs, id_col, text_col, threshold), "lines-removed").select(F.col("doc").alias("__doc"), F.col("removed").alias("__removed"))
-    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__doc"]), "left")
-    left = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda _, i: ~F.array_contains("__removed", i)), "\n")
-    cut = F.when(F.col("__removed").isNull(), docs[text_col]).otherwise(left)
-    return out.select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    """``docs`` with each row's removed lines (:func:`_by_row`) cut out of its text; columns as they came."""
+    out = _by_row(docs, id_col, text_col, threshold, [docs[c] for c in docs.columns])
+    text = F.col("row")[text_col]
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
+    cut = F.when(F.col("removed").isNull(), text).otherwise(left)
+    return out.select(*[(cut if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents that repeat an earlier line, nearly or wholly."""
-    return linededup.line_report(table(spark, sf_dir, "documents"))
+    return linededup.line_report(table(spark, sf_dir, "documents"), by_row=True)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
