@@ -223,6 +223,30 @@ def test_imatch_fingerprint_by_hand(spark):
             assert fp.split(":")[0] == f"{level:02x}" and [e[:2] for e in fp.split(":")[1].split(",") if e] == [f"{c:02x}" for c in cells]
 
 
+def test_imatch_hashes_all_terms_of_the_band(spark):
+    """Hashes are equal where, and only where, the sets of a lexicon's terms are; one changed term is told, and not by all lexicons."""
+    d = docs(spark)
+    known = imatch.lexicon(d)
+    inside = {r.term: list(r.of) for r in known.select("term", F.array(*[imatch.in_lexicon(F.col("term"), i) for i in range(imatch.LEXICONS + 1)]).alias("of")).collect()}
+    terms = {r.doc_id: [t for t in r.t if t in inside] for r in d.select("doc_id", imatch.distinct_terms(F.col("text")).alias("t")).collect()}
+    one = {r.doc_id: r.imatch for r in imatch.fingerprints(d, known=known).collect()}
+    two = {r.doc_id: r for r in imatch.with_edited(d, known=known).collect()}
+    assert one == {i: r.imatch for i, r in two.items()}
+    there, back = {}, {}
+    for i, ts in terms.items():
+        for k, e in enumerate(one[i].split(",") if ts else []):
+            of = (k, frozenset(t for t in ts if inside[t][k]))
+            assert (e == "-") == (not of[1]) and there.setdefault(of, e) == e
+            assert e == "-" or back.setdefault((k, e), of) == of
+    long = max(terms, key=lambda i: len(terms[i]))
+    words = d.where(F.col("doc_id") == long).select(F.explode(F.array_distinct(imatch.terms(F.col("text")))).alias("w")).withColumn("t", F.xxhash64("w"))
+    band = [r.w for r in words.join(known, words["t"] == known["term"]).select("w").orderBy("w").limit(40).collect()]
+    frame = spark.createDataFrame([(k, " ".join(band[:k] + band[k + 1 :])) for k in range(len(band))] + [(99, " ".join(band))], "doc_id long, text string")
+    made = {r.doc_id: r.imatch.split(",") for r in imatch.fingerprints(frame, known=known).collect()}
+    equal = [sum(x == y for x, y in zip(made[k], made[99])) for k in range(len(band))]
+    assert all(made[k][0] != made[99][0] for k in range(len(band))) and 0 < sum(equal) < len(band) * imatch.LEXICONS
+
+
 def test_imatch_odd_rows(spark):
     got = imatch.with_edited(odd(spark)).collect()
     assert len(got) == len(ODD) and len({r.fingerprint for r in got if r.doc_id == 3}) == 1

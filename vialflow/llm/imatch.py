@@ -1,15 +1,18 @@
-"""I-Match fingerprints over randomised lexicon subsets.
+"""I-Match fingerprints over randomised lexicon subsets, and a sample of terms beside them.
 
 The lexicon holds the terms whose document frequency, as a share of all
 documents, lies in a band: common words say nothing about a text, and rare ones
-are lost in any edit. A text's fingerprint hashes the sorted distinct terms
-that it has in each of several random subsets of the lexicon. A subset survives
-an edit that leaves its terms alone, so the share of equal subsets tells how
-alike two texts are. Subsets are sized to the text: at level j the lexicon is
-dealt at random into 2**j subsets and the first ``SUBSETS`` of them count, j
-being such that a subset has less than one term of the text in the mean. A
-fingerprint has its own level and the next, to meet texts of a slightly other
-length.
+are lost in any edit. The I-Match fingerprint (``imatch``) hashes all sorted
+distinct terms of the band that a text has, together, and the same for each of
+``LEXICONS`` random lexicons that leave out a share of the band. A lexicon
+survives an edit of terms that it leaves out, so the share of equal hashes tells
+how alike two texts are, as long as few terms change.
+
+``fingerprint`` is another measure, for larger edits: a sample of the text's
+terms, of a size that does not grow with the text. At level j the lexicon is
+dealt at random into 2**j cells and the first ``SUBSETS`` of them count, j being
+such that a cell has less than one term of the text in the mean. A fingerprint
+has its own level and the next, to meet texts of a slightly other length.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from vialflow.llm.common import shuffle_partitions, store
 from vialflow.llm.decontam import terms
 
 SUBSETS = 64
+#: Random lexicons of an I-Match fingerprint beside the whole band, and the percentage of the band that each leaves out.
+LEXICONS, LEFT_OUT = 10, 30
 
 
 def distinct_terms(text: Column) -> Column:
@@ -54,7 +59,7 @@ def _cell(term: Column, level: Column) -> Column:
 
 
 def _sampled(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``, struct(level, terms): the terms of ``text`` in a counting subset, whether or not in the band.
+    """Add ``name``, struct(level, terms): the terms of ``text`` in a counting subset, whether or not in the band; and name + "_all", all terms.
 
     Each step is a column of its own, made once for a row and not once for each
     term that a later step looks at.
@@ -62,7 +67,7 @@ def _sampled(rows: DataFrame, text: str, name: str) -> DataFrame:
     rows = rows.withColumn("_distinct", distinct_terms(F.col(text)))
     rows = rows.withColumn("_level", _level(F.col("_distinct")))
     drawn = F.filter("_distinct", lambda t: _cell(t, F.col("_level")) < SUBSETS)
-    return rows.withColumn(name, F.struct(F.col("_level").alias("level"), drawn.alias("terms"))).drop("_distinct", "_level")
+    return rows.withColumn(name, F.struct(F.col("_level").alias("level"), drawn.alias("terms"))).withColumnRenamed("_distinct", f"{name}_all").drop("_level")
 
 
 def _entries(kept: Column, level: Column) -> Column:
@@ -108,34 +113,70 @@ def likeness(one: Column, two: Column) -> Column:
     return F.when(one == two, F.lit(1.0)).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
+def in_lexicon(term: Column, which: int) -> Column:
+    """Whether a term of the band is in random lexicon ``which``, from 1; 0 is the whole band."""
+    return F.lit(True) if which == 0 else F.pmod(F.xxhash64(F.lit(which), term), F.lit(100)) >= LEFT_OUT
+
+
+def _matched(band: Column, text_hash: Column) -> Column:
+    """The hash of the terms ``band`` (sorted) in each lexicon, null where it has none; for a text without any, a hash of itself."""
+
+    def entry(which: int) -> Column:
+        found = F.filter(band, lambda t: in_lexicon(t, which))
+        return F.when(F.size(found) > 0, F.xxhash64(found))
+
+    return F.when(F.size(band) > 0, F.array(*[entry(i) for i in range(LEXICONS + 1)])).otherwise(F.array_repeat(text_hash, LEXICONS + 1))
+
+
+def _shown(entries: Column) -> Column:
+    """An I-Match fingerprint as text: 16 hex digits for each lexicon, or a dash."""
+    return F.concat_ws(",", F.transform(entries, lambda e: F.coalesce(F.lower(F.lpad(F.hex(e), 16, "0")), F.lit("-"))))
+
+
+def agreement(one: Column, two: Column) -> Column:
+    """Share of the lexicons, of those with terms in either text, whose hashes are equal in two I-Match fingerprints."""
+    a, b = F.split(one, ","), F.split(two, ",")
+    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != "-") | (y != "-")), lambda v: v))
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: (x == y) & (x != "-")), lambda v: v)) / either
+
+
 def _with_kept(rows: DataFrame, keys: list[str], columns: list[str], known: DataFrame) -> DataFrame:
-    """For each struct(level, terms) of ``columns``, the terms that are in the lexicon, as column + "_kept".
+    """For each of ``columns``, as :func:`_sampled` makes them, its terms that are in the lexicon: all, sorted, as
+    column + "_band" in place of column + "_all", and of the sample as column + "_kept".
 
     ``keys`` name a row; if the rows already lie together by one of them, no
-    row moves: the lexicon goes to all tasks.
+    row moves: the lexicon goes to all tasks. The other columns go with one
+    entry of each row only, not with every term.
     """
+    rest = [c for c in rows.columns if c not in keys and c not in {f"{c}_all" for c in columns}]
+    whole = F.struct(*[F.col(c) for c in rest])
+    kind = rows.select(whole.alias("x")).schema["x"].dataType
+    head = F.array(F.struct(F.lit(-1).alias("i"), F.lit(None).cast("long").alias("t"), whole.alias("row")))
+
     def tagged(i: int, c: str) -> Column:
-        return F.transform(F.col(f"{c}.terms"), lambda t: F.struct(F.lit(i).alias("i"), t.alias("t")))
+        return F.transform(F.col(f"{c}_all"), lambda t: F.struct(F.lit(i).alias("i"), t.alias("t"), F.lit(None).cast(kind).alias("row")))
 
-    every = F.array(*[tagged(i, c) for i, c in enumerate(columns)])
-    rest = [c for c in rows.columns if c not in keys]
-    flat = rows.withColumn("x", F.explode_outer(F.flatten(every)))
-    found = flat.join(F.broadcast(known), F.col("x.t") == known["term"], "left")
-    kept = [F.collect_list(F.when((F.col("x.i") == i) & F.col("term").isNotNull(), F.col("x.t"))).alias(f"{c}_kept") for i, c in enumerate(columns)]
-    return found.groupBy(*keys).agg(*[F.first(c).alias(c) for c in rest], *kept)
+    flat = rows.select(*keys, F.explode(F.concat(head, *[tagged(i, c) for i, c in enumerate(columns)])).alias("x"))
+    flat = flat.select(*keys, F.col("x.i").alias("i"), F.col("x.t").alias("t"), F.col("x.row").alias("row"))
+    found = flat.join(F.broadcast(known), flat["t"] == known["term"], "left").where("i < 0 or term is not null")
+    kept = [F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("t")))).alias(f"{c}_band") for i, c in enumerate(columns)]
+    made = found.groupBy(*keys).agg(F.first("row", ignorenulls=True).alias("row"), *kept)
+    made = made.select(*keys, "row.*", *[f"{c}_band" for c in columns])
+    drawn = lambda c: F.filter(f"{c}_band", lambda t: _cell(t, F.col(f"{c}.level")) < SUBSETS)
+    return made.withColumns({f"{c}_kept": drawn(c) for c in columns})
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
-    """(doc_id, fingerprint) for every row. Null counts as an empty text; equal texts have equal fingerprints."""
+    """(doc_id, fingerprint, imatch) for every row. Null counts as an empty text; equal texts have equal fingerprints."""
     known = lexicon(docs, text_col) if known is None else known
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(F.lit(1), text).alias("a"), F.xxhash64(F.lit(2), text).alias("b"), text.alias("text"), F.col(id_col).alias("doc_id"))
     # one of each text is fingerprinted; the key stands for the text
     once = keyed.groupBy("a", "b").agg(F.any_value("text").alias("text"))
     kept = _with_kept(_sampled(once, "text", "s").drop("text"), ["a", "b"], ["s"], known)
-    made = _rendered(kept, "s", "a", "fingerprint").select(F.col("a").alias("ta"), F.col("b").alias("tb"), "fingerprint")
+    made = _rendered(kept, "s", "a", "fingerprint").select(F.col("a").alias("ta"), F.col("b").alias("tb"), "fingerprint", _shown(_matched(F.col("s_band"), F.col("a"))).alias("imatch"))
     made = store(made, "imatch-made")
-    return keyed.join(made, (keyed["a"] == made["ta"]) & (keyed["b"] == made["tb"])).select("doc_id", "fingerprint")
+    return keyed.join(made, (keyed["a"] == made["ta"]) & (keyed["b"] == made["tb"])).select("doc_id", "fingerprint", "imatch")
 
 
 def _bucketed(docs: DataFrame, n: int) -> tuple[DataFrame, list[int]]:
@@ -156,7 +197,8 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Fingerprints of every text and of the same text with its last quarter replaced.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited and near_next. The replacement is the start of the next
+    near_edited, near_next (by the sample of terms), and imatch, edited_imatch,
+    imatch_edited, imatch_next (by the I-Match fingerprints). The replacement is the start of the next
     document's text, in ascending id (null ids last, ties by text; after the
     last the first). Texts move once, to ranges of ids; each range also gets the
     first row of the next one. Null counts as an empty text. Rows with equal ids
@@ -182,10 +224,14 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.coalesce(F.expr("substring(next, 1, cast(floor(length(text) / 4) as int))"), F.lit("")))
     near = near.select("b", "r", "extra", "id", n.cast("long").alias("n_chars"), "text", F.when(cut > 0, edited).otherwise(F.col("text")).alias("edited"))
     near = _sampled(_sampled(near, "text", "s"), "edited", "e")
-    near = near.select("b", "r", "extra", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64(F.lit(1), "edited").alias("eh"), "s", "e")
+    near = near.select("b", "r", "extra", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64(F.lit(1), "edited").alias("eh"), "s", "e", "s_all", "e_all")
     kept = _with_kept(near, ["b", "r"], ["s", "e"], known)
     made = _rendered(_rendered(kept, "s", "h", "fingerprint"), "e", "eh", "edited_fingerprint")
-    made = made.select("b", "r", "extra", F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
-    made = made.withColumn("next", F.lead("fingerprint").over(Window.partitionBy("b").orderBy("r"))).where(~F.col("extra"))
+    match = [_shown(_matched(F.col(f"{c}_band"), F.col(h))).alias(n) for c, h, n in (("s", "h", "imatch"), ("e", "eh", "edited_imatch"))]
+    made = made.select("b", "r", "extra", F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *match)
+    after = Window.partitionBy("b").orderBy("r")
+    made = made.withColumns({"next": F.lead("fingerprint").over(after), "next_imatch": F.lead("imatch").over(after)}).where(~F.col("extra"))
     out = [F.round(likeness(F.col("fingerprint"), F.coalesce(F.col(c), F.col("fingerprint"))), 6).alias(n) for c, n in (("edited_fingerprint", "near_edited"), ("next", "near_next"))]
+    out += ["imatch", "edited_imatch"]
+    out += [F.round(agreement(F.col("imatch"), F.coalesce(F.col(c), F.col("imatch"))), 6).alias(n) for c, n in (("edited_imatch", "imatch_edited"), ("next_imatch", "imatch_next"))]
     return made.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *out)
