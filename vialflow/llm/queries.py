@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialflow.llm import chat, decontam, imatch, linededup, mixing, planes, quality, sepscan, simhash, warc
+from vialflow.llm import chat, decontam, imatch, linededup, mixing, phrases, planes, quality, sepscan, simhash, warc
 from vialflow.llm.common import table
 from vialflow.session import scratch_path
 
@@ -81,8 +81,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language, from all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), support=10, longest=3, top=2000, absorbed=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality)
+    f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality, op12_phrases)
 }
 
 _BASE32 = "||".join(
@@ -118,4 +123,25 @@ ORACLE: dict[str, str] = {
         kept AS (SELECT conv_id FROM u WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.turns = u.turns))
         SELECT conv_id, turn, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS segment
         FROM conversations SEMI JOIN kept USING (conv_id)""",
+    "op12_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10),
+        cuts AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y
+                 FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+        s AS (SELECT lang, cuts.phrase, cuts.a, j, l.a AS l, r.a AS r,
+                     (1000000::HUGEINT * cuts.a * cuts.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+              FROM cuts JOIN f l USING (lang) JOIN f r USING (lang) WHERE l.phrase = x AND r.phrase = y),
+        worst AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
