@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "1000")
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Let the jobs run inside this block hand Python at most ``rows`` rows at once; the session's own, smaller choice holds."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import shuffle_partitions, store
+from vialflow.llm.common import batch_rows, shuffle_partitions, store
 
 #: Fixed value: the bytes that end a piece, and those that part the words in it.
 ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -34,7 +34,9 @@ ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 SHARDS = 4
 _SHARD_BITS = 8
 #: Bytes of text that a task counts at once.
-_CHUNK = 6 << 20
+_CHUNK = 3 << 20
+#: Rows of text that are handed to Python at once.
+_BATCH = 500
 #: The filter of phrases: segments, and bits of each; two bits are set for a phrase.
 _SEGMENTS, _BITS = 64, 1 << 21
 _FOLD = bytes(10 if c in ENDS else 32 if c in BLANKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -192,6 +194,11 @@ def counts(docs: DataFrame, support: int = 10, longest: int = 3, shards: int = S
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     rows = docs.select(text.alias("t"), lang.alias("l"), F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("s"))
+    with batch_rows(docs.sparkSession, _BATCH):
+        return _counted(rows, support, longest, shards)
+
+
+def _counted(rows: DataFrame, support: int, longest: int, shards: int) -> DataFrame:
     known = _filter(_mined(rows, range(1, min(2, longest) + 1), None, support, shards))
     for n in range(3, longest + 1):
         known |= _filter(_mined(rows, range(n, n + 1), known, support, shards))
