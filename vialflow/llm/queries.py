@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialflow.llm import chat, decontam, imatch, linededup, mixing, phrases, planes, quality, sepscan, simhash, warc
+from vialflow.llm import chat, decontam, imatch, linededup, mixing, phrases, planes, quality, sepscan, simhash, vafile, warc, whitening
 from vialflow.llm.common import table
 from vialflow.session import scratch_path
 
@@ -81,13 +81,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the 16 leading components of the distinct ones."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), top=16, scale=64, offset=1_000_000)
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of each language, from all documents."""
     return phrases.collocations(table(spark, sf_dir, "documents"), support=10, longest=3, top=2000, absorbed=50)
 
 
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other embeddings for every embedding whose id is divisible by 50."""
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality, op12_phrases)
+    f.__name__: f for f in (op1_simhash, op2_line_dedup, op3_warc, op4_decontamination, op5_imatch, op6_token_planes, op7_mixing, op8_token_counts, op9_chat, op10_quality, op11_whitening, op12_phrases, op13_top_k)
 }
 
 _BASE32 = "||".join(
@@ -144,4 +154,11 @@ ORACLE: dict[str, str] = {
         kept AS (SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op13_top_k": """
+        WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, c -> floor(256 * c::DOUBLE)) AS x
+                   FROM embeddings WHERE len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+        s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+              FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
 }
