@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 #: Fixed value: the alphabet of base32 (RFC 4648).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _EOL = "\r\n"
+_CONTROL = r"[\x00-\x1F\x7F]"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -30,7 +31,15 @@ def _base32(hex_digest: Column) -> Column:
     return F.concat(*out)
 
 
-def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = 0) -> None:
+def _one_line(url: Column) -> Column:
+    """``url`` with its control characters percent-encoded, so that it can't end a header or start one."""
+    escaped = lambda c: F.when(c.rlike(_CONTROL), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)
+    return F.when(url.rlike(_CONTROL), F.array_join(F.transform(F.split(url, ""), escaped), "")).otherwise(url)
+
+
+def write_archive(
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = 0, date: str = "1970-01-01T00:00:00Z"
+) -> None:
     """Write one record for every row of ``pages`` below ``path``.
 
     The payload is the text in UTF-8 (null: no bytes). Among records with equal
@@ -39,7 +48,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     all. Repeated rows with the smallest id are responses all, though their
     payload too is stored once. A row with a null id is a revisit of the
     smallest id, or a response if all ids are null. A null url is left out of
-    the headers. Other columns are not read.
+    the headers; control characters in a url are percent-encoded. ``date`` is
+    the WARC-Date of all records, as pages carry none. Payloads of any length
+    are rows of their own; an empty table makes an empty archive. Other columns
+    are not read.
     """
     payload = F.coalesce(F.encode(F.col(payload_col).cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
@@ -61,7 +73,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         F.lit(f"WARC/1.1{_EOL}"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", urn(own)),
-        F.coalesce(line("WARC-Target-URI", F.col("url")), F.lit("")),
+        line("WARC-Date", F.lit(date)),
+        F.coalesce(line("WARC-Target-URI", _one_line(F.col("url"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
         F.when(revisit, F.concat(line("WARC-Refers-To", urn(F.col("first"))), line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))).otherwise(""),
         line("Content-Type", F.lit("text/html")),
