@@ -91,14 +91,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on the labelled rows of ``docs``, ``TRAIN_ROWS`` of them at most.
 
     Rows without a label, id or document do not count; of repeated labels of an
-    id, the smallest holds. If one class only is left, every text scores that
+    id, the smallest holds, and of its documents the text with the least hash.
+    Other columns of ``docs`` are not read, whatever their names. If one class only is left, every text scores that
     class's share, smoothed; without any label, 0.5.
     """
     y = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("lid")).agg(F.min(label_col).cast("double").alias("y"))
     y = store(y.orderBy(F.xxhash64("lid"), "lid").limit(TRAIN_ROWS), "quality-labels")
     some = docs.join(F.broadcast(y), docs[id_col] == y["lid"])
-    stats = statistics(docs[text_col]).values()
-    rows = store(some.select("y", *[c.cast("double").alias(n) for c, n in zip(stats, NAMES)]), "quality-train").coalesce(4).cache()
+    stats = [c.cast("double").alias(n) for c, n in zip(statistics(docs[text_col]).values(), NAMES)]
+    one = some.select(y["lid"].alias("lid"), F.xxhash64(docs[text_col]).alias("h"), F.struct(y["y"].alias("y"), *stats).alias("row"))
+    rows = store(one.groupBy("lid").agg(F.min_by("row", "h").alias("row")).select("row.*"), "quality-train").coalesce(4).cache()
     try:
         share = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
         n, ones = sum(share.values()), share.get(1.0, 0)
