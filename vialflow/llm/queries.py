@@ -155,8 +155,8 @@ ORACLE: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op13_top_k": """
-        WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, c -> floor(256 * c::DOUBLE)) AS x
-                   FROM embeddings WHERE len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+        WITH v AS (SELECT row_number() OVER () AS row, vec_id, [floor(256 * c::DOUBLE) FOR c IN embedding] AS x
+                   FROM embeddings WHERE len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
         s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
               FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
