@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from .functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
 from .session import apply_cluster_conf, ensure_checkpoint_dir
 from .sinks.parquet import DEFAULT_COMPRESSION, extract_trial, extract_trials
-from .sources.tables import LimsTables, read_jdbc_tables, read_parquet_tables
+from .sources.tables import LIVE, SNAPSHOT_STATEMENT, LimsTables, ReadPoint, read_jdbc_tables, read_parquet_tables
 
 NONE_TOKEN = "None"
 
@@ -47,15 +47,30 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--collation", default=None, help='e.g. "UTF8_LCASE_RTRIM"')
     p.add_argument("--seq-empty-as-zero", action="store_true", help="an empty sequence is number 0, not missing")
     p.add_argument("--jdbc-partitions", type=int, default=64, help="parallel reads of each large table")
+    point = p.add_mutually_exclusive_group()
+    point.add_argument("--jdbc-as-of", help="read system-versioned tables as of this UTC time")
+    point.add_argument("--jdbc-database-snapshot", help="read the tables of this database snapshot")
+    point.add_argument("--jdbc-change-column", help="column=value: read only rows up to this value (append-only tables)")
     return p.parse_args(argv)
 
 
+def read_point(args: argparse.Namespace) -> ReadPoint:
+    if args.jdbc_as_of:
+        return ReadPoint.system_time(args.jdbc_as_of)
+    if args.jdbc_database_snapshot:
+        return ReadPoint.database_snapshot(args.jdbc_database_snapshot)
+    if args.jdbc_change_column:
+        return ReadPoint.change_column(*args.jdbc_change_column.split("=", 1))
+    return LIVE
+
+
 def load_tables(spark: SparkSession, args: argparse.Namespace) -> LimsTables:
     if args.tables:
         return read_parquet_tables(spark, args.tables)
     if args.jdbc_url:
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
-        return read_jdbc_tables(spark, args.jdbc_url, props, num_partitions=args.jdbc_partitions)
+        props.setdefault("sessionInitStatement", SNAPSHOT_STATEMENT)
+        return read_jdbc_tables(spark, args.jdbc_url, props, num_partitions=args.jdbc_partitions, read_point=read_point(args))
     from .sources.fixtures import derive_lims_tables
 
     return derive_lims_tables(spark, args.fixture_dir)

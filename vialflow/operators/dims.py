@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
 from .broadcast import tables_fit
+from .reducers import Reducers, heavy_sql
 
 SCHEDULE_TABLES = ("TRIAL_MASTER_SCHEDULE", "TRIAL", "TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT")
 LOCATION_TABLES = ("LOCATIONS", "LOCATIONS", "LOCATIONS", "ROOMS", "BUILDINGS")
@@ -80,7 +81,13 @@ def location_path_sql(t: LimsTables) -> str:
         LEFT JOIN {{BUILDINGS}} BL ON BL.BUILDING_ID = {bldg_key} AND RM.BUILDING_ID IS NOT NULL"""
 
 
-def boxes_sql(t: LimsTables, with_current_rows: bool, box_ids: str | None = None, broadcast_ids: bool = False) -> str:
+def boxes_sql(
+    t: LimsTables,
+    with_current_rows: bool,
+    box_ids: str | None = None,
+    broadcast_ids: bool = False,
+    reduce: tuple[Reducers, str] | None = None,
+) -> str:
     """Inventory items as parent boxes, with their material geometry.
 
     ``with_current_rows`` adds ``_CURRENT_ROWS``, the number of the box's
@@ -92,13 +99,19 @@ def boxes_sql(t: LimsTables, with_current_rows: bool, box_ids: str | None = None
 
     ``box_ids`` names a relation (CTE) with column ``BOX_ID``: INVENTORY and
     the ledger count are then cut to those boxes by semi joins, broadcast
-    when ``broadcast_ids`` (the caller has proven the set small).
+    when ``broadcast_ids`` (the caller has proven the set small). ``reduce``
+    (filters, name) cuts both by a Bloom filter of box ids instead, which fits
+    a set of any size.
     """
     bc = hint(["MT"] if tables_fit(t, ["MATERIALS"]) else [])
     inv_hint = hint(["BI"]) if box_ids and broadcast_ids else ""
     inv_semi = f" LEFT SEMI JOIN {box_ids} BI ON INV.INVENTORYID = BI.BOX_ID" if box_ids else ""
     cur_hint = hint(["BC"]) if box_ids and broadcast_ids else ""
     cur_semi = f" LEFT SEMI JOIN {box_ids} BC ON L.INVENTORYID = BC.BOX_ID" if box_ids else ""
+    if reduce and not box_ids:
+        inv_hint, inv_semi = reduce[0].keep("INVENTORY", "INVENTORYID", reduce[1], "INV")
+        cur_hint, cur_semi = reduce[0].keep("INVENTORY_TRANSACTIONS", "INVENTORYID", reduce[1], "L")
+        inv_semi, cur_semi = f" {inv_semi}", f" {cur_semi}"
     mat_key = spread("INV.MATCODE", ["INV.INVENTORYID"], t.col_type("INVENTORY", "MATCODE"))
     counts_col = ", CUR.N AS _CURRENT_ROWS" if with_current_rows else ""
     counts_join = (
@@ -115,6 +128,39 @@ def boxes_sql(t: LimsTables, with_current_rows: bool, box_ids: str | None = None
         LEFT JOIN {{MATERIALS}} MT ON MT.MATCODE = {mat_key} AND INV.MATCODE IS NOT NULL{counts_join}"""
 
 
+def heavy_boxes_ctes(t: LimsTables, with_current_rows: bool, container: str, source: str) -> str:
+    """CTEs ``heavy`` and ``heavy_boxes``: the boxes that many rows of ``source`` point at by ``container``.
+
+    A sketch names them, so they are few (see :func:`~.reducers.heavy_sql`)
+    and their box rows are broadcast. Each CTE is followed by a comma.
+    """
+    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return f"""heavy AS ({heavy_sql(container, source, partitions)}),
+heavy_boxes AS ({boxes_sql(t, with_current_rows, "heavy", True)}),
+"""
+
+
+def parent_box_join(container: str, data_type: str, self_key: str, salt: list[str], heavy: bool) -> str:
+    """``LEFT JOIN`` to ``boxes PC``: the containing box, never the row's own item.
+
+    With ``heavy`` rows in a heavy box take it from the broadcast ``heavy_boxes HB``
+    and go through the shuffle join spread and without a match, like rows in no
+    box at all. Whichever boxes the sketch has named, each row finds its box once.
+    """
+    if not heavy:
+        return f"""LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {spread(container, salt, data_type)}
+       AND {container} IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> {self_key}"""
+    left = f"IF(HB.PARENT_CONTAINER_INV_ID IS NULL, {container}, NULL)"
+    return f"""LEFT JOIN heavy_boxes HB ON HB.PARENT_CONTAINER_INV_ID = {container} AND HB.PARENT_CONTAINER_INV_ID <> {self_key}
+LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {spread(left, salt, data_type)}
+       AND {container} IS NOT NULL AND HB.PARENT_CONTAINER_INV_ID IS NULL AND PC.PARENT_CONTAINER_INV_ID <> {self_key}"""
+
+
+def box_column(name: str, heavy: bool) -> str:
+    """A column of the box that :func:`parent_box_join` found."""
+    return f"coalesce(HB.{name}, PC.{name})" if heavy else f"PC.{name}"
+
+
 def boxes_fit(t: LimsTables, with_current_rows: bool) -> bool:
     return tables_fit(t, BOX_TABLES + (("INVENTORY_TRANSACTIONS",) if with_current_rows else ()))
 

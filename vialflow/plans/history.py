@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from ..functions.scalar import grid_ordinal_sql
 from ..operators import dims
 from ..operators.broadcast import tables_fit
+from ..operators.reducers import Reducers, worth_reducing
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
-from .inventory import TrialCodes, TrialVials, trial_filter_sql
+from .inventory import TrialCodes, TrialVials, inline_reducers, trial_filter_sql
 
 # The history's output contract (column names, order, sort keys).
 HISTORY_COLUMNS: tuple[str, ...] = (
@@ -25,6 +26,8 @@ HISTORY_COLUMNS: tuple[str, ...] = (
     "BOX_CODE", "BOX_POS", "LOCATION_NAME", "LONGNAME",
 )
 HISTORY_ORDER = ("INVENTORYID", "TRANSACTION_ID")
+#: The large tables that a trial's ids cut.
+HISTORY_TABLES = ("INVENTORY_VLA", "INVENTORY_TRANSACTIONS_VLA", "INVENTORY", "TRANSACTIONS")
 
 
 def history_sql(
@@ -42,56 +45,69 @@ def history_sql(
     ``vials_table`` takes the trial's vials and ledger rows from the bound
     ``{TRIAL_VIALS}`` / ``{TRIAL_LEDGER}`` tables (written once, see
     :func:`~vialflow.plans.inventory.materialize_trial_vials`);
-    ``broadcast_vials`` (size checked by the caller) broadcasts the vials;
-    ``reduce_ledger`` cuts the box inventory and the transaction headers to
-    the ids the trial's ledger rows reference, by broadcast semi joins.
+    ``broadcast_vials`` (size checked by the caller) broadcasts the vials.
+
+    The box inventory and the transaction headers are cut to the ids that the
+    trial's ledger rows reference: by broadcast semi joins with
+    ``reduce_ledger`` (the caller has proven the ledger rows few), else by Bloom
+    filters; a trial stated inline also cuts the ledger so. Boxes that many
+    rows point at are broadcast apart, as in the snapshot.
     """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
+    boxes_small = reduce_ledger or dims.boxes_fit(t, False)
+    heavy = not boxes_small
     names = (
         (["V"] if broadcast_vials else [])
-        # headers and boxes cut to the ids of the (proven small) trial ledger are small too
+        # headers cut to the ids of the (proven small) trial ledger are small too
         + (["T"] if reduce_ledger or tables_fit(t, ["TRANSACTIONS"]) else [])
-        + (["PC"] if reduce_ledger or dims.boxes_fit(t, False) else [])
+        + (["PC"] if boxes_small else ["HB"])
         + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
     )
-    tx_key = spread("IT.TRANSACTION_ID", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "TRANSACTION_ID"))
-    box_key = spread("IT.CONTAINER_INVENTORYID", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID"))
-    loc_key = spread("IT.LOCATIONCODE", salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "LOCATIONCODE"))
-    box_pos = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
-    trial_col = ", CR.LAST_NAME" if with_trial else ""
+    ledger_type = lambda column: t.col_type("INVENTORY_TRANSACTIONS_VLA", column)
+    tx_key = spread("IT.TRANSACTION_ID", salt, ledger_type("TRANSACTION_ID"))
+    loc_key = spread("IT.LOCATIONCODE", salt, ledger_type("LOCATIONCODE"))
+    box_pos = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", dims.box_column("CONTAINER_AXIS_X_SIZE", heavy))
     trial_out = ", V.LAST_NAME" if with_trial else ""
+    inline = not vials_table and trial_pred != "TRUE" and worth_reducing(t, HISTORY_TABLES)
+    reducers, base = inline_reducers(t, trial_pred) if inline else (None, "")
+    inv_hint, inv_cut = reducers.keep("INVENTORY_VLA", "EXTERNAL_ID", "receipt_ids", "I") if reducers else ("", "")
     vials = (
         f"SELECT VIAL_ID{', LAST_NAME' if with_trial else ''} FROM {{TRIAL_VIALS}}"
         if vials_table else
-        f"""SELECT INV.INVENTORYID AS VIAL_ID{trial_col}
-        FROM {{INVENTORY_VLA}} INV
+        f"""SELECT INV.INVENTORYID AS VIAL_ID{', CR.LAST_NAME' if with_trial else ''}
+        FROM (SELECT {inv_hint} I.* FROM {{INVENTORY_VLA}} I {inv_cut}) INV
         JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
         WHERE {trial_pred}"""
     )
-    ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
-    ids_ctes = (
-        """,
-box_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM {TRIAL_LEDGER} WHERE CONTAINER_INVENTORYID IS NOT NULL),
-tx_ids AS (SELECT DISTINCT TRANSACTION_ID AS TX_ID FROM {TRIAL_LEDGER} WHERE TRANSACTION_ID IS NOT NULL)"""
-        if reduce_ledger else ""
-    )
-    headers = (
-        f"(SELECT {hint(['TI']) if reduce_ledger else ''} H.* FROM {{TRANSACTIONS}} H "
-        "LEFT SEMI JOIN tx_ids TI ON H.TRANSACTION_ID = TI.TX_ID)"
-        if reduce_ledger else "{TRANSACTIONS}"
-    )
-    boxes = dims.boxes_sql(t, False, "box_ids" if reduce_ledger else None, reduce_ledger)
+    it_hint, it_cut = reducers.keep("INVENTORY_TRANSACTIONS_VLA", "INVENTORYID", "vial_ids", "L") if reducers else ("", "")
+    ledger = "{TRIAL_LEDGER}" if vials_table else f"(SELECT {it_hint} L.* FROM {{INVENTORY_TRANSACTIONS_VLA}} L {it_cut})"
+    ids, headers, box_ids, box_reduce = "", "{TRANSACTIONS}", None, None
+    if reduce_ledger:
+        ids = """box_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM {TRIAL_LEDGER} WHERE CONTAINER_INVENTORYID IS NOT NULL),
+tx_ids AS (SELECT DISTINCT TRANSACTION_ID AS TX_ID FROM {TRIAL_LEDGER} WHERE TRANSACTION_ID IS NOT NULL),
+"""
+        headers = f"(SELECT {hint(['TI'])} H.* FROM {{TRANSACTIONS}} H LEFT SEMI JOIN tx_ids TI ON H.TRANSACTION_ID = TI.TX_ID)"
+        box_ids = "box_ids"
+    elif vials_table or reducers:
+        used = Reducers(t)
+        used.add("box_filter", "CONTAINER_INVENTORYID", ledger_type("CONTAINER_INVENTORYID"), "ledger")
+        used.add("header_filter", "TRANSACTION_ID", ledger_type("TRANSACTION_ID"), "ledger")
+        tx_hint, tx_cut = used.keep("TRANSACTIONS", "TRANSACTION_ID", "header_filter", "H")
+        ids, box_reduce = used.ctes(), (used, "box_filter")
+        headers = f"(SELECT {tx_hint} H.* FROM {{TRANSACTIONS}} H {tx_cut})"
+    heavy_ctes = dims.heavy_boxes_ctes(t, False, "CONTAINER_INVENTORYID", "ledger") if heavy else ""
     body = f"""
-WITH vials AS ({vials}){ids_ctes},
-boxes AS ({boxes})
+WITH {base}vials AS ({vials}),
+ledger AS (SELECT * FROM {ledger}),
+{ids}{heavy_ctes}boxes AS ({dims.boxes_sql(t, False, box_ids, reduce_ledger, box_reduce)})
 SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
        IT.AMOUNT_UNIT_CODE, T.TRANSACTION_TYPE, IT.COMMENTS, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X,
-       IT.FLAG_CURRENT, PC.BOX_NAME, PC.BOX_CODE, {box_pos} AS BOX_POS, LOC.LOCATION_NAME, LOC.LONGNAME{trial_out}
-FROM {ledger} IT
+       IT.FLAG_CURRENT, {dims.box_column("BOX_NAME", heavy)} AS BOX_NAME, {dims.box_column("BOX_CODE", heavy)} AS BOX_CODE,
+       {box_pos} AS BOX_POS, LOC.LOCATION_NAME, LOC.LONGNAME{trial_out}
+FROM ledger IT
 JOIN vials V ON V.VIAL_ID = IT.INVENTORYID
 LEFT JOIN {headers} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
-LEFT JOIN boxes PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}
-       AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> IT.INVENTORYID
+{dims.parent_box_join("IT.CONTAINER_INVENTORYID", ledger_type("CONTAINER_INVENTORYID"), "IT.INVENTORYID", salt, heavy)}
 LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL"""
     if not sort:
         return body

@@ -13,10 +13,10 @@ Plan shape (all joins declared; Catalyst/AQE choose the physical form):
    material and its current-row count) ⟕ location path.
 4. Row multiplication by the box's current ledger rows is replayed last.
 
-For a single selective trial the job instead materialises the trial's vials
-and ledger rows first (:func:`materialize_trial_vials`) and, when they are
-proven small, cuts every large input by broadcast semi joins (see
-:func:`snapshot_sql`).
+For one trial every large input is cut in its scan by the trial's ids, whatever
+their number (see :func:`snapshot_sql`). The job materialises the trial's
+vials and ledger rows first (:func:`materialize_trial_vials`), so that the
+snapshot and the history share them.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from ..functions.text import sampleid_sqls
 from ..operators import dims
 from ..operators.broadcast import fits_broadcast, sized_broadcast, tables_fit
 from ..operators.joins import fanout_sql
+from ..operators.reducers import Reducers, worth_reducing
 from ..operators.summary import observe_rows
 from ..session import scratch_path
 from ..sources.tables import LimsTables
@@ -213,11 +214,46 @@ _SNAPSHOT_EXPR = {
 }
 
 
-def vials_ctes(t: LimsTables, trial_pred: str) -> str:
+#: The large tables that a trial's ids cut.
+REDUCED_TABLES = ("INVENTORY_VLA", "SAMPLECONTAINERS_VLA", "METADATA", "INVENTORY_TRANSACTIONS_VLA", "INVENTORY", "INVENTORY_TRANSACTIONS")
+
+
+def inline_reducers(t: LimsTables, trial_pred: str) -> tuple[Reducers, str]:
+    """Bloom filters of a trial stated inline, and the CTE ``base`` that they are built from.
+
+    ``receipt_ids`` and ``receipt_guids`` come from the trial's receipts,
+    ``vial_ids`` and ``vial_guids`` from its vials.
+    """
+    receipts = f"(SELECT CR.EXTERNAL_ID, CR.METADATA_GUID FROM {{CENTRALRECEIVING_VLA}} CR WHERE {trial_pred}) r"
+    early = Reducers(t)
+    early.add("receipt_ids", "EXTERNAL_ID", t.col_type("CENTRALRECEIVING_VLA", "EXTERNAL_ID"), receipts)
+    early.add("receipt_guids", "METADATA_GUID", t.col_type("CENTRALRECEIVING_VLA", "METADATA_GUID"), receipts)
+    inv_hint, inv_cut = early.keep("INVENTORY_VLA", "EXTERNAL_ID", "receipt_ids", "INV")
+    base = f"""base AS (
+        SELECT INV.INVENTORYID AS VIAL_ID, INV.METADATA_GUID AS INV_GUID
+        FROM (SELECT {inv_hint} INV.* FROM {{INVENTORY_VLA}} INV {inv_cut}) INV
+        JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
+        WHERE {trial_pred}),
+"""
+    late = Reducers(t)
+    late.add("vial_ids", "VIAL_ID", t.col_type("INVENTORY_VLA", "INVENTORYID"), "base")
+    late.add("vial_guids", "INV_GUID", t.col_type("INVENTORY_VLA", "METADATA_GUID"), "base")
+    text = early.ctes() + base + late.ctes()
+    early.extend(late)
+    return early, text
+
+
+def vials_ctes(t: LimsTables, trial_pred: str, reducers: Reducers | None = None) -> str:
     """CTEs ``sched``, ``receipts`` and ``vials`` (INVENTORY_VLA ⋈ trial receipts)."""
     receipts_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
     cr_roles = ", ".join(f"CRM.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
     receipt_cols = ", ".join(f"R.{c}" for c in VIAL_COLUMNS[3:])
+    metadata, inventory = "{METADATA}", "{INVENTORY_VLA}"
+    if reducers:
+        meta_hint, meta_cut = reducers.keep("METADATA", "ID", "receipt_guids", "M")
+        inv_hint, inv_cut = reducers.keep("INVENTORY_VLA", "EXTERNAL_ID", "receipt_ids", "I")
+        metadata = f"(SELECT {meta_hint} M.* FROM {{METADATA}} M {meta_cut})"
+        inventory = f"(SELECT {inv_hint} I.* FROM {{INVENTORY_VLA}} I {inv_cut})"
     return f"""sched AS ({dims.schedule_sql(t)}),
 receipts AS (
         SELECT {receipts_hint} CR.EXTERNAL_ID AS CR_EXT, CR.SUBJECTID, CR.FIRST_NAME AS LABID,
@@ -225,12 +261,12 @@ receipts AS (
                CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
                {cr_roles}, S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
         FROM {{CENTRALRECEIVING_VLA}} CR
-        JOIN {{METADATA}} CRM ON CRM.ID = CR.METADATA_GUID
+        JOIN {metadata} CRM ON CRM.ID = CR.METADATA_GUID
         JOIN sched S ON S.TMS_ID = CR.TRIAL_MASTER_SCHEDULE_ID
         WHERE {trial_pred}),
 vials AS (
         SELECT INV.INVENTORYID AS VIAL_ID, INV.EXTERNAL_CODE AS SEQ, INV.METADATA_GUID AS INV_GUID, {receipt_cols}
-        FROM {{INVENTORY_VLA}} INV
+        FROM {inventory} INV
         JOIN receipts R ON R.CR_EXT = INV.EXTERNAL_ID)"""
 
 
@@ -252,18 +288,29 @@ JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
 WHERE {trial_pred}"""
 
 
-def vials_from_table_ctes(t: LimsTables, broadcast_vials: bool) -> str:
+def table_reducers(t: LimsTables) -> Reducers:
+    """Bloom filters of the materialised trial: its receipts' and vials' keys, from the bound ``{TRIAL_VIALS}``."""
+    made = Reducers(t)
+    made.add("receipt_guids", "CR_GUID", t.col_type("CENTRALRECEIVING_VLA", "METADATA_GUID"), "{TRIAL_VIALS}")
+    made.add("vial_ids", "VIAL_ID", t.col_type("INVENTORY_VLA", "INVENTORYID"), "{TRIAL_VIALS}")
+    made.add("vial_guids", "INV_GUID", t.col_type("INVENTORY_VLA", "METADATA_GUID"), "{TRIAL_VIALS}")
+    return made
+
+
+def vials_from_table_ctes(t: LimsTables, reducers: Reducers | None) -> str:
     """CTEs ``base`` (the bound ``{TRIAL_VIALS}``) and ``vials`` (+ receipt
     metadata and schedule, inner). The receipt-role METADATA is first cut to
-    the trial's receipts by a semi join, broadcast if ``broadcast_vials``."""
+    the trial's receipts: by a Bloom filter, or with no ``reducers`` (the set
+    is proven small) by a broadcast semi join."""
     sched_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
     cr_roles = ", ".join(f"M.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
-    semi = "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID"
+    meta_hint, meta_cut = reducers.keep("METADATA", "ID", "receipt_guids", "M") if reducers else (
+        hint(["RB"]), "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID")
     base_cols = ", ".join(f"B.{c}" for c in VIAL_COLUMNS[:12])
     roles = ", ".join(f"CRM.{n}" for n in RECEIPT_METADATA_ROLES.values())
     return f"""sched AS ({dims.schedule_sql(t)}),
 base AS (SELECT * FROM {{TRIAL_VIALS}}),
-crm AS (SELECT {hint(["RB"]) if broadcast_vials else ""} M.ID, {cr_roles} FROM {{METADATA}} M {semi}),
+crm AS (SELECT {meta_hint} M.ID, {cr_roles} FROM {{METADATA}} M {meta_cut}),
 vials AS (
         SELECT {sched_hint} {base_cols}, {roles},
                S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
@@ -272,10 +319,6 @@ vials AS (
         JOIN sched S ON S.TMS_ID = B.CR_TMS)"""
 
 
-#: Copies of a box row in the snapshot's box join, and so the tasks that a hot box spreads over at least.
-BOX_SALTS = 16
-
-
 def snapshot_sql(
     t: LimsTables,
     trial_pred: str,
@@ -291,78 +334,119 @@ def snapshot_sql(
     ``extra`` adds computed output columns ({name: SQL over snapshot names}).
     ``vials_table`` reads the trial's vials from the bound table
     ``{TRIAL_VIALS}`` and their ledger rows from ``{TRIAL_LEDGER}`` instead of
-    joining them inline; semi joins then cut SAMPLECONTAINERS and METADATA to
-    the trial. There and for all trials, boxes and their ledger counts are cut
-    to the boxes that the current ledger rows at hand point at. The flags only
-    say that these sets are proven small, so that the same semi joins run as
-    broadcasts inside the scan tasks.
-
-    A box so cut that is not broadcast meets its vials on (box, salt), with the box
-    row once for each of ``BOX_SALTS``: both sides are then shuffled for this
-    join, a hot box spreads over as many tasks, and AQE may split it further.
+    joining them inline.
+
+    One trial cuts every large table in its scan before anything is shuffled:
+    SAMPLECONTAINERS, METADATA and the ledger by the trial's receipts and
+    vials, INVENTORY and the box ledger count by the boxes that its current
+    ledger rows point at. Sets that the flags say are proven small do so by
+    broadcast semi joins; all others, of any size, by Bloom filters. For all
+    trials there is nothing to cut but the boxes, by a shuffled semi join.
+
+    Boxes that are not broadcast are joined by shuffle; the few that hold many
+    of the rows are broadcast apart (:func:`~vialflow.operators.dims.parent_box_join`).
     """
     vial_salt = ["V.VIAL_ID"]
     boxes_small = broadcast_ledger or dims.boxes_fit(t, True)
+    heavy = not boxes_small
+    all_trials = not vials_table and trial_pred == "TRUE"
+    reducers, base = None, ""
+    if vials_table and not (broadcast_vials and broadcast_ledger):
+        reducers = table_reducers(t)
+        base = reducers.ctes()
+    elif not vials_table and not all_trials and worth_reducing(t, REDUCED_TABLES):
+        reducers, base = inline_reducers(t, trial_pred)
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
         # the counted trial ledger, and boxes cut to those it references, are small too
-        + (["IT", "PC"] if broadcast_ledger else (["PC"] if boxes_small else []))
+        + (["IT", "PC"] if broadcast_ledger else (["PC"] if boxes_small else ["HB"]))
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
-    exprs = dict(_SNAPSHOT_EXPR)
+    exprs = {c: dims.box_column(e[3:], heavy) if e.startswith("PC.") else e for c, e in _SNAPSHOT_EXPR.items()}
     exprs["SEQ_NUM"] = safe_int_sql("V.SEQ", seq_empty_as_zero)
-    exprs["BOX_POS"] = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", "PC.CONTAINER_AXIS_X_SIZE")
+    exprs["BOX_POS"] = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", dims.box_column("CONTAINER_AXIS_X_SIZE", heavy))
     select = ",\n               ".join(f"{exprs[c]} AS {c}" for c in SNAPSHOT_COLUMNS)
     cc_key = spread("SC.CONTCODE", vial_salt, t.col_type("SAMPLECONTAINERS_VLA", "CONTCODE"))
-    box_key = spread("IT.CONTAINER_INVENTORYID", vial_salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID"))
     loc_key = spread("IT.LOCATIONCODE", vial_salt, t.col_type("INVENTORY_TRANSACTIONS_VLA", "LOCATIONCODE"))
+    box_type = t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID")
     outer = ", ".join(SNAPSHOT_COLUMNS)
     if extra:
         outer += ", " + ", ".join(f"{sql} AS {name}" for name, sql in extra.items())
-    vials = vials_from_table_ctes(t, broadcast_vials) if vials_table else vials_ctes(t, trial_pred)
-    reduce = hint(["RV"]) if broadcast_vials else ""
-    semi = (lambda key: f"LEFT SEMI JOIN base RV ON {key} = RV.VIAL_ID") if vials_table else (lambda key: "")
-    semi_meta = "LEFT SEMI JOIN base RV ON M.ID = RV.INV_GUID" if vials_table else ""
+
+    def cut(table: str, column: str, name: str, alias: str, base_column: str) -> tuple[str, str]:
+        if vials_table and broadcast_vials:
+            return hint(["RV"]), f"LEFT SEMI JOIN base RV ON {alias}.{column} = RV.{base_column}"
+        return reducers.keep(table, column, name, alias) if reducers else ("", "")
+
+    vials = vials_from_table_ctes(t, None if broadcast_vials else reducers) if vials_table else vials_ctes(t, trial_pred, reducers)
+    sc_hint, sc_cut = cut("SAMPLECONTAINERS_VLA", "INVENTORYID", "vial_ids", "SC", "VIAL_ID")
+    meta_hint, meta_cut = cut("METADATA", "ID", "vial_guids", "M", "INV_GUID")
     ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
-    # one trial stated inline has no set of box ids at hand short of stating its vials again
-    cut_boxes = vials_table or trial_pred == "TRUE"
-    box_ids_cte = ""
-    if cut_boxes:
-        box_ids_cte = "\nbox_ids AS (SELECT DISTINCT B.CONTAINER_INVENTORYID AS BOX_ID FROM it B WHERE B.CONTAINER_INVENTORYID IS NOT NULL),"
-    box_source, box_salt = "boxes", ""
-    if cut_boxes and not boxes_small:
-        box_source = f"(SELECT B.*, SALT FROM boxes B LATERAL VIEW explode(sequence(0, {BOX_SALTS - 1})) salts AS SALT)"
-        box_salt = f" AND PC.SALT = pmod(hash(V.VIAL_ID), {BOX_SALTS})"
+    # the materialised ledger is the trial's already
+    it_hint, it_cut = ("", "") if vials_table or not reducers else reducers.keep("INVENTORY_TRANSACTIONS_VLA", "INVENTORYID", "vial_ids", "IT")
+    box_cte, box_ids, box_reduce = "", None, None
+    if all_trials or broadcast_ledger:
+        box_ids = "box_ids"
+        box_cte = "box_ids AS (SELECT DISTINCT B.CONTAINER_INVENTORYID AS BOX_ID FROM it B WHERE B.CONTAINER_INVENTORYID IS NOT NULL),\n"
+    elif reducers:
+        in_use = Reducers(t)
+        in_use.add("box_filter", "CONTAINER_INVENTORYID", box_type, "it")
+        box_cte, box_reduce = in_use.ctes(), (in_use, "box_filter")
+    heavy_cte = dims.heavy_boxes_ctes(t, True, "CONTAINER_INVENTORYID", "it") if heavy else ""
     return f"""
-WITH {vials},
-sc AS (SELECT {reduce} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
+WITH {base}{vials},
+sc AS (SELECT {sc_hint} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
                SC.CONTAINERMATCODE
-        FROM {{SAMPLECONTAINERS_VLA}} SC {semi("SC.INVENTORYID")}),
-it AS (SELECT IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT, IT.CONSENT_TYPE,
+        FROM {{SAMPLECONTAINERS_VLA}} SC {sc_cut}),
+it AS (SELECT {it_hint} IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.THAWCOUNT, IT.CONSENT_TYPE,
                IT.LOCATIONCODE, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X, IT.CONTAINER_INVENTORYID
-        FROM {ledger} IT
-        WHERE IT.FLAG_CURRENT = 1),{box_ids_cte}
-vial_meta AS (SELECT {reduce} M.ID, {iv_roles} FROM {{METADATA}} M {semi_meta}),
-boxes AS ({dims.boxes_sql(t, True, "box_ids" if cut_boxes else None, broadcast_ledger)}),
-locs AS ({dims.location_path_sql(t)}),
+        FROM {ledger} IT {it_cut}
+        WHERE IT.FLAG_CURRENT = 1),
+{box_cte}vial_meta AS (SELECT {meta_hint} M.ID, {iv_roles} FROM {{METADATA}} M {meta_cut}),
+boxes AS ({dims.boxes_sql(t, True, box_ids, broadcast_ledger, box_reduce)}),
+{heavy_cte}locs AS ({dims.location_path_sql(t)}),
 snap AS (
         SELECT {main_hint}
                {select},
-               PC._CURRENT_ROWS
+               {dims.box_column("_CURRENT_ROWS", heavy)} AS _CURRENT_ROWS
         FROM vials V
         JOIN sc SC ON SC.INVENTORYID = V.VIAL_ID
         JOIN it IT ON IT.INVENTORYID = V.VIAL_ID
         JOIN vial_meta IVM ON IVM.ID = V.INV_GUID
         LEFT JOIN {{CONTAINERS_CONDITION}} CC ON CC.CONTCODE = {cc_key} AND SC.CONTCODE IS NOT NULL
-        LEFT JOIN {box_source} PC ON PC.PARENT_CONTAINER_INV_ID = {box_key}{box_salt}
-               AND IT.CONTAINER_INVENTORYID IS NOT NULL AND PC.PARENT_CONTAINER_INV_ID <> V.VIAL_ID
+        {dims.parent_box_join("IT.CONTAINER_INVENTORYID", box_type, "V.VIAL_ID", vial_salt, heavy)}
         LEFT JOIN locs LP ON LP.RACK_CODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL)
 SELECT {outer}
 FROM snap
 LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
 
 
+def parent_fanout(t: LimsTables) -> DataFrame:
+    """(INVENTORYID, PARENT_CONTAINER_INV_ID): every current ledger row, once for each current row of its box.
+
+    The snapshot's box join on its own, for the items of all trials: boxes and
+    their ledger counts are cut to those in use, and boxes that hold many of
+    the rows are broadcast apart.
+    """
+    heavy = not dims.boxes_fit(t, True)
+    box_type = t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID")
+    heavy_cte = dims.heavy_boxes_ctes(t, True, "CONTAINER_INVENTORYID", "it") if heavy else ""
+    text = f"""
+WITH it AS (SELECT INVENTORYID, CONTAINER_INVENTORYID FROM {{INVENTORY_TRANSACTIONS_VLA}} WHERE FLAG_CURRENT = 1),
+box_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM it WHERE CONTAINER_INVENTORYID IS NOT NULL),
+{heavy_cte}boxes AS ({dims.boxes_sql(t, True, "box_ids")}),
+rows AS (
+        SELECT {hint(["HB"] if heavy else ["PC"])} IT.INVENTORYID, {dims.box_column("PARENT_CONTAINER_INV_ID", heavy)} AS PARENT_CONTAINER_INV_ID,
+               {dims.box_column("_CURRENT_ROWS", heavy)} AS _CURRENT_ROWS
+        FROM it IT
+        {dims.parent_box_join("IT.CONTAINER_INVENTORYID", box_type, "IT.INVENTORYID", ["IT.INVENTORYID"], heavy)})
+SELECT INVENTORYID, PARENT_CONTAINER_INV_ID
+FROM rows
+LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
+    return run(t.spark, text, t)
+
+
 @dataclass
 class TrialVials:
     """A trial's vials and their ledger rows, written to the shared scratch

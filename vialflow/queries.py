@@ -17,12 +17,12 @@ from .functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, flag_viable, is_mi
 from .functions.scalar import grid_ordinal, safe_int
 from .functions.text import extract_labels, extract_sampleid, redact_labelled
 from .operators import dims
-from .operators.joins import expand_fanout, parent_container_join
+from .operators.joins import parent_container_join
 from .operators.summary import row_count, viability_by, viability_summary
 from .plans.history import inventory_history
 from .plans.inventory import (
     RECEIPT_METADATA_ROLES, VIAL_METADATA_ROLES, current_ledger, metadata_role, receipts_with_schedule,
-    sample_containers, trial_extract, trial_inventory, trial_receipts, trial_vials,
+    parent_fanout, sample_containers, trial_extract, trial_inventory, trial_receipts, trial_vials,
 )
 from .plans.sql_text import MONTHLY_SQL, run_sql
 from .session import scratch_path
@@ -221,8 +221,7 @@ def q_parent_container(spark, sf_dir):
 
 
 def q_parent_fanout(spark, sf_dir):
-    rows = _current_with_box(_tables(spark, sf_dir), True)
-    return expand_fanout(rows.select("INVENTORYID", "PARENT_CONTAINER_INV_ID", "_CURRENT_ROWS"), "_CURRENT_ROWS")
+    return parent_fanout(_tables(spark, sf_dir))
 
 
 def q_viability_summary(spark, sf_dir):

@@ -6,10 +6,11 @@ the frames are Parquet datasets, JDBC reads or the derived test fixtures.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Columns each plan touches, per source table. Readers select exactly these so
 # the scan reads no other column (and a JDBC read asks the server for no more).
@@ -146,8 +147,90 @@ HASH_COLUMNS = {"METADATA": "ID"}
 HASH_EXPRESSION = "(CHECKSUM({column}) & 2147483647) % {n} = {i}"
 
 
-def jdbc_query(name: str) -> str:
-    return f"(SELECT {', '.join(COLUMNS[name])} FROM {name}) q"
+@dataclass(frozen=True)
+class ReadPoint:
+    """The one moment at which every partition of every table is read.
+
+    Parallel reads are separate transactions: without a read point a row that
+    changes during the extraction may be seen before the change in one table and
+    after it in another. ``source`` and ``predicate`` are patterns over
+    ``{table}`` and ``{at}``; ``at`` is one literal, found or given once.
+    """
+
+    at: str
+    source: str = "{table}"
+    predicate: str | None = None
+
+    @classmethod
+    def system_time(cls, at: str) -> ReadPoint:
+        """System-versioned tables, as they were at ``at`` (UTC)."""
+        return cls(at, source="{table} FOR SYSTEM_TIME AS OF '{at}'")
+
+    @classmethod
+    def database_snapshot(cls, name: str) -> ReadPoint:
+        """A database snapshot ``name`` with the same tables in schema ``dbo``."""
+        return cls(name, source="{at}.dbo.{table}")
+
+    @classmethod
+    def change_column(cls, column: str, at: str) -> ReadPoint:
+        """Tables whose ``column`` tells when a row came in; rows are added and not changed."""
+        return cls(at, predicate=f"{column} <= '{{at}}'")
+
+    def table(self, name: str) -> str:
+        return self.source.format(table=name, at=self.at.replace("'", "''"))
+
+    def where(self) -> str:
+        return f" WHERE {self.predicate.format(at=self.at.replace(chr(39), chr(39) * 2))}" if self.predicate else ""
+
+
+LIVE = ReadPoint("")
+#: Sent when a connection opens: what one partition reads is then one state of the database.
+SNAPSHOT_STATEMENT = "SET TRANSACTION ISOLATION LEVEL SNAPSHOT"
+
+
+def jdbc_query(name: str, point: ReadPoint = LIVE) -> str:
+    return f"(SELECT {', '.join(COLUMNS[name])} FROM {point.table(name)}{point.where()}) q"
+
+
+def jdbc_split_query(name: str, num_partitions: int, point: ReadPoint = LIVE) -> str:
+    """The least range-column value of each of ``num_partitions`` equally large parts of the table.
+
+    One row a part. The server reads the column once, in the order of its index;
+    ids that lie in far clusters get as many parts as they have rows.
+    """
+    column = RANGE_COLUMNS[name]
+    rows = f"SELECT {column} AS K FROM {point.table(name)}{point.where()}"
+    parts = f"SELECT K, NTILE({num_partitions}) OVER (ORDER BY K) AS PART FROM ({rows}) r WHERE K IS NOT NULL"
+    return f"(SELECT MIN(K) AS LOW FROM ({parts}) p GROUP BY PART) q"
+
+
+def jdbc_split_predicates(name: str, lows: Sequence[int]) -> list[str]:
+    """One predicate for each parallel read, from the parts' least values; each row meets exactly one.
+
+    Parts that begin alike (one id holds several) are one. Rows before the first
+    value, or without one, come with the first part, rows after the last with the
+    last: bounds found earlier shape the reads only.
+    """
+    column = RANGE_COLUMNS[name]
+    cuts = sorted({int(v) for v in lows if v is not None})[1:]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def quantile_splits(df: DataFrame, column: str, num_partitions: int) -> list[int]:
+    """Values that cut ``column`` into parts of about equal size, from one mergeable sketch (KLL).
+
+    For tables that Spark can read itself: a Parquet export, or the ids of an
+    earlier extraction that shape the database reads of the next
+    (``splits=`` of :func:`read_jdbc_tables`). Nothing but the sketch leaves the tasks.
+    """
+    ranks = ", ".join(f"{i / num_partitions}D" for i in range(num_partitions))
+    row = df.where(F.col(column).isNotNull()).agg(F.kll_sketch_agg_bigint(F.col(column).cast("bigint"), 4096).alias("s"), F.count(F.lit(1)).alias("n"))
+    if not row.select("n").first()[0]:
+        return []
+    return [int(v) for v in row.selectExpr(f"kll_sketch_get_quantile_bigint(s, array({ranks})) AS q").first()[0]]
 
 
 def jdbc_bounds_query(name: str) -> str:
@@ -173,6 +256,8 @@ def read_jdbc_tables(
     properties: Mapping[str, str],
     *,
     bounds: Mapping[str, tuple[int, int]] | None = None,
+    splits: Mapping[str, Sequence[int]] | None = None,
+    read_point: ReadPoint = LIVE,
     num_partitions: int = 64,
     fetch_size: int = 10_000,
     hash_expression: str = HASH_EXPRESSION,
@@ -180,15 +265,19 @@ def read_jdbc_tables(
 ) -> LimsTables:
     """Read the tables over JDBC (SQL Server in the original deployment).
 
-    Large tables are split into ``num_partitions`` reads, so that many
-    executors pull in parallel: by ranges of a numeric id, whose bounds are
-    ``bounds`` or else found by one min/max query a table, or by a hash of the
-    key where it is a string. Bounds only shape the ranges; rows outside them
-    are read too. The small dimensions are single reads. Only the needed
-    columns are requested. The test suite checks the options and predicates
-    built; reading a database is untested (the container has none).
+    Large tables are split into ``num_partitions`` reads of about as many rows,
+    so that many executors pull in parallel: by ranges of a numeric id, cut at
+    its quantiles (one query a table, or ``splits`` known from before), or by a
+    hash of the key where it is a string. ``bounds`` (least, greatest) asks for
+    ranges of equal width instead, where ids are known to lie evenly. Cuts only
+    shape the ranges; rows outside them are read too. The small dimensions are
+    single reads. Only the needed columns are requested.
+
+    ``read_point`` makes all reads see one moment. The test suite runs the
+    statements and predicates on an embedded database; reading through a JDBC
+    driver is untested (the container has no server).
     """
-    bounds = bounds or {}
+    bounds, splits = bounds or {}, splits or {}
     props = {**{k: str(v) for k, v in properties.items()}, "fetchsize": str(fetch_size)}
 
     def load(query: str, **options: str) -> DataFrame:
@@ -196,13 +285,17 @@ def read_jdbc_tables(
 
     frames = {}
     for name in names:
+        query = jdbc_query(name, read_point)
         if name in HASH_COLUMNS:
             predicates = jdbc_hash_predicates(name, num_partitions, hash_expression)
-            frames[name] = spark.read.jdbc(url, jdbc_query(name), predicates=predicates, properties=props)
+        elif name in RANGE_COLUMNS and bounds.get(name) is None:
+            lows = splits.get(name)
+            if lows is None:
+                lows = [r[0] for r in load(jdbc_split_query(name, num_partitions, read_point)).collect()]
+            predicates = jdbc_split_predicates(name, lows)
+        else:
+            found = bounds.get(name) if name in RANGE_COLUMNS else None
+            frames[name] = load(query, **(jdbc_range_options(name, *found, num_partitions) if found else {}))
             continue
-        found = None
-        if name in RANGE_COLUMNS:
-            found = bounds.get(name) or tuple(load(jdbc_bounds_query(name)).first())
-        ranged = found is not None and found[0] is not None  # an empty table has no bounds
-        frames[name] = load(jdbc_query(name), **(jdbc_range_options(name, *found, num_partitions) if ranged else {}))
+        frames[name] = spark.read.jdbc(url, query, predicates=predicates, properties=props)
     return LimsTables(frames)
