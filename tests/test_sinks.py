@@ -147,3 +147,136 @@ def test_stop_characters_of_a_regex_class(spark):
 
     df = spark.createDataFrame([("PWD=a[b",), ("PWD=a&&b",)], "t string")
     assert [r[0] for r in df.select(redact_labelled("t", "PWD=", "[&")).collect()] == ["PWD=****[b", "PWD=****&&b"]
+
+
+def _contents(spark, path):
+    return sorted(map(str, spark.read.parquet(path).collect()))
+
+
+def _old_receipts(tables):
+    from vialflow.sources.tables import LimsTables
+
+    return LimsTables({**tables.frames, "CENTRALRECEIVING_VLA": tables["CENTRALRECEIVING_VLA"].where("ORIGREC % 2 = 0")})
+
+
+def test_failed_history_leaves_the_old_pair(spark, tables, monkeypatch):
+    """A re-run that dies in the history write changes nothing: neither snapshot nor history."""
+    import pytest
+
+    import vialflow.sinks.parquet as sink
+
+    out = _fresh_dir()
+    first = extract_trial(_old_receipts(tables), "BUILDING", out, download_history=True)
+    old = _contents(spark, first.snapshot_path), _contents(spark, first.history_path)
+    many = extract_trials(_old_receipts(tables), ["BUILDING", "MACHINERY"], out + "/many", download_history=True)
+    old_many = _contents(spark, many["snapshot"]), _contents(spark, many["history"])
+    boom = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no history"))
+    monkeypatch.setattr(sink, "inventory_history", boom)
+    with pytest.raises(RuntimeError, match="no history"):
+        extract_trial(tables, "BUILDING", out, download_history=True)
+    with pytest.raises(RuntimeError, match="no history"):
+        extract_trials(tables, ["BUILDING", "MACHINERY"], out + "/many", download_history=True)
+    assert (_contents(spark, first.snapshot_path), _contents(spark, first.history_path)) == old
+    assert (_contents(spark, many["snapshot"]), _contents(spark, many["history"])) == old_many
+    assert not [n for n in os.listdir(out) + os.listdir(out + "/many") if n.startswith(("_staging-", "_commit-"))]
+    monkeypatch.undo()
+    again = extract_trial(tables, "BUILDING", out, download_history=True)
+    assert (again.snapshot_rows, again.history_rows) == (216, 1336) and _contents(spark, again.snapshot_path) != old[0]
+
+
+def test_interrupted_publication_is_finished_by_the_next_run(spark, tables, monkeypatch):
+    """Killed between the two renames: the commit record rolls the pair forward."""
+    import pytest
+
+    from vialflow.sinks import publish
+
+    out = _fresh_dir()
+    first = extract_trial(_old_receipts(tables), "BUILDING", out, download_history=True)
+    real, calls = publish.Store.move, []
+
+    def dies(self, source, target):
+        if publish.STAGING in source and publish.STAGING not in target:
+            calls.append(target)
+            if len(calls) == 2:
+                raise KeyboardInterrupt
+        real(self, source, target)
+
+    monkeypatch.setattr(publish.Store, "move", dies)
+    with pytest.raises(KeyboardInterrupt):
+        extract_trial(tables, "BUILDING", out, download_history=True)
+    monkeypatch.undo()
+    assert len(calls) == 2 and publish.recover(spark, out) == 1 and publish.recover(spark, out) == 0
+    assert spark.read.parquet(first.snapshot_path).count() == 216 and spark.read.parquet(first.history_path).count() == 1336
+    assert not [n for n in os.listdir(out) if n.startswith(("_staging-", "_commit-"))]
+
+
+def test_trial_with_the_same_file_name_is_not_replaced(spark, tables):
+    import pytest
+
+    from vialflow.sources.tables import LimsTables
+
+    frames = dict(tables.frames)
+    frames["CENTRALRECEIVING_VLA"] = frames["CENTRALRECEIVING_VLA"].replace({"BUILDING": "A-1", "MACHINERY": "A_1"}, subset="LAST_NAME")
+    t, out = LimsTables(frames), _fresh_dir()
+    first = extract_trial(t, "A-1", out)
+    with pytest.raises(FileExistsError, match="A-1"):
+        extract_trial(t, "A_1", out)
+    assert extract_trial(t, "A-1", out).snapshot_rows == first.snapshot_rows == 216
+    with pytest.raises(ValueError, match="no letter or digit"):
+        extract_trial(t, "***", out)
+
+
+def test_counts_of_many_trials_do_not_grow_the_plan(spark, tables):
+    """Ten codes or a thousand: the written plan has no aggregate for a code."""
+    from pyspark.sql import functions as F
+
+    from vialflow.sinks import parquet as sink
+
+    seen = []
+    real = sink.write_parquet
+
+    def spy(df, *a, **k):
+        seen.append(len(df._jdf.queryExecution().analyzed().toString().replace(" ", "")))
+        real(df, *a, **k)
+
+    sink.write_parquet = spy
+    try:
+        snap = spark.createDataFrame([("T1", True), ("T1", False), ("T2", True)], "LAST_NAME string, VIABLE boolean")
+        for n in (10, 200):
+            run = sink.Publication(spark, _fresh_dir())
+            codes = [f"T{i}" for i in range(n)]
+            found = sink._write_trials(snap, run.folder + "/inventory", run, codes if n == 10 else codes[:3], None, "zstd", True)
+            assert found["T1"] == {"LAST_NAME": "T1", "rows": 2, "not_viable": 1} and found["T0"]["rows"] == 0
+            run.commit()
+    finally:
+        sink.write_parquet = real
+    assert abs(seen[0] - seen[1]) < 50
+
+
+def test_collated_keys_match(spark, tables):
+    """Mixed-case and padded GUIDs, MATCODEs, LOCATIONCODEs and trial codes match, reduced or not, in all three plans."""
+    from vialflow.operators.reducers import CONF_MIN_BYTES
+    from vialflow.plans.history import inventory_history
+    from vialflow.plans.inventory import trial_extract
+    from vialflow.sources.fixtures import respelled
+    from vialflow.sources.tables import LimsTables
+
+    t = respelled(tables)
+    loose = "UTF8_LCASE_RTRIM"
+    same = [c for c in EXTRACT_COLUMNS if c not in ("LAST_NAME", "MATCODE", "RACK_CODE", "LONGCODE", "VIABLE")]
+    plain = sorted(map(str, trial_extract(tables, "BUILDING").select(*same).collect()))
+    assert trial_extract(t, "BUILDING").count() < len(plain)
+    assert sorted(map(str, trial_extract(t, "building", collation=loose).select(*same).collect())) == plain
+    spark.conf.set(CONF_MIN_BYTES, "0")
+    try:
+        big = LimsTables(dict(t.frames))
+        reduced = trial_extract(big, "Building  ", collation=loose)
+        assert sorted(map(str, reduced.select(*same).collect())) == plain
+        # the spellings found are listed, so the filter reaches the scan; ICU collations work unreduced
+        assert "In(" in reduced._jdf.queryExecution().executedPlan().toString() or "IN (" in reduced._jdf.queryExecution().optimizedPlan().toString()
+        assert inventory_history(big, "building", collation=loose).count() == 1336
+    finally:
+        spark.conf.unset(CONF_MIN_BYTES)
+    res = extract_trial(t, "building", _fresh_dir(), collation=loose, download_history=True)
+    assert (res.snapshot_rows, res.history_rows) == (216, 1336)
+    assert trial_extract(t, "building", collation="UNICODE_CI_RTRIM").count() == 216

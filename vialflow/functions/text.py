@@ -11,6 +11,7 @@ Java regex differs from Python's ``re`` in two places that matter here:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -97,6 +98,27 @@ def redact_dsn_password(col: str) -> Column:
     return redact_labelled(col, DSN_PASSWORD_LABEL, ";")
 
 
+def plain_collation(collation: str | None) -> bool:
+    """Whether strings equal under ``collation`` have equal keys that are plain strings."""
+    return collation is None or re.fullmatch(r"UTF8_(BINARY|LCASE)(_RTRIM)?", collation) is not None
+
+
+def collation_key_sql(expr: str, collation: str | None) -> str:
+    """What two strings that are equal under ``collation`` have in common.
+
+    A plain string for the UTF8 collations, made once for each side of a join, so
+    that it hashes, sorts and filters like any other key; for all others the
+    collated string itself, of which Spark derives such a key.
+    """
+    if collation is None:
+        return expr
+    if not plain_collation(collation):
+        return f"collate({expr}, {quote(collation)})"
+    if collation.endswith("_RTRIM"):
+        expr = f"rtrim({expr})"
+    return f"lower({expr})" if "LCASE" in collation else expr
+
+
 def slug_sql(col: str, separator: str = "_") -> str:
     """File-name slug: accented Latin letters become ASCII, a comma between
     digits is dropped, each run of other characters than ASCII letters and

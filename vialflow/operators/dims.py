@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..functions.text import collation_key_sql
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
 from .broadcast import tables_fit
@@ -30,6 +31,11 @@ LOCATION_TABLES = ("LOCATIONS", "LOCATIONS", "LOCATIONS", "ROOMS", "BUILDINGS")
 BOX_TABLES = ("INVENTORY", "MATERIALS")
 
 
+def same(left: str, right: str, collation: str | None) -> str:
+    """``left = right`` for two string keys, under ``collation`` if there is one."""
+    return f"{collation_key_sql(left, collation)} = {collation_key_sql(right, collation)}"
+
+
 def schedule_sql(t: LimsTables) -> str:
     """Visit schedule with its trial (inner) and optional time point/element."""
     bc = hint(a for a, n in (("TR", "TRIAL"), ("TP", "TRIAL_ELEMENT_TIMEPOINT"), ("EL", "TRIAL_ELEMENT"))
@@ -48,7 +54,7 @@ def schedule_sql(t: LimsTables) -> str:
                ON EL.TRIAL_ELEMENT_ID = {el_key} AND TP.TRIAL_ELEMENT_ID IS NOT NULL"""
 
 
-def location_path_sql(t: LimsTables) -> str:
+def location_path_sql(t: LimsTables, collation: str | None = None) -> str:
     """Rack -> shelf -> freezer -> room -> building, one row per rack code.
 
     Level shift: with a full three-level chain the names read
@@ -75,8 +81,8 @@ def location_path_sql(t: LimsTables) -> str:
                L2.SORTER AS SHELF_SORT, L1.SORTER AS RACK_SORT, L1.LONGNAME, L1.LONGCODE,
                RM.ROOM_NAME, RM.ROOM_CODE, BL.BUILDING_NAME, BL.BUILDING_CODE
         FROM {{LOCATIONS}} L1
-        LEFT JOIN {{LOCATIONS}} L2 ON L2.LOCATIONCODE = {shelf_key} AND L1.PARENT_LOCATION_CODE IS NOT NULL
-        LEFT JOIN {{LOCATIONS}} L3 ON L3.LOCATIONCODE = {freezer_key} AND L2.PARENT_LOCATION_CODE IS NOT NULL
+        LEFT JOIN {{LOCATIONS}} L2 ON {same("L2.LOCATIONCODE", shelf_key, collation)} AND L1.PARENT_LOCATION_CODE IS NOT NULL
+        LEFT JOIN {{LOCATIONS}} L3 ON {same("L3.LOCATIONCODE", freezer_key, collation)} AND L2.PARENT_LOCATION_CODE IS NOT NULL
         LEFT JOIN {{ROOMS}} RM ON RM.ROOM_ID = {room_key} AND L3.ROOM_ID IS NOT NULL
         LEFT JOIN {{BUILDINGS}} BL ON BL.BUILDING_ID = {bldg_key} AND RM.BUILDING_ID IS NOT NULL"""
 
@@ -87,6 +93,7 @@ def boxes_sql(
     box_ids: str | None = None,
     broadcast_ids: bool = False,
     reduce: tuple[Reducers, str] | None = None,
+    collation: str | None = None,
 ) -> str:
     """Inventory items as parent boxes, with their material geometry.
 
@@ -125,10 +132,10 @@ def boxes_sql(
                INV.EXTERNAL_CODE AS BOX_NAME, INV.MATCODE,
                MT.CONTAINER_AXIS_Y_SIZE, MT.CONTAINER_AXIS_X_SIZE{counts_col}
         FROM (SELECT {inv_hint} INV.* FROM {{INVENTORY}} INV{inv_semi}) INV
-        LEFT JOIN {{MATERIALS}} MT ON MT.MATCODE = {mat_key} AND INV.MATCODE IS NOT NULL{counts_join}"""
+        LEFT JOIN {{MATERIALS}} MT ON {same("MT.MATCODE", mat_key, collation)} AND INV.MATCODE IS NOT NULL{counts_join}"""
 
 
-def heavy_boxes_ctes(t: LimsTables, with_current_rows: bool, container: str, source: str) -> str:
+def heavy_boxes_ctes(t: LimsTables, with_current_rows: bool, container: str, source: str, collation: str | None = None) -> str:
     """CTEs ``heavy`` and ``heavy_boxes``: the boxes that many rows of ``source`` point at by ``container``.
 
     A sketch names them, so they are few (see :func:`~.reducers.heavy_sql`)
@@ -136,7 +143,7 @@ def heavy_boxes_ctes(t: LimsTables, with_current_rows: bool, container: str, sou
     """
     partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     return f"""heavy AS ({heavy_sql(container, source, partitions)}),
-heavy_boxes AS ({boxes_sql(t, with_current_rows, "heavy", True)}),
+heavy_boxes AS ({boxes_sql(t, with_current_rows, "heavy", True, collation=collation)}),
 """
 
 

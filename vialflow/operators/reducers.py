@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..functions.text import collation_key_sql, plain_collation
 from ..sources.tables import LimsTables
 from ..sqltext import hint
 
@@ -46,8 +47,8 @@ def worth_reducing(t: LimsTables, names) -> bool:
     return sum(t.table_bytes(n) for n in names) >= (int(raw) if raw else DEFAULT_MIN_BYTES)
 
 
-def comparable_key(left: str, right: str) -> str | None:
-    """How both sides of an equality are hashed alike: a cast pattern, or ``None`` where they can't be.
+def comparable_key(left: str, right: str, collation: str | None = None) -> str | None:
+    """How both sides of an equality are hashed alike: a pattern, or ``None`` where they can't be.
 
     Equal values must have equal hashes. Integers of any width are widened;
     other types must be the same plain type on both sides. Floating point and
@@ -55,7 +56,9 @@ def comparable_key(left: str, right: str) -> str | None:
     """
     if left in _INTEGRAL and right in _INTEGRAL:
         return "CAST({} AS BIGINT)"
-    if left == right and (left in ("string", "date") or left.startswith(("decimal", "timestamp"))):
+    if left == right == "string":
+        return collation_key_sql("{}", collation) if plain_collation(collation) else None
+    if left == right and (left == "date" or left.startswith(("decimal", "timestamp"))):
         return "{}"
     return None
 
@@ -89,13 +92,13 @@ class Reducers:
     hashed alike (the exact joins alone then do the work).
     """
 
-    def __init__(self, t: LimsTables) -> None:
-        self.t, self.words = t, bloom_words(t.spark)
+    def __init__(self, t: LimsTables, collation: str | None = None) -> None:
+        self.t, self.words, self.collation = t, bloom_words(t.spark), collation
         self._made: dict[str, tuple[str, str]] = {}
 
     def add(self, name: str, key: str, key_type: str, source: str) -> None:
         """State filter ``name`` over ``key`` (of SQL type ``key_type``) of ``source``."""
-        cast = comparable_key(key_type, key_type)
+        cast = comparable_key(key_type, key_type, self.collation)
         if cast:
             self._made[name] = (key_type, f"{name} AS ({bloom_sql(cast.format(key), source, self.words)})")
 
@@ -111,7 +114,7 @@ class Reducers:
         """Hint and join that cut ``alias`` (rows of ``table``) by filter ``name``."""
         if name not in self._made:
             return "", ""
-        cast = comparable_key(self.t.col_type(table, column), self._made[name][0])
+        cast = comparable_key(self.t.col_type(table, column), self._made[name][0], self.collation)
         if cast is None:
             return "", ""
         return hint([f"{name}_{alias}"]), bloom_join(name, f"{name}_{alias}", cast.format(f"{alias}.{column}"), self.words)

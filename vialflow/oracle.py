@@ -164,6 +164,21 @@ FROM INVENTORY_TRANSACTIONS_VLA led
 {where}"""
 
 
+# String keys that match whatever their letters and blanks at the end, in the collated queries.
+COLLATED_KEYS = (
+    ("rmeta.ID", "rcpt.METADATA_GUID"), ("vmeta.ID", "vial.METADATA_GUID"), ("cond.CONTCODE", "tube.CONTCODE"),
+    ("mat.MATCODE", "box.MATCODE"), ("lv1.LOCATIONCODE", "led.LOCATIONCODE"), ("lv2.LOCATIONCODE", "lv1.PARENT_LOCATION_CODE"),
+    ("lv3.LOCATIONCODE", "lv2.PARENT_LOCATION_CODE"), ("loc.LOCATIONCODE", "led.LOCATIONCODE"), ("rcpt.LAST_NAME", f"'{TRIAL.lower()}'"),
+)
+
+
+def collated(statement: str) -> str:
+    """``statement`` with its string keys compared in lower case and without blanks at the end."""
+    for left, right in COLLATED_KEYS:
+        statement = statement.replace(f"{left} = {right}", f"lower(rtrim({left})) = lower(rtrim({right}))")
+    return statement
+
+
 TRIAL_WHERE = f"WHERE rcpt.LAST_NAME = '{TRIAL}'"
 
 
@@ -290,6 +305,16 @@ FROM documents""",
 SELECT LAST_NAME, count(*) AS N_ROWS, count(DISTINCT VIAL_CONTAINER_INV_ID) AS N_VIALS,
     count(*) FILTER (WHERE VIABLE) AS N_VIABLE, count(SAMPLEID) AS N_SAMPLEID
 FROM ({extract_sql("")}) e GROUP BY LAST_NAME""",
+    "multi_trial_roundtrip": f"""
+SELECT s.LAST_NAME AS LAST_NAME, N_ROWS, N_NOT_VIABLE, N_SAMPLEID, N_HISTORY, N_CURRENT,
+    N_ROWS AS TOLD_ROWS, N_NOT_VIABLE AS TOLD_NOT_VIABLE, N_HISTORY AS TOLD_HISTORY
+FROM (SELECT LAST_NAME, count(*) AS N_ROWS, count(*) FILTER (WHERE NOT VIABLE) AS N_NOT_VIABLE, count(SAMPLEID) AS N_SAMPLEID
+      FROM ({extract_sql("")}) e GROUP BY LAST_NAME) s
+    JOIN (SELECT rcpt.LAST_NAME AS LAST_NAME, count(*) AS N_HISTORY, CAST(sum(led.FLAG_CURRENT) AS BIGINT) AS N_CURRENT
+          FROM INVENTORY_TRANSACTIONS_VLA led JOIN INVENTORY_VLA vial ON vial.INVENTORYID = led.INVENTORYID
+              JOIN CENTRALRECEIVING_VLA rcpt ON rcpt.EXTERNAL_ID = vial.EXTERNAL_ID GROUP BY rcpt.LAST_NAME) h ON h.LAST_NAME = s.LAST_NAME""",
+    "collated_extract": collated(extract_sql(f"WHERE rcpt.LAST_NAME = '{TRIAL.lower()}'")),
+    "collated_history": collated(history_sql(f"WHERE rcpt.LAST_NAME = '{TRIAL.lower()}'")),
     "slug_collisions": f"""
 SELECT TRIAL_CODE, TRIAL_SLUG, count(*) OVER (PARTITION BY TRIAL_SLUG) AS N_SHARING
 FROM (SELECT TRIAL_CODE, {slug_sql("TRIAL_CODE")} AS TRIAL_SLUG
@@ -316,5 +341,5 @@ FROM ({extract_sql("")}) e GROUP BY LAST_NAME, STUDY_SITE""",
 
 def oracle_sql() -> dict[str, str]:
     """Full statements: the fixture CTEs followed by each query body."""
-    ctes = oracle_ctes(TABLE_NAMES)
-    return {name: f"{ctes}\n{body.strip()}" for name, body in BODIES.items()}
+    ctes, respelled = oracle_ctes(TABLE_NAMES), oracle_ctes(TABLE_NAMES, respell=True)
+    return {name: f"{respelled if name.startswith('collated_') else ctes}\n{body.strip()}" for name, body in BODIES.items()}

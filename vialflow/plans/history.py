@@ -17,7 +17,7 @@ from ..operators.broadcast import tables_fit
 from ..operators.reducers import Reducers, worth_reducing
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
-from .inventory import TrialCodes, TrialVials, inline_reducers, trial_filter_sql
+from .inventory import TrialCodes, TrialVials, inline_reducers, trial_where
 
 # The history's output contract (column names, order, sort keys).
 HISTORY_COLUMNS: tuple[str, ...] = (
@@ -39,6 +39,7 @@ def history_sql(
     vials_table: bool = False,
     broadcast_vials: bool = False,
     reduce_ledger: bool = False,
+    collation: str | None = None,
 ) -> str:
     """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output).
 
@@ -69,7 +70,7 @@ def history_sql(
     box_pos = grid_ordinal_sql("IT.CONTAINER_POS_Y", "IT.CONTAINER_POS_X", dims.box_column("CONTAINER_AXIS_X_SIZE", heavy))
     trial_out = ", V.LAST_NAME" if with_trial else ""
     inline = not vials_table and trial_pred != "TRUE" and worth_reducing(t, HISTORY_TABLES)
-    reducers, base = inline_reducers(t, trial_pred) if inline else (None, "")
+    reducers, base = inline_reducers(t, trial_pred, collation) if inline else (None, "")
     inv_hint, inv_cut = reducers.keep("INVENTORY_VLA", "EXTERNAL_ID", "receipt_ids", "I") if reducers else ("", "")
     vials = (
         f"SELECT VIAL_ID{', LAST_NAME' if with_trial else ''} FROM {{TRIAL_VIALS}}"
@@ -95,11 +96,11 @@ tx_ids AS (SELECT DISTINCT TRANSACTION_ID AS TX_ID FROM {TRIAL_LEDGER} WHERE TRA
         tx_hint, tx_cut = used.keep("TRANSACTIONS", "TRANSACTION_ID", "header_filter", "H")
         ids, box_reduce = used.ctes(), (used, "box_filter")
         headers = f"(SELECT {tx_hint} H.* FROM {{TRANSACTIONS}} H {tx_cut})"
-    heavy_ctes = dims.heavy_boxes_ctes(t, False, "CONTAINER_INVENTORYID", "ledger") if heavy else ""
+    heavy_ctes = dims.heavy_boxes_ctes(t, False, "CONTAINER_INVENTORYID", "ledger", collation) if heavy else ""
     body = f"""
 WITH {base}vials AS ({vials}),
 ledger AS (SELECT * FROM {ledger}),
-{ids}{heavy_ctes}boxes AS ({dims.boxes_sql(t, False, box_ids, reduce_ledger, box_reduce)})
+{ids}{heavy_ctes}boxes AS ({dims.boxes_sql(t, False, box_ids, reduce_ledger, box_reduce, collation)})
 SELECT {hint(names)} IT.INVENTORYID, IT.TRANSACTION_ID, T.TRANSACTION_DT, T.USRNAM, IT.AMOUNTLEFT,
        IT.AMOUNT_UNIT_CODE, T.TRANSACTION_TYPE, IT.COMMENTS, IT.CONTAINER_POS_Y, IT.CONTAINER_POS_X,
        IT.FLAG_CURRENT, {dims.box_column("BOX_NAME", heavy)} AS BOX_NAME, {dims.box_column("BOX_CODE", heavy)} AS BOX_CODE,
@@ -108,7 +109,7 @@ FROM ledger IT
 JOIN vials V ON V.VIAL_ID = IT.INVENTORYID
 LEFT JOIN {headers} T ON T.TRANSACTION_ID = {tx_key} AND IT.TRANSACTION_ID IS NOT NULL
 {dims.parent_box_join("IT.CONTAINER_INVENTORYID", ledger_type("CONTAINER_INVENTORYID"), "IT.INVENTORYID", salt, heavy)}
-LEFT JOIN {{LOCATIONS}} LOC ON LOC.LOCATIONCODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL"""
+LEFT JOIN {{LOCATIONS}} LOC ON {dims.same("LOC.LOCATIONCODE", loc_key, collation)} AND IT.LOCATIONCODE IS NOT NULL"""
     if not sort:
         return body
     # Hash-distribute first so the range partitioner samples the shuffled
@@ -133,7 +134,7 @@ def inventory_history(
     receipt join by the already written vial table."""
     if vials is not None:
         text = history_sql(t, "TRUE", with_trial=with_trial, sort=sort, vials_table=True,
-                           broadcast_vials=vials.broadcastable, reduce_ledger=vials.ledger_broadcastable)
+                           broadcast_vials=vials.broadcastable, reduce_ledger=vials.ledger_broadcastable, collation=collation)
         return run(t.spark, text, vials.tables(t))
-    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
-    return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort), t, args)
+    pred, args = trial_where(t, "CR.LAST_NAME", trial_codes, collation)
+    return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort, collation=collation), t, args)

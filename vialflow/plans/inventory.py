@@ -188,6 +188,25 @@ def trial_filter_sql(column: str, trial_codes: TrialCodes, collation: str | None
     return pred, args
 
 
+#: Spellings of the asked trials up to which they are listed in the filter.
+MAX_SPELLINGS = 1000
+
+
+def trial_where(t: LimsTables, column: str, trial_codes: TrialCodes, collation: str | None = None) -> tuple[str, dict]:
+    """The trial filter on receipts, in a form that the scans can push down.
+
+    A collated comparison reads every row of every file. So the spellings of the
+    asked trials that occur are looked up first (one narrow column), and the
+    statement lists them; more than ``MAX_SPELLINGS`` stay a collated filter.
+    """
+    pred, args = trial_filter_sql("LAST_NAME", trial_codes, collation)
+    if collation and trial_codes is not None:
+        found = run(t.spark, f"SELECT DISTINCT LAST_NAME FROM {{CENTRALRECEIVING_VLA}} WHERE {pred} LIMIT {MAX_SPELLINGS + 1}", t, args).collect()
+        if 0 < len(found) <= MAX_SPELLINGS:
+            return trial_filter_sql(column, sorted(r[0] for r in found))
+    return trial_filter_sql(column, trial_codes, collation)
+
+
 # Columns of the trial-vial relation (vial + its receipt + schedule), the
 # reduced input every vial-keyed join starts from.
 VIAL_COLUMNS = (
@@ -218,14 +237,14 @@ _SNAPSHOT_EXPR = {
 REDUCED_TABLES = ("INVENTORY_VLA", "SAMPLECONTAINERS_VLA", "METADATA", "INVENTORY_TRANSACTIONS_VLA", "INVENTORY", "INVENTORY_TRANSACTIONS")
 
 
-def inline_reducers(t: LimsTables, trial_pred: str) -> tuple[Reducers, str]:
+def inline_reducers(t: LimsTables, trial_pred: str, collation: str | None = None) -> tuple[Reducers, str]:
     """Bloom filters of a trial stated inline, and the CTE ``base`` that they are built from.
 
     ``receipt_ids`` and ``receipt_guids`` come from the trial's receipts,
     ``vial_ids`` and ``vial_guids`` from its vials.
     """
     receipts = f"(SELECT CR.EXTERNAL_ID, CR.METADATA_GUID FROM {{CENTRALRECEIVING_VLA}} CR WHERE {trial_pred}) r"
-    early = Reducers(t)
+    early = Reducers(t, collation)
     early.add("receipt_ids", "EXTERNAL_ID", t.col_type("CENTRALRECEIVING_VLA", "EXTERNAL_ID"), receipts)
     early.add("receipt_guids", "METADATA_GUID", t.col_type("CENTRALRECEIVING_VLA", "METADATA_GUID"), receipts)
     inv_hint, inv_cut = early.keep("INVENTORY_VLA", "EXTERNAL_ID", "receipt_ids", "INV")
@@ -235,7 +254,7 @@ def inline_reducers(t: LimsTables, trial_pred: str) -> tuple[Reducers, str]:
         JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
         WHERE {trial_pred}),
 """
-    late = Reducers(t)
+    late = Reducers(t, collation)
     late.add("vial_ids", "VIAL_ID", t.col_type("INVENTORY_VLA", "INVENTORYID"), "base")
     late.add("vial_guids", "INV_GUID", t.col_type("INVENTORY_VLA", "METADATA_GUID"), "base")
     text = early.ctes() + base + late.ctes()
@@ -243,7 +262,7 @@ def inline_reducers(t: LimsTables, trial_pred: str) -> tuple[Reducers, str]:
     return early, text
 
 
-def vials_ctes(t: LimsTables, trial_pred: str, reducers: Reducers | None = None) -> str:
+def vials_ctes(t: LimsTables, trial_pred: str, reducers: Reducers | None = None, collation: str | None = None) -> str:
     """CTEs ``sched``, ``receipts`` and ``vials`` (INVENTORY_VLA ⋈ trial receipts)."""
     receipts_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
     cr_roles = ", ".join(f"CRM.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
@@ -261,7 +280,7 @@ receipts AS (
                CR.RASCLIENTID AS STUDY_SITE, CR.ARCSTATUS AS ARCHIVE_STATUS, CR.ORIGREC AS CR_ORIGREC,
                {cr_roles}, S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
         FROM {{CENTRALRECEIVING_VLA}} CR
-        JOIN {metadata} CRM ON CRM.ID = CR.METADATA_GUID
+        JOIN {metadata} CRM ON {dims.same("CRM.ID", "CR.METADATA_GUID", collation)}
         JOIN sched S ON S.TMS_ID = CR.TRIAL_MASTER_SCHEDULE_ID
         WHERE {trial_pred}),
 vials AS (
@@ -288,16 +307,16 @@ JOIN {{CENTRALRECEIVING_VLA}} CR ON CR.EXTERNAL_ID = INV.EXTERNAL_ID
 WHERE {trial_pred}"""
 
 
-def table_reducers(t: LimsTables) -> Reducers:
+def table_reducers(t: LimsTables, collation: str | None = None) -> Reducers:
     """Bloom filters of the materialised trial: its receipts' and vials' keys, from the bound ``{TRIAL_VIALS}``."""
-    made = Reducers(t)
+    made = Reducers(t, collation)
     made.add("receipt_guids", "CR_GUID", t.col_type("CENTRALRECEIVING_VLA", "METADATA_GUID"), "{TRIAL_VIALS}")
     made.add("vial_ids", "VIAL_ID", t.col_type("INVENTORY_VLA", "INVENTORYID"), "{TRIAL_VIALS}")
     made.add("vial_guids", "INV_GUID", t.col_type("INVENTORY_VLA", "METADATA_GUID"), "{TRIAL_VIALS}")
     return made
 
 
-def vials_from_table_ctes(t: LimsTables, reducers: Reducers | None) -> str:
+def vials_from_table_ctes(t: LimsTables, reducers: Reducers | None, collation: str | None = None) -> str:
     """CTEs ``base`` (the bound ``{TRIAL_VIALS}``) and ``vials`` (+ receipt
     metadata and schedule, inner). The receipt-role METADATA is first cut to
     the trial's receipts: by a Bloom filter, or with no ``reducers`` (the set
@@ -305,7 +324,7 @@ def vials_from_table_ctes(t: LimsTables, reducers: Reducers | None) -> str:
     sched_hint = hint(["S"] if tables_fit(t, dims.SCHEDULE_TABLES) else [])
     cr_roles = ", ".join(f"M.{f} AS {n}" for f, n in RECEIPT_METADATA_ROLES.items())
     meta_hint, meta_cut = reducers.keep("METADATA", "ID", "receipt_guids", "M") if reducers else (
-        hint(["RB"]), "LEFT SEMI JOIN base RB ON M.ID = RB.CR_GUID")
+        hint(["RB"]), f"LEFT SEMI JOIN base RB ON {dims.same('M.ID', 'RB.CR_GUID', collation)}")
     base_cols = ", ".join(f"B.{c}" for c in VIAL_COLUMNS[:12])
     roles = ", ".join(f"CRM.{n}" for n in RECEIPT_METADATA_ROLES.values())
     return f"""sched AS ({dims.schedule_sql(t)}),
@@ -315,7 +334,7 @@ vials AS (
         SELECT {sched_hint} {base_cols}, {roles},
                S.TMS_ID, S.MS_VISIT, S.TRIAL_CODE, S.TP_CODE, S.TP_VISIT, S.TP_DESC, S.TE_NAME
         FROM base B
-        JOIN crm CRM ON CRM.ID = B.CR_GUID
+        JOIN crm CRM ON {dims.same("CRM.ID", "B.CR_GUID", collation)}
         JOIN sched S ON S.TMS_ID = B.CR_TMS)"""
 
 
@@ -328,6 +347,7 @@ def snapshot_sql(
     vials_table: bool = False,
     broadcast_vials: bool = False,
     broadcast_ledger: bool = False,
+    collation: str | None = None,
 ) -> str:
     """The snapshot as one statement (see module doc for the join order).
 
@@ -345,6 +365,7 @@ def snapshot_sql(
 
     Boxes that are not broadcast are joined by shuffle; the few that hold many
     of the rows are broadcast apart (:func:`~vialflow.operators.dims.parent_box_join`).
+    With ``collation`` all string keys match under it.
     """
     vial_salt = ["V.VIAL_ID"]
     boxes_small = broadcast_ledger or dims.boxes_fit(t, True)
@@ -352,10 +373,10 @@ def snapshot_sql(
     all_trials = not vials_table and trial_pred == "TRUE"
     reducers, base = None, ""
     if vials_table and not (broadcast_vials and broadcast_ledger):
-        reducers = table_reducers(t)
+        reducers = table_reducers(t, collation)
         base = reducers.ctes()
     elif not vials_table and not all_trials and worth_reducing(t, REDUCED_TABLES):
-        reducers, base = inline_reducers(t, trial_pred)
+        reducers, base = inline_reducers(t, trial_pred, collation)
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
         # the counted trial ledger, and boxes cut to those it references, are small too
@@ -376,10 +397,11 @@ def snapshot_sql(
 
     def cut(table: str, column: str, name: str, alias: str, base_column: str) -> tuple[str, str]:
         if vials_table and broadcast_vials:
-            return hint(["RV"]), f"LEFT SEMI JOIN base RV ON {alias}.{column} = RV.{base_column}"
+            key = dims.same(f"{alias}.{column}", f"RV.{base_column}", collation if column == "ID" else None)
+            return hint(["RV"]), f"LEFT SEMI JOIN base RV ON {key}"
         return reducers.keep(table, column, name, alias) if reducers else ("", "")
 
-    vials = vials_from_table_ctes(t, None if broadcast_vials else reducers) if vials_table else vials_ctes(t, trial_pred, reducers)
+    vials = vials_from_table_ctes(t, None if broadcast_vials else reducers, collation) if vials_table else vials_ctes(t, trial_pred, reducers, collation)
     sc_hint, sc_cut = cut("SAMPLECONTAINERS_VLA", "INVENTORYID", "vial_ids", "SC", "VIAL_ID")
     meta_hint, meta_cut = cut("METADATA", "ID", "vial_guids", "M", "INV_GUID")
     ledger = "{TRIAL_LEDGER}" if vials_table else "{INVENTORY_TRANSACTIONS_VLA}"
@@ -393,7 +415,7 @@ def snapshot_sql(
         in_use = Reducers(t)
         in_use.add("box_filter", "CONTAINER_INVENTORYID", box_type, "it")
         box_cte, box_reduce = in_use.ctes(), (in_use, "box_filter")
-    heavy_cte = dims.heavy_boxes_ctes(t, True, "CONTAINER_INVENTORYID", "it") if heavy else ""
+    heavy_cte = dims.heavy_boxes_ctes(t, True, "CONTAINER_INVENTORYID", "it", collation) if heavy else ""
     return f"""
 WITH {base}{vials},
 sc AS (SELECT {sc_hint} SC.INVENTORYID, SC.CONTAINERID, SC.SAMPLETYPE, SC.RECEIVEDCONDITION, SC.CONTCODE,
@@ -404,8 +426,8 @@ it AS (SELECT {it_hint} IT.INVENTORYID, IT.AMOUNTLEFT, IT.AMOUNT_UNIT_CODE, IT.T
         FROM {ledger} IT {it_cut}
         WHERE IT.FLAG_CURRENT = 1),
 {box_cte}vial_meta AS (SELECT {meta_hint} M.ID, {iv_roles} FROM {{METADATA}} M {meta_cut}),
-boxes AS ({dims.boxes_sql(t, True, box_ids, broadcast_ledger, box_reduce)}),
-{heavy_cte}locs AS ({dims.location_path_sql(t)}),
+boxes AS ({dims.boxes_sql(t, True, box_ids, broadcast_ledger, box_reduce, collation)}),
+{heavy_cte}locs AS ({dims.location_path_sql(t, collation)}),
 snap AS (
         SELECT {main_hint}
                {select},
@@ -413,10 +435,10 @@ snap AS (
         FROM vials V
         JOIN sc SC ON SC.INVENTORYID = V.VIAL_ID
         JOIN it IT ON IT.INVENTORYID = V.VIAL_ID
-        JOIN vial_meta IVM ON IVM.ID = V.INV_GUID
-        LEFT JOIN {{CONTAINERS_CONDITION}} CC ON CC.CONTCODE = {cc_key} AND SC.CONTCODE IS NOT NULL
+        JOIN vial_meta IVM ON {dims.same("IVM.ID", "V.INV_GUID", collation)}
+        LEFT JOIN {{CONTAINERS_CONDITION}} CC ON {dims.same("CC.CONTCODE", cc_key, collation)} AND SC.CONTCODE IS NOT NULL
         {dims.parent_box_join("IT.CONTAINER_INVENTORYID", box_type, "V.VIAL_ID", vial_salt, heavy)}
-        LEFT JOIN locs LP ON LP.RACK_CODE = {loc_key} AND IT.LOCATIONCODE IS NOT NULL)
+        LEFT JOIN locs LP ON {dims.same("LP.RACK_CODE", loc_key, collation)} AND IT.LOCATIONCODE IS NOT NULL)
 SELECT {outer}
 FROM snap
 LATERAL VIEW explode({fanout_sql("_CURRENT_ROWS")}) copies AS _COPY"""
@@ -500,7 +522,7 @@ def materialize_trial_vials(t: LimsTables, trial_codes: TrialCodes, collation: s
         frame = spark.read.parquet(path)
         return frame, rows, path, rows <= max_rows and fits_broadcast(frame)
 
-    pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
+    pred, args = trial_where(t, "CR.LAST_NAME", trial_codes, collation)
     vials = write(run(spark, trial_vials_sql(t, pred), t, args).select(*BASE_VIAL_COLUMNS), "trial_vials")
     # The trial's ledger rows: the ledger is scanned once here, cut map-side
     # by the broadcast vial set when that set is small.
@@ -553,8 +575,8 @@ def trial_extract(
 
 def _snapshot(t, trial_codes, collation, vials, **kw) -> DataFrame:
     if vials is None:
-        pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes, collation)
-        return run(t.spark, snapshot_sql(t, pred, **kw), t, args)
+        pred, args = trial_where(t, "CR.LAST_NAME", trial_codes, collation)
+        return run(t.spark, snapshot_sql(t, pred, collation=collation, **kw), t, args)
     text = snapshot_sql(t, "TRUE", vials_table=True, broadcast_vials=vials.broadcastable,
-                        broadcast_ledger=vials.ledger_broadcastable, **kw)
+                        broadcast_ledger=vials.ledger_broadcastable, collation=collation, **kw)
     return run(t.spark, text, vials.tables(t))

@@ -26,13 +26,15 @@ from .plans.inventory import (
 )
 from .plans.sql_text import MONTHLY_SQL, run_sql
 from .session import scratch_path
-from .sinks.parquet import HISTORY_SUFFIX, PARQUET_EXT, PROD_SUFFIX, extract_trial, slug_report
+from .sinks.parquet import HISTORY_SUFFIX, PARQUET_EXT, PROD_SUFFIX, extract_trial, extract_trials, read_trials, slug_report
 from .functions.text import slug_sql
 from .sqltext import quote
-from .sources.fixtures import derive_lims_tables
+from .sources.fixtures import derive_lims_tables, respelled
 from .sources.tables import TABLE_NAMES, LimsTables
 
 TRIAL = "BUILDING"
+#: Case-insensitive, blanks at the end ignored, like the source database.
+COLLATION = "UTF8_LCASE_RTRIM"
 
 # Patterns for the label-extraction and redaction queries on driver text.
 PAGE_LABELS = {"PAGE": r"page=(\d+)", "HOST": r"://(.*?)\.example"}
@@ -256,6 +258,29 @@ def q_multi_trial_counts(spark, sf_dir):
     )
 
 
+def q_multi_trial_roundtrip(spark, sf_dir):
+    """The whole job for all trials (snapshot and history, one folder a trial, published together), read back: one row a trial."""
+    t = _tables(spark, sf_dir)
+    codes = [r[0] for r in t["CENTRALRECEIVING_VLA"].select("LAST_NAME").distinct().collect()]
+    done = extract_trials(t, codes, scratch_path(spark, "trials"), download_history=True)
+    snap = read_trials(spark, done["snapshot"]).groupBy("LAST_NAME").agg(
+        F.count(F.lit(1)).alias("N_ROWS"), F.count_if(~F.col("VIABLE")).alias("N_NOT_VIABLE"), F.count("SAMPLEID").alias("N_SAMPLEID"))
+    hist = read_trials(spark, done["history"]).groupBy("LAST_NAME").agg(
+        F.count(F.lit(1)).alias("N_HISTORY"), F.sum("FLAG_CURRENT").cast("bigint").alias("N_CURRENT"))
+    told = [(c, r["rows"], r["not_viable"], r["history_rows"]) for c, r in done["trials"].items()]
+    told = spark.createDataFrame(told, "LAST_NAME string, TOLD_ROWS long, TOLD_NOT_VIABLE long, TOLD_HISTORY long")
+    return snap.join(hist, "LAST_NAME").join(told, "LAST_NAME")
+
+
+def q_collated_extract(spark, sf_dir):
+    """The extraction under the source's collation: trial codes and string keys spelled in other letters, with blanks."""
+    return trial_extract(respelled(_tables(spark, sf_dir)), f"{TRIAL.lower()} ", collation=COLLATION)
+
+
+def q_collated_history(spark, sf_dir):
+    return inventory_history(respelled(_tables(spark, sf_dir)), f"{TRIAL.lower()} ", collation=COLLATION, sort=False)
+
+
 def q_slug_collisions(spark, sf_dir):
     t = _tables(spark, sf_dir)
     codes = (

@@ -14,16 +14,17 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
 from ..functions.text import DIGIT_COMMA, LATIN_FROM, LATIN_PAIRS, LATIN_TO, slug
 from ..operators.summary import observe_rows, observe_viability
 from ..plans.history import HISTORY_ORDER, inventory_history
-from ..plans.inventory import materialize_trial_vials, trial_extract, trial_filter_sql
+from ..plans.inventory import materialize_trial_vials, trial_extract
+from ..functions.text import collation_key_sql
 from ..sources.tables import LimsTables
-from ..sqltext import run
+from .publish import Publication, Store, check_owner, recover, write_owner
 
 log = logging.getLogger(__name__)
 
@@ -60,7 +61,10 @@ def parquet_path(trial_code: str, output_dir: str, include_dsn_in_filename: bool
     base = output_dir.rstrip("/")
     if add_trial_to_path:
         base = f"{base}/{trial_code}"
-    return f"{base}/{slug_text(stem)}{PARQUET_EXT}"
+    name = slug_text(stem)
+    if not name:  # a name that begins with a dot is hidden from every reader
+        raise ValueError(f"trial code {trial_code!r} has no letter or digit to name a file by")
+    return f"{base}/{name}{PARQUET_EXT}"
 
 
 def history_path(snapshot_path: str) -> str:
@@ -132,8 +136,10 @@ def extract_trial(
     small enough set is broadcast into the large vial-keyed joins, and both
     datasets start from it instead of re-joining receipts. Counts are
     gathered by observation during each write, so no dataset is computed
-    twice. Errors propagate; the snapshot is written before the history is
-    started, so a history failure leaves the snapshot in place.
+    twice. Errors propagate. Snapshot and history are staged and published
+    together when both are complete, so a failed run leaves the earlier pair as
+    it was (see :mod:`.publish`). A dataset that another trial with the same file
+    name has published is not replaced.
     """
     if not trial_code or not trial_code.strip():
         raise ValueError("trial code must be a non-blank string")
@@ -162,11 +168,27 @@ def _extract_trial(
         exclude_matcodes=exclude_matcodes, collation=collation, seq_empty_as_zero=seq_empty_as_zero, vials=vials,
     )
     path = parquet_path(trial_code, output_dir, include_dsn_in_filename, add_trial_to_path)
+    folder, store = path.rpartition("/")[0], Store(t.spark)
+    recover(t.spark, folder)
+    check_owner(store, path, trial_code)
+    run = Publication(t.spark, folder)
+    try:
+        result = _staged(t, trial_code, run, snapshot, path, vials, no_viable, parquet_compression, download_history, collation)
+        for staged, _ in run.moves:
+            write_owner(store, staged, trial_code)
+    except BaseException:
+        run.abandon()
+        raise
+    run.commit()
+    return result
+
+
+def _staged(t, trial_code, run, snapshot, path, vials, no_viable, parquet_compression, download_history, collation) -> ExtractResult:
     if no_viable:
         observed, obs = observe_rows(snapshot, "snapshot")
     else:
         observed, obs = observe_viability(snapshot, "snapshot")
-    write_parquet(observed, path, parquet_compression)
+    write_parquet(observed, run.stage(path), parquet_compression)
     metrics = obs.get
     result = ExtractResult(snapshot_path=path, snapshot_rows=int(metrics.get("rows", 0)))
     if not no_viable:
@@ -179,7 +201,7 @@ def _extract_trial(
     if download_history:
         hist, hobs = observe_rows(inventory_history(t, trial_code, collation=collation, vials=vials), "history")
         hpath = history_path(path)
-        write_parquet(hist, hpath, parquet_compression)
+        write_parquet(hist, run.stage(hpath), parquet_compression)
         result.history_path = hpath
         result.history_rows = int(hobs.get.get("rows", 0))
         log.info("trial %s: wrote %d history rows, path=%s", trial_code, result.history_rows, hpath)
@@ -211,50 +233,56 @@ def read_trials(spark, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
-def _write_trials(df: DataFrame, path: str, codes: list[str] | None, collation: str | None, compression: str, viable: bool) -> dict[str, dict]:
-    """Write ``df`` by trial and make ``path`` hold this run's rows for every trial asked for.
+def _write_trials(df: DataFrame, path: str, run: Publication, codes: list[str] | None, collation: str | None, compression: str, viable: bool) -> dict[str, dict]:
+    """Stage ``df`` by trial; once published, ``path`` holds this run's rows for every trial asked for.
 
-    Counts are observed during the write, one aggregate for each code asked
-    for. Folders of those trials that got no row in this run are removed, and a
-    code without rows gets an empty dataset with the full schema. For all
-    trials (``codes`` None) every folder not written is old; the counts are
-    then read from the files, which hold nothing else.
+    Counts are read from the files staged (two narrow columns, one row for each
+    trial), so the plan is the same for one code and for ten thousand. Folders
+    of the asked trials that got no row in this run are dropped, and a code
+    without rows gets an empty dataset with the full schema. For all trials
+    (``codes`` None) every folder not written is old.
     """
     spark = df.sparkSession
-    schema = df.schema
-    found: dict[str, dict] = {}
-    exprs = []
-    for i, code in enumerate(codes or []):
-        hit = F.collate("LAST_NAME", collation) == F.collate(F.lit(code), collation) if collation else F.col("LAST_NAME") == code
-        exprs.append(F.count_if(hit).alias(f"rows_{i}"))
-        if viable:
-            exprs.append(F.count_if(hit & ~F.col("VIABLE")).alias(f"bad_{i}"))
-    seen = F.collect_set("LAST_NAME").alias("seen")  # trials, not rows
-    watch = Observation()
-    out = df.observe(watch, seen, *exprs).withColumn(TRIAL_KEY, F.col("LAST_NAME"))
-    write_parquet(out, path, compression, partition_by=(TRIAL_KEY,))
-    got = watch.get
-    written = set(got.get("seen") or [])
-    old = [c for c in _trial_folders(spark, path) if c not in written]
-    if codes is not None and old:
-        asked = spark.createDataFrame([(c,) for c in old], "LAST_NAME string")
-        pred, args = trial_filter_sql("LAST_NAME", codes, collation)
-        old = [r[0] for r in run(spark, f"SELECT LAST_NAME FROM {{OLD}} WHERE {pred}", {"OLD": asked}, args).collect()]
-    for code in old:
-        delete_path(spark, _trial_folder(spark, path, code))
-    for i, code in enumerate(codes or []):
-        found[code] = {"LAST_NAME": code, "rows": int(got.get(f"rows_{i}") or 0)}
-        if viable:
-            found[code]["not_viable"] = int(got.get(f"bad_{i}") or 0)
-        if not found[code]["rows"]:
-            empty = spark.createDataFrame([], schema)
-            empty.write.mode("overwrite").option("compression", check_codec(compression)).parquet(_trial_folder(spark, path, code))
-    if codes is None and written:
+    staged = f"{run.staging}/{path.rpartition('/')[2]}"
+    write_parquet(df.withColumn(TRIAL_KEY, F.col("LAST_NAME")), staged, compression, partition_by=(TRIAL_KEY,))
+    written = _trial_folders(spark, staged)
+    counts: dict[str, dict] = {}
+    if written:
         aggs = [F.count(F.lit(1)).alias("rows"), *([F.count_if(~F.col("VIABLE")).alias("not_viable")] if viable else [])]
-        found = {r["LAST_NAME"]: r.asDict() for r in read_trials(spark, path).groupBy("LAST_NAME").agg(*aggs).collect()}
+        counts = {r["LAST_NAME"]: r.asDict() for r in read_trials(spark, staged).groupBy("LAST_NAME").agg(*aggs).collect()}
+    old = [c for c in _trial_folders(spark, path) if c not in set(written)]
+    found = counts
+    if codes is not None:
+        asked, stored = _spellings(spark, codes, collation), _spellings(spark, sorted({*counts, *old}), collation)
+        old = [c for c in old if stored[c] in set(asked.values())]
+        by_key: dict[str, list[str]] = {}
+        for raw in counts:
+            by_key.setdefault(stored[raw], []).append(raw)
+        zero = {"rows": 0, **({"not_viable": 0} if viable else {})}
+        found = {c: {"LAST_NAME": c, **{k: sum(counts[raw][k] for raw in by_key.get(asked[c], [])) for k in zero}} for c in codes}
+        empty = [c for c in codes if not found[c]["rows"]]
+        if empty:  # one small write for all of them
+            none = spark.createDataFrame([], df.schema).coalesce(1)
+            for code in empty:
+                none.write.mode("overwrite").option("compression", check_codec(compression)).parquet(_trial_folder(spark, staged, code))
+            written = [*written, *empty]
+    for code in old:
+        run.drop(_trial_folder(spark, path, code))
+    run.moves += [[_trial_folder(spark, staged, c), _trial_folder(spark, path, c)] for c in written]
     return found
 
 
+def _spellings(spark, codes: list[str], collation: str | None) -> dict[str, str]:
+    """Each code with the key that codes equal under ``collation`` share."""
+    if not collation:
+        return {c: c for c in codes}
+    frame = spark.createDataFrame([(c,) for c in codes], "c string")
+    keyed = frame.selectExpr("c", f"min(c) OVER (PARTITION BY {collation_key_sql('c', collation)}) AS first")
+    first = {r.c: r["first"] for r in keyed.collect()}
+    plain = {r.c: r.k for r in frame.selectExpr("c", f"CAST({collation_key_sql('c', collation)} AS STRING) AS k").collect()}
+    return {c: plain[first[c]] for c in codes}
+
+
 def extract_trials(
     t: LimsTables,
     trial_codes: Sequence[str] | None,
@@ -281,14 +309,16 @@ def extract_trials(
     codes = None if trial_codes is None else list(dict.fromkeys(trial_codes))
     check_codec(parquet_compression)
     vials = materialize_trial_vials(t, codes, collation) if semi_join_reduction and codes is not None else None
+    out = output_dir.rstrip("/")
+    recover(t.spark, out)
+    run = Publication(t.spark, out)
     try:
-        out = output_dir.rstrip("/")
         snapshot = trial_extract(
             t, codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
             exclude_matcodes=exclude_matcodes, collation=collation, seq_empty_as_zero=seq_empty_as_zero, vials=vials,
         )
         paths: dict = {"snapshot": f"{out}/inventory"}
-        paths["trials"] = _write_trials(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], codes, collation,
+        paths["trials"] = _write_trials(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], run, codes, collation,
                                         parquet_compression, not no_viable)
         if download_history:
             hist = inventory_history(t, codes, collation=collation, sort=False, with_trial=True, vials=vials)
@@ -296,9 +326,14 @@ def extract_trials(
             hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
             hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
             paths["history"] = f"{out}/history"
-            counted = _write_trials(hist, paths["history"], codes, collation, parquet_compression, False)
+            counted = _write_trials(hist, paths["history"], run, codes, collation, parquet_compression, False)
             for code, row in counted.items():
                 paths["trials"].setdefault(code, {"LAST_NAME": code, "rows": 0})["history_rows"] = row["rows"]
+    except BaseException:
+        run.abandon()
+        raise
+    else:
+        run.commit()
         for code, row in sorted(paths["trials"].items()):
             log.info("trial %s: %s", code, ", ".join(f"{k}={v}" for k, v in row.items() if k != "LAST_NAME"))
         return paths
