@@ -118,7 +118,7 @@ def test_hot_box_spreads(spark, trial):
     t = hot(base)
     want = rows_of(trial_extract(t, trial).select("VIAL_CONTAINER_INV_ID", "PARENT_CONTAINER_INV_ID", "BOX_NAME", "BOX_POS", "MATCODE"))
     # locations and the like may be broadcast, boxes may not: the box join is then the last shuffle
-    values = {**BIG, "vialflow.broadcast.maxRows": "20000", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    values = {**BIG, "vialflow.broadcast.maxBytes": "500000", "vialflow.broadcast.maxRows": "20000", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
     with conf(spark, values):
         t = hot(base)
         df = trial_extract(t, trial)
@@ -142,3 +142,37 @@ def test_hot_box_of_the_fanout_spreads(spark):
         assert "sequence(" not in plan_of(df)
     # the box itself has one current row, so half of the rows are its own
     assert sum(str(BOX) in r for r in want) > 0.4 * len(want)
+
+
+def hints(df) -> set[str]:
+    """What the statement asks to broadcast."""
+    return set(re.findall(r"SubqueryAlias (\w+)", "\n".join(re.findall(r"UnresolvedHint|ResolvedHint[^\n]*\n[^\n]*", df._jdf.queryExecution().analyzed().toString()))))
+
+
+def test_broadcast_needs_measured_bytes_and_unique_keys(spark, tables):
+    """A wide dimension, and one whose key repeats, get no hint; whatever their number of rows."""
+    from vialflow.operators.broadcast import tables_fit
+
+    locations = tables["LOCATIONS"]
+    normal = LimsTables(dict(tables.frames))
+    wide = LimsTables({**tables.frames, "LOCATIONS": locations.withColumn("LONGNAME", F.repeat(F.lit("x"), 100_000))})
+    twice = LimsTables({**tables.frames, "LOCATIONS": locations.union(locations.limit(1))})
+    letters = LimsTables({**tables.frames, "LOCATIONS": locations.union(locations.where("LOCATIONCODE = 'S1'").withColumn("LOCATIONCODE", F.lit("s1 ")))})
+    with conf(spark, {"vialflow.broadcast.maxBytes": str(1 << 20)}):
+        assert tables_fit(normal, ["LOCATIONS"]) and normal.measure("LOCATIONS").unique
+        assert not tables_fit(wide, ["LOCATIONS"]) and wide.measure("LOCATIONS").bytes > 100_000 * locations.count()
+        assert not tables_fit(twice, ["LOCATIONS"]) and not twice.measure("LOCATIONS").unique
+        assert tables_fit(letters, ["LOCATIONS"]) and not tables_fit(letters, ["LOCATIONS"], collation="UTF8_LCASE_RTRIM")
+        for t, broadcast in ((normal, True), (wide, False), (twice, False)):
+            for df, alias in ((trial_extract(t, "BUILDING"), "LP"), (inventory_history(t, "BUILDING"), "LOC")):
+                assert (alias in hints(df)) == broadcast, alias
+    # a repeated key multiplies rows, as in the source's own join
+    extra = trial_extract(twice, "BUILDING").count()
+    assert extra >= trial_extract(normal, "BUILDING").count()
+
+
+def test_dimensions_are_measured_once(spark, tables):
+    t = LimsTables(dict(tables.frames))
+    first = t.measure("ROOMS")
+    t.frames = {}  # nothing is read again
+    assert t.measure("ROOMS") is first and t.measure("MATERIALS").unique and t.measure("INVENTORY") is None

@@ -53,33 +53,31 @@ def fits_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: boo
     return size * INFLATION <= limit
 
 
-# Row bound for a dimension proven small by counting, and the largest byte
-# estimate for which such a count is attempted at all.
+# Row bound of a dimension that may be broadcast, beside its bytes.
 DEFAULT_MAX_ROWS = 1_000_000
 CONF_MAX_ROWS = "vialflow.broadcast.maxRows"
-COUNT_PROBE_MAX_BYTES = 1 << 30
 
 
-def tables_fit(t, names, limit: int | None = None) -> bool:
+def tables_fit(t, names, limit: int | None = None, collation: str | None = None) -> bool:
     """Whether a dimension built from the base tables ``names`` may be broadcast.
 
-    A chain of key lookups over these tables has at most as many rows as
-    its inputs, so the sum of their (inflated) estimates bounds its size.
-    When that estimate is inconclusive and every input is a declared
-    dimension table of moderate estimated size, an exact bounded row count
-    decides instead (estimates of derived or heavily compressed tables can
-    be far above their real size).
+    A chain of key lookups has at most as many rows as its inputs if each key
+    that is looked up occurs once; so dimensions count by their measured bytes,
+    and only with unique keys (see :meth:`LimsTables.measure`). Tables that are
+    no dimensions count by the optimizer's estimate, inflated for compression.
     """
     frames = [t[n] for n in names]
     limit = broadcast_limit(frames[0]) if limit is None else limit
-    if sum(t.table_bytes(n) for n in names) * INFLATION <= limit:
-        return True
-    if not all(n in DIMENSION_TABLES and t.table_bytes(n) <= COUNT_PROBE_MAX_BYTES for n in names):
+    others = [n for n in names if n not in DIMENSION_TABLES]
+    size = sum(t.table_bytes(n) for n in others) * INFLATION
+    if size > limit:
+        return False
+    found = [t.measure(n, collation) for n in names if n in DIMENSION_TABLES]
+    if any(m is None or not m.unique for m in found):
         return False
     raw = frames[0].sparkSession.conf.get(CONF_MAX_ROWS, None)
     cap = int(raw) if raw else DEFAULT_MAX_ROWS
-    counts = [t.bounded_rows(n, cap) for n in names]
-    return all(c is not None for c in counts) and sum(counts) <= cap
+    return sum(m.rows for m in found) <= cap and size + sum(m.bytes for m in found) <= limit
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None, *, lookup_chain: bool = False) -> DataFrame:

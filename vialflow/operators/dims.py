@@ -63,7 +63,7 @@ def location_path_sql(t: LimsTables, collation: str | None = None) -> str:
     long names are never shifted; room and building hang off the third level
     only.
     """
-    names = (["L2", "L3"] if tables_fit(t, ["LOCATIONS"]) else []) + (
+    names = (["L2", "L3"] if tables_fit(t, ["LOCATIONS"], collation=collation) else []) + (
         ["RM", "BL"] if tables_fit(t, ["ROOMS", "BUILDINGS"]) else []
     )
     salt = ["L1.LOCATIONCODE"]
@@ -110,7 +110,7 @@ def boxes_sql(
     (filters, name) cuts both by a Bloom filter of box ids instead, which fits
     a set of any size.
     """
-    bc = hint(["MT"] if tables_fit(t, ["MATERIALS"]) else [])
+    bc = hint(["MT"] if tables_fit(t, ["MATERIALS"], collation=collation) else [])
     inv_hint = hint(["BI"]) if box_ids and broadcast_ids else ""
     inv_semi = f" LEFT SEMI JOIN {box_ids} BI ON INV.INVENTORYID = BI.BOX_ID" if box_ids else ""
     cur_hint = hint(["BC"]) if box_ids and broadcast_ids else ""
@@ -168,8 +168,8 @@ def box_column(name: str, heavy: bool) -> str:
     return f"coalesce(HB.{name}, PC.{name})" if heavy else f"PC.{name}"
 
 
-def boxes_fit(t: LimsTables, with_current_rows: bool) -> bool:
-    return tables_fit(t, BOX_TABLES + (("INVENTORY_TRANSACTIONS",) if with_current_rows else ()))
+def boxes_fit(t: LimsTables, with_current_rows: bool, collation: str | None = None) -> bool:
+    return tables_fit(t, BOX_TABLES + (("INVENTORY_TRANSACTIONS",) if with_current_rows else ()), collation=collation)
 
 
 def location_path(t: LimsTables) -> DataFrame:

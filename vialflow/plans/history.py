@@ -55,14 +55,14 @@ def history_sql(
     rows point at are broadcast apart, as in the snapshot.
     """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
-    boxes_small = reduce_ledger or dims.boxes_fit(t, False)
+    boxes_small = reduce_ledger or dims.boxes_fit(t, False, collation)
     heavy = not boxes_small
     names = (
         (["V"] if broadcast_vials else [])
         # headers cut to the ids of the (proven small) trial ledger are small too
         + (["T"] if reduce_ledger or tables_fit(t, ["TRANSACTIONS"]) else [])
         + (["PC"] if boxes_small else ["HB"])
-        + (["LOC"] if tables_fit(t, ["LOCATIONS"]) else [])
+        + (["LOC"] if tables_fit(t, ["LOCATIONS"], collation=collation) else [])
     )
     ledger_type = lambda column: t.col_type("INVENTORY_TRANSACTIONS_VLA", column)
     tx_key = spread("IT.TRANSACTION_ID", salt, ledger_type("TRANSACTION_ID"))

@@ -368,7 +368,7 @@ def snapshot_sql(
     With ``collation`` all string keys match under it.
     """
     vial_salt = ["V.VIAL_ID"]
-    boxes_small = broadcast_ledger or dims.boxes_fit(t, True)
+    boxes_small = broadcast_ledger or dims.boxes_fit(t, True, collation)
     heavy = not boxes_small
     all_trials = not vials_table and trial_pred == "TRUE"
     reducers, base = None, ""
@@ -378,10 +378,10 @@ def snapshot_sql(
     elif not vials_table and not all_trials and worth_reducing(t, REDUCED_TABLES):
         reducers, base = inline_reducers(t, trial_pred, collation)
     main_hint = hint(
-        (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"]) else [])
+        (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"], collation=collation) else [])
         # the counted trial ledger, and boxes cut to those it references, are small too
         + (["IT", "PC"] if broadcast_ledger else (["PC"] if boxes_small else ["HB"]))
-        + (["LP"] if tables_fit(t, dims.LOCATION_TABLES) else [])
+        + (["LP"] if tables_fit(t, dims.LOCATION_TABLES, collation=collation) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
     exprs = {c: dims.box_column(e[3:], heavy) if e.startswith("PC.") else e for c, e in _SNAPSHOT_EXPR.items()}

@@ -51,12 +51,24 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 TABLE_NAMES: tuple[str, ...] = tuple(COLUMNS)
 
 # Lookup tables that are small by nature (schedules, materials, storage
-# locations). Only these may have their size proven by a bounded row count
-# when the optimizer's byte estimate is inconclusive.
-DIMENSION_TABLES = frozenset({
-    "TRIAL_MASTER_SCHEDULE", "TRIAL_ELEMENT_TIMEPOINT", "TRIAL_ELEMENT", "TRIAL", "MATERIALS",
-    "CONTAINERS_CONDITION", "LOCATIONS", "ROOMS", "BUILDINGS",
-})
+# locations), and the key that each is looked up by.
+DIMENSION_KEYS: dict[str, str] = {
+    "TRIAL_MASTER_SCHEDULE": "TRIAL_MASTER_SCHEDULE_ID", "TRIAL_ELEMENT_TIMEPOINT": "TRIAL_ELEMENT_TP_ID",
+    "TRIAL_ELEMENT": "TRIAL_ELEMENT_ID", "TRIAL": "TRIAL_ID", "MATERIALS": "MATCODE", "CONTAINERS_CONDITION": "CONTCODE",
+    "LOCATIONS": "LOCATIONCODE", "ROOMS": "ROOM_ID", "BUILDINGS": "BUILDING_ID",
+}
+DIMENSION_TABLES = frozenset(DIMENSION_KEYS)
+#: Largest estimate for which a dimension is measured at all.
+MEASURE_MAX_BYTES = 1 << 30
+
+
+@dataclass(frozen=True)
+class Measure:
+    """What one pass over a dimension has found: its rows, their bytes in memory, and whether each key occurs once."""
+
+    rows: int
+    bytes: int
+    unique: bool
 
 
 @dataclass
@@ -71,7 +83,7 @@ class LimsTables(Mapping[str, DataFrame]):
     frames: dict[str, DataFrame] = field(default_factory=dict)
     _bytes: dict[str, int] = field(default_factory=dict, repr=False)
     _types: dict[str, dict[str, str]] = field(default_factory=dict, repr=False)
-    _rows: dict[tuple[str, int], int | None] = field(default_factory=dict, repr=False)
+    _measures: dict[str | None, dict[str, Measure]] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -95,18 +107,34 @@ class LimsTables(Mapping[str, DataFrame]):
             self._bytes[name] = plan_bytes(self[name])
         return self._bytes[name]
 
-    def bounded_rows(self, name: str, cap: int) -> int | None:
-        """Exact row count if it is at most ``cap``, else ``None``.
+    def measure(self, name: str, collation: str | None = None) -> Measure | None:
+        """Rows, bytes and key uniqueness of dimension ``name``; ``None`` if it is no dimension, or too large to be measured.
 
-        A plain count, one number from each scan task: only dimension tables
-        under a byte bound are counted. Remembered per table and cap (one
-        small job per session).
+        The first question measures every dimension, in one job: each is read
+        once and sends a partial count from each task (and its keys, for the
+        distinct count). The answers are kept with the tables, for each collation
+        that keys are compared under.
         """
-        key = (name, cap)
-        if key not in self._rows:
-            n = self[name].count()
-            self._rows[key] = n if n <= cap else None
-        return self._rows[key]
+        if collation not in self._measures:
+            self._measures[collation] = self._measured(collation)
+        return self._measures[collation].get(name)
+
+    def _measured(self, collation: str | None) -> dict[str, Measure]:
+        from ..functions.text import collation_key_sql
+
+        parts, frames = [], {}
+        for name, key in DIMENSION_KEYS.items():
+            if name not in self.frames or self.table_bytes(name) > MEASURE_MAX_BYTES:
+                continue
+            kinds = {c: self.col_type(name, c) for c in self[name].columns}
+            size = " + ".join(f"coalesce(octet_length({c}), 0) + 16" if kind.startswith(("string", "binary")) else "16" for c, kind in kinds.items())
+            key = collation_key_sql(key, collation) if kinds[key] == "string" else key
+            parts.append(f"SELECT '{name}' AS NAME, count(1) AS N, count({key}) AS FILLED, count(DISTINCT {key}) AS KEYS, coalesce(sum({size}), 0) AS BYTES FROM {{{name}}}")
+            frames[name] = self[name]
+        if not parts:
+            return {}
+        found = self.spark.sql(" UNION ALL ".join(parts), **frames).collect()
+        return {r.NAME: Measure(r.N, int(r.BYTES) + 64 * r.N, r.FILLED == r.KEYS) for r in found}
 
     def col_type(self, table: str, col: str) -> str:
         """Simple SQL type name of ``table.col`` (``bigint``, ``int``, ``string``...)."""
