@@ -202,7 +202,7 @@ def test_snapshot_with_shuffled_boxes_equals_broadcast_boxes(spark, tables):
     from vialflow.plans.inventory import trial_inventory
 
     small = trial_inventory(tables, None).collect()
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "vialflow.broadcast.maxBytes": "1", "vialflow.broadcast.maxRows": "0"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "vialflow.broadcast.maxBytes": "1", "vialflow.broadcast.maxRows": "0", "vialflow.bloom.minBytes": "0"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:

@@ -26,7 +26,7 @@ DEFAULT_WORDS = 1 << 20
 CONF_WORDS = "vialflow.bloom.words"
 #: The largest number of words that the setting may ask for: the broadcast stays bounded.
 MAX_WORDS = 1 << 22
-#: Compressed bytes of the tables to be cut from which reducers are worth their own scans.
+#: Compressed bytes of the large tables together from which sketches are worth their own scans; below, nothing is hot or large.
 DEFAULT_MIN_BYTES = 64 * 1024 * 1024
 CONF_MIN_BYTES = "vialflow.bloom.minBytes"
 #: Keys joined apart for each shuffle partition, and the buckets that their sketches are dealt to.

@@ -56,12 +56,12 @@ def history_sql(
     """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
     boxes_small = reduce_ledger or dims.boxes_fit(t, False, collation)
-    heavy = not boxes_small
+    heavy = not boxes_small and worth_reducing(t, HISTORY_TABLES)
     names = (
         (["V"] if broadcast_vials else [])
         # headers cut to the ids of the (proven small) trial ledger are small too
         + (["T"] if reduce_ledger or tables_fit(t, ["TRANSACTIONS"]) else [])
-        + (["PC"] if boxes_small else ["HB"])
+        + (["PC"] if boxes_small else ["HB"] if heavy else [])
         + (["LOC"] if tables_fit(t, ["LOCATIONS"], collation=collation) else [])
     )
     ledger_type = lambda column: t.col_type("INVENTORY_TRANSACTIONS_VLA", column)

@@ -363,24 +363,25 @@ def snapshot_sql(
     broadcast semi joins; all others, of any size, by Bloom filters. For all
     trials there is nothing to cut but the boxes, by a shuffled semi join.
 
-    Boxes that are not broadcast are joined by shuffle; the few that hold many
-    of the rows are broadcast apart (:func:`~vialflow.operators.dims.parent_box_join`).
+    Boxes that are not broadcast are joined by shuffle; in large tables the few
+    that hold many of the rows are broadcast apart (:func:`~vialflow.operators.dims.parent_box_join`).
     With ``collation`` all string keys match under it.
     """
     vial_salt = ["V.VIAL_ID"]
     boxes_small = broadcast_ledger or dims.boxes_fit(t, True, collation)
-    heavy = not boxes_small
+    large = worth_reducing(t, REDUCED_TABLES)
+    heavy = large and not boxes_small
     all_trials = not vials_table and trial_pred == "TRUE"
     reducers, base = None, ""
     if vials_table and not (broadcast_vials and broadcast_ledger):
         reducers = table_reducers(t, collation)
         base = reducers.ctes()
-    elif not vials_table and not all_trials and worth_reducing(t, REDUCED_TABLES):
+    elif not vials_table and not all_trials and large:
         reducers, base = inline_reducers(t, trial_pred, collation)
     main_hint = hint(
         (["CC"] if tables_fit(t, ["CONTAINERS_CONDITION"], collation=collation) else [])
         # the counted trial ledger, and boxes cut to those it references, are small too
-        + (["IT", "PC"] if broadcast_ledger else (["PC"] if boxes_small else ["HB"]))
+        + (["IT", "PC"] if broadcast_ledger else ["PC"] if boxes_small else ["HB"] if heavy else [])
         + (["LP"] if tables_fit(t, dims.LOCATION_TABLES, collation=collation) else [])
     )
     iv_roles = ", ".join(f"{f} AS {n}" for f, n in VIAL_METADATA_ROLES.items())
@@ -451,7 +452,8 @@ def parent_fanout(t: LimsTables) -> DataFrame:
     their ledger counts are cut to those in use, and boxes that hold many of
     the rows are broadcast apart.
     """
-    heavy = not dims.boxes_fit(t, True)
+    boxes_small = dims.boxes_fit(t, True)
+    heavy = not boxes_small and worth_reducing(t, REDUCED_TABLES)
     box_type = t.col_type("INVENTORY_TRANSACTIONS_VLA", "CONTAINER_INVENTORYID")
     heavy_cte = dims.heavy_boxes_ctes(t, True, "CONTAINER_INVENTORYID", "it") if heavy else ""
     text = f"""
@@ -459,7 +461,7 @@ WITH it AS (SELECT INVENTORYID, CONTAINER_INVENTORYID FROM {{INVENTORY_TRANSACTI
 box_ids AS (SELECT DISTINCT CONTAINER_INVENTORYID AS BOX_ID FROM it WHERE CONTAINER_INVENTORYID IS NOT NULL),
 {heavy_cte}boxes AS ({dims.boxes_sql(t, True, "box_ids")}),
 rows AS (
-        SELECT {hint(["HB"] if heavy else ["PC"])} IT.INVENTORYID, {dims.box_column("PARENT_CONTAINER_INV_ID", heavy)} AS PARENT_CONTAINER_INV_ID,
+        SELECT {hint(["HB"] if heavy else ["PC"] if boxes_small else [])} IT.INVENTORYID, {dims.box_column("PARENT_CONTAINER_INV_ID", heavy)} AS PARENT_CONTAINER_INV_ID,
                {dims.box_column("_CURRENT_ROWS", heavy)} AS _CURRENT_ROWS
         FROM it IT
         {dims.parent_box_join("IT.CONTAINER_INVENTORYID", box_type, "IT.INVENTORYID", ["IT.INVENTORYID"], heavy)})
