@@ -71,11 +71,22 @@ def maximal(turns: DataFrame, **cols: str) -> DataFrame:
 
 
 def template(role: Column, text: Column) -> Column:
-    return F.concat(F.lit("<|"), F.coalesce(role, F.lit("")), F.lit("|>\n"), F.coalesce(text, F.lit("")), F.lit("\n"))
+    """A turn as ``<|role|>``, a line end, the text and a line end.
+
+    No text or role can pass for the marker of another turn: in a text ``<|``
+    becomes ``<\\|`` and ``<\\`` becomes ``<\\\\``, in a role every ``|`` and ``\\``
+    gets a backslash. Taking these backslashes away gives the log's text back.
+    """
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"<([|\\])", r"<\\$1")
+    role = F.regexp_replace(F.coalesce(role, F.lit("")), r"([|\\])", r"\\$1")
+    return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("\n"))
 
 
 def rendered_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv_id, turn, segment): the rendered turns of the maximal conversations, one row each."""
+    """(conv_id, turn, segment): the rendered turns of the maximal conversations, one row each.
+
+    Other columns are not read; an empty table has an empty result.
+    """
     kept = store(maximal(turns, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col).select(F.col("conv_id").alias("kept")), "chat-kept")
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), template(F.col(role_col), F.col(text_col)).alias("segment"))
     return t.join(kept, t["conv_id"].eqNullSafe(kept["kept"]), "left_semi")

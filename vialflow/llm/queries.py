@@ -126,12 +126,13 @@ ORACLE: dict[str, str] = {
                count(*) / any_value(item_shingles)::DOUBLE AS containment
         FROM dg JOIN ig USING (n, g) JOIN ic USING (item_id)
         GROUP BY doc_id, item_id HAVING count(*) >= any_value(item_shingles) * 0.8 - 1e-9""",
-    "op9_chat": """
+    "op9_chat": r"""
         WITH c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn) AS turns FROM conversations GROUP BY conv_id),
         u AS (SELECT min(conv_id) AS conv_id, turns FROM c GROUP BY turns),
         p AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM u)),
         kept AS (SELECT conv_id FROM u WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.turns = u.turns))
-        SELECT conv_id, turn, '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS segment
+        SELECT conv_id, turn, '<|' || regexp_replace(coalesce(role, ''), '([|\\])', '\\\1', 'g') || '|>' || chr(10)
+               || regexp_replace(coalesce(text, ''), '<([|\\])', '<\\\1', 'g') || chr(10) AS segment
         FROM conversations SEMI JOIN kept USING (conv_id)""",
     "op12_phrases": r"""
         WITH pieces AS (
