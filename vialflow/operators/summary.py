@@ -64,6 +64,6 @@ def observe_viability(flagged: DataFrame, name: str = "viability") -> tuple[Data
     return flagged.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("VIABLE")).alias("not_viable")), obs
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def observe_rows(df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from ..functions.scalar import grid_ordinal_sql
 from ..operators import dims
 from ..operators.broadcast import tables_fit
+from ..operators.ranges import ordered
 from ..operators.reducers import Reducers, worth_reducing
 from ..sources.tables import LimsTables
 from ..sqltext import hint, run, spread
@@ -131,10 +132,13 @@ def inventory_history(
     """The 16-column movement history of the trial(s)' vials, sorted by
     (INVENTORYID, TRANSACTION_ID) unless ``sort=False``. ``vials`` (from
     :func:`~vialflow.plans.inventory.materialize_trial_vials`) replaces the
-    receipt join by the already written vial table."""
+    receipt join by the already written vial table, and brings the bounds of the
+    order, so that the rows are shuffled for it once."""
     if vials is not None:
-        text = history_sql(t, "TRUE", with_trial=with_trial, sort=sort, vials_table=True,
+        sketched = sort and vials.order is not None
+        text = history_sql(t, "TRUE", with_trial=with_trial, sort=sort and not sketched, vials_table=True,
                            broadcast_vials=vials.broadcastable, reduce_ledger=vials.ledger_broadcastable, collation=collation)
-        return run(t.spark, text, vials.tables(t))
+        rows = run(t.spark, text, vials.tables(t))
+        return ordered(rows, *HISTORY_ORDER, vials.order) if sketched else rows
     pred, args = trial_where(t, "CR.LAST_NAME", trial_codes, collation)
     return run(t.spark, history_sql(t, pred, with_trial=with_trial, sort=sort, collation=collation), t, args)

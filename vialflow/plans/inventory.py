@@ -33,9 +33,10 @@ from ..functions.text import sampleid_sqls
 from ..operators import dims
 from ..operators.broadcast import fits_broadcast, sized_broadcast, tables_fit
 from ..operators.joins import fanout_sql
+from ..operators.ranges import Bounds, bounds, can_sketch, sketch, wanted_partitions
 from ..operators.reducers import Reducers, worth_reducing
 from ..operators.summary import observe_rows
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sources.tables import LimsTables
 from ..sqltext import hint, quote, run, spread
 
@@ -484,6 +485,7 @@ class TrialVials:
     ledger_rows: int
     ledger_path: str
     ledger_broadcastable: bool
+    order: Bounds | None = None
 
     @property
     def paths(self) -> tuple[str, str]:
@@ -516,23 +518,32 @@ def materialize_trial_vials(t: LimsTables, trial_codes: TrialCodes, collation: s
     raw = spark.conf.get(CONF_MAX_REDUCER_ROWS, None)
     max_rows = int(raw) if raw else MAX_REDUCER_ROWS
 
-    def write(df: DataFrame, name: str) -> tuple[DataFrame, int, str, bool]:
-        observed, obs = observe_rows(df, name)
+    def write(df: DataFrame, name: str, *seen: Column) -> tuple[tuple[DataFrame, int, str, bool], dict]:
+        observed, obs = observe_rows(df, name, *seen)
         path = scratch_path(spark, name)
         observed.write.mode("overwrite").parquet(path)
         rows = int(obs.get.get("rows", 0))
         frame = spark.read.parquet(path)
-        return frame, rows, path, rows <= max_rows and fits_broadcast(frame)
+        return (frame, rows, path, rows <= max_rows and fits_broadcast(frame)), obs.get
 
     pred, args = trial_where(t, "CR.LAST_NAME", trial_codes, collation)
-    vials = write(run(spark, trial_vials_sql(t, pred), t, args).select(*BASE_VIAL_COLUMNS), "trial_vials")
+    vials, _ = write(run(spark, trial_vials_sql(t, pred), t, args).select(*BASE_VIAL_COLUMNS), "trial_vials")
     # The trial's ledger rows: the ledger is scanned once here, cut map-side
     # by the broadcast vial set when that set is small.
     ledger_sql = f"""
 SELECT {hint(["V"]) if vials[3] else ""} {", ".join("IT." + c for c in LEDGER_COLUMNS)}
 FROM {{INVENTORY_TRANSACTIONS_VLA}} IT LEFT SEMI JOIN {{TRIAL_VIALS}} V ON IT.INVENTORYID = V.VIAL_ID"""
-    ledger = write(run(spark, ledger_sql, {**t.frames, "TRIAL_VIALS": vials[0]}), "trial_ledger")
-    return TrialVials(*vials, *ledger)
+    rows = run(spark, ledger_sql, {**t.frames, "TRIAL_VIALS": vials[0]})
+    try:
+        if not can_sketch(rows, "INVENTORYID", "TRANSACTION_ID"):
+            return TrialVials(*vials, *write(rows, "trial_ledger")[0])
+        # the history's order: bounds from a sketch taken during the write
+        ledger, seen = write(rows, "trial_ledger", sketch("INVENTORYID").alias("ids"))
+        parts = wanted_partitions(ledger[1], int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return TrialVials(*vials, *ledger, bounds(ledger[0], "INVENTORYID", "TRANSACTION_ID", seen.get("ids"), ledger[1], parts))
+    except BaseException:
+        delete_path(spark, vials[2])
+        raise
 
 
 def trial_inventory(

@@ -6,6 +6,7 @@ in settings that are unset, so a cluster's own values always win.
 
 from __future__ import annotations
 
+import logging
 import os
 import shutil
 import tempfile
@@ -13,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings every plan in this package relies on. AQE re-plans joins from the
 # real shuffle sizes (broadcast conversion, skew split, partition coalescing).
 REQUIRED_CONF = {
@@ -100,6 +103,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table (any Hadoop-compatible store); without access to the store its lifecycle rules will."""
+    try:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+    except Exception as exc:  # noqa: BLE001 - scratch only: what is published is moved and removed by sinks.publish
+        log.warning("scratch table %s stays: %s", path, exc)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -23,6 +23,7 @@ from ..operators.summary import observe_rows, observe_viability
 from ..plans.history import HISTORY_ORDER, inventory_history
 from ..plans.inventory import materialize_trial_vials, trial_extract
 from ..functions.text import collation_key_sql
+from ..session import delete_path
 from ..sources.tables import LimsTables
 from .publish import Publication, Store, check_owner, recover, write_owner
 
@@ -73,15 +74,6 @@ def history_path(snapshot_path: str) -> str:
     return f"{head}/{stem}{HISTORY_SUFFIX}{PARQUET_EXT}"
 
 
-def delete_path(spark, path: str) -> None:
-    """Remove a scratch table this job wrote (any Hadoop-compatible store)."""
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
-    except Exception:  # noqa: BLE001 - no JVM access (remote client): leave it to the folder's lifecycle rules
-        pass
-
-
 def write_parquet(
     df: DataFrame,
     path: str,
