@@ -200,6 +200,7 @@ FROM CENTRALRECEIVING_VLA rcpt JOIN INVENTORY_VLA vial ON vial.EXTERNAL_ID = rcp
     JOIN INVENTORY_TRANSACTIONS_VLA led ON led.INVENTORYID = vial.INVENTORYID
 {TRIAL_WHERE} GROUP BY 1, 2""",
     "history_stream": history_sql(TRIAL_WHERE),
+    "history_kept": history_sql(TRIAL_WHERE),
     "sink_roundtrip": extract_sql(TRIAL_WHERE),
     "trial_slug": f"""
 SELECT TRIAL_CODE, {slug_sql("TRIAL_CODE")} AS TRIAL_SLUG,

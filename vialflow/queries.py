@@ -307,6 +307,20 @@ def q_history_stream(spark, sf_dir):
     return run_history_stream(_tables(spark, sf_dir), f"{sf_dir.rstrip('/')}/lineitem*.parquet", TRIAL)
 
 
+def q_history_kept(spark, sf_dir):
+    """History kept by a stream when half of the vials become known only after their ledger rows."""
+    from .streaming.kept import KeptLedger, versioned_fixture_stream
+
+    t = _tables(spark, sf_dir)
+    early = LimsTables({**t.frames, "INVENTORY_VLA": t["INVENTORY_VLA"].where("INVENTORYID % 2 = 0")})
+    now = [early]
+    kept = KeptLedger(lambda: now[0], TRIAL, scratch_path(spark, "kept"), key=("INVENTORYID", "TRANSACTION_ID", "THAWCOUNT"))
+    kept.follow(versioned_fixture_stream(spark, f"{sf_dir.rstrip('/')}/lineitem*.parquet"), scratch_path(spark, "kept_ckpt"))
+    now[0] = t
+    kept.settle()
+    return kept.history(sort=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
