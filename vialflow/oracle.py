@@ -67,11 +67,12 @@ STORAGE_JOINS = """
     LEFT JOIN ROOMS room ON room.ROOM_ID = lv3.ROOM_ID
     LEFT JOIN BUILDINGS bldg ON bldg.BUILDING_ID = room.BUILDING_ID"""
 
-# Level shift: a missing third level moves the names up one place.
+# The level shift. With a third level the names are those of levels 3, 2 and 1;
+# without one those of levels 2 and 1, and no rack.
 STORAGE_COLUMNS = {
-    "FREEZER": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN lv2.LOCATION_NAME ELSE lv3.LOCATION_NAME END",
-    "SHELF": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN lv1.LOCATION_NAME ELSE lv2.LOCATION_NAME END",
-    "RACK": "CASE WHEN lv3.LOCATIONCODE IS NULL THEN NULL ELSE lv1.LOCATION_NAME END",
+    "FREEZER": "CASE WHEN lv3.LOCATIONCODE IS NOT NULL THEN lv3.LOCATION_NAME ELSE lv2.LOCATION_NAME END",
+    "SHELF": "CASE WHEN lv3.LOCATIONCODE IS NOT NULL THEN lv2.LOCATION_NAME ELSE lv1.LOCATION_NAME END",
+    "RACK": "CASE WHEN lv3.LOCATIONCODE IS NOT NULL THEN lv1.LOCATION_NAME END",
 }
 
 # Output column -> source, over the aliases of ``snapshot_sql``.
