@@ -39,6 +39,9 @@ _CHUNK = 3 << 20
 _BATCH = 500
 #: The filter of phrases: segments, and bits of each; two bits are set for a phrase.
 _SEGMENTS, _BITS = 64, 1 << 21
+#: Places in a word that have numbers of their own, a power of two.
+_PLACES = 64
+_NUMBERS = np.random.PCG64(7).random_raw(_PLACES * 256)
 _FOLD = bytes(10 if c in ENDS else 32 if c in BLANKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -52,6 +55,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _hashes(offsets: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """A hash of each word: the sum of a random number for each byte at its place."""
+    if len(offsets) < 2:
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(body)) - np.repeat(offsets[:-1], np.diff(offsets))
+    numbers = _NUMBERS[((place & (_PLACES - 1)) << 8) | body]
+    far = np.flatnonzero(place >= _PLACES)
+    numbers[far] *= (2 * (place[far] // _PLACES) + 1).astype(np.uint64)
+    return _mixed(np.add.reduceat(numbers, offsets[:-1]))
+
+
 def _cut(text: bytes) -> Iterator[bytes]:
     """``text``, cut between pieces where it is longer than a chunk."""
     at = 0
@@ -65,53 +79,62 @@ def _cut(text: bytes) -> Iterator[bytes]:
 
 
 class _Chunk:
-    """The words of some texts, and the hashes of the phrases that they make."""
-
-    def __init__(self, texts: list[bytes], langs: list[str], shards: list[int]):
-        self.langs, number = [], {}
-        for lang in langs:
-            if lang not in number:
-                number[lang] = len(number)
-                self.langs.append(lang)
+    """The words of some texts, and the hashes of the phrases that they make.
+
+    With ``spelled`` each word also has a number of its own, ``codes``, in ``words``.
+    """
+
+    def __init__(self, texts: list[bytes], langs: list[str], shards: list[int], spelled: bool = False):
+        self.langs = list(dict.fromkeys(langs))
+        number = {lang: i for i, lang in enumerate(self.langs)}
         data = np.frombuffer((b"\n".join(texts) + b"\n").translate(_FOLD), np.uint8)
-        gap = (data == 32) | (data == 10)
+        end = data == 10
+        gap = (data == 32) | end
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if not gap[0]:
             edge = np.concatenate([[0], edge])
-        start, stop = edge[0 : len(edge) - len(edge) % 2 : 2], edge[1::2]
+        start, stop = edge[0::2], edge[1::2]
+        start = start[: len(stop)]  # the last edge may be the end of the last word
         offsets = np.zeros(len(start) + 1, np.int64)
         np.cumsum(stop - start, out=offsets[1:])
-        body = np.ascontiguousarray(data[~gap])
-        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-        coded = words.dictionary_encode()
-        self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.words = coded.dictionary.to_pylist()
-        self.piece = np.cumsum(data == 10, dtype=np.int32)[start]
+        body = data[~gap]
+        if spelled:
+            words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+            coded = words.dictionary_encode()
+            self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            self.words = coded.dictionary.to_pylist()
+            ends = np.zeros(len(self.words) + 1, np.int64)
+            np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)), out=ends[1:])
+            self.hash = _hashes(ends, np.frombuffer(b"".join(self.words), np.uint8))[self.codes]
+        else:
+            self.hash = _hashes(offsets, body)
+        self.piece = np.cumsum(end, dtype=np.int32)[start]
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         counts = np.diff(np.searchsorted(start, ends), prepend=0)
         self.lang = np.repeat(np.array([number[x] for x in langs], np.int64), counts)
         self.shard = np.repeat(np.array(shards, np.uint8), counts)
-        # h[n - 1]: the phrase of n words that starts at a word, and its language
-        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))[self.codes]
+        self.size = len(start)
         salt = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.langs] or [0], np.uint64)
-        self.first = _mixed(self.hash + salt[self.lang]) if len(start) else self.hash
+        self.first = _mixed(self.hash + salt[self.lang])
 
     def levels(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each number of words: where its phrases start, and their hashes (56 bits)."""
-        at, h = np.arange(len(self.codes)), self.first
+        """For each number of words: where its phrases start, and the hashes (56 bits) of these and their language."""
+        at, h = np.arange(self.size), self.first
         for n in range(1, longest + 1):
             if n > 1:
-                whole = np.flatnonzero(at + n - 1 < len(self.codes))
+                whole = np.flatnonzero(at + n - 1 < self.size)
                 whole = whole[self.piece[at[whole]] == self.piece[at[whole] + n - 1]]
                 at, h = at[whole], h[whole]
                 h = _mixed(h * np.uint64(0xD6E8FEB86659FD93) + self.hash[at + n - 1])
             yield n, at, h >> np.uint64(_SHARD_BITS)
 
-    def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join([self.words[c] for c in self.codes[at : at + n]])
+    def phrases(self, at: np.ndarray, n: int) -> list[bytes]:
+        """The texts of the phrases of ``n`` words that start there."""
+        columns = [self.codes[at + i].tolist() for i in range(n)]
+        return [b" ".join([self.words[c] for c in row]) for row in zip(*columns)] if n > 1 else [self.words[c] for c in columns[0]]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+def _chunks(batches: Iterator[pa.RecordBatch], spelled: bool = False) -> Iterator[_Chunk]:
     texts, langs, shards, size = [], [], [], 0
     for batch in batches:
         for text, lang, shard in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -121,10 +144,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
                 shards.append(shard)
                 size += len(part) + 1
                 if size >= _CHUNK:
-                    yield _Chunk(texts, langs, shards)
+                    yield _Chunk(texts, langs, shards, spelled)
                     texts, langs, shards, size = [], [], [], 0
     if texts:
-        yield _Chunk(texts, langs, shards)
+        yield _Chunk(texts, langs, shards, spelled)
 
 
 def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +193,7 @@ def _mined(rows: DataFrame, sizes: range, known: np.ndarray | None, support: int
             found, shorter = [], None
             for n, at, h in chunk.levels(sizes[-1]):
                 if seen is not None and n == sizes[0] - 1:
-                    shorter = np.zeros(len(chunk.codes) + 1, bool)
+                    shorter = np.zeros(chunk.size + 1, bool)
                     shorter[at] = _held(seen.value, h)
                 elif n in sizes:
                     keep = slice(None) if shorter is None else shorter[at] & shorter[at + 1]
@@ -205,7 +228,7 @@ def _counted(rows: DataFrame, support: int, longest: int, shards: int) -> DataFr
     seen = rows.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, spelled=True):
             total = np.bincount(chunk.lang, minlength=len(chunk.langs))
             lang, size, phrase, c = list(chunk.langs), [0] * len(total), [b""] * len(total), total.tolist()
             width, ids = len(chunk.words), None
@@ -218,12 +241,12 @@ def _counted(rows: DataFrame, support: int, longest: int, shards: int) -> DataFr
                 keep = np.flatnonzero(_held(seen.value, h))
                 _, first, often = np.unique(ids[keep], return_index=True, return_counts=True)
                 where = at[keep[first]]
-                lang += [chunk.langs[x] for x in chunk.lang[where]]
+                lang += [chunk.langs[x] for x in chunk.lang[where].tolist()]
                 size += [n] * len(where)
-                phrase += [chunk.phrase(x, n) for x in where.tolist()]
+                phrase += chunk.phrases(where, n)
                 c += often.tolist()
                 if n < longest:
-                    spread = np.zeros(len(chunk.codes), np.int64)
+                    spread = np.zeros(chunk.size, np.int64)
                     spread[at] = ids
                     ids = spread
             for i in range(0, len(c), 20_000):
