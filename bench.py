@@ -25,6 +25,7 @@ HEADLINE = (
     "multi_trial_counts",
     "viability_by_site",
     "param_query",
+    "sink_roundtrip",
 )
 
 
