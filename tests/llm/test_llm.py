@@ -200,13 +200,18 @@ def test_imatch_edits_and_likeness(spark):
     assert near[:, 0].mean() > near[:, 1].mean() + 0.25, near.mean(axis=0)
 
 
+def family(terms, inside):
+    """A fingerprint's parts by a plain loop: for each level, for each chain, the set of the terms in that lexicon."""
+    return [[frozenset(t for t in terms if j <= inside[t][c]) for c in range(imatch.CHAINS)] for j in range(imatch.LEVELS + 1)]
+
+
 def test_imatch_fingerprint_by_hand(spark):
-    """The general operator and the query agree, and subsets hash what a plain loop over the terms gives."""
+    """Both operators agree; hashes are equal where, and only where, the sets of a lexicon's terms are; likeness as a plain loop finds it."""
     d = docs(spark)
     known = imatch.lexicon(d)
     one = {r.doc_id: r.fingerprint for r in imatch.fingerprints(d, known=known).collect()}
-    two = {r.doc_id: r.fingerprint for r in imatch.with_edited(d, known=known).collect()}
-    assert one == two
+    two = {r.doc_id: r for r in imatch.with_edited(d, known=known).collect()}
+    assert one == {i: r.fingerprint for i, r in two.items()}
     n = d.count()
     terms = {r.doc_id: r.t for r in d.select("doc_id", imatch.distinct_terms(F.col("text")).alias("t")).collect()}
     df: dict = {}
@@ -214,37 +219,58 @@ def test_imatch_fingerprint_by_hand(spark):
         df[t] = df.get(t, 0) + 1
     band = {t for t, c in df.items() if 0.001 * n <= c <= 0.1 * n}
     assert {r.term for r in known.collect()} == band
-    for i, fp in list(one.items())[:20]:
-        level = max(0, (2 * max(1, len(terms[i])) - 1).bit_length())
-        drawn = [t for t in terms[i] if t % (1 << level) < imatch.SUBSETS]
-        used = [t for t in drawn if t in band] or drawn
-        if drawn:
-            cells = sorted({t % (1 << level) for t in used if t % (1 << level) < imatch.SUBSETS})
-            assert fp.split(":")[0] == f"{level:02x}" and [e[:2] for e in fp.split(":")[1].split(",") if e] == [f"{c:02x}" for c in cells]
-
-
-def test_imatch_hashes_all_terms_of_the_band(spark):
-    """Hashes are equal where, and only where, the sets of a lexicon's terms are; one changed term is told, and not by all lexicons."""
-    d = docs(spark)
-    known = imatch.lexicon(d)
-    inside = {r.term: list(r.of) for r in known.select("term", F.array(*[imatch.in_lexicon(F.col("term"), i) for i in range(imatch.LEXICONS + 1)]).alias("of")).collect()}
-    terms = {r.doc_id: [t for t in r.t if t in inside] for r in d.select("doc_id", imatch.distinct_terms(F.col("text")).alias("t")).collect()}
-    one = {r.doc_id: r.imatch for r in imatch.fingerprints(d, known=known).collect()}
-    two = {r.doc_id: r for r in imatch.with_edited(d, known=known).collect()}
-    assert one == {i: r.imatch for i, r in two.items()}
+    # the deepest level that a term reaches in each chain
+    reached = [sum((F.when(imatch.in_lexicon(F.col("term"), c + 1, j), 1).otherwise(0) for j in range(1, imatch.LEVELS + 1)), F.lit(0)) for c in range(imatch.CHAINS)]
+    inside = {r.term: list(r.of) for r in known.select("term", F.array(*reached).alias("of")).collect()}
     there, back = {}, {}
     for i, ts in terms.items():
-        for k, e in enumerate(one[i].split(",") if ts else []):
-            of = (k, frozenset(t for t in ts if inside[t][k]))
-            assert (e == "-") == (not of[1]) and there.setdefault(of, e) == e
-            assert e == "-" or back.setdefault((k, e), of) == of
+        ts = [t for t in ts if t in band]
+        if not ts:
+            assert one[i].startswith("--:")
+            continue
+        whole, *levels = one[i].split("/")
+        want = [level for level in family(ts, inside)[1:] if any(level)]
+        assert there.setdefault(frozenset(ts), whole) == whole and back.setdefault(whole, frozenset(ts)) == frozenset(ts)
+        assert len(levels) == len(want)
+        for shown, level in zip(levels, want):
+            assert len(shown.split(",")) == imatch.CHAINS
+            for c, (e, of) in enumerate(zip(shown.split(","), level)):
+                assert (e == "-") == (not of)
+                assert not of or (there.setdefault((c, of), e) == e and back.setdefault((c, e), of) == of)
+
+    def share(x: str, y: str) -> float:
+        if x == y:
+            return 1.0
+        none = ["-"] * imatch.CHAINS
+        a, b = ([e.split(",") for e in f.split("/")[1:]] for f in (x, y))
+        told = [(p, q) for p, q in itertools.zip_longest(a, b, fillvalue=none) if "-" in p + q]
+        told = [(u, v) for p, q in told or zip(a, b) for u, v in zip(p, q) if (u, v) != ("-", "-")]
+        return sum(u == v for u, v in told) / (len(told) + 1)
+
+    order = sorted(two)
+    for k, i in enumerate(order):
+        assert two[i].near_edited == pytest.approx(share(one[i], two[i].edited_fingerprint), abs=1e-6)
+        assert two[i].near_next == pytest.approx(share(one[i], one[order[(k + 1) % len(order)]]), abs=1e-6)
+
+
+def test_imatch_tells_one_term(spark):
+    """One term left out changes the whole band's hash and some lexicons, never all; texts without a term of the band stand for themselves."""
+    d = docs(spark)
+    known = imatch.lexicon(d)
+    terms = {r.doc_id: r.t for r in d.select("doc_id", imatch.distinct_terms(F.col("text")).alias("t")).collect()}
     long = max(terms, key=lambda i: len(terms[i]))
     words = d.where(F.col("doc_id") == long).select(F.explode(F.array_distinct(imatch.terms(F.col("text")))).alias("w")).withColumn("t", F.xxhash64("w"))
     band = [r.w for r in words.join(known, words["t"] == known["term"]).select("w").orderBy("w").limit(40).collect()]
-    frame = spark.createDataFrame([(k, " ".join(band[:k] + band[k + 1 :])) for k in range(len(band))] + [(99, " ".join(band))], "doc_id long, text string")
-    made = {r.doc_id: r.imatch.split(",") for r in imatch.fingerprints(frame, known=known).collect()}
-    equal = [sum(x == y for x, y in zip(made[k], made[99])) for k in range(len(band))]
-    assert all(made[k][0] != made[99][0] for k in range(len(band))) and 0 < sum(equal) < len(band) * imatch.LEXICONS
+    rows = [(k, " ".join(band[:k] + band[k + 1 :])) for k in range(len(band))] + [(99, " ".join(band)), (100, " ".join(reversed(band))), (101, "zzzzq"), (102, "zzzzr"), (103, None)]
+    made = {r.doc_id: r.fingerprint for r in imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), known=known).collect()}
+    assert made[99] == made[100] and len({made[k] for k in (99, 101, 102, 103)}) == 4
+    of = lambda f: [e for level in f.split("/")[1:] for e in level.split(",")]
+    for k in range(len(band)):
+        equal = [x == y for x, y in zip(of(made[k]), of(made[99])) if x != "-"]
+        assert made[k].split("/")[0] != made[99].split("/")[0] and 0 < sum(equal) < len(equal)
+    pairs = spark.createDataFrame([(made[99], made[100]), (made[99], made[0]), (made[101], made[102]), (made[101], made[99])], "x string, y string")
+    got = [r.v for r in pairs.select(imatch.likeness(F.col("x"), F.col("y")).alias("v")).collect()]
+    assert got[0] == 1 and 0.3 < got[1] < 1 and got[2:] == [0, 0]
 
 
 def test_imatch_odd_rows(spark):

@@ -1,34 +1,29 @@
-"""I-Match fingerprints over randomised lexicon subsets, and a sample of terms beside them.
+"""I-Match fingerprints over a family of randomised lexicons.
 
 The lexicon holds the terms whose document frequency, as a share of all
 documents, lies in a band: common words say nothing about a text, and rare ones
-are lost in any edit. The I-Match fingerprint (``imatch``) hashes all sorted
-distinct terms of the band that a text has, together, and the same for each of
-``LEXICONS`` random lexicons that leave out a share of the band. A lexicon
-survives an edit of terms that it leaves out, so the share of equal hashes tells
-how alike two texts are, as long as few terms change.
-
-``fingerprint`` is another measure, for larger edits: a sample of the text's
-terms, of a size that does not grow with the text. At level j the lexicon is
-dealt at random into 2**j cells and the first ``SUBSETS`` of them count, j being
-such that a cell has less than one term of the text in the mean. A fingerprint
-has its own level and the next, to meet texts of a slightly other length.
+are lost in any edit. A fingerprint hashes all sorted distinct terms of the band
+that a text has, together, and the same again within each of a fixed family of
+random lexicons: ``CHAINS`` chains of ``LEVELS`` lexicons, each a random half of
+the one before it. A lexicon survives an edit of terms that it leaves out. The
+large ones tell small edits of long texts from equal texts; the small ones, of
+which a text has a term or none, still agree after large edits, in the share of
+terms that the two texts have in common.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialflow.llm.common import shuffle_partitions, store
 from vialflow.llm.decontam import terms
 
-SUBSETS = 64
-#: Random lexicons of an I-Match fingerprint beside the whole band, and the percentage of the band that each leaves out.
-LEXICONS, LEFT_OUT = 10, 30
+#: Chains of random lexicons, and the lexicons in each: level j of a chain keeps one term of the band in 2**j.
+CHAINS, LEVELS = 16, 15
+_NONE = ",".join("-" * CHAINS)
 
 
 def distinct_terms(text: Column) -> Column:
@@ -40,8 +35,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = 0.001, high: f
     """The term hashes (``term``) that occur in a share of ``low`` to ``high`` of the rows, written.
 
     All rows count. A text has d distinct terms in the mean, so no more than
-    d / low terms can be in the band, however large the table: the bound that
-    lets the lexicon be broadcast.
+    d / low terms can be in the band, however large the table.
     """
     seen = docs.select(F.explode(distinct_terms(F.col(text_col))).alias("term"))
     n = docs.count()
@@ -49,173 +43,144 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = 0.001, high: f
     return store(counted.where((F.col("df") >= low * n) & (F.col("df") <= high * n)).select("term"), "imatch-lexicon")
 
 
-def _level(distinct: Column) -> Column:
-    """The least j with 2**j at least twice the number of terms."""
-    return F.ceil(F.log2(F.greatest(F.size(distinct), F.lit(1)) * 2)).cast("int")
+def in_lexicon(term: Column, chain: int, level: int) -> Column:
+    """Whether a term of the band is in the lexicon ``level`` of ``chain`` (from 1); level 0 is the whole band."""
+    return F.xxhash64(F.lit(chain), term).bitwiseAND(F.lit((1 << level) - 1)) == 0
 
 
-def _cell(term: Column, level: Column) -> Column:
-    return F.pmod(term, F.call_function("shiftleft", F.lit(1).cast("long"), level))
+def _family(band: Column) -> Column:
+    """For each level from 1, for each chain, the terms of ``band`` in that lexicon, in their order, each as its hash in the chain."""
+    whole = F.transform(F.sequence(F.lit(1), F.lit(CHAINS)), lambda c: F.transform(band, lambda t: F.xxhash64(c, t)))
+    bits = F.array(*[F.lit(1 << j).cast("long") for j in range(LEVELS)])
 
+    def halved(levels: Column, bit: Column) -> Column:
+        smaller = F.transform(F.element_at(levels, -1), lambda kept: F.filter(kept, lambda t: t.bitwiseAND(bit) == 0))
+        return F.concat(levels, F.array(smaller))
 
-def _sampled(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``, struct(level, terms): the terms of ``text`` in a counting subset, whether or not in the band; and name + "_all", all terms.
+    return F.slice(F.aggregate(bits, F.array(whole), halved), 2, LEVELS)
 
-    Each step is a column of its own, made once for a row and not once for each
-    term that a later step looks at.
-    """
-    rows = rows.withColumn("_distinct", distinct_terms(F.col(text)))
-    rows = rows.withColumn("_level", _level(F.col("_distinct")))
-    drawn = F.filter("_distinct", lambda t: _cell(t, F.col("_level")) < SUBSETS)
-    return rows.withColumn(name, F.struct(F.col("_level").alias("level"), drawn.alias("terms"))).withColumnRenamed("_distinct", f"{name}_all").drop("_level")
-
-
-def _entries(kept: Column, level: Column) -> Column:
-    """The text of each subset that is not empty: two hex digits for its place, six for its hash."""
-    cells = F.array_sort(F.filter(F.array_distinct(F.transform(kept, lambda t: _cell(t, level))), lambda c: c < SUBSETS))
-
-    def entry(c: Column) -> Column:
-        digest = F.xxhash64(F.array_sort(F.filter(kept, lambda t: _cell(t, level) == c)))
-        return F.concat(F.lower(F.lpad(F.hex(c), 2, "0")), F.lower(F.right(F.lpad(F.hex(digest), 16, "0"), F.lit(6))))
 
-    return F.concat_ws(",", F.transform(cells, entry))
+def _hex(digest: Column, digits: int) -> Column:
+    return F.lower(F.right(F.lpad(F.hex(digest), 16, "0"), F.lit(digits)))
 
 
-def _rendered(rows: DataFrame, drawn: str, text_hash: str, name: str) -> DataFrame:
-    """Add ``name``, the fingerprint's text: level, the subsets at it, the subsets at the next.
+def rendered(band: Column, text_hash: Column) -> Column:
+    """The fingerprint of a text with the sorted terms ``band``, as text.
 
-    A text with no term of the band in its subsets counts all terms drawn; one
-    without any term is a hash of itself.
+    The hash of the whole band (16 hex digits), then for each level a slash and
+    the hashes (8 digits) in its lexicons, "-" for a lexicon without a term;
+    levels without any are left out. A text without a term of the band is a
+    hash of itself.
     """
-    kept = F.col(f"{drawn}_kept")
-    rows = rows.withColumn("_used", F.when(F.size(kept) > 0, kept).otherwise(F.col(f"{drawn}.terms"))).withColumn("_level", F.col(f"{drawn}.level"))
-    used, level = F.col("_used"), F.col("_level")
-    some = F.concat(F.lower(F.lpad(F.hex(level), 2, "0")), F.lit(":"), _entries(used, level), F.lit(":"), _entries(used, level + 1))
-    alone = F.concat(F.lit("--:"), F.lower(F.hex(text_hash)))
-    return rows.withColumn(name, F.when(F.size(used) > 0, some).otherwise(alone)).drop("_used", "_level")
+    entry = lambda kept: F.when(F.size(kept) > 0, _hex(F.xxhash64(kept), 8)).otherwise(F.lit("-"))
+    levels = F.transform(_family(band), lambda level: F.array_join(F.transform(level, entry), ","))
+    shown = F.concat_ws("/", _hex(F.xxhash64(band), 16), F.filter(levels, lambda e: e != _NONE))
+    return F.when(F.size(band) > 0, shown).otherwise(F.concat(F.lit("--:"), _hex(text_hash, 16)))
 
 
 def likeness(one: Column, two: Column) -> Column:
-    """Share of the subsets, of those not empty in both fingerprints, that are equal; 0 to 1, 1 for equal fingerprints.
+    """How alike two fingerprints are, 0 to 1, and 1 for equal ones.
 
-    Texts whose numbers of terms differ by more than a factor of about two have
-    no level in common and a likeness of 0.
+    The share of equal hashes among the whole band, which differs in all but equal ones, and the lexicons with a term of either text, at
+    the levels where at least one lexicon has no term of one of the texts: the
+    larger lexicons hold so many terms of both that any larger edit changes all of them.
+    Where there is no such level (over some 2**LEVELS terms), at all levels.
     """
-    a, b = F.split(one, ":"), F.split(two, ":")
-    la, lb = (F.conv(F.regexp_replace(F.get(x, F.lit(0)), "-", ""), 16, 10).cast("int") for x in (a, b))
-    x = F.when(lb == la + 1, F.get(a, F.lit(2))).otherwise(F.get(a, F.lit(1)))
-    y = F.when(la == lb + 1, F.get(b, F.lit(2))).otherwise(F.get(b, F.lit(1)))
-    place = lambda e: F.substring(e, 1, 2)
-    split = lambda s: F.filter(F.split(s, ","), lambda e: e != "")
-    x, y = split(x), split(y)
-    either = F.size(F.array_union(F.transform(x, place), F.transform(y, place)))
-    share = F.when((F.abs(la - lb) <= 1) & (either > 0), F.size(F.array_intersect(x, y)) / either)
-    return F.when(one == two, F.lit(1.0)).otherwise(F.coalesce(share, F.lit(0.0)))
-
-
-def in_lexicon(term: Column, which: int) -> Column:
-    """Whether a term of the band is in random lexicon ``which``, from 1; 0 is the whole band."""
-    return F.lit(True) if which == 0 else F.pmod(F.xxhash64(F.lit(which), term), F.lit(100)) >= LEFT_OUT
-
 
-def _matched(band: Column, text_hash: Column) -> Column:
-    """The hash of the terms ``band`` (sorted) in each lexicon, null where it has none; for a text without any, a hash of itself."""
+    def levels(fingerprint: Column) -> Column:
+        return F.slice(F.concat(F.slice(F.split(fingerprint, "/"), 2, LEVELS), F.array_repeat(F.lit(_NONE), LEVELS)), 1, LEVELS)
 
-    def entry(which: int) -> Column:
-        found = F.filter(band, lambda t: in_lexicon(t, which))
-        return F.when(F.size(found) > 0, F.xxhash64(found))
+    def share(small: bool) -> Column:
+        def level(x: Column, y: Column) -> Column:
+            pairs = F.zip_with(F.split(x, ","), F.split(y, ","), lambda p, q: F.when((p != "-") | (q != "-"), (p == q).cast("int")))
+            return F.when(F.contains(x, F.lit("-")) | F.contains(y, F.lit("-")), pairs) if small else pairs
 
-    return F.when(F.size(band) > 0, F.array(*[entry(i) for i in range(LEXICONS + 1)])).otherwise(F.array_repeat(text_hash, LEXICONS + 1))
+        told = F.flatten(F.filter(F.zip_with(levels(one), levels(two), level), lambda v: v.isNotNull()))
+        start = F.struct(F.lit(0).alias("equal"), F.lit(0).alias("all"))
+        step = lambda s, e: F.struct((s["equal"] + F.coalesce(e, F.lit(0))).alias("equal"), (s["all"] + F.when(e.isNull(), 0).otherwise(1)).alias("all"))
+        return F.aggregate(told, start, step, lambda s: F.when(s["all"] > 0, s["equal"] / (s["all"] + 1)))
 
+    return F.when(one == two, F.lit(1.0)).otherwise(F.coalesce(share(True), share(False), F.lit(0.0)))
 
-def _shown(entries: Column) -> Column:
-    """An I-Match fingerprint as text: 16 hex digits for each lexicon, or a dash."""
-    return F.concat_ws(",", F.transform(entries, lambda e: F.coalesce(F.lower(F.lpad(F.hex(e), 16, "0")), F.lit("-"))))
 
+def _with_band(rows: DataFrame, keys: list[str], columns: list[str], known: DataFrame) -> DataFrame:
+    """Put in place of each of ``columns``, arrays of distinct terms, its terms that are in the lexicon, sorted.
 
-def agreement(one: Column, two: Column) -> Column:
-    """Share of the lexicons, of those with terms in either text, whose hashes are equal in two I-Match fingerprints."""
-    a, b = F.split(one, ","), F.split(two, ",")
-    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != "-") | (y != "-")), lambda v: v))
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: (x == y) & (x != "-")), lambda v: v)) / either
-
-
-def _with_kept(rows: DataFrame, keys: list[str], columns: list[str], known: DataFrame) -> DataFrame:
-    """For each of ``columns``, as :func:`_sampled` makes them, its terms that are in the lexicon: all, sorted, as
-    column + "_band" in place of column + "_all", and of the sample as column + "_kept".
-
-    ``keys`` name a row; if the rows already lie together by one of them, no
-    row moves: the lexicon goes to all tasks. The other columns go with one
-    entry of each row only, not with every term.
+    ``keys`` name a row; the other columns go with one entry of each row only,
+    not with every term. Spark broadcasts a lexicon that it measures as small;
+    else terms are shuffled.
     """
-    rest = [c for c in rows.columns if c not in keys and c not in {f"{c}_all" for c in columns}]
+    rest = [c for c in rows.columns if c not in keys and c not in columns]
     whole = F.struct(*[F.col(c) for c in rest])
     kind = rows.select(whole.alias("x")).schema["x"].dataType
     head = F.array(F.struct(F.lit(-1).alias("i"), F.lit(None).cast("long").alias("t"), whole.alias("row")))
 
     def tagged(i: int, c: str) -> Column:
-        return F.transform(F.col(f"{c}_all"), lambda t: F.struct(F.lit(i).alias("i"), t.alias("t"), F.lit(None).cast(kind).alias("row")))
+        return F.transform(c, lambda t: F.struct(F.lit(i).alias("i"), t.alias("t"), F.lit(None).cast(kind).alias("row")))
 
     flat = rows.select(*keys, F.explode(F.concat(head, *[tagged(i, c) for i, c in enumerate(columns)])).alias("x"))
     flat = flat.select(*keys, F.col("x.i").alias("i"), F.col("x.t").alias("t"), F.col("x.row").alias("row"))
-    found = flat.join(F.broadcast(known), flat["t"] == known["term"], "left").where("i < 0 or term is not null")
-    kept = [F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("t")))).alias(f"{c}_band") for i, c in enumerate(columns)]
+    found = flat.join(known, flat["t"] == known["term"], "left").where("i < 0 or term is not null")
+    kept = [F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("t")))).alias(c) for i, c in enumerate(columns)]
     made = found.groupBy(*keys).agg(F.first("row", ignorenulls=True).alias("row"), *kept)
-    made = made.select(*keys, "row.*", *[f"{c}_band" for c in columns])
-    drawn = lambda c: F.filter(f"{c}_band", lambda t: _cell(t, F.col(f"{c}.level")) < SUBSETS)
-    return made.withColumns({f"{c}_kept": drawn(c) for c in columns})
+    return made.select(*keys, "row.*", *columns)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
-    """(doc_id, fingerprint, imatch) for every row. Null counts as an empty text; equal texts have equal fingerprints."""
+    """(doc_id, fingerprint) for every row. Null counts as an empty text; equal texts have equal fingerprints.
+
+    No rows give none. Other columns are not read.
+    """
     known = lexicon(docs, text_col) if known is None else known
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(F.lit(1), text).alias("a"), F.xxhash64(F.lit(2), text).alias("b"), text.alias("text"), F.col(id_col).alias("doc_id"))
     # one of each text is fingerprinted; the key stands for the text
     once = keyed.groupBy("a", "b").agg(F.any_value("text").alias("text"))
-    kept = _with_kept(_sampled(once, "text", "s").drop("text"), ["a", "b"], ["s"], known)
-    made = _rendered(kept, "s", "a", "fingerprint").select(F.col("a").alias("ta"), F.col("b").alias("tb"), "fingerprint", _shown(_matched(F.col("s_band"), F.col("a"))).alias("imatch"))
-    made = store(made, "imatch-made")
-    return keyed.join(made, (keyed["a"] == made["ta"]) & (keyed["b"] == made["tb"])).select("doc_id", "fingerprint", "imatch")
+    once = once.select("a", "b", F.col("a").alias("h"), distinct_terms(F.col("text")).alias("s"))
+    made = _with_band(once, ["a", "b"], ["s"], known)
+    made = store(made.select(F.col("a").alias("ta"), F.col("b").alias("tb"), rendered(F.col("s"), F.col("h")).alias("fingerprint")), "imatch-made")
+    return keyed.join(made, (keyed["a"] == made["ta"]) & (keyed["b"] == made["tb"])).select("doc_id", "fingerprint")
+
+
+def _numbers(values: list[int]) -> Column:
+    """An array of numbers as one literal, whatever their count."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _bucketed(docs: DataFrame, n: int) -> tuple[DataFrame, list[int]]:
+def _bucketed(docs: DataFrame, n: int) -> DataFrame:
     """``docs`` (id, text) with ``b``, the number of one of about ``n`` ranges of ids with as many rows each."""
     marks = docs.select(F.percentile_approx("id", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
     marks = sorted(set(marks))
     if not marks:
-        return docs.withColumn("b", F.lit(0)), marks
+        return docs.withColumn("b", F.lit(0))
     # two short searches find the range: among every step-th mark, then between two of them
     step = math.isqrt(len(marks)) + 1
-    every, coarse = F.lit(np.array(marks, dtype="int64")), F.lit(np.array(marks[step - 1 :: step], dtype="int64"))
-    big = F.size(F.filter(coarse, lambda m: m <= F.col("id"))) * step
-    small = F.size(F.filter(F.slice(every, big + 1, F.lit(step)), lambda m: m <= F.col("id")))
-    return docs.withColumn("b", F.when(F.col("id").isNull(), len(marks)).otherwise(big + small)), marks
+    big = F.size(F.filter(_numbers(marks[step - 1 :: step]), lambda m: m <= F.col("id"))) * step if len(marks) >= step else F.lit(0)
+    small = F.size(F.filter(F.slice(_numbers(marks), big + 1, F.lit(step)), lambda m: m <= F.col("id")))
+    return docs.withColumn("b", F.when(F.col("id").isNull(), len(marks)).otherwise(big + small))
 
 
 def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """Fingerprints of every text and of the same text with its last quarter replaced.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next (by the sample of terms), and imatch, edited_imatch,
-    imatch_edited, imatch_next (by the I-Match fingerprints). The replacement is the start of the next
+    near_edited and near_next (:func:`likeness`). The replacement is the start of the next
     document's text, in ascending id (null ids last, ties by text; after the
     last the first). Texts move once, to ranges of ids; each range also gets the
     first row of the next one. Null counts as an empty text. Rows with equal ids
-    or null ids lie in one range.
+    or null ids lie in one range. No rows give none; other columns are not read.
     """
     known = lexicon(docs, text_col) if known is None else known
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed, _ = _bucketed(rows, 4 * shuffle_partitions(spark))
-    # one row for each range, as many as the plan has marks
+    placed = _bucketed(rows, 4 * shuffle_partitions(spark))
+    # one row for each range, as many as the plan has marks: the first id of a range goes to the range before as well
     firsts = [tuple(r) for r in placed.groupBy("b").agg(F.min("id")).orderBy("b").collect()]
-    ids = [i for _, i in firsts if i is not None]
-    before = {i: firsts[(k - 1) % len(firsts)][0] for k, (_, i) in enumerate(firsts) if i is not None}
+    before = [(i, firsts[k - 1][0]) for k, (_, i) in enumerate(firsts) if i is not None]
     placed = placed.withColumn("extra", F.lit(False))
-    if ids:
-        target = F.create_map(*[x for i, b in before.items() for x in (F.lit(i), F.lit(b))])
-        extra = rows.where(F.col("id").isin(ids)).select("id", "text", F.element_at(target, F.col("id")).alias("b"), F.lit(True).alias("extra"))
+    if before:
+        target = F.broadcast(spark.createDataFrame(before, "first long, before int"))
+        extra = rows.join(target, rows["id"] == target["first"]).select("id", "text", F.col("before").alias("b"), F.lit(True).alias("extra"))
         placed = placed.union(extra)
     order = Window.partitionBy("b").orderBy("extra", F.col("id").asc_nulls_last(), "text")
     near = placed.select("b", "extra", "id", "text", F.row_number().over(order).alias("r"), F.lead("text").over(order).alias("next"))
@@ -223,15 +188,10 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"), F.coalesce(F.expr("substring(next, 1, cast(floor(length(text) / 4) as int))"), F.lit("")))
     near = near.select("b", "r", "extra", "id", n.cast("long").alias("n_chars"), "text", F.when(cut > 0, edited).otherwise(F.col("text")).alias("edited"))
-    near = _sampled(_sampled(near, "text", "s"), "edited", "e")
-    near = near.select("b", "r", "extra", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64(F.lit(1), "edited").alias("eh"), "s", "e", "s_all", "e_all")
-    kept = _with_kept(near, ["b", "r"], ["s", "e"], known)
-    made = _rendered(_rendered(kept, "s", "h", "fingerprint"), "e", "eh", "edited_fingerprint")
-    match = [_shown(_matched(F.col(f"{c}_band"), F.col(h))).alias(n) for c, h, n in (("s", "h", "imatch"), ("e", "eh", "edited_imatch"))]
-    made = made.select("b", "r", "extra", F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *match)
-    after = Window.partitionBy("b").orderBy("r")
-    made = made.withColumns({"next": F.lead("fingerprint").over(after), "next_imatch": F.lead("imatch").over(after)}).where(~F.col("extra"))
+    hashes = [F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64(F.lit(1), "edited").alias("eh")]
+    near = near.select("b", "r", "extra", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *hashes, distinct_terms(F.col("text")).alias("s"), distinct_terms(F.col("edited")).alias("e"))
+    made = _with_band(near, ["b", "r"], ["s", "e"], known)
+    made = made.select("b", "r", "extra", F.col("id").alias("doc_id"), "n_chars", "edited_sha256", rendered(F.col("s"), F.col("h")).alias("fingerprint"), rendered(F.col("e"), F.col("eh")).alias("edited_fingerprint"))
+    made = made.withColumn("next", F.lead("fingerprint").over(Window.partitionBy("b").orderBy("r"))).where(~F.col("extra"))
     out = [F.round(likeness(F.col("fingerprint"), F.coalesce(F.col(c), F.col("fingerprint"))), 6).alias(n) for c, n in (("edited_fingerprint", "near_edited"), ("next", "near_next"))]
-    out += ["imatch", "edited_imatch"]
-    out += [F.round(agreement(F.col("imatch"), F.coalesce(F.col(c), F.col("imatch"))), 6).alias(n) for c, n in (("edited_imatch", "imatch_edited"), ("next_imatch", "imatch_next"))]
     return made.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *out)
