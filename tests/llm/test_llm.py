@@ -205,6 +205,15 @@ def family(terms, inside):
     return [[frozenset(t for t in terms if j <= inside[t][c]) for c in range(imatch.CHAINS)] for j in range(imatch.LEVELS + 1)]
 
 
+def test_imatch_large_lexicon(spark, monkeypatch):
+    """A lexicon over the bound is shuffled, with the same rows."""
+    d = docs(spark).limit(60)
+    known = imatch.lexicon(docs(spark))
+    want = sorted(imatch.with_edited(d, known=known).collect())
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", 0)
+    assert sorted(imatch.with_edited(d, known=known).collect()) == want
+
+
 def test_imatch_fingerprint_by_hand(spark):
     """Both operators agree; hashes are equal where, and only where, the sets of a lexicon's terms are; likeness as a plain loop finds it."""
     d = docs(spark)

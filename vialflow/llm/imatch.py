@@ -23,6 +23,8 @@ from vialflow.llm.decontam import terms
 
 #: Chains of random lexicons, and the lexicons in each: level j of a chain keeps one term of the band in 2**j.
 CHAINS, LEVELS = 16, 15
+#: Terms of a lexicon that is sent to all tasks (8 bytes each, some 64 as a hash table); a larger one is joined by a shuffle.
+BROADCAST_TERMS = 1 << 21
 _NONE = ",".join("-" * CHAINS)
 
 
@@ -107,20 +109,22 @@ def _with_band(rows: DataFrame, keys: list[str], columns: list[str], known: Data
     """Put in place of each of ``columns``, arrays of distinct terms, its terms that are in the lexicon, sorted.
 
     ``keys`` name a row; the other columns go with one entry of each row only,
-    not with every term. Spark broadcasts a lexicon that it measures as small;
-    else terms are shuffled.
+    not with every term. If the rows already lie together by one of the keys, no
+    row moves, as long as the lexicon is counted and found small enough to go to all tasks; a larger
+    one is joined by a shuffle of terms.
     """
     rest = [c for c in rows.columns if c not in keys and c not in columns]
     whole = F.struct(*[F.col(c) for c in rest])
     kind = rows.select(whole.alias("x")).schema["x"].dataType
-    head = F.array(F.struct(F.lit(-1).alias("i"), F.lit(None).cast("long").alias("t"), whole.alias("row")))
+    head = F.array(F.struct(F.lit(-1).alias("i"), F.xxhash64(*keys).alias("t"), whole.alias("row")))
 
     def tagged(i: int, c: str) -> Column:
         return F.transform(c, lambda t: F.struct(F.lit(i).alias("i"), t.alias("t"), F.lit(None).cast(kind).alias("row")))
 
     flat = rows.select(*keys, F.explode(F.concat(head, *[tagged(i, c) for i, c in enumerate(columns)])).alias("x"))
     flat = flat.select(*keys, F.col("x.i").alias("i"), F.col("x.t").alias("t"), F.col("x.row").alias("row"))
-    found = flat.join(known, flat["t"] == known["term"], "left").where("i < 0 or term is not null")
+    known = F.broadcast(known) if known.count() <= BROADCAST_TERMS else known
+    found = flat.join(known, (flat["t"] == known["term"]) & (flat["i"] >= 0), "left").where("i < 0 or term is not null")
     kept = [F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("t")))).alias(c) for i, c in enumerate(columns)]
     made = found.groupBy(*keys).agg(F.first("row", ignorenulls=True).alias("row"), *kept)
     return made.select(*keys, "row.*", *columns)
