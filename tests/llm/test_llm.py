@@ -229,7 +229,7 @@ def test_imatch_fingerprint_by_hand(spark):
     band = {t for t, c in df.items() if 0.001 * n <= c <= 0.1 * n}
     assert {r.term for r in known.collect()} == band
     # the deepest level that a term reaches in each chain
-    reached = [sum((F.when(imatch.in_lexicon(F.col("term"), c + 1, j), 1).otherwise(0) for j in range(1, imatch.LEVELS + 1)), F.lit(0)) for c in range(imatch.CHAINS)]
+    reached = [sum((F.when(imatch.in_lexicon(F.col("term"), c, j), 1).otherwise(0) for j in range(1, imatch.LEVELS + 1)), F.lit(0)) for c in range(imatch.CHAINS)]
     inside = {r.term: list(r.of) for r in known.select("term", F.array(*reached).alias("of")).collect()}
     there, back = {}, {}
     for i, ts in terms.items():

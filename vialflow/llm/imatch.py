@@ -22,7 +22,8 @@ from vialflow.llm.common import shuffle_partitions, store
 from vialflow.llm.decontam import terms
 
 #: Chains of random lexicons, and the lexicons in each: level j of a chain keeps one term of the band in 2**j.
-CHAINS, LEVELS = 16, 15
+CHAINS, LEVELS = 12, 15
+_SHARED = 4
 #: Terms of a lexicon that is sent to all tasks (8 bytes each, some 64 as a hash table); a larger one is joined by a shuffle.
 BROADCAST_TERMS = 1 << 21
 _NONE = ",".join("-" * CHAINS)
@@ -45,21 +46,35 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = 0.001, high: f
     return store(counted.where((F.col("df") >= low * n) & (F.col("df") <= high * n)).select("term"), "imatch-lexicon")
 
 
+def _words(term: Column) -> list[Column]:
+    """Random numbers of 64 bits for a term, itself a hash; each deals ``_SHARED`` chains, by other bits."""
+    return [term, *[_number(w)(term) for w in range(1, CHAINS // _SHARED)]]
+
+
+def _number(w: int):
+    return lambda term: F.xxhash64(F.lit(w), term)
+
+
+def _mask(chain: int, bits: int) -> Column:
+    return F.lit(bits << LEVELS * (chain % _SHARED)).cast("long")
+
+
 def in_lexicon(term: Column, chain: int, level: int) -> Column:
-    """Whether a term of the band is in the lexicon ``level`` of ``chain`` (from 1); level 0 is the whole band."""
-    return F.xxhash64(F.lit(chain), term).bitwiseAND(F.lit((1 << level) - 1)) == 0
+    """Whether a term of the band is in the lexicon ``level`` of ``chain`` (from 0); level 0 is the whole band."""
+    return _words(term)[chain // _SHARED].bitwiseAND(_mask(chain, (1 << level) - 1)) == 0
 
 
 def _family(band: Column) -> Column:
-    """For each level from 1, for each chain, the terms of ``band`` in that lexicon, in their order, each as its hash in the chain."""
-    whole = F.transform(F.sequence(F.lit(1), F.lit(CHAINS)), lambda c: F.transform(band, lambda t: F.xxhash64(c, t)))
-    bits = F.array(*[F.lit(1 << j).cast("long") for j in range(LEVELS)])
+    """For each level from 1, for each chain, the terms of ``band`` in that lexicon, in their order, each as the number that dealt it."""
+    numbers = F.array(band, *[F.transform(band, _number(w)) for w in range(1, CHAINS // _SHARED)])
+    whole = F.flatten(F.transform(numbers, lambda n: F.array_repeat(n, _SHARED)))
+    masks = F.array(*[F.array(*[_mask(c, 1 << j) for c in range(CHAINS)]) for j in range(LEVELS)])
 
-    def halved(levels: Column, bit: Column) -> Column:
-        smaller = F.transform(F.element_at(levels, -1), lambda kept: F.filter(kept, lambda t: t.bitwiseAND(bit) == 0))
+    def halved(levels: Column, bits: Column) -> Column:
+        smaller = F.zip_with(F.element_at(levels, -1), bits, lambda kept, bit: F.filter(kept, lambda n: n.bitwiseAND(bit) == 0))
         return F.concat(levels, F.array(smaller))
 
-    return F.slice(F.aggregate(bits, F.array(whole), halved), 2, LEVELS)
+    return F.slice(F.aggregate(masks, F.array(whole), halved), 2, LEVELS)
 
 
 def _hex(digest: Column, digits: int) -> Column:
