@@ -4,12 +4,12 @@ A line is the set of its words. Words are ordered by rarity, rarest first, from
 counts over all documents; two sets with a Jaccard similarity of t or more then
 share a word in their prefixes of size - ceil(t * size) + 1 words. Each prefix
 word is a posting. Postings of a word meet in one place, in blocks, where
-length, position and a bitmap of the words bound the overlap of two lines; pairs
-that may reach t are verified with their words. A line with a match that is
+length, position and a bitmap of the words, wider for longer lines, bound the
+overlap of two lines; pairs that may reach t are verified with their words. A line with a match that is
 earlier in (document, line) order is removed.
 
-Only the first line of each set takes part; its copies are removed with it at
-hand. A posting asks for the ``NEAREST`` earlier lines that may match; if none
+Only the first line of each set takes part; of its copies, a task removes those
+that it has seen an earlier one of, and the rest where the lines of a set meet. A posting asks for the ``NEAREST`` earlier lines that may match; if none
 of them verifies and there are more, it asks for all of the rest in a second
 round. So a group of alike lines makes about as many pairs as it has lines, and
 no match is lost.
@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialflow.llm.common import WORD, shuffle_partitions, small_batches, store
-from vialflow.session import scratch_path
 
 #: Buckets of the word counts, a power of two. Words share buckets; that changes the order of words, not the result.
 BUCKETS = 1 << 22
@@ -172,10 +171,6 @@ def _place_bits(doc: np.ndarray, no: np.ndarray) -> list[np.ndarray]:
     return [((key >> np.uint64(s)) & np.uint64(_FILTER - 1)).astype(np.int64) for s in (0, 32)]
 
 
-def _word_bit(h: np.ndarray) -> list[np.ndarray]:
-    return [h & (BUCKETS - 1)]
-
-
 def word_counts(texts: DataFrame) -> np.ndarray:
     """How often the words of each bucket occur in all texts, on a scale that is exact up to 3 and logarithmic past it.
 
@@ -196,23 +191,32 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     return _gathered(texts.sparkSession, texts.mapInArrow(count, "seg int, part binary"), "<i8", np.add, on_scale, BUCKETS // _SEGMENTS)
 
 
-#: A posting: word, set (two hashes), first place known, words in the set, place of the word in the order by rarity.
-_POSTING = np.dtype([("h", "<i8"), ("k", "<i8"), ("bm", "<i8"), ("doc", "<i8"), ("no", "<i8"), ("size", "<i4"), ("pos", "<i4")])
+#: A posting: word, set (a hash and a bitmap's first 64 bits), the bitmap's other bits, first place known, words in the set, place of the
+#: word in the order by rarity.
+_BITMAP = ("bm", "b2", "b3", "b4")
+_POSTING = np.dtype([("h", "<i8"), ("k", "<i8"), *[(b, "<i8") for b in _BITMAP], ("doc", "<i8"), ("no", "<i8"), ("size", "<i4"), ("pos", "<i4")])
+#: Sets of so many words have bitmaps of 128 and of 256 bits, smaller ones of 64; unused bits are zero, which packs to nothing.
+_WIDER = (48, 112)
+
+
+#: A line: its set and its place. What the rows of the first exchange hold: postings of a group, postings that only ask there, lines, lines that go.
+_LINE = np.dtype([(f, "<i8") for f in ("k", "bm", "doc", "no")])
+_OWN, _ASKS, _LINES, _GONE = range(4)
 
 
 def _pack(rows: np.ndarray) -> bytes:
     """The fields one after the other, each by byte planes, compressed."""
-    planes = [np.ascontiguousarray(rows[f]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for f in _POSTING.names]
+    planes = [np.ascontiguousarray(rows[f]).view(np.uint8).reshape(len(rows), -1).T.tobytes() for f in rows.dtype.names]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _unpack(blob: bytes) -> np.ndarray:
+def _unpack(blob: bytes, dtype: np.dtype = _POSTING) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    out, at = np.empty(len(raw) // _POSTING.itemsize, _POSTING), 0
-    for f in _POSTING.names:
-        width = _POSTING[f].itemsize
+    out, at = np.empty(len(raw) // dtype.itemsize, dtype), 0
+    for f in dtype.names:
+        width = dtype[f].itemsize
         planes = raw[at : at + width * len(out)].reshape(width, len(out))
-        out[f] = np.ascontiguousarray(planes.T).view(_POSTING[f]).reshape(-1)
+        out[f] = np.ascontiguousarray(planes.T).view(dtype[f]).reshape(-1)
         at += planes.size
     return out
 
@@ -236,16 +240,27 @@ def _order(h: np.ndarray, scale: np.ndarray, line: np.ndarray) -> np.ndarray:
     return np.lexsort((h, rare, line))
 
 
-def _sets(ids: np.ndarray, texts: pa.Array, scale: np.ndarray, wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The lines that have words: a posting for every word (h, pos and the line's fields), and where each line starts.
-
-    ``wanted`` tells from the ids and numbers of lines which ones to take.
-    """
+def _cut(ids: np.ndarray, texts: pa.Array, wanted) -> pa.Array:
+    """The lines that ``wanted`` takes, by their ids and numbers, as texts of their own."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    feeds = np.flatnonzero(data[offsets[0] : offsets[-1]] == 10) + offsets[0]
+    first = np.searchsorted(feeds, offsets[:-1])
+    text = np.concatenate([np.arange(len(texts)), np.searchsorted(offsets, feeds, "right") - 1])
+    start = np.concatenate([offsets[:-1], feeds + 1])
+    no = np.concatenate([np.zeros(len(texts), np.int64), np.arange(len(feeds)) - first[text[len(texts) :]] + 1])
+    end = np.minimum(np.append(feeds, offsets[-1])[np.searchsorted(feeds, start)], offsets[text + 1])
+    take = wanted(ids[text, 0], no + (ids[text, 1] << _NO_BITS))
+    start, size = start[take], end[take] - start[take]
+    made = np.concatenate([[0], np.cumsum(size)])
+    body = data[np.repeat(start - made[:-1], size) + np.arange(made[-1])]
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(made), pa.py_buffer(body)])
+
+
+def _sets(ids: np.ndarray, texts: pa.Array, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lines that have words: a posting for every word (h, pos and the line's fields), and where each line starts."""
     h, line, text, nos = _words(texts)
     where, nos = ids[text, 0], nos + (ids[text, 1] << _NO_BITS)
-    if wanted is not None:
-        take = wanted(where, nos)
-        h, line, where, nos = h[take[line]], (np.cumsum(take) - 1)[line[take[line]]], where[take], nos[take]
     order = _order(h, scale, line)
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
@@ -257,8 +272,10 @@ def _sets(ids: np.ndarray, texts: pa.Array, scale: np.ndarray, wanted=None) -> t
     rows["h"], rows["size"], rows["pos"] = h, sizes[line], np.arange(len(h)) - starts[line]
     if len(h):
         rows["k"] = np.add.reduceat(_mix(h, 1), starts).view(np.int64)[line]
-        bits = np.uint64(1) << (_mix(h, 2) & np.uint64(63))
-        rows["bm"] = np.bitwise_or.reduceat(bits, starts).view(np.int64)[line]
+        which = _mix(h, 2) & (np.uint64(64) << np.searchsorted(_WIDER, sizes, "right").astype(np.uint64))[line] - np.uint64(1)
+        bits, which = np.uint64(1) << (which & np.uint64(63)), which >> np.uint64(6)
+        for i, b in enumerate(_BITMAP):
+            rows[b] = np.bitwise_or.reduceat(np.where(which == i, bits, np.uint64(0)), starts).view(np.int64)[line]
         rows["doc"], rows["no"] = where[line], nos[line]
     return rows, starts, sizes, line
 
@@ -278,32 +295,35 @@ def _groups_of(scale: np.ndarray, h: np.ndarray, split: int) -> np.ndarray:
     return np.clip(np.ceil(occurs / split), 1, 64).astype(np.int64)
 
 
-def _dealt(rows: np.ndarray, scale: np.ndarray, n: int, split: int, asks: bool, both: bool) -> Iterator[tuple[int, bytes, bool]]:
-    """The postings as rows (group, blob, asks): each to the group of its word and set, and as one that asks to the word's other groups."""
+def _packed(rows: np.ndarray, group: np.ndarray, kind: int) -> Iterator[tuple[int, bytes, int]]:
+    """Rows (group, blob, kind), one for each group."""
+    order = np.lexsort((rows[rows.dtype.names[0]], group))  # postings of a word side by side pack better
+    rows, group = rows[order], group[order]
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    for piece, g in zip(np.split(rows, cuts), group[np.concatenate([[0], cuts])] if len(rows) else []):
+        yield int(g), _pack(piece), kind
+
+
+def _dealt(rows: np.ndarray, scale: np.ndarray, n: int, split: int) -> Iterator[tuple[int, bytes, int]]:
+    """The postings, packed: each to the group of its word and set, and as one that asks to the word's other groups."""
     groups = _groups_of(scale, rows["h"], split)
     own = (rows["k"].astype(np.uint64) % groups.astype(np.uint64)).astype(np.int64)
-    parts = []
-    if both or not asks:
-        parts.append((rows, _group(rows["h"], own, n), False))
-    many = np.arange(len(rows)) if asks and not both else np.flatnonzero(groups > 1)
+    yield from _packed(rows, _group(rows["h"], own, n), _OWN)
+    many = np.flatnonzero(groups > 1)
     if len(many):
         copies = np.repeat(many, groups[many])
         salt = np.arange(len(copies)) - np.repeat(np.cumsum(groups[many]) - groups[many], groups[many])
-        if both:
-            away = salt != own[copies]
-            copies, salt = copies[away], salt[away]
-        parts.append((rows[copies], _group(rows["h"][copies], salt, n), True))
-    for sub, group, flag in parts:
-        order = np.lexsort((sub["h"], group))  # postings of a word side by side pack better
-        sub, group = sub[order], group[order]
-        cuts = np.flatnonzero(np.diff(group)) + 1
-        for piece, g in zip(np.split(sub, cuts), group[np.concatenate([[0], cuts])] if len(sub) else []):
-            yield int(g), _pack(piece), flag
+        away = salt != own[copies]
+        yield from _packed(rows[copies[away]], _group(rows["h"][copies[away]], salt[away], n), _ASKS)
+
+
+_DEALT = pa.schema([("p", pa.int32()), ("blob", pa.binary()), ("kind", pa.int32())])
+_DEALT_SQL = "p int, blob binary, kind int"
 
 
 def _as_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     while part := list(itertools.islice(rows, 64)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), (pa.int64(), pa.binary(), pa.bool_()))], names=["p", "blob", "asks"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), _DEALT)], schema=_DEALT)
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -311,6 +331,16 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
+def _lost(x: list[np.ndarray], y: list[np.ndarray], wide: np.ndarray) -> np.ndarray:
+    """Bits of the bitmaps ``x`` that are not set in ``y``, each pair folded to the width (0: 64 bits, 1: 128, 2: 256) of its narrower."""
+    out = np.empty(len(wide), np.int64)
+    for w in range(len(_WIDER) + 1):
+        at = np.flatnonzero(wide == w)
+        folds = [[np.bitwise_or.reduce([v[at] for v in side[i :: 1 << w]]) for i in range(1 << w)] for side in (x, y)]
+        out[at] = sum(_bits(a & ~b) for a, b in zip(*folds))
+    return out
+
+
 def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, nearest: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (asking row, earlier row) that may reach t, and the rows that could ask for more.
 
@@ -319,8 +349,9 @@ def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, ne
     """
     found_a, found_b, more = [], [], []
     given, open_ = np.zeros(len(rows), np.int64), np.ones(len(rows), bool)
-    size, after, bm, k = (np.ascontiguousarray(rows[f]) for f in ("size", "pos", "bm", "k"))
+    size, after, k, *maps = (np.ascontiguousarray(rows[f]) for f in ("size", "pos", "k", *_BITMAP))
     after = size - after  # words from the shared one on
+    width = np.searchsorted(_WIDER, size, "right")
     share, least = t / (1 + t), size * t - 1e-9
     heads = np.flatnonzero(np.diff(rows["h"], prepend=~rows["h"][:1]))
     rank = np.arange(len(rows)) - np.repeat(heads, np.diff(heads, append=len(rows)))  # earlier rows of the word
@@ -334,9 +365,10 @@ def _matches(rows: np.ndarray, asks: np.ndarray, index: np.ndarray, t: float, ne
         x, y = x[ok], y[ok]
         sx, sy = size[x], size[y]
         need = np.ceil((sx + sy) * share - 1e-9)
-        bx, by = bm[x], bm[y]
-        ok = (np.minimum(after[x], after[y]) >= need) & ~((k[x] == k[y]) & (bx == by))
-        ok &= (sx - _bits(bx & ~by) >= need) & (sy - _bits(by & ~bx) >= need)
+        ok = (np.minimum(after[x], after[y]) >= need) & ~((k[x] == k[y]) & (maps[0][x] == maps[0][y]))
+        x, y, sx, sy, need = x[ok], y[ok], sx[ok], sy[ok], need[ok]
+        bx, by, wide = [m[x] for m in maps], [m[y] for m in maps], np.minimum(width[x], width[y])
+        ok = (sx - _lost(bx, by, wide) >= need) & (sy - _lost(by, bx, wide) >= need)
         hit = x[ok]
         if nearest is not None:
             full = given[hit] >= nearest
@@ -371,48 +403,84 @@ def _firsts(rows: np.ndarray, only: np.ndarray, keep_all: bool) -> tuple[np.ndar
     return rows[by[start][back]], asks[back], index[back]
 
 
+#: What comes of a group: kind, x asks, y is earlier (null in a row that says that x could ask for more), the rest of x's posting, or a blob.
 _FIELDS = ("k", "bm", "doc", "no")
-_PAIRS = ", ".join(f"{f}{s} long" for s in "xy" for f in _FIELDS) + ", h long, size int, pos int"
+_MORE = ("h", "size", "pos", *_BITMAP[1:])
+_FOUND = pa.schema([("kind", pa.string()), *[(f"{f}{s}", pa.int64()) for s in "xy" for f in _FIELDS], *[(f, pa.int32() if f in ("size", "pos") else pa.int64()) for f in _MORE], ("p", pa.int32()), ("blob", pa.binary())])
+_FOUND_SQL = ", ".join(f"{f.name} { {pa.string(): 'string', pa.int32(): 'int', pa.int64(): 'long', pa.binary(): 'binary'}[f.type]}" for f in _FOUND)
+
+
+def _found(kind: str, x: np.ndarray | None = None, y: np.ndarray | None = None, more: np.ndarray | None = None, p: int | None = None, blob: bytes | None = None) -> pa.RecordBatch:
+    n = len(x) if x is not None else 1
+    cols = {"kind": [kind] * n, "p": [p] * n, "blob": [blob] * n}
+    for rows, names, end in ((x, _FIELDS, "x"), (y, _FIELDS, "y"), (more, _MORE, "")):
+        if rows is not None:
+            cols |= {f"{f}{end}": np.ascontiguousarray(rows[f]) for f in names}
+    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
+
+
+def _copies(lines: np.ndarray) -> np.ndarray:
+    """The lines that are later than the first of their set."""
+    lines = lines[np.lexsort((lines["no"], lines["doc"], lines["bm"], lines["k"]))]
+    new = np.ones(len(lines), bool)
+    new[1:] = (lines["k"][1:] != lines["k"][:-1]) | (lines["bm"][1:] != lines["bm"][:-1])
+    first = lines[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return lines[(lines["doc"] != first["doc"]) | (lines["no"] != first["no"])]
 
 
 def _ask(dealt: DataFrame, n: int, t: float, nearest: int | None) -> DataFrame:
-    """Pairs of postings that may match (x asks, y is earlier); y is null in a row that says that x could ask for more."""
+    """What the groups of ``dealt`` hold: pairs of postings that may match; lines that go (kind gone, as x).
+
+    If a posting could ask for more than ``nearest``: it (kind more), and the postings of its word there (kind post).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        lines = [np.empty(0, _LINE)]
         for batch in batches:
-            for p, blob, asks in zip(*(c.to_pylist() for c in batch.columns)):
-                held.setdefault(p, []).append((_unpack(blob), asks))
+            for p, blob, kind in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == _GONE:
+                    yield _found("gone", _unpack(blob, _LINE))
+                elif kind == _LINES:
+                    lines.append(_unpack(blob, _LINE))
+                else:
+                    held.setdefault(p, []).append((blob, kind == _ASKS))
+        gone = _copies(np.concatenate(lines))
+        del lines
+        for i in range(0, len(gone), 20_000):
+            yield _found("gone", gone[i : i + 20_000])
         for p in sorted(held):
-            parts = held.pop(p)
+            parts = [(_unpack(blob), asks) for blob, asks in held.pop(p)]
             rows, only = np.concatenate([r for r, _ in parts]), np.concatenate([np.full(len(r), a) for r, a in parts])
+            del parts
             rows, asks, index = _firsts(rows, only, nearest is not None)
             a, b, more = _matches(rows, asks, index, t, nearest)
             for i in range(0, len(a), 20_000):
-                x, y = rows[a[i : i + 20_000]], rows[b[i : i + 20_000]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[f])) for r in (x, y) for f in _FIELDS] + [pa.array(np.ascontiguousarray(x[f])) for f in ("h", "size", "pos")], names=[f"{f}{s}" for s in "xy" for f in _FIELDS] + ["h", "size", "pos"])
+                yield _found("pair", rows[a[i : i + 20_000]], rows[b[i : i + 20_000]])
             if len(more):
                 x = rows[np.unique(more)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[f])) for f in _FIELDS] + [pa.nulls(len(x), pa.int64())] * 4 + [pa.array(np.ascontiguousarray(x[f])) for f in ("h", "size", "pos")], names=[f"{f}{s}" for s in "xy" for f in _FIELDS] + ["h", "size", "pos"])
-
-    return dealt.repartition(n, "p").mapInArrow(run, _PAIRS)
+                yield _found("more", x, more=x, p=p)
+                aside = rows[index & np.isin(rows["h"], x["h"])]
+                for i in range(0, len(aside), 100_000):
+                    yield _found("post", p=p, blob=_pack(aside[i : i + 100_000]))
 
+    return dealt.repartitionById(n, F.col("p")).mapInArrow(run, _FOUND_SQL)
 
-#: Bitmap of a line's words, in longs; wide enough for lines whose words fill the 64 bits of a posting.
-_SKETCH = tuple(f"s{i}" for i in range(16))
 
-
-def _sketches(h: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    bit = _mix(h, 9) & np.uint64(64 * len(_SKETCH) - 1)
-    mark, which = np.uint64(1) << (bit & np.uint64(63)), bit >> np.uint64(6)
-    return [np.bitwise_or.reduceat(np.where(which == i, mark, np.uint64(0)), starts).view(np.int64) for i in range(len(_SKETCH))]
+#: Copies of the words of a set that many pairs hold, each for its share of the pairs.
+_SALTS = 32
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -> DataFrame:
-    """The asking sets (k, bm) of ``pairs`` that reach t, from the words of both lines."""
-    lines = pairs.select("docx", "nox").union(pairs.select("docy", "noy"))
+    """(k, bm, doc, no) of the asking sets of ``pairs`` that reach t, from the words of both lines.
+
+    Sets that hold more than their share of the pairs are salted; with n
+    partitions there are at most 8 n of them.
+    """
     spark = texts.sparkSession
-    shared, again = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(_marks(lines, _FILTER, _place_bits))
+    pairs = store(pairs.select(*[f"{f}{s}" for s in "xy" for f in _FIELDS]).distinct(), "lines-pairs")
+    places = pairs.select("docx", "nox").union(pairs.select("docy", "noy"))
+    shared, again = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(_marks(places, _FILTER, _place_bits))
 
     def wanted(doc: np.ndarray, no: np.ndarray) -> np.ndarray:
         return np.logical_and(*[_marked(again.value, at) for at in _place_bits(doc, no)])
@@ -420,38 +488,38 @@ def _verified(texts: DataFrame, pairs: DataFrame, scale: np.ndarray, t: float) -
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, part in _slices(batch):
-                rows, starts, _, _ = _sets(ids, part, shared.value, wanted)
+                lines = _cut(ids, part, wanted)
+                rows, starts, _, _ = _sets(np.zeros((len(lines), 2), np.int64), lines, shared.value)
                 if len(rows):
                     sets = np.split(np.ascontiguousarray(rows["h"]), starts[1:])
-                    heads = [pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm", "size")]
-                    yield pa.RecordBatch.from_arrays([*heads, *map(pa.array, _sketches(rows["h"], starts)), pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "n", *_SKETCH, "words"])
-
-    # rows that share an id bring a line more than once
-    made = store(texts.mapInArrow(read, f"k long, bm long, n int, {', '.join(f'{c} long' for c in _SKETCH)}, words binary"), "lines-words")
-    both = pairs.select("kx", "bmx", "ky", "bmy").distinct()
-    sketches = made.select("k", "bm", "n", *_SKETCH).distinct()
-    for s in "xy":
-        both = both.join(sketches.select(*[F.col(c).alias(f"{c}{s}") for c in sketches.columns]), [f"k{s}", f"bm{s}"])
-    lost = lambda x, y: sum((F.bit_count(F.col(c + x).bitwiseAND(F.bitwise_not(F.col(c + y)))) for c in _SKETCH), F.lit(0))
-    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(t / (1 + t)) - 1e-9)
-    near = (F.col("nx") - lost("x", "y") >= need) & (F.col("ny") - lost("y", "x") >= need)
-    both = store(both.where(near).select("kx", "bmx", "ky", "bmy"), "lines-near")
-    sides = both.select(F.col("kx").alias("k"), F.col("bmx").alias("bm")).union(both.select("ky", "bmy")).distinct()
-    words = made.select("k", "bm", "words").join(sides, ["k", "bm"], "left_semi").groupBy("k", "bm").agg(F.any_value("words").alias("words"))
-    for s in "xy":
-        side = words.select(F.col("k").alias(f"k{s}"), F.col("bm").alias(f"bm{s}"), F.col("words").alias(f"words{s}"))
-        both = both.join(side, [f"k{s}", f"bm{s}"])
+                    heads = [pa.array(np.ascontiguousarray(rows[f][starts])) for f in ("k", "bm")]
+                    yield pa.RecordBatch.from_arrays([*heads, pa.array([np.sort(s).tobytes() for s in sets], pa.binary())], names=["k", "bm", "words"])
+
+    # rows that share an id bring a line more than once, and the filter lets some lines through
+    made = store(texts.mapInArrow(read, "k long, bm long, words binary"), "lines-words")
+    words = made.groupBy("k", "bm").agg(F.any_value("words").alias("words"))
+    share = pairs.count() / (4 * shuffle_partitions(spark))
+    sides = pairs.select(F.col("kx").alias("k"), F.col("bmx").alias("bm")).union(pairs.select("ky", "bmy"))
+    heavy = F.broadcast(store(sides.groupBy("k", "bm").count().where(F.col("count") > F.lit(max(share, _SALTS))).select("k", "bm", F.lit(True).alias("heavy")), "lines-heavy"))
+    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    words = words.join(heavy, ["k", "bm"], "left").select("k", "bm", "words", F.explode(salts).alias("salt"))
+    both = pairs
+    for s, other in ("xy", "yx"):
+        named = lambda frame: frame.withColumnsRenamed({c: f"{c}{s}" for c in frame.columns})  # noqa: B023, E731
+        salt = F.when(F.col(f"heavy{s}"), F.pmod(F.xxhash64(f"k{other}", f"bm{other}"), F.lit(_SALTS))).otherwise(F.lit(0)).cast("int")
+        both = both.join(named(heavy), [f"k{s}", f"bm{s}"], "left").withColumn(f"salt{s}", salt)
+        both = both.join(named(words), [f"k{s}", f"bm{s}", f"salt{s}"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            for x, y in zip(batch.column(4), batch.column(5)):
                 a, b = (np.frombuffer(v.as_buffer(), "<i8") for v in (x, y))
                 shared_words = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(shared_words >= t * (len(a) + len(b) - shared_words) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["k", "bm"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=list(_FIELDS)).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("kx", "bmx", "wordsx", "wordsy").mapInArrow(verify, "k long, bm long").distinct()
+    return both.select(*[f"{f}x" for f in _FIELDS], "wordsx", "wordsy").mapInArrow(verify, ", ".join(f"{f} long" for f in _FIELDS)).distinct()
 
 
 def _content(id_col: str, text_col: str) -> list[Column]:
@@ -537,83 +605,70 @@ def _removed(keyed: DataFrame, threshold: float) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, tuple] = {}
         held: list[np.ndarray] = []
+        lines: list[np.ndarray] = []
+        gone: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                for b in _as_batches(_dealt(np.concatenate(held), shared.value, n, split, True, True)):
-                    yield pa.RecordBatch.from_arrays([pa.array(["post"] * b.num_rows), *b.columns, *[pa.nulls(b.num_rows, pa.int64())] * 4], names=["kind", "p", "blob", "asks", "k", "bm", "doc", "no"])
-            held.clear()
+                yield from _as_batches(_dealt(np.concatenate(held), shared.value, n, split))
+                firsts, copies = np.concatenate(lines), np.concatenate(gone)
+                yield from _as_batches(_packed(firsts, _mix(firsts["k"], 3) % np.uint64(n), _LINES))
+                yield from _as_batches(_packed(copies, _mix(copies["doc"], 3) % np.uint64(n), _GONE))
+            for parts in (held, lines, gone):
+                parts.clear()
 
         for batch in batches:
             for ids, text in _slices(batch):
                 rows, starts, sizes, line = _sets(ids, text, shared.value)
                 if not len(rows):
                     continue
-                heads = rows[starts]
-                yield pa.RecordBatch.from_arrays([pa.array(["line"] * len(heads)), pa.nulls(len(heads), pa.int64()), pa.nulls(len(heads), pa.binary()), pa.nulls(len(heads), pa.bool_()), *[pa.array(np.ascontiguousarray(heads[f])) for f in ("k", "bm", "doc", "no")]], names=["kind", "p", "blob", "asks", "k", "bm", "doc", "no"])
+                heads = np.empty(len(starts), _LINE)
+                for f in _LINE.names:
+                    heads[f] = rows[f][starts]
                 # a set that this task has seen at an earlier place has its postings already
                 if len(seen) > 500_000:
                     seen.clear()
-                fresh = np.zeros(len(heads), bool)
-                for j, (k, bm, d, no) in enumerate(zip(*(heads[f].tolist() for f in ("k", "bm", "doc", "no")))):
-                    if (k, bm) not in seen or (d, no) < seen[k, bm]:
-                        seen[k, bm] = (d, no)
+                fresh, later = np.zeros(len(heads), bool), np.zeros(len(heads), bool)
+                for j, (k, bm, *place) in enumerate(heads.tolist()):
+                    place = tuple(place)
+                    known = seen.get((k, bm))
+                    if known is None or place < known:
+                        seen[k, bm] = place
                         fresh[j] = True
+                    else:
+                        later[j] = place != known
                 single = shared.value[rows["h"] & (BUCKETS - 1)] == 1  # the only such word there is
                 held.append(rows[fresh[line] & (rows["pos"] < _prefix(rows["size"].astype(np.int64), t)) & ~single])
-                if sum(map(len, held)) > 400_000:
+                lines.append(heads[fresh])
+                gone.append(heads[later])
+                if sum(map(len, held)) > 270_000:
                     yield from flush()
         yield from flush()
 
-    path = scratch_path(spark, "lines")
-    keyed.mapInArrow(write, "kind string, p long, blob binary, asks boolean, k long, bm long, doc long, no long").write.partitionBy("kind").parquet(path)
-    schema = "p long, blob binary, asks boolean, k long, bm long, doc long, no long, kind string"
-    made = spark.read.schema(schema).parquet(path)
-    lines = made.where("kind = 'line'").select("k", "bm", "doc", "no")
-
-    first = store(_ask(made.where("kind = 'post'").select("p", "blob", "asks"), n, t, NEAREST), "lines-asked")
-    alike = store(_verified(keyed, first.where("ky is not null"), scale, t), "lines-alike")
-    more = first.where("ky is null").select(F.col("kx").alias("k"), F.col("bmx").alias("bm"), F.col("docx").alias("doc"), F.col("nox").alias("no"), "h", "size", "pos").distinct()
-    more = store(more.join(alike, ["k", "bm"], "left_anti"), "lines-more")
+    first = store(_ask(keyed.mapInArrow(write, _DEALT_SQL), n, t, NEAREST), "lines-asked")
+    alike = store(_verified(keyed, first.where("kind = 'pair'"), scale, t), "lines-alike")
+    more = first.where("kind = 'more'").join(alike.select(F.col("k").alias("kx"), F.col("bm").alias("bmx")), ["kx", "bmx"], "left_anti")
+    more = store(more.select(*[F.col(f"{f}x").alias(f) for f in _FIELDS], *_MORE, "p"), "lines-more")
     if not more.isEmpty():
-        posts = made.where("kind = 'post' and not asks").select("p", "blob")
-        alike = store(alike.union(_second(keyed, posts, more, scale, n, split, t)).distinct(), "lines-alike")
-
-    place = F.struct("doc", "no")
-    firsts = lines.groupBy("k", "bm").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    marked = firsts.join(alike.withColumn("gone", F.lit(True)), ["k", "bm"], "left").where("n > 1 or gone")
-    marked = store(marked.select(F.col("k").alias("mk"), F.col("bm").alias("mb"), "first", F.coalesce("gone", F.lit(False)).alias("gone")), "lines-marked")
-    out = lines.join(marked, (lines["k"] == marked["mk"]) & (lines["bm"] == marked["mb"]))
-    out = out.where(F.col("gone") | (place > F.col("first")))
+        alike = store(alike.union(_second(keyed, first.where("kind = 'post'").select("p", "blob"), more, scale, n, t)).distinct(), "lines-alike")
+
+    # a pair has the first place of its sets, as every task sends all postings of a set that is new to it
+    gone = first.where("kind = 'gone'").select(F.col("docx").alias("doc"), F.col("nox").alias("no")).union(alike.select("doc", "no"))
     no = F.col("no").bitwiseAND(F.lit((1 << _NO_BITS) - 1)).cast("int")
-    return out.groupBy("doc", F.shiftright("no", _NO_BITS).alias("rank")).agg(F.array_sort(F.collect_set(no)).alias("removed"))
+    return gone.groupBy("doc", F.shiftright("no", _NO_BITS).alias("rank")).agg(F.array_sort(F.collect_set(no)).alias("removed"))
 
 
-def _second(keyed: DataFrame, posts: DataFrame, more: DataFrame, scale: np.ndarray, n: int, split: int, t: float) -> DataFrame:
+def _second(keyed: DataFrame, posts: DataFrame, more: DataFrame, scale: np.ndarray, n: int, t: float) -> DataFrame:
     """The sets of ``more`` (postings that no near line settled) that match any of all earlier postings of their words."""
-    spark = keyed.sparkSession
-    # which buckets of words are asked for: one bit for each
-    shared, wanted = spark.sparkContext.broadcast(scale), spark.sparkContext.broadcast(_marks(more.select("h"), BUCKETS, _word_bit))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for p, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = _unpack(blob)
-                rows = rows[_marked(wanted.value, *_word_bit(rows["h"]))]
-                if len(rows):
-                    out.append((p, _pack(rows), False))
-            yield from _as_batches(iter(out))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.empty(batch.num_rows, _POSTING)
             for c, f in enumerate(_POSTING.names):
                 rows[f] = batch.column(c).to_numpy()
-            yield from _as_batches(_dealt(rows, shared.value, n, split, True, False))
+            yield from _as_batches(_packed(rows, batch.column("p").to_numpy(), _ASKS))
 
-    kind = "p long, blob binary, asks boolean"
-    dealt = posts.mapInArrow(pick, kind).union(more.select(*_POSTING.names).mapInArrow(ask, kind))
+    dealt = posts.withColumn("kind", F.lit(_OWN)).union(more.select(*_POSTING.names, "p").mapInArrow(ask, _DEALT_SQL))
     pairs = store(_ask(dealt, n, t, None), "lines-asked")
     return _verified(keyed, pairs, scale, t)
 
