@@ -400,6 +400,22 @@ def test_separator_scan_against_a_loop(spark):
     assert sepscan.scan(spark.createDataFrame([], "file long, block long, ids binary"), 0).count() == 0
 
 
+@pytest.mark.parametrize("bits", [0, 2])
+def test_separator_scan_in_ranges(spark, bits, monkeypatch):
+    """Documents that end ranges later than they start, blocks in any order, no file, no block number, clashing columns."""
+    monkeypatch.setattr(sepscan, "RANGE_BITS", bits)
+    rng = np.random.default_rng(5)
+    want, blocks = [], []
+    for file in (None, 0, 7):
+        ids = rng.integers(0, 90, 1500).astype("<u2")
+        parts = np.split(ids, np.flatnonzero(ids == 0) + 1)
+        want += [(file, k, len(p) - 1, True) for k, p in enumerate(parts[:-1])] + [(file, len(parts) - 1, len(parts[-1]), False)] * bool(len(parts[-1]))
+        blocks += [(file, b or None, bytearray(ids[i : i + 11].tobytes())) for b, i in enumerate(range(0, len(ids), 11))]
+    blocks = [blocks[i] for i in rng.permutation(len(blocks))]
+    frame = spark.createDataFrame(blocks, "file long, block long, ids binary").repartition(5).selectExpr("*", "1 as at", "2 as range", "3 as start", "4 as n", "5 as doc0", "6 as rf")
+    assert sorted(map(tuple, sepscan.scan(frame, 0).collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_chat_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(chat, "PIECE", 2)
     convs = {r.conv_id: [] for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()}

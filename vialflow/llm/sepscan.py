@@ -4,7 +4,9 @@ A flat file is a run of unsigned 16-bit ids with a separator after each
 document, cut into blocks anywhere. Each block is searched for separators by
 itself with numpy; a prefix scan over the blocks' summaries then numbers the
 separators and gives every block the ids that the document open at its start
-already has, which stitches documents across blocks.
+already has, which stitches documents across blocks. The scan runs in ranges of
+blocks first and over the ranges' sums then, so a long file is dealt to many
+tasks; only summaries take part in it, never the documents' lengths.
 """
 
 from __future__ import annotations
@@ -17,11 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import small_batches
+from vialflow.llm.common import small_batches, store
 from vialflow.llm.tokens import encoder
 
 #: Ids in a block.
 BLOCK_IDS = 1 << 18
+#: A range has 2 to this power of a file's blocks.
+RANGE_BITS = 10
 
 
 def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
@@ -30,7 +34,8 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int, id_co
     Columns file, block, ids hold the flat files; first_doc and doc_ids are the
     list of what was written, in order, for a reader that wants names with its
     counts. ``separator`` must be an id that no text is encoded to. Null and
-    empty texts are a separator alone; a null id stays null.
+    empty texts are a separator alone; a null id stays null; repeated rows are
+    written each. Other columns are not read; an empty table has no blocks.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -69,6 +74,9 @@ def scan(blocks: DataFrame, separator: int) -> DataFrame:
     ``doc`` counts a file's documents from 0; separators are not counted as
     tokens. Ids after a file's last separator are a document with closed =
     false. Null or empty blocks hold no ids; files without ids have no rows.
+    Blocks without a file are one file, blocks without a number its first.
+    Repeated blocks are blocks of their own, side by side. Other columns are
+    not read; an empty table has an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,14 +91,28 @@ def scan(blocks: DataFrame, separator: int) -> DataFrame:
 
     found = blocks.select(F.col("file").cast("long"), F.col("block").cast("long"), F.col("ids").cast("binary"))
     found = found.mapInArrow(run, "file long, block long, n long, seps long, first long, last long, inner array<long>")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    placed = found.withColumn("start", F.coalesce(F.sum("n").over(before), zero)).withColumn("doc0", F.coalesce(F.sum("seps").over(before), zero))
-    placed = placed.withColumn("opened", F.coalesce(F.max(F.col("start") + F.col("last")).over(before), zero))
-    lengths = F.concat(F.array(F.col("start") - F.col("opened") + F.col("first")), F.col("inner"))
-    closed = placed.where("seps > 0").select("file", "doc0", F.posexplode(lengths).alias("i", "n_tokens"))
+    found = store(found.withColumn("at", F.monotonically_increasing_id()), "scan-blocks")
+    zero, end = F.lit(0).cast("long"), F.col("start") + F.col("last")
+
+    def scanned(rows: DataFrame, within: list[str], order: list[str]) -> DataFrame:
+        """With the ids and separators before each row, and the end of the last separator before it (null: none)."""
+        before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumns({"start": F.coalesce(F.sum("n").over(before), zero), "doc0": F.coalesce(F.sum("seps").over(before), zero)})
+        return rows.withColumn("opened", F.max(end).over(before))
+
+    narrow = found.select("at", "file", "block", F.shiftright("block", RANGE_BITS).alias("range"), "n", "seps", "last")
+    placed = store(scanned(narrow, ["file", "range"], ["block", "at"]), "scan-placed")
+    ranges = placed.groupBy("file", "range").agg(F.sum("n").alias("n"), F.sum("seps").alias("seps"), F.max(end).alias("last"))
+    ranges = store(scanned(ranges, ["file"], ["range"]), "scan-ranges")
+
+    r = ranges.select(F.col("file").alias("rf"), F.col("range").alias("rr"), F.col("start").alias("start0"), F.col("doc0").alias("doc00"), F.coalesce("opened", zero).alias("opened0"))
+    known = placed.where("seps > 0").join(r, F.col("file").eqNullSafe(F.col("rf")) & F.col("range").eqNullSafe(F.col("rr")))
+    start, opened = F.col("start0") + F.col("start"), F.coalesce(F.col("start0") + F.col("opened"), F.col("opened0"))
+    known = known.select("at", "file", (F.col("doc00") + F.col("doc0")).alias("doc0"), (start - opened).alias("open"))
+    lengths = F.concat(F.array(F.col("open") + F.col("first")), F.col("inner"))
+    closed = known.join(found.select("at", "first", "inner"), "at").select("file", "doc0", F.posexplode(lengths).alias("i", "n_tokens"))
     closed = closed.select("file", (F.col("doc0") + F.col("i")).alias("doc"), "n_tokens", F.lit(True).alias("closed"))
-    ends = placed.groupBy("file").agg(F.sum("n").alias("n"), F.sum("seps").alias("doc"), F.max(F.col("start") + F.col("last")).alias("last"))
+    ends = ranges.groupBy("file").agg(F.sum("n").alias("n"), F.sum("seps").alias("doc"), F.max(end).alias("last"))
     rest = F.col("n") - F.coalesce("last", zero)
     return closed.union(ends.where(rest > 0).select("file", "doc", rest.alias("n_tokens"), F.lit(False).alias("closed")))
 
