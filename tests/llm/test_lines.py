@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vialflow.llm import linededup, queries
@@ -88,3 +89,44 @@ def test_bitmap_bound_with_the_top_bit_set():
 def test_packed_postings_come_back():
     rows = np.frombuffer(np.random.default_rng(3).bytes(100 * linededup._POSTING.itemsize), linededup._POSTING)
     assert (linededup._unpack(linededup._pack(rows)) == rows).all()
+
+
+def test_folded_bitmaps_never_count_too_much():
+    """Sets of all three widths: bits that one bitmap has and the other lacks are at most the words that it alone has."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in rng.permutation(400)]
+    sets = [base[a : a + size] for size in (5, 47, 48, 60, 111, 112, 130, 300) for a in (0, 3, 40)]
+    blob = pa.array([" ".join(s).encode() for s in sets], pa.large_binary())
+    rows, starts, sizes, _ = linededup._sets(np.zeros((len(sets), 2), np.int64), blob, np.full(linededup.BUCKETS, 5, np.uint8))
+    assert sizes.tolist() == [len(s) for s in sets]
+    heads = rows[starts]
+    width = np.searchsorted(linededup._WIDER, heads["size"], "right")
+    assert set(width) == {0, 1, 2}
+    x, y = (i.ravel() for i in np.meshgrid(range(len(sets)), range(len(sets))))
+    lost = linededup._lost([heads[b][x] for b in linededup._BITMAP], [heads[b][y] for b in linededup._BITMAP], np.minimum(width[x], width[y]))
+    alone = np.array([len(set(sets[i]) - set(sets[j])) for i, j in zip(x, y)])
+    assert (lost <= alone).all() and lost.max() > 40
+
+
+def test_cut_takes_the_lines_it_is_asked_for():
+    texts = ["a b\n\nc d\n", "", "\n", "only", None, "x\ny", "tail\n"]
+    ids = np.array([[10 * i, 0] for i in range(len(texts))])
+    blob = pa.array([t and t.encode() for t in ["left out", *texts]], pa.large_binary()).fill_null(b"").slice(1)
+    for keep in (lambda doc, no: doc >= 0, lambda doc, no: (no == 1) | (doc == 30), lambda doc, no: doc < 0):
+        want = [s for i, t in enumerate(texts) for no, s in enumerate((t or "").split("\n")) if keep(10 * i, no)]
+        got = linededup._cut(ids, blob, lambda doc, no: np.broadcast_to(keep(doc, no), doc.shape))
+        assert sorted(v.decode() for v in got.to_pylist()) == sorted(want)
+
+
+def test_sets_of_many_pairs_are_salted(spark, monkeypatch):
+    """Lines that many pairs hold: their words are copied, and no match is lost or made."""
+    monkeypatch.setattr(linededup, "NEAREST", 0)
+    monkeypatch.setattr(linededup, "_SALTS", 3)
+    monkeypatch.setattr(linededup, "shuffle_partitions", lambda spark: 40)  # so that a set of the group has more than its share
+    rows = planted() + [(5000 + i, " ".join([*(f"v{j}" for j in range(20)), f"own{i}", f"more{i}", f"third{i}"][: 20 + i % 4])) for i in range(120)]
+    heavy = []
+    real = linededup.store
+    monkeypatch.setattr(linededup, "store", lambda df, name: heavy.append(real(df, name)) or heavy[-1] if name == "lines-heavy" else real(df, name))
+    got = linededup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: list(r.removed) for r in got if r.removed} == brute(rows)
+    assert sum(h.count() for h in heavy) > 0
