@@ -5,14 +5,15 @@ counts over all documents; two sets with a Jaccard similarity of t or more then
 share a word in their prefixes of size - ceil(t * size) + 1 words. Each prefix
 word is a posting. Postings of a word meet in one place, in blocks, where
 length, position and a bitmap of the words, wider for longer lines, bound the
-overlap of two lines; pairs that may reach t are verified with their words. A line with a match that is
-earlier in (document, line) order is removed.
+overlap of two lines; pairs that may reach t are verified with their words. A
+line with a match that is earlier in (document, line) order is removed.
 
 Only the first line of each set takes part; of its copies, a task removes those
-that it has seen an earlier one of, and the rest where the lines of a set meet. A posting asks for the ``NEAREST`` earlier lines that may match; if none
+that it has seen an earlier one of, and the rest go where the lines of a set
+meet. A posting asks for the ``NEAREST`` earlier lines that may match; if none
 of them verifies and there are more, it asks for all of the rest in a second
-round. So a group of alike lines makes about as many pairs as it has lines, and
-no match is lost.
+round, from the postings of its word that the first round set aside. So a group
+of alike lines makes about as many pairs as it has lines, and no match is lost.
 """
 
 from __future__ import annotations
