@@ -40,6 +40,7 @@ def history_sql(
     vials_table: bool = False,
     broadcast_vials: bool = False,
     reduce_ledger: bool = False,
+    streamed: bool = False,
     collation: str | None = None,
 ) -> str:
     """History as one statement; ``with_trial`` adds ``LAST_NAME`` (for partitioned output).
@@ -54,10 +55,14 @@ def history_sql(
     ``reduce_ledger`` (the caller has proven the ledger rows few), else by Bloom
     filters; a trial stated inline also cuts the ledger so. Boxes that many
     rows point at are broadcast apart, as in the snapshot.
+
+    A ``streamed`` ledger is cut by the trial's vials, which are static, and
+    nothing is cut by the ledger: a filter or sketch over a stream would be a
+    streaming aggregation, which an appended history can't have.
     """
     salt = ["IT.INVENTORYID", "IT.TRANSACTION_ID", "IT.CONTAINER_POS_X"]
     boxes_small = reduce_ledger or dims.boxes_fit(t, False, collation)
-    heavy = not boxes_small and worth_reducing(t, HISTORY_TABLES)
+    heavy = not boxes_small and not streamed and worth_reducing(t, HISTORY_TABLES)
     names = (
         (["V"] if broadcast_vials else [])
         # headers cut to the ids of the (proven small) trial ledger are small too
@@ -90,7 +95,7 @@ tx_ids AS (SELECT DISTINCT TRANSACTION_ID AS TX_ID FROM {TRIAL_LEDGER} WHERE TRA
 """
         headers = f"(SELECT {hint(['TI'])} H.* FROM {{TRANSACTIONS}} H LEFT SEMI JOIN tx_ids TI ON H.TRANSACTION_ID = TI.TX_ID)"
         box_ids = "box_ids"
-    elif vials_table or reducers:
+    elif (vials_table or reducers) and not streamed:
         used = Reducers(t)
         used.add("box_filter", "CONTAINER_INVENTORYID", ledger_type("CONTAINER_INVENTORYID"), "ledger")
         used.add("header_filter", "TRANSACTION_ID", ledger_type("TRANSACTION_ID"), "ledger")

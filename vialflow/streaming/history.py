@@ -4,7 +4,8 @@ New ledger rows (the ``INVENTORY_TRANSACTIONS_VLA`` shape) arrive as files;
 each micro-batch is joined to the static tables with the same statement as
 the batch history: an inner stream-static join to the trial's vials, and
 left stream-static joins to transaction headers, parent boxes and
-locations. All joins are stateless (the stream is on the left), so no state
+locations. Large tables add the Bloom filters of the trial's receipts and vials
+(static, too), never one of the ledger's own ids. All joins are stateless (the stream is on the left), so no state
 store grows; the sink is Parquet with its checkpoint in the shared folder,
 so a restarted query resumes exactly where it stopped.
 """
@@ -39,7 +40,7 @@ def history_stream(t: LimsTables, ledger: DataFrame, trial_codes: TrialCodes) ->
     """Streaming history rows (unsorted: a stream has no global order)."""
     pred, args = trial_filter_sql("CR.LAST_NAME", trial_codes)
     tables = {**t.frames, "INVENTORY_TRANSACTIONS_VLA": ledger}
-    return run(t.spark, history_sql(t, pred, sort=False), tables, args)
+    return run(t.spark, history_sql(t, pred, sort=False, streamed=True), tables, args)
 
 
 def write_available_now(df: DataFrame, sink_path: str, checkpoint_path: str) -> StreamingQuery:
