@@ -176,3 +176,22 @@ def test_dimensions_are_measured_once(spark, tables):
     first = t.measure("ROOMS")
     t.frames = {}  # nothing is read again
     assert t.measure("ROOMS") is first and t.measure("MATERIALS").unique and t.measure("INVENTORY") is None
+
+
+def box_join_tasks(df) -> set[str]:
+    """Partition counts of the exchanges that deal rows by a box's id."""
+    return set(re.findall(r"Exchange hashpartitioning\((?:BOX_ID|PARENT_CONTAINER_INV_ID|INVENTORYID)#\d+L?, (\d+)\)", plan_of(df)))
+
+
+def test_fanout_tasks_follow_the_tables(spark, tables):
+    """The box join of larger tables gets more tasks, however few the session's shuffles begin with."""
+    want = rows_of(parent_fanout(tables))
+    t = LimsTables(dict(tables.frames))
+    size = t.table_bytes("INVENTORY") + t.table_bytes("INVENTORY_TRANSACTIONS")
+    values = {**BIG, "spark.sql.adaptive.enabled": "false"}
+    for tasks in (60, 120):
+        with conf(spark, {**values, "vialflow.boxes.taskBytes": str(-(-size // tasks))}):
+            df = parent_fanout(t)
+            assert len(sizes(df)) > 8 and any(abs(int(n) - tasks) <= 2 for n in box_join_tasks(df))
+            # the ids cut whole tables: one join for each, not one for each branch of a union
+            assert not re.search("SortMergeJoin .*LeftSemi", plan_of(df)) and rows_of(df) == want
