@@ -195,3 +195,13 @@ def test_fanout_tasks_follow_the_tables(spark, tables):
             assert len(sizes(df)) > 8 and any(abs(int(n) - tasks) <= 2 for n in box_join_tasks(df))
             # the ids cut whole tables: one join for each, not one for each branch of a union
             assert not re.search("SortMergeJoin .*LeftSemi", plan_of(df)) and rows_of(df) == want
+
+
+def test_snapshot_box_tasks_follow_the_tables(spark, tables):
+    want = rows_of(trial_extract(tables, None))
+    t = LimsTables(dict(tables.frames))
+    size = t.table_bytes("INVENTORY") + t.table_bytes("INVENTORY_TRANSACTIONS")
+    values = {**BIG, "spark.sql.adaptive.enabled": "false"}
+    with conf(spark, {**values, "vialflow.boxes.taskBytes": str(-(-size // 60))}):
+        df = trial_extract(t, None)
+        assert any(abs(int(n) - 60) <= 2 for n in box_join_tasks(df)) and rows_of(df) == want
