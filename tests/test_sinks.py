@@ -280,3 +280,50 @@ def test_collated_keys_match(spark, tables):
     res = extract_trial(t, "building", _fresh_dir(), collation=loose, download_history=True)
     assert (res.snapshot_rows, res.history_rows) == (216, 1336)
     assert trial_extract(t, "building", collation="UNICODE_CI_RTRIM").count() == 216
+
+
+def _repeated_keys(tables):
+    """Some receipts and vials twice (also in another trial), some keys null."""
+    from vialflow.sources.tables import LimsTables
+
+    frames = dict(tables.frames)
+    cr, inv, led = (frames[n] for n in ("CENTRALRECEIVING_VLA", "INVENTORY_VLA", "INVENTORY_TRANSACTIONS_VLA"))
+    cr = cr.unionByName(cr.where("EXTERNAL_ID % 5 = 0").withColumn("LAST_NAME", F.lit("OTHER"))).unionByName(cr.where("EXTERNAL_ID % 7 = 0"))
+    frames["CENTRALRECEIVING_VLA"] = cr.withColumn("EXTERNAL_ID", F.expr("IF(EXTERNAL_ID % 11 = 0, NULL, EXTERNAL_ID)"))
+    inv = inv.unionByName(inv.where("INVENTORYID % 3 = 0").withColumn("EXTERNAL_CODE", F.lit("again")))
+    frames["INVENTORY_VLA"] = inv.withColumn("METADATA_GUID", F.expr("IF(INVENTORYID % 13 = 0, NULL, METADATA_GUID)"))
+    frames["INVENTORY_TRANSACTIONS_VLA"] = led.unionByName(led.where("INVENTORYID % 4 = 0")).withColumn(
+        "INVENTORYID", F.expr("IF(INVENTORYID % 17 = 0, NULL, INVENTORYID)"))
+    return LimsTables(frames)
+
+
+def test_large_trials_carry_few_columns(spark, tables):
+    """Vials too many to broadcast are joined to the ledger once; receipts come last, locations after the last shuffle: the same rows."""
+    from vialflow.plans.history import by_trial, inventory_history, locations_last
+    from vialflow.plans.inventory import materialize_trial_vials, trial_extract
+    from vialflow.sinks.parquet import read_trials
+
+    codes = ["BUILDING", "OTHER", "MACHINERY"]
+    t = _repeated_keys(tables)
+    plain = extract_trials(t, codes, _fresh_dir(), download_history=True, semi_join_reduction=False)
+    rows = lambda done, name: sorted(map(str, read_trials(spark, done[name]).collect()))
+    for more in ({}, {"vialflow.broadcast.maxBytes": "1"}):  # small lookups broadcast, or shuffled
+        values = {"vialflow.bloom.minBytes": "0", "vialflow.semijoin.maxRows": "10", "spark.sql.autoBroadcastJoinThreshold": "-1", **more}
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        try:
+            t = _repeated_keys(tables)
+            done = extract_trials(t, codes, _fresh_dir(), download_history=True)
+            v = materialize_trial_vials(t, codes)
+            late = locations_last(t, v)
+            hist = by_trial(t, inventory_history(t, codes, sort=False, with_trial=True, vials=v, locations=not late))
+            plans = [df._jdf.queryExecution().executedPlan().toString() for df in (hist, trial_extract(t, codes, vials=v, spread_by="LAST_NAME"))]
+        finally:
+            for k in values:
+                spark.conf.unset(k)
+        assert done["trials"] == plain["trials"] and done["trials"]["OTHER"]["rows"] > 0
+        assert rows(done, "snapshot") == rows(plain, "snapshot") and rows(done, "history") == rows(plain, "history")
+        assert v.vial_ledger and late == (not more)
+        # neither plan joins the ledger to the vials, and no metadata or box join carries the receipt's columns
+        assert not any("VIAL_ID#" in line and "SortMergeJoin" in line for p in plans for line in p.splitlines())
+        assert any("SortMergeJoin [_RECEIPT#" in line or "SortMergeJoin [RECEIPT_ID#" in line for line in plans[1].splitlines())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import DEFAULT_EXCLUDE_CONDITIONS, DEFAULT_EXCLUDE_MATCODES
 from ..functions.text import DIGIT_COMMA, LATIN_FROM, LATIN_PAIRS, LATIN_TO, slug
 from ..operators.summary import observe_rows, observe_viability
-from ..plans.history import HISTORY_ORDER, inventory_history
+from ..plans.history import by_trial, inventory_history, locations_last
 from ..plans.inventory import materialize_trial_vials, trial_extract
 from ..functions.text import collation_key_sql
 from ..session import delete_path
@@ -308,15 +308,14 @@ def extract_trials(
         snapshot = trial_extract(
             t, codes, no_viable=no_viable, exclude_conditions=exclude_conditions,
             exclude_matcodes=exclude_matcodes, collation=collation, seq_empty_as_zero=seq_empty_as_zero, vials=vials,
+            spread_by="LAST_NAME",
         )
         paths: dict = {"snapshot": f"{out}/inventory"}
-        paths["trials"] = _write_trials(rebalance(snapshot, "LAST_NAME"), paths["snapshot"], run, codes, collation,
-                                        parquet_compression, not no_viable)
+        paths["trials"] = _write_trials(snapshot, paths["snapshot"], run, codes, collation, parquet_compression, not no_viable)
         if download_history:
-            hist = inventory_history(t, codes, collation=collation, sort=False, with_trial=True, vials=vials)
-            # hash shuffle first: the range partitioner then samples shuffled rows, not the ledger scan
-            hist = hist.repartition(*HISTORY_ORDER).repartitionByRange("LAST_NAME", *HISTORY_ORDER)
-            hist = hist.sortWithinPartitions("LAST_NAME", *HISTORY_ORDER)
+            late = locations_last(t, vials, collation)
+            hist = inventory_history(t, codes, collation=collation, sort=False, with_trial=True, vials=vials, locations=not late)
+            hist = by_trial(t, hist, collation)
             paths["history"] = f"{out}/history"
             counted = _write_trials(hist, paths["history"], run, codes, collation, parquet_compression, False)
             for code, row in counted.items():
@@ -335,17 +334,6 @@ def extract_trials(
                 delete_path(t.spark, path)
 
 
-def rebalance(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition by ``cols`` for a partitioned write, letting AQE split a
-    hot value over several tasks and merge small ones (``REBALANCE`` hint).
-
-    Without it every task writes a file into every trial folder it touches;
-    a plain hash repartition would put a trial with a third of all rows into
-    one task.
-    """
-    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(cols)}) */ * FROM {{df}}", df=df)
-
-
 def slug_report(codes: DataFrame, code_col: str = "TRIAL_CODE") -> DataFrame:
     """Each distinct code with its slug and how many distinct codes share it.
 
